@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.operators.links import explode_links
 from revloom.plans.model import RevenueModel
-from revloom.plans.staging import LINKS, STAGING
+from revloom.plans.staging import LINKS, STAGING, exploded_links, links, owning_company
 from revloom.session import prepare
 
 AS_OF = "2000-01-01 00:00:00"
@@ -28,6 +27,7 @@ class Fixture:
         self.sf_dir = sf_dir
         self.as_of = F.lit(AS_OF).cast("timestamp")
         self._read: dict[str, DataFrame] = {}
+        self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:
@@ -199,65 +199,77 @@ class Fixture:
 
     # --- inputs of the model -----------------------------------------------------------
 
-    def exploded(self, link: str) -> DataFrame:
-        spec = LINKS[link]
-        key = STAGING[spec.entity].key[1]
-        return explode_links(getattr(self, spec.entity)(), spec.kind, spec.from_id, spec.to_id, key)
+    def entity(self, name: str) -> DataFrame:
+        """Typed rows of an entity, with the association struct where it has one."""
+        if name not in self._built:
+            self._built[name] = getattr(self, name)()
+        return self._built[name]
 
-    def staged(self) -> "LazyStaged":
-        return LazyStaged(self)
+    def staged(self, keyed: bool = True) -> "LazyStaged":
+        return LazyStaged(self, keyed)
 
     def model(self) -> RevenueModel:
         return RevenueModel(self.staged(), self.as_of)
 
     def raw(self, entity: str) -> DataFrame:
-        return raw_rows(entity, getattr(self, entity)())
+        return raw_rows(entity, self.entity(entity))
 
 
 class LazyStaged:
     """The attributes of ``Staged``, each built when it is first asked for."""
 
-    def __init__(self, fixture: Fixture) -> None:
+    def __init__(self, fixture: Fixture, keyed: bool) -> None:
+        self.keyed = keyed
         self._fixture = fixture
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        if name.endswith("_links"):
-            built = self._fixture.exploded(name.removesuffix("_links"))
-        else:
-            built = getattr(self._fixture, name)().drop("associations")
-        self.__dict__[name] = built
+        self.__dict__[name] = built = self._build(name)
         return built
 
+    def _build(self, name: str) -> DataFrame:
+        if name.endswith("_links"):
+            link = name.removesuffix("_links")
+            rows = self._fixture.entity(LINKS[link].entity)
+            return links(link, rows) if self.keyed else exploded_links(link, rows)
+        rows = self._fixture.entity(name)
+        if self.keyed and name in ("deals", "contacts"):
+            link = f"{name.removesuffix('s')}_company"
+            rows = rows.withColumn("company_id", owning_company(link, rows))
+        return rows.drop("associations")
+
 
 def api_records(entity: str, typed: DataFrame) -> DataFrame:
     """Typed rows as API records: property values are text or null, blobs are structs."""
     values = []
     for field in STAGING[entity].fields:
-        value = F.col(field.name)
+        text = f"cast({field.name} as string)"
         if field.data_type == "timestamp":
-            value = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-        values.append(value.cast("string").alias(field.source))
+            text = f"date_format({field.name}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
+        values += [f"'{field.source}'", text]
     source_key, key = STAGING[entity].key
-    record = [F.col(key).alias(source_key), F.struct(*values).alias("properties")]
+    record = [f"{key} as {source_key}", f"named_struct({', '.join(values)}) as properties"]
     if source_key == "hs_object_id":
-        links = F.col("associations") if "associations" in typed.columns else F.lit(None)
+        links = "associations" if "associations" in typed.columns else "null as associations"
         record += [
-            links.alias("associations"),
-            F.col("created_at_hubspot").alias("created_at"),
-            F.col("modified_at_hubspot").alias("updated_at"),
-            F.lit(False).alias("archived"),
+            links,
+            "created_at_hubspot as created_at",
+            "modified_at_hubspot as updated_at",
+            "false as archived",
         ]
-    return typed.select(*record, "_loaded_at")
+    return typed.selectExpr(*record, "_loaded_at")
 
 
 def raw_rows(entity: str, typed: DataFrame) -> DataFrame:
     """The RAW table: :func:`api_records` with VARIANT blobs."""
     records = api_records(entity, typed)
-    blobs = {"properties": F.to_variant_object("properties")}
-    if "associations" in typed.columns:
-        blobs["associations"] = F.to_variant_object("associations")
-    elif "associations" in records.columns:
-        blobs["associations"] = F.lit(None).cast("variant")
-    return records.withColumns(blobs)
+    columns = []
+    for name in records.columns:
+        if name == "properties" or (name == "associations" and "associations" in typed.columns):
+            columns.append(f"to_variant_object({name}) as {name}")
+        elif name == "associations":
+            columns.append("cast(null as variant) as associations")
+        else:
+            columns.append(name)
+    return records.selectExpr(*columns)

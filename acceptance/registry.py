@@ -156,9 +156,7 @@ def _tables(fixture: Fixture) -> Callable[[str], DataFrame]:
         if layer == "stg":
             return getattr(model.staged, rest)
         if layer == "links":
-            spec = staging.LINKS[rest]
-            exploded = getattr(model.staged, f"{rest}_links")
-            return staging.one_per_pair(exploded, spec.from_id, spec.to_id, spec.label)
+            return getattr(model.staged, f"{rest}_links")
         return getattr(model, name)
 
     return table
@@ -171,7 +169,7 @@ def _observed(fixture: Fixture) -> DataFrame:
 
 def _observed_after_change(fixture: Fixture) -> DataFrame:
     """The same sources after the CRM retyped, renamed and added properties."""
-    deals = raw_rows("deals", fixture.deals()).select(
+    deals = raw_rows("deals", fixture.entity("deals")).select(
         F.to_variant_object(
             F.struct(
                 F.variant_get("properties", "$.dealname", "string").alias("dealname"),
@@ -185,7 +183,7 @@ def _observed_after_change(fixture: Fixture) -> DataFrame:
             )
         ).alias("properties")
     )
-    products = api_records("products", fixture.products()).select(
+    products = api_records("products", fixture.entity("products")).select(
         F.to_variant_object(F.struct("properties.*", F.lit("USD").alias("currency"))).alias("properties")
     )
     return quality.all_of(
@@ -224,7 +222,7 @@ def _check_queries() -> dict[str, Query]:
         "dq_invariants": _fixture(lambda f: checks.invariant_tests(_tables(f))),
         "dq_freshness": _fixture(
             lambda f: checks.freshness_tests(
-                lambda name: getattr(f, name)(), F.lit(FRESH_AS_OF).cast("timestamp")
+                f.entity, F.lit(FRESH_AS_OF).cast("timestamp")
             )
         ),
         "contract_observed": _fixture(_observed),
@@ -271,7 +269,7 @@ def _upsert_incremental(fixture: Fixture) -> DataFrame:
 
 def _upsert_subscriptions(fixture: Fixture) -> DataFrame:
     """Subscriptions re-sent by billing, cancelled from 1999 on, over the stored ones."""
-    typed = fixture.subscriptions()
+    typed = fixture.entity("subscriptions")
     target = raw_rows("subscriptions", typed)
     later = typed.where(F.col("started_at") >= F.lit("1999-01-01").cast("timestamp"))
     batch = raw_rows("subscriptions", later.withColumn("status", F.lit("churned")))
@@ -292,7 +290,7 @@ def _history(fixture: Fixture) -> DataFrame:
 
 def _id_map(fixture: Fixture) -> DataFrame:
     """Contacts with an email are known to the CRM; the others have no id there."""
-    known = fixture.contacts().where(F.col("email").isNotNull())
+    known = fixture.entity("contacts").where(F.col("email").isNotNull())
     return known.select(F.concat(F.lit("c"), "contact_id").alias("_contact_id"), "contact_id")
 
 
@@ -304,7 +302,7 @@ def _lifecycle_load(fixture: Fixture) -> DataFrame:
 def _ingest_pages(fixture: Fixture) -> DataFrame:
     """Company records saved as API pages of 100, read back, wrapped, staged."""
     loaded = F.lit("2024-01-31 06:00:00").cast("timestamp")
-    records = api_records("companies", fixture.companies()).select(
+    records = api_records("companies", fixture.entity("companies")).select(
         F.col("hs_object_id").alias("id"),
         F.to_json(
             F.struct(F.col("hs_object_id").alias("id"), "properties", F.col("created_at").alias("createdAt")),

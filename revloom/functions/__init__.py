@@ -17,15 +17,6 @@ def col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def property_value(blob: str, name: str, data_type: str, lenient: bool = False) -> Column:
-    """One typed value out of a VARIANT object; a missing or JSON-null value is NULL.
-
-    The strict form raises on a value that does not cast, the lenient form gives NULL.
-    """
-    getter = F.try_variant_get if lenient else F.variant_get
-    return getter(F.col(blob), f"$.{name}", data_type)
-
-
 def safe_ratio(part: Column | str, whole: Column | str) -> Column:
     """DOUBLE quotient, NULL when the divisor is zero (ANSI division would raise)."""
     return col(part).cast("double") / F.nullif(col(whole).cast("double"), F.lit(0.0))

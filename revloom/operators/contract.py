@@ -56,7 +56,8 @@ def contract_from_blobs(raw: DataFrame, object_type: str, blob: str = "propertie
     seen = raw.select(blob).lateralJoin(
         raw.sparkSession.tvf.variant_explode(F.col(blob).outer())
     )
-    kind = F.regexp_extract(F.schema_of_variant("value"), "^([A-Z]+)", 1)
+    # The bare type name: without the parameters of DECIMAL(..), ARRAY<..>, OBJECT<..>.
+    kind = F.substring_index(F.substring_index(F.schema_of_variant("value"), "(", 1), "<", 1)
     kind = (
         F.when(kind == "VOID", F.lit(None))
         .when(kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "number")

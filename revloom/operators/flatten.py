@@ -6,9 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from revloom.functions import property_value
 
 
 @dataclass(frozen=True)
@@ -24,6 +21,11 @@ class Field:
     data_type: str = "string"
     then: str | None = None
 
+    def sql(self, blob: str, lenient: bool) -> str:
+        getter = "try_variant_get" if lenient else "variant_get"
+        value = f"{getter}({blob}, '$.{self.source}', '{self.data_type}')"
+        return f"cast({value} as {self.then})" if self.then else value
+
 
 def flatten(
     raw: DataFrame,
@@ -31,11 +33,13 @@ def flatten(
     fields: Sequence[Field],
     blob: str = "properties",
     lenient: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``key`` is (column in raw, output name); ``_loaded_at`` is carried along."""
+    """``key`` is (column in raw, output name); ``_loaded_at`` and ``keep`` are carried along.
+
+    A missing or JSON-null property is NULL.  A value that does not cast raises, or is
+    NULL when ``lenient``.
+    """
     source_key, key_name = key
-    columns = []
-    for field in fields:
-        value = property_value(blob, field.source, field.data_type, lenient)
-        columns.append((value.cast(field.then) if field.then else value).alias(field.name))
-    return raw.select(F.col(source_key).cast("string").alias(key_name), *columns, "_loaded_at")
+    values = [f"{field.sql(blob, lenient)} as `{field.name}`" for field in fields]
+    return raw.selectExpr(f"cast(`{source_key}` as string) as `{key_name}`", *values, "_loaded_at", *keep)

@@ -1,43 +1,91 @@
-"""Association lists to link tables."""
+"""Association lists to link tables.
+
+Two families, same results:
+
+* in the row: all associations of an id sit in its one RAW row, so pairs and the best
+  target can be settled inside that row and nothing is shuffled.  This needs the id to be
+  unique, which a merged RAW table guarantees and the ``unique`` checks assert;
+* across rows: ordinary aggregates that make no such assumption, for append-only history
+  or for link tables that arrive on their own.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revloom.operators.keep_first import keep_first
+from revloom.operators.keep_first import ascending, keep_first
 
 RESULTS = "array<struct<id:string,type:string>>"
 
 
+def link_results(raw: DataFrame, kind: str) -> Column:
+    """``associations.<kind>.results`` of a VARIANT, or of a struct of the same shape."""
+    if isinstance(raw.schema["associations"].dataType, T.VariantType):
+        return F.variant_get("associations", f"$.{kind}.results", RESULTS)
+    return F.col(f"associations.{kind}.results")
+
+
+def _link_rows(rows: DataFrame, from_id: str, to_id: str, key: str) -> DataFrame:
+    """Explode ``_results``; a row without the blob, the list or any element gives no row."""
+    return rows.select(
+        F.col(key).cast("string").alias(from_id), F.explode("_results").alias("_link"), "_loaded_at"
+    ).select(
+        from_id,
+        F.col("_link.id").cast("string").alias(to_id),
+        F.col("_link.type").cast("string").alias("link_type"),
+        "_loaded_at",
+    )
+
+
 def explode_links(
     raw: DataFrame, kind: str, from_id: str, to_id: str, key: str = "hs_object_id"
 ) -> DataFrame:
-    """One row per element of ``associations.<kind>.results``.
+    """One row per element of the association list."""
+    present = raw.where(F.col("associations").isNotNull())
+    return _link_rows(present.withColumn("_results", link_results(raw, kind)), from_id, to_id, key)
 
-    ``associations`` is a VARIANT, or a struct of the same shape.  A row without the blob,
-    without the list, or with an empty list gives no row.
-    """
-    if isinstance(raw.schema["associations"].dataType, T.VariantType):
-        results = F.variant_get("associations", f"$.{kind}.results", RESULTS)
-    else:
-        results = F.col(f"associations.{kind}.results")
-    return (
-        raw.where(F.col("associations").isNotNull())
-        .select(F.col(key).cast("string").alias(from_id), F.explode(results).alias("link"), "_loaded_at")
-        .select(
-            from_id,
-            F.col("link.id").cast("string").alias(to_id),
-            F.col("link.type").cast("string").alias("link_type"),
-            "_loaded_at",
-        )
+
+def _rank(link_type: Column, label: str) -> Column:
+    """0 for the labeled association, 1 for any other (including a missing type)."""
+    return F.when(link_type == label, 0).otherwise(1)
+
+
+# --- in the row ------------------------------------------------------------------------
+
+
+def pairs_in_row(
+    raw: DataFrame, kind: str, from_id: str, to_id: str, label: str, key: str = "hs_object_id"
+) -> DataFrame:
+    """One row per (from, to) pair, the labeled one when there is one; no shuffle."""
+    ranked = F.transform(
+        link_results(raw, kind),
+        lambda link: F.struct(
+            link["id"].alias("id"), _rank(link["type"], label).alias("rank"), link["type"].alias("type")
+        ),
+    )
+    listed = raw.where(F.col("associations").isNotNull()).withColumn("_sorted", F.array_sort(ranked))
+    first_of_id = F.filter(
+        "_sorted",
+        lambda link, i: (i == 0) | ~link["id"].eqNullSafe(F.get("_sorted", i - 1)["id"]),
     )
+    return _link_rows(listed.withColumn("_results", first_of_id), from_id, to_id, key)
 
 
-def _label_first(label: str):
-    """0 for the labeled association, 1 for any other (including a missing type)."""
-    return F.when(F.col("link_type") == label, 0).otherwise(1)
+def best_in_row(raw: DataFrame, kind: str, label: str, labeled_only: bool = False) -> Column:
+    """The one target of a row: labeled first, then the smallest id; NULL without any."""
+    results = link_results(raw, kind)
+    if labeled_only:
+        results = F.filter(results, lambda link: link["type"] == label)
+    ranked = F.transform(
+        results,
+        lambda link: F.struct(_rank(link["type"], label), link["id"].isNull(), link["id"].alias("id")),
+    )
+    return F.array_min(ranked)["id"]
+
+
+# --- across rows -----------------------------------------------------------------------
 
 
 def one_per_pair(links: DataFrame, from_id: str, to_id: str, label: str) -> DataFrame:
@@ -45,7 +93,7 @@ def one_per_pair(links: DataFrame, from_id: str, to_id: str, label: str) -> Data
 
     Ties among equal labels are settled by type and load time, so reruns agree.
     """
-    order = [_label_first(label), F.col("link_type"), F.col("_loaded_at")]
+    order = [_rank(F.col("link_type"), label), *ascending("link_type", "_loaded_at")]
     return keep_first(links, [from_id, to_id], order)
 
 
@@ -65,7 +113,6 @@ def best_target(links: DataFrame, from_id: str, to_id: str, label: str) -> DataF
     The pair step in between changes nothing here (the best row of the best pair is the
     best row), so exploded links can be passed as they are, which saves a shuffle.
     """
-    order = [_label_first(label), F.col(to_id), F.col("_loaded_at")]
-    return keep_first(links.select(from_id, to_id, "link_type", "_loaded_at"), [from_id], order).drop(
-        "link_type"
-    )
+    ranked = links.select(from_id, to_id, "_loaded_at", _rank(F.col("link_type"), label).alias("_rank"))
+    order = [F.col("_rank"), *ascending(to_id, "_loaded_at")]
+    return keep_first(ranked, [from_id], order).drop("_rank")

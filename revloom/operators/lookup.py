@@ -12,6 +12,7 @@ HOT_KEYS = 256
 HOT_TRACKED = 8192
 # Hot and NULL-key rows are spread over this many shuffle keys.
 SPREAD = 1 << 20
+_NESTED = ("variant", "map", "struct", "array")
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -65,7 +66,9 @@ def lookup_join(
 
 def _split_lookup(fact: DataFrame, dim: DataFrame, key: str, how: str) -> DataFrame:
     payload = [c for c in dim.columns if c != key]
-    hashable = [f.name for f in fact.schema.fields if f.dataType.typeName() not in ("variant", "map")]
+    # A deterministic spread, so that a task run again sends each row the same way.  Facts
+    # carry a unique id, so no large group of rows agrees in all plain columns.
+    plain = [f.name for f in fact.schema.fields if f.dataType.typeName() not in _NESTED]
 
     hot = hot_keys(fact, key)
     few = dim.join(F.broadcast(hot), key, "left_semi")
@@ -77,12 +80,13 @@ def _split_lookup(fact: DataFrame, dim: DataFrame, key: str, how: str) -> DataFr
     apart = F.col("_hot").isNotNull() | F.col(key).isNull()
     # +1 keeps the spread of these rows away from 0, the spread of every row of dim.
     tagged = tagged.withColumn(
-        "_spread", F.when(apart, F.pmod(F.xxhash64(*hashable), F.lit(SPREAD)) + 1).otherwise(0)
+        "_spread", F.when(apart, F.pmod(F.xxhash64(*plain), F.lit(SPREAD)) + 1).otherwise(0)
     )
     rest = dim.select(
         key,
-        # Always 0; spelled so that it is not folded away into a plain filter on fact.
-        F.when(F.col(key).isNull(), F.lit(1).cast("long")).otherwise(0).alias("_spread"),
+        # Always 0, but not a constant to the optimizer, which would fold it into a filter
+        # on fact and leave the spread out of the shuffle key.
+        F.pmod(F.xxhash64(key), F.lit(1)).alias("_spread"),
         F.struct(F.lit(True).alias("_found"), *payload).alias("_rest"),
     )
     joined = tagged.join(rest, [key, "_spread"], "left")

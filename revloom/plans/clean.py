@@ -32,17 +32,13 @@ def int_companies(stg_companies: DataFrame) -> DataFrame:
     )
 
 
-def int_contacts(stg_contacts: DataFrame, contact_links: DataFrame) -> DataFrame:
+def int_contacts(stg_contacts: DataFrame, contact_links: DataFrame | None = None) -> DataFrame:
     """Normalized contacts, one per (first, last) name: the earliest created.
 
-    ``contact_links`` may be exploded or de-duplicated.  A contact with several labeled
-    companies gets the smallest company id; reducing links first keeps the join 1:1.
+    The company comes from ``contact_links`` (exploded or de-duplicated), or without them
+    from a ``company_id`` column of ``stg_contacts``.  A contact with several labeled
+    companies gets the smallest company id.
     """
-    primary = (
-        contact_links.where(F.col("link_type") == CONTACT_COMPANY_LABEL)
-        .groupBy("contact_id")
-        .agg(F.min("company_id").alias("company_id"))
-    )
     tidy = stg_contacts.withColumns(
         {
             "first_name": F.trim("first_name"),
@@ -50,10 +46,17 @@ def int_contacts(stg_contacts: DataFrame, contact_links: DataFrame) -> DataFrame
             "email": F.lower(F.trim("email")),
         }
     ).where(F.col("email").isNotNull() & ~F.col("email").isin(*TEST_EMAILS, *SAMPLE_EMAILS))
-    # Reduce before the join: the link does not take part in the choice, and one company
-    # per contact cannot change the number of rows.
+    # Reduce before any join: the company does not take part in the choice, and one
+    # company per contact cannot change the number of rows.
     kept = keep_first(tidy, ["first_name", "last_name"], ascending("created_at_hubspot", "contact_id"))
-    return kept.join(primary, "contact_id", "left").select(
+    if contact_links is not None:
+        primary = (
+            contact_links.where(F.col("link_type") == CONTACT_COMPANY_LABEL)
+            .groupBy("contact_id")
+            .agg(F.min("company_id").alias("company_id"))
+        )
+        kept = kept.drop("company_id").join(primary, "contact_id", "left")
+    return kept.select(
         "contact_id",
         "company_id",
         "first_name",
@@ -69,7 +72,10 @@ def int_contacts(stg_contacts: DataFrame, contact_links: DataFrame) -> DataFrame
 
 
 def int_deals(stg_deals: DataFrame, as_of: Column) -> DataFrame:
-    """Deals with an amount of zero or more; open deals past their close date are flagged."""
+    """Deals with an amount of zero or more; open deals past their close date are flagged.
+
+    A ``company_id`` column, when there is one, is carried along at the end.
+    """
     stale = F.when(~is_closed_stage("stage_id") & (F.col("close_date") < as_of), True).otherwise(False)
     return stg_deals.where(F.col("amount_usd") >= 0).select(
         "deal_id",
@@ -83,6 +89,7 @@ def int_deals(stg_deals: DataFrame, as_of: Column) -> DataFrame:
         "created_at_hubspot",
         "modified_at_hubspot",
         "_loaded_at",
+        *[c for c in ("company_id",) if c in stg_deals.columns],
     )
 
 
@@ -104,12 +111,19 @@ def int_deal_company_primary(deal_links: DataFrame) -> DataFrame:
     return best_target(deal_links, "deal_id", "company_id", DEAL_COMPANY_LABEL)
 
 
-def int_contact_company_primary(contact_links: DataFrame) -> DataFrame:
-    return labeled_pairs(contact_links, "contact_id", "company_id", CONTACT_COMPANY_LABEL)
+def int_contact_company_primary(contact_links: DataFrame, paired: bool = False) -> DataFrame:
+    """Labeled links; ``paired`` links already have one row per pair."""
+    return _primary(contact_links, "contact_id", "company_id", CONTACT_COMPANY_LABEL, paired)
+
+
+def int_line_item_deal_primary(line_item_links: DataFrame, paired: bool = False) -> DataFrame:
+    return _primary(line_item_links, "line_item_id", "deal_id", LINE_ITEM_DEAL_LABEL, paired)
 
 
-def int_line_item_deal_primary(line_item_links: DataFrame) -> DataFrame:
-    return labeled_pairs(line_item_links, "line_item_id", "deal_id", LINE_ITEM_DEAL_LABEL)
+def _primary(links: DataFrame, from_id: str, to_id: str, label: str, paired: bool) -> DataFrame:
+    if paired:
+        return links.where(F.col("link_type") == label).drop("link_type")
+    return labeled_pairs(links, from_id, to_id, label)
 
 
 def int_subscriptions(stg_subscriptions: DataFrame) -> DataFrame:

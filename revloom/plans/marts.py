@@ -49,8 +49,14 @@ def deal_flags(deals: DataFrame) -> DataFrame:
     )
 
 
-def deals_with_company(int_deals: DataFrame, deal_company: DataFrame) -> DataFrame:
-    """Flagged deals and the company of their link.  Both sides are unique on the deal."""
+def deals_with_company(int_deals: DataFrame, deal_company: DataFrame | None = None) -> DataFrame:
+    """Flagged deals with the company of their link.
+
+    Without ``deal_company`` the deals bring their ``company_id`` themselves.  Otherwise
+    both sides are unique on the deal.
+    """
+    if deal_company is None:
+        return deal_flags(int_deals)
     return deal_flags(int_deals.join(deal_company.select("deal_id", "company_id"), "deal_id", "left"))
 
 
@@ -232,18 +238,13 @@ def deal_rollup(deals: DataFrame) -> DataFrame:
     """Per company: deal counts, open value and last activity, in one pass."""
     open_value = F.when(F.col("is_open"), F.col("amount_usd")).otherwise(_NO_MONEY)
     return deals.groupBy("company_id").agg(
-        *_deal_aggregates(), F.sum(open_value).cast(MONEY_SUM).alias("open_pipeline_usd")
-    )
-
-
-def _deal_aggregates() -> list[Column]:
-    return [
         F.count(F.lit(1)).alias("deal_count_total"),
         F.count_if("is_won").alias("deal_count_won"),
         F.count_if("is_lost").alias("deal_count_lost"),
         F.count_if("is_open").alias("deal_count_open"),
         F.max("created_date").alias("last_activity_date"),
-    ]
+        F.sum(open_value).cast(MONEY_SUM).alias("open_pipeline_usd"),
+    )
 
 
 def contact_rollup(contact_company: DataFrame) -> DataFrame:
@@ -286,41 +287,20 @@ def dim_accounts(base: DataFrame) -> DataFrame:
     )
 
 
-def deal_grain_rollup(deals: DataFrame, int_subscriptions: DataFrame) -> DataFrame:
-    """Deal and revenue rollup per company in one pass over deals.
-
-    Subscriptions are first reduced to their deal, which leaves one row per deal to join
-    on the partitioning the deals already have; the company aggregate then does the work
-    of :func:`deal_rollup` and :func:`revenue_rollup` together.
-    """
-    live = F.when(~F.col("is_churned"), F.col("amount_usd")).otherwise(_NO_MONEY)
-    per_deal = int_subscriptions.groupBy("deal_id").agg(
-        F.sum(live).cast(MONEY_SUM).alias("_live"), F.bool_or("is_churned").alias("_churn")
-    )
-    open_value = F.when(F.col("is_open"), F.col("amount_usd")).otherwise(_NO_MONEY)
-    return (
-        deals.join(per_deal, "deal_id", "left")
-        .groupBy("company_id")
-        .agg(
-            *_deal_aggregates(),
-            F.sum(open_value).cast(MONEY_SUM).alias("open_pipeline_usd"),
-            F.sum(F.when(F.col("is_won"), F.col("_live"))).cast(MONEY_SUM).alias("active_arr_usd"),
-            F.bool_or(F.when(F.col("is_won"), F.col("_churn"))).alias("has_churn"),
-        )
-    )
-
-
-def fct_account_health(base: DataFrame, funnel: DataFrame, as_of: Column) -> DataFrame:
+def fct_account_health(
+    base: DataFrame, revenue: DataFrame, funnel: DataFrame, as_of: Column
+) -> DataFrame:
     """One row per company with its health score.
 
-    ``base`` has the attributes and counts of an account and the columns
-    ``open_pipeline_usd``, ``last_activity_date``, ``active_arr_usd`` and ``has_churn``
-    (see :func:`health_base`); ``funnel`` is the funnel rollup.
+    ``base`` has the attributes and counts of an account, ``open_pipeline_usd`` and
+    ``last_activity_date``: see :func:`accounts_base`, or :func:`stored_accounts_base`
+    for stored marts.  ``revenue`` and ``funnel`` are the rollups of those names.
     """
     ratio = F.coalesce(
         safe_ratio("deal_count_won", F.col("deal_count_won") + F.col("deal_count_lost")), F.lit(0.0)
     )
-    filled = base.join(funnel, "company_id", "left").withColumns(
+    joined = base.join(revenue, "company_id", "left").join(funnel, "company_id", "left")
+    filled = joined.withColumns(
         {
             "_ratio": ratio,
             "arr_usd": F.coalesce("active_arr_usd", F.lit(0)).cast(MONEY_SUM),
@@ -352,7 +332,7 @@ def fct_account_health(base: DataFrame, funnel: DataFrame, as_of: Column) -> Dat
     )
 
 
-def health_base(accounts: DataFrame, revenue: DataFrame, deals: DataFrame) -> DataFrame:
-    """The base of the health model out of stored marts dim_accounts, fct_revenue, fct_deals."""
+def stored_accounts_base(accounts: DataFrame, deals: DataFrame) -> DataFrame:
+    """The base of the health model out of the stored marts dim_accounts and fct_deals."""
     activity = deal_rollup(deals).select("company_id", "open_pipeline_usd", "last_activity_date")
-    return accounts.join(revenue_rollup(revenue), "company_id", "left").join(activity, "company_id", "left")
+    return accounts.join(activity, "company_id", "left")

@@ -16,7 +16,12 @@ from revloom.sources.tables import write_clustered
 
 @dataclass(frozen=True)
 class Staged:
-    """Typed staging tables.  Link tables may be exploded or already one row per pair."""
+    """Typed staging tables.
+
+    With ``keyed`` every id has one row in its RAW table.  Then ``deals`` and ``contacts``
+    carry the ``company_id`` found in their own row, and the link tables hold one row per
+    pair.  Without it, links are joined and de-duplicated across rows.
+    """
 
     companies: DataFrame
     contacts: DataFrame
@@ -28,20 +33,26 @@ class Staged:
     contact_company_links: DataFrame
     deal_company_links: DataFrame
     line_item_deal_links: DataFrame
+    keyed: bool = False
 
     @classmethod
-    def from_raw(cls, raw: Callable[[str], DataFrame], lenient: bool = False) -> "Staged":
+    def from_raw(
+        cls, raw: Callable[[str], DataFrame], lenient: bool = False, keyed: bool = True
+    ) -> "Staged":
         """From RAW tables, given as ``raw(entity)``.
 
-        Links stay exploded: every consumer reduces them on its own key anyway, and that
-        makes the pair step redundant.
+        A RAW table written by an upsert is keyed.
         """
-        entities = {name: staging.stage(name, raw(name), lenient) for name in staging.STAGING}
-        links = {
-            f"{name}_links": staging.exploded_links(name, raw(spec.entity))
-            for name, spec in staging.LINKS.items()
-        }
-        return cls(**entities, **links)
+        tables = {name: raw(name) for name in staging.STAGING}
+        entities = {name: staging.stage(name, tables[name], lenient) for name in tables}
+        if keyed:
+            for entity, link in (("deals", "deal_company"), ("contacts", "contact_company")):
+                entities[entity] = staging.stage_owned(entity, link, tables[entity], lenient)
+        links = {}
+        for name, spec in staging.LINKS.items():
+            build = staging.links if keyed else staging.exploded_links
+            links[f"{name}_links"] = build(name, tables[spec.entity])
+        return cls(**entities, **links, keyed=keyed)
 
 
 class RevenueModel:
@@ -61,10 +72,15 @@ class RevenueModel:
 
     @cached_property
     def int_contacts(self) -> DataFrame:
-        return clean.int_contacts(self.staged.contacts, self.staged.contact_company_links)
+        links = None if self.staged.keyed else self.staged.contact_company_links
+        return clean.int_contacts(self.staged.contacts, links)
 
     @cached_property
     def int_deals(self) -> DataFrame:
+        return self._owned_deals.drop("company_id")
+
+    @cached_property
+    def _owned_deals(self) -> DataFrame:
         return clean.int_deals(self.staged.deals, self.as_of)
 
     @cached_property
@@ -73,15 +89,18 @@ class RevenueModel:
 
     @cached_property
     def int_deal_company_primary(self) -> DataFrame:
+        if self.staged.keyed:
+            owned = self.staged.deals.where(F.col("company_id").isNotNull())
+            return owned.select("deal_id", "company_id", "_loaded_at")
         return clean.int_deal_company_primary(self.staged.deal_company_links)
 
     @cached_property
     def int_contact_company_primary(self) -> DataFrame:
-        return clean.int_contact_company_primary(self.staged.contact_company_links)
+        return clean.int_contact_company_primary(self.staged.contact_company_links, self.staged.keyed)
 
     @cached_property
     def int_line_item_deal_primary(self) -> DataFrame:
-        return clean.int_line_item_deal_primary(self.staged.line_item_deal_links)
+        return clean.int_line_item_deal_primary(self.staged.line_item_deal_links, self.staged.keyed)
 
     @cached_property
     def int_subscriptions(self) -> DataFrame:
@@ -98,15 +117,20 @@ class RevenueModel:
     @cached_property
     def deals(self) -> DataFrame:
         """Flagged deals with their company id, before the name is looked up."""
-        return marts.deals_with_company(self.int_deals, self.int_deal_company_primary)
+        if self.staged.keyed:
+            return marts.deals_with_company(self._owned_deals)
+        return marts.deals_with_company(self._owned_deals, self.int_deal_company_primary)
 
     @cached_property
-    def dim_accounts(self) -> DataFrame:
-        rolled = marts.deal_rollup(self.deals)
-        return marts.dim_accounts(
-            marts.accounts_base(self.int_companies, rolled, self.int_contact_company_primary)
+    def _accounts_base(self) -> DataFrame:
+        return marts.accounts_base(
+            self.int_companies, marts.deal_rollup(self.deals), self.int_contact_company_primary
         )
 
+    @cached_property
+    def dim_accounts(self) -> DataFrame:
+        return marts.dim_accounts(self._accounts_base)
+
     @cached_property
     def dim_contacts(self) -> DataFrame:
         return marts.dim_contacts(self.int_contacts, self.int_companies)
@@ -129,13 +153,13 @@ class RevenueModel:
 
     @cached_property
     def fct_account_health(self) -> DataFrame:
-        rolled = marts.deal_grain_rollup(self.deals, self.int_subscriptions)
-        base = marts.accounts_base(self.int_companies, rolled, self.int_contact_company_primary)
-        # The rollup needs the company of a contact but not its name.
-        events = marts.fct_funnel(
-            self.staged.lifecycle, self.int_contacts.withColumn("company_name", F.lit(None).cast("string"))
+        # The rollups need the companies of deals and contacts but not their names.
+        no_name = F.lit(None).cast("string").alias("company_name")
+        revenue = marts.fct_revenue(self.int_subscriptions, self.deals.select("*", no_name))
+        events = marts.fct_funnel(self.staged.lifecycle, self.int_contacts.select("*", no_name))
+        return marts.fct_account_health(
+            self._accounts_base, marts.revenue_rollup(revenue), marts.funnel_rollup(events), self.as_of
         )
-        return marts.fct_account_health(base, marts.funnel_rollup(events), self.as_of)
 
 
 # Sort columns of the stored marts: the date they are filtered by, then the key, which
@@ -194,9 +218,13 @@ def build_marts(
             "fct_funnel": lambda: marts.fct_funnel(staged.lifecycle, stored["dim_contacts"]),
         }
     )
-    base = marts.health_base(stored["dim_accounts"], stored["fct_revenue"], stored["fct_deals"])
     store(
         "fct_account_health",
-        marts.fct_account_health(base, marts.funnel_rollup(stored["fct_funnel"]), as_of),
+        marts.fct_account_health(
+            marts.stored_accounts_base(stored["dim_accounts"], stored["fct_deals"]),
+            marts.revenue_rollup(stored["fct_revenue"]),
+            marts.funnel_rollup(stored["fct_funnel"]),
+            as_of,
+        ),
     )
     return stored

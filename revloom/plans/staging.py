@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from revloom.functions import MONEY
-from revloom.operators import Field, explode_links, flatten, one_per_pair
+from revloom.operators import Field, best_in_row, explode_links, flatten, one_per_pair, pairs_in_row
 from revloom.vocab import CONTACT_COMPANY_LABEL, DEAL_COMPANY_LABEL, LINE_ITEM_DEAL_LABEL
 
 _WHOLE = {"data_type": "decimal(38,0)", "then": "bigint"}
@@ -112,6 +112,13 @@ def stage(entity: str, raw: DataFrame, lenient: bool = False) -> DataFrame:
     return flatten(raw, spec.key, spec.fields, lenient=lenient)
 
 
+def stage_owned(entity: str, link: str, raw: DataFrame, lenient: bool = False) -> DataFrame:
+    """:func:`stage` plus the ``company_id`` found in the same (keyed) row."""
+    owned = raw.withColumn("company_id", owning_company(link, raw))
+    spec = STAGING[entity]
+    return flatten(owned, spec.key, spec.fields, lenient=lenient, keep=("company_id",))
+
+
 @dataclass(frozen=True)
 class LinkSpec:
     entity: str
@@ -131,10 +138,32 @@ LINKS = {
 def exploded_links(name: str, raw: DataFrame) -> DataFrame:
     """Every association element, before the pair step."""
     spec = LINKS[name]
-    return explode_links(raw, spec.kind, spec.from_id, spec.to_id)
+    return explode_links(raw, spec.kind, spec.from_id, spec.to_id, _key_in(raw, spec))
 
 
-def links(name: str, raw: DataFrame) -> DataFrame:
-    """One row per pair, labeled association preferred."""
+def links(name: str, raw: DataFrame, keyed: bool = True) -> DataFrame:
+    """One row per pair, labeled association preferred.
+
+    ``keyed`` states that an id has one row in ``raw``, as after a merge; then no shuffle
+    is needed.  Pass False for history that may repeat an id.
+    """
     spec = LINKS[name]
+    if keyed:
+        key = _key_in(raw, spec)
+        return pairs_in_row(raw, spec.kind, spec.from_id, spec.to_id, spec.label, key)
     return one_per_pair(exploded_links(name, raw), spec.from_id, spec.to_id, spec.label)
+
+
+def _key_in(raw: DataFrame, spec: LinkSpec) -> str:
+    """RAW key, or the id itself when the table is already typed."""
+    raw_key = STAGING[spec.entity].key[0]
+    return raw_key if raw_key in raw.columns else spec.from_id
+
+
+def owning_company(name: str, raw: DataFrame) -> Column:
+    """The company of a deal or contact, read off its own row (``raw`` must be keyed).
+
+    A deal takes its best association of any label, a contact only a labeled one.
+    """
+    spec = LINKS[name]
+    return best_in_row(raw, spec.kind, spec.label, labeled_only=name == "contact_company")
