@@ -109,7 +109,7 @@ def _metric_queries() -> dict[str, Query]:
     }
 
     def cuts(model: RevenueModel, name: str) -> DataFrame:
-        return metrics.compute_cuts(name, getattr(model, metrics.CATALOG[name].mart))
+        return metrics.compute_cuts(name, model.unnamed(metrics.CATALOG[name].mart))
 
     found = {key: _model(lambda m, n=name: cuts(m, n)) for key, name in keys.items()}
     found["metric_account_health_buckets"] = _model(
@@ -118,24 +118,24 @@ def _metric_queries() -> dict[str, Query]:
         .agg(F.count(F.lit(1)).alias("accounts"))
     )
     found["cohort_conversion_within"] = _model(
-        lambda m: metrics.cohort_conversion_within(m.fct_funnel, (1, 7, 90))
+        lambda m: metrics.cohort_conversion_within(m.funnel, (1, 7, 90))
     )
     return found
 
 
 def _report_queries() -> dict[str, Query]:
     return {
-        "kpi_revenue": _model(lambda m: reports.kpi_revenue(m.fct_revenue)),
+        "kpi_revenue": _model(lambda m: reports.kpi_revenue(m.revenue)),
         "kpi_pipeline": _model(lambda m: reports.kpi_pipeline(m.fct_pipeline)),
         "kpi_win_rate": _model(lambda m: reports.kpi_win_rate(m.deals)),
-        "report_mrr_by_month": _model(lambda m: reports.mrr_by_month(m.fct_revenue)),
-        "report_acv_histogram": _model(lambda m: reports.acv_histogram(m.fct_revenue)),
-        "report_tcv_by_type": _model(lambda m: reports.tcv_by_type(m.fct_revenue)),
+        "report_mrr_by_month": _model(lambda m: reports.mrr_by_month(m.revenue)),
+        "report_acv_histogram": _model(lambda m: reports.acv_histogram(m.revenue)),
+        "report_tcv_by_type": _model(lambda m: reports.tcv_by_type(m.revenue)),
         "report_pipeline_by_stage": _model(lambda m: reports.pipeline_by_stage(m.fct_pipeline)),
         "report_pipeline_long": _model(lambda m: reports.pipeline_long(m.fct_pipeline)),
-        "report_funnel_counts": _model(lambda m: reports.funnel_counts(m.fct_funnel)),
-        "report_funnel_steps": _model(lambda m: reports.funnel_steps(m.fct_funnel)),
-        "report_median_handoff": _model(lambda m: reports.median_handoff(m.fct_funnel)),
+        "report_funnel_counts": _model(lambda m: reports.funnel_counts(m.funnel)),
+        "report_funnel_steps": _model(lambda m: reports.funnel_steps(m.funnel)),
+        "report_median_handoff": _model(lambda m: reports.median_handoff(m.funnel)),
         "report_health_list": _model(lambda m: reports.health_list(m.fct_account_health)),
         "report_health_histogram": _model(lambda m: reports.health_histogram(m.fct_account_health)),
         "top_accounts_by_arr": _model(lambda m: reports.top_accounts_by_arr(m.fct_account_health)),
@@ -157,7 +157,7 @@ def _tables(fixture: Fixture) -> Callable[[str], DataFrame]:
             return getattr(model.staged, rest)
         if layer == "links":
             return getattr(model.staged, f"{rest}_links")
-        return getattr(model, name)
+        return model.unnamed(name)
 
     return table
 
@@ -213,11 +213,11 @@ def _check_queries() -> dict[str, Query]:
         ),
         "dq_revenue_only_won": _model(
             lambda m: quality.expect_none(
-                checks.revenue_of_unwon_deals(m.fct_revenue, m.deals), "revenue_only_won_deals"
+                checks.revenue_of_unwon_deals(m.revenue, m.deals), "revenue_only_won_deals"
             )
         ),
         "dq_mrr_reconciliation": _model(
-            lambda m: quality.expect_none(checks.mrr_gaps(m.fct_revenue), "mrr_reconciliation")
+            lambda m: quality.expect_none(checks.mrr_gaps(m.revenue), "mrr_reconciliation")
         ),
         "dq_invariants": _fixture(lambda f: checks.invariant_tests(_tables(f))),
         "dq_freshness": _fixture(
@@ -235,13 +235,11 @@ def _check_queries() -> dict[str, Query]:
 # --- RAW, upserts, export ----------------------------------------------------------------
 
 
-def _again(raw: DataFrame, name_property: str) -> DataFrame:
-    """The records as a later extract delivers them: renamed, loaded ten days later."""
-    names = F.concat(F.variant_get("properties", f"$.{name_property}", "string"), F.lit(" (again)"))
-    amounts = F.variant_get("properties", "$.amount", "string")
-    return raw.withColumns(
+def _again(deals: DataFrame) -> DataFrame:
+    """The deals as a later extract delivers them: renamed, loaded ten days later."""
+    return deals.withColumns(
         {
-            "properties": F.to_variant_object(F.struct(names.alias(name_property), amounts.alias("amount"))),
+            "deal_name": F.concat("deal_name", F.lit(" (again)")),
             "_loaded_at": F.col("_loaded_at") + F.expr("interval 10 days"),
         }
     )
@@ -252,18 +250,19 @@ _DEAL_COLUMNS = ("deal_id", "deal_name", "amount_usd", "_loaded_at")
 
 def _upsert_entity(fixture: Fixture) -> DataFrame:
     """Deals closed by 2000 are in the table; a later extract brings those from mid-1999 on."""
-    raw = fixture.raw("deals")
-    close = F.variant_get("properties", "$.closedate", "timestamp")
-    target = raw.where(close < F.lit("2000-01-01").cast("timestamp"))
-    batch = _again(raw.where(close >= F.lit("1999-07-01").cast("timestamp")), "dealname")
-    return staging.stage("deals", upsert(target, batch, ["hs_object_id"])).select(*_DEAL_COLUMNS)
+    deals = fixture.entity("deals")
+    target = raw_rows("deals", deals.where(F.col("close_date") < F.lit("2000-01-01").cast("timestamp")))
+    later = deals.where(F.col("close_date") >= F.lit("1999-07-01").cast("timestamp"))
+    merged = upsert(target, raw_rows("deals", _again(later)), ["hs_object_id"])
+    return staging.stage("deals", merged).select(*_DEAL_COLUMNS)
 
 
 def _upsert_incremental(fixture: Fixture) -> DataFrame:
     """The table was loaded up to 1999; a full extract arrives, only later loads are merged."""
-    raw = fixture.raw("deals")
-    target = raw.where(F.col("_loaded_at") < F.lit("2000-01-01").cast("timestamp"))
-    merged = incremental_upsert(target, _again(raw, "dealname"), ["hs_object_id"])
+    deals = fixture.entity("deals")
+    loaded = deals.where(F.col("_loaded_at") < F.lit("2000-01-01").cast("timestamp"))
+    target, source = raw_rows("deals", loaded), raw_rows("deals", _again(deals))
+    merged = incremental_upsert(target, source, ["hs_object_id"])
     return staging.stage("deals", merged).select(*_DEAL_COLUMNS)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CONTRACT_SCHEMA = "object_type string, name string, type string, field_type string"
@@ -81,20 +81,24 @@ def diff(baseline: DataFrame, live: DataFrame) -> DataFrame:
 
     Only object types of the baseline are compared.
     """
-    watched = baseline.select("object_type").distinct()
-    was = baseline.select("object_type", "name", F.struct("type", "field_type").alias("was"))
-    now = live.join(watched, "object_type", "left_semi").select(
-        "object_type", "name", F.struct("type", "field_type").alias("now")
+    nothing = F.lit(None).cast("struct<type:string,field_type:string>")
+    pair = F.struct("type", "field_type")
+    sides = baseline.select("object_type", "name", pair.alias("was"), nothing.alias("now")).unionByName(
+        live.select("object_type", "name", nothing.alias("was"), pair.alias("now"))
     )
+    # One row per property, then the properties of an object together: both bounded by the
+    # width of the sources, not by their rows.
+    merged = sides.groupBy("object_type", "name").agg(F.max("was").alias("was"), F.max("now").alias("now"))
+    watched = F.max(F.col("was").isNotNull()).over(Window.partitionBy("object_type"))
     change = (
         F.when(F.col("now").isNull(), "removed")
         .when(F.col("was").isNull(), "added")
         .when(~F.col("was").eqNullSafe(F.col("now")), "changed")
     )
     return (
-        was.join(now, ["object_type", "name"], "full_outer")
+        merged.withColumn("_watched", watched)
         .withColumn("change", change)
-        .where(F.col("change").isNotNull())
+        .where(F.col("_watched") & F.col("change").isNotNull())
         .select(
             "object_type",
             "name",

@@ -22,9 +22,14 @@ class Field:
     then: str | None = None
 
     def sql(self, blob: str, lenient: bool) -> str:
-        getter = "try_variant_get" if lenient else "variant_get"
-        value = f"{getter}({blob}, '$.{self.source}', '{self.data_type}')"
-        return f"cast({value} as {self.then})" if self.then else value
+        """Read as text, then cast: the cast is compiled, while one inside ``variant_get``
+        is set up anew for every value."""
+        getter, cast = ("try_variant_get", "try_cast") if lenient else ("variant_get", "cast")
+        value = f"{getter}({blob}, '$.{self.source}', 'string')"
+        for target in (self.data_type, self.then):
+            if target and target != "string":
+                value = f"{cast}({value} as {target})"
+        return value
 
 
 def flatten(

@@ -22,27 +22,30 @@ def histogram(
     number = F.col(value).cast("double")
     present = df.where(F.col(value).isNotNull()).select(number.alias("_v"))
     if low is None or high is None:
-        lo = present.agg(F.min("_v")).scalar()
-        hi = present.agg(F.max("_v")).scalar()
+        span = present.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar()
     else:
-        lo, hi = F.lit(float(low)), F.lit(float(high))
+        span = F.struct(F.lit(float(low)).alias("lo"), F.lit(float(high)).alias("hi"))
+    lo, hi = F.col("_span.lo"), F.col("_span.hi")
     counted = (
-        present.select(_bin_of(F.col("_v"), lo, hi, bins).alias("bin"))
+        present.withColumn("_span", span)
+        .select(_bin_of(F.col("_v"), lo, hi, bins).alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
     # The scaffold has exactly `bins` rows and the counts at most that many.
-    scaffold = df.sparkSession.range(1, bins + 1, 1, 1).select(F.col("id").cast("int").alias("bin"))
+    scaffold = df.sparkSession.range(1, bins + 1, 1, 1).select(
+        F.col("id").cast("int").alias("bin"), span.alias("_span")
+    )
     width = (hi - lo) / F.lit(float(bins))
     return (
-        scaffold.join(F.broadcast(counted), "bin", "left")
+        scaffold.where(lo.isNotNull())
+        .join(F.broadcast(counted), "bin", "left")
         .select(
             "bin",
             F.round(lo + width * (F.col("bin") - 1), 4).alias("bin_low"),
             F.round(lo + width * F.col("bin"), 4).alias("bin_high"),
             F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
         )
-        .where(F.col("bin_low").isNotNull())
     )
 
 

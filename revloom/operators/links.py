@@ -27,24 +27,27 @@ def link_results(raw: DataFrame, kind: str) -> Column:
     return F.col(f"associations.{kind}.results")
 
 
-def _link_rows(rows: DataFrame, from_id: str, to_id: str, key: str) -> DataFrame:
-    """Explode ``_results``; a row without the blob, the list or any element gives no row."""
-    return rows.select(
-        F.col(key).cast("string").alias(from_id), F.explode("_results").alias("_link"), "_loaded_at"
-    ).select(
-        from_id,
-        F.col("_link.id").cast("string").alias(to_id),
-        F.col("_link.type").cast("string").alias("link_type"),
-        "_loaded_at",
-    )
+def _link_rows(links: DataFrame, to_id: str) -> DataFrame:
+    """Unpack ``_link``."""
+    ends = {to_id: "_link.id", "link_type": "_link.type"}
+    unpacked = [F.col(path).cast("string").alias(name) for name, path in ends.items()]
+    return links.select(links.columns[0], *unpacked, "_loaded_at")
 
 
 def explode_links(
     raw: DataFrame, kind: str, from_id: str, to_id: str, key: str = "hs_object_id"
 ) -> DataFrame:
-    """One row per element of the association list."""
+    """One row per element of the association list.
+
+    A row without the blob, the list or any element gives no row.
+    """
     present = raw.where(F.col("associations").isNotNull())
-    return _link_rows(present.withColumn("_results", link_results(raw, kind)), from_id, to_id, key)
+    exploded = present.select(
+        F.col(key).cast("string").alias(from_id),
+        F.explode(link_results(raw, kind)).alias("_link"),
+        "_loaded_at",
+    )
+    return _link_rows(exploded, to_id)
 
 
 def _rank(link_type: Column, label: str) -> Column:
@@ -65,12 +68,18 @@ def pairs_in_row(
             link["id"].alias("id"), _rank(link["type"], label).alias("rank"), link["type"].alias("type")
         ),
     )
-    listed = raw.where(F.col("associations").isNotNull()).withColumn("_sorted", F.array_sort(ranked))
+    # sort_array compares natively; array_sort would run a comparator lambda.
+    listed = raw.where(F.col("associations").isNotNull()).withColumn("_sorted", F.sort_array(ranked))
     first_of_id = F.filter(
         "_sorted",
         lambda link, i: (i == 0) | ~link["id"].eqNullSafe(F.get("_sorted", i - 1)["id"]),
     )
-    return _link_rows(listed.withColumn("_results", first_of_id), from_id, to_id, key)
+    # The outer form keeps the optimizer from testing the list for emptiness beforehand,
+    # which would compute it twice; rows without a link are dropped here instead.
+    exploded = listed.select(
+        F.col(key).cast("string").alias(from_id), F.explode_outer(first_of_id).alias("_link"), "_loaded_at"
+    ).where(F.col("_link").isNotNull())
+    return _link_rows(exploded, to_id)
 
 
 def best_in_row(raw: DataFrame, kind: str, label: str, labeled_only: bool = False) -> Column:

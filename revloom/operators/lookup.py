@@ -41,6 +41,7 @@ def lookup_join(
     dim: DataFrame,
     key: str,
     how: str = "left",
+    hot_from: DataFrame | None = None,
     limit_bytes: int | None = None,
 ) -> DataFrame:
     """Join each row of ``fact`` to its one row of ``dim`` (``dim`` is unique on ``key``).
@@ -54,29 +55,30 @@ def lookup_join(
       rows of ``fact`` carry a row hash as spread and the rest carry 0, so no reduce task
       receives a whole hot group.
 
-    ``how`` is ``left`` or ``inner``.
+    ``hot_from`` is where to look for hot keys when ``fact`` itself is costly to compute:
+    a table it stems from with the same ``key``.  ``how`` is ``left`` or ``inner``.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner, not {how}")
     limit = broadcast_limit(dim) if limit_bytes is None else limit_bytes
     if estimated_bytes(dim) <= limit:
         return fact.join(dim, key, how)
-    return _split_lookup(fact, dim, key, how)
+    return _split_lookup(fact, dim, key, how, hot_keys(fact if hot_from is None else hot_from, key))
 
 
-def _split_lookup(fact: DataFrame, dim: DataFrame, key: str, how: str) -> DataFrame:
+def _split_lookup(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: DataFrame) -> DataFrame:
     payload = [c for c in dim.columns if c != key]
     # A deterministic spread, so that a task run again sends each row the same way.  Facts
     # carry a unique id, so no large group of rows agrees in all plain columns.
     plain = [f.name for f in fact.schema.fields if f.dataType.typeName() not in _NESTED]
 
-    hot = hot_keys(fact, key)
-    few = dim.join(F.broadcast(hot), key, "left_semi")
-    few = few.select(key, F.struct(F.lit(True).alias("_found"), *payload).alias("_few"))
-    # Hot keys without a row in dim must be spread as well, so keep them, with _few NULL.
-    few = hot.join(few, key, "left").select(key, F.lit(True).alias("_hot"), "_few")
-
-    tagged = fact.join(F.broadcast(few), key, "left")
+    # Both uses of `hot` are the same broadcast, so the sketch runs once.
+    few = dim.join(F.broadcast(hot), key, "left_semi").select(
+        key, F.struct(F.lit(True).alias("_found"), *payload).alias("_few")
+    )
+    marker = hot.withColumn("_hot", F.lit(True))
+    tagged = fact.join(F.broadcast(marker), key, "left").join(F.broadcast(few), key, "left")
+    # Hot keys without a row in dim are marked, too, and must be spread like the others.
     apart = F.col("_hot").isNotNull() | F.col(key).isNull()
     # +1 keeps the spread of these rows away from 0, the spread of every row of dim.
     tagged = tagged.withColumn(

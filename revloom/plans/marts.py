@@ -60,14 +60,20 @@ def deals_with_company(int_deals: DataFrame, deal_company: DataFrame | None = No
     return deal_flags(int_deals.join(deal_company.select("deal_id", "company_id"), "deal_id", "left"))
 
 
+def with_company_name(
+    rows: DataFrame, int_companies: DataFrame, hot_from: DataFrame | None = None
+) -> DataFrame:
+    """Adds ``company_name``; NULL where cleaning removed the company or there is none."""
+    names = int_companies.select("company_id", F.col("name").alias("company_name"))
+    return lookup_join(rows, names, "company_id", hot_from=hot_from)
+
+
 def fct_deals(deals: DataFrame, int_companies: DataFrame) -> DataFrame:
     """One row per deal; ``deals`` comes from :func:`deals_with_company`.
 
-    The company id is the link's, so it may point at a company cleaning removed; its name
-    is NULL then.
+    The company id is the link's, so it may point at a company cleaning removed.
     """
-    names = int_companies.select("company_id", F.col("name").alias("company_name"))
-    return lookup_join(deals, names, "company_id").select(
+    return with_company_name(deals, int_companies).select(
         "deal_id",
         "company_id",
         "company_name",
@@ -135,21 +141,21 @@ def fct_pipeline(deals: DataFrame) -> DataFrame:
 # --- revenue -------------------------------------------------------------------------
 
 
-def fct_revenue(int_subscriptions: DataFrame, deals: DataFrame) -> DataFrame:
-    """One row per subscription of a won deal; ``deals`` is ``fct_deals`` or alike.
+def revenue_facts(int_subscriptions: DataFrame, deals: DataFrame) -> DataFrame:
+    """One row per subscription of a won deal, without the company's name.
 
-    The annual contract value is the amount; the billing interval is payment cadence and
-    does not enter the monthly figure.
+    ``deals`` is ``fct_deals``, or the deals it is made from.  The annual contract value
+    is the amount; the billing interval is payment cadence and does not enter the monthly
+    figure.
     """
-    won = deals.where("is_won").select(
-        "deal_id", "company_id", "company_name", "deal_name", "deal_type", "close_date"
-    )
+    names = [c for c in ("company_name",) if c in deals.columns]
+    won = deals.where("is_won").select("deal_id", "company_id", *names, "deal_name", "deal_type", "close_date")
     mrr = monthly("amount_usd")
     return lookup_join(int_subscriptions, won, "deal_id", "inner").select(
         "subscription_id",
         "deal_id",
         "company_id",
-        "company_name",
+        *names,
         "deal_name",
         "deal_type",
         "close_date",
@@ -168,12 +174,29 @@ def fct_revenue(int_subscriptions: DataFrame, deals: DataFrame) -> DataFrame:
     )
 
 
+def fct_revenue(
+    int_subscriptions: DataFrame, deals: DataFrame, int_companies: DataFrame | None = None
+) -> DataFrame:
+    """:func:`revenue_facts` with the company's name.
+
+    Stored ``fct_deals`` bring the name.  Lazy deals do not: it is looked up last, on the
+    fewer rows of won deals with a subscription.
+    """
+    facts = revenue_facts(int_subscriptions, deals)
+    if int_companies is None:
+        return facts
+    named = with_company_name(facts, int_companies, hot_from=deals)
+    first = ["subscription_id", "deal_id", "company_id", "company_name"]
+    return named.select(*first, *[c for c in facts.columns if c not in first])
+
+
 # --- contacts and funnel -------------------------------------------------------------
 
 
-def dim_contacts(int_contacts: DataFrame, int_companies: DataFrame) -> DataFrame:
-    names = int_companies.select("company_id", F.col("name").alias("company_name"))
-    return lookup_join(int_contacts, names, "company_id").select(
+def dim_contacts(
+    int_contacts: DataFrame, int_companies: DataFrame, hot_from: DataFrame | None = None
+) -> DataFrame:
+    return with_company_name(int_contacts, int_companies, hot_from).select(
         "contact_id",
         "first_name",
         "last_name",
@@ -196,9 +219,10 @@ def fct_funnel(events: DataFrame, contacts: DataFrame) -> DataFrame:
     and the join for their company are the same inner join on ``contact_id``.  Join, lag
     and cohort share one partitioning by contact.  A contact enters a stage at most once
     (the event id is contact and stage), so a window group has as many rows as there are
-    stages.
+    stages.  ``company_name`` is in the result if ``contacts`` has it.
     """
-    context = contacts.select("contact_id", "company_id", "company_name")
+    names = [c for c in ("company_name",) if c in contacts.columns]
+    context = contacts.select("contact_id", "company_id", *names)
     by_stage = Window.partitionBy("contact_id").orderBy(
         F.asc_nulls_last("stage_order"), "entered_at", "event_id"
     )
@@ -218,7 +242,7 @@ def fct_funnel(events: DataFrame, contacts: DataFrame) -> DataFrame:
             "event_id",
             "contact_id",
             "company_id",
-            "company_name",
+            *names,
             "lifecycle_stage",
             "stage_order",
             "previous_stage",

@@ -133,7 +133,9 @@ class RevenueModel:
 
     @cached_property
     def dim_contacts(self) -> DataFrame:
-        return marts.dim_contacts(self.int_contacts, self.int_companies)
+        # Contacts before cleaning name the same companies and need no shuffle to look at.
+        hot_from = self.staged.contacts if self.staged.keyed else None
+        return marts.dim_contacts(self.int_contacts, self.int_companies, hot_from)
 
     @cached_property
     def fct_deals(self) -> DataFrame:
@@ -143,9 +145,19 @@ class RevenueModel:
     def fct_pipeline(self) -> DataFrame:
         return marts.fct_pipeline(marts.deal_flags(self.int_deals))
 
+    @cached_property
+    def revenue(self) -> DataFrame:
+        """``fct_revenue`` without the company's name."""
+        return marts.revenue_facts(self.int_subscriptions, self.deals)
+
     @cached_property
     def fct_revenue(self) -> DataFrame:
-        return marts.fct_revenue(self.int_subscriptions, self.fct_deals)
+        return marts.fct_revenue(self.int_subscriptions, self.deals, self.int_companies)
+
+    @cached_property
+    def funnel(self) -> DataFrame:
+        """``fct_funnel`` without the company's name."""
+        return marts.fct_funnel(self.staged.lifecycle, self.int_contacts)
 
     @cached_property
     def fct_funnel(self) -> DataFrame:
@@ -153,14 +165,24 @@ class RevenueModel:
 
     @cached_property
     def fct_account_health(self) -> DataFrame:
-        # The rollups need the companies of deals and contacts but not their names.
-        no_name = F.lit(None).cast("string").alias("company_name")
-        revenue = marts.fct_revenue(self.int_subscriptions, self.deals.select("*", no_name))
-        events = marts.fct_funnel(self.staged.lifecycle, self.int_contacts.select("*", no_name))
         return marts.fct_account_health(
-            self._accounts_base, marts.revenue_rollup(revenue), marts.funnel_rollup(events), self.as_of
+            self._accounts_base,
+            marts.revenue_rollup(self.revenue),
+            marts.funnel_rollup(self.funnel),
+            self.as_of,
         )
 
+    def unnamed(self, mart: str) -> DataFrame:
+        """A mart for consumers that do not read ``company_name``: the same rows, without
+        the join that adds it."""
+        lean = {
+            "dim_contacts": "int_contacts",
+            "fct_deals": "deals",
+            "fct_revenue": "revenue",
+            "fct_funnel": "funnel",
+        }
+        return getattr(self, lean.get(mart, mart))
+
 
 # Sort columns of the stored marts: the date they are filtered by, then the key, which
 # also splits a date that holds much of the table over several files.
