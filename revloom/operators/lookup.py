@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on the number of keys treated as hot, hence on the rows broadcast for them.
-HOT_KEYS = 256
-# Counters kept by the sketch that finds them; a key above 1/HOT_TRACKED of all rows is
-# always counted.
-HOT_TRACKED = 8192
+# A key is hot when it holds more than 1/HOT_SHARE of the rows.  So there are fewer than
+# HOT_SHARE hot keys, whatever the data.
+HOT_SHARE = 2000
+# Counters of the sketch that finds them; far more than HOT_SHARE, so that its error is a
+# small part of the share.
+HOT_TRACKED = 65536
 # Hot and NULL-key rows are spread over this many shuffle keys.
 SPREAD = 1 << 20
 _NESTED = ("variant", "map", "struct", "array")
@@ -25,15 +26,19 @@ def broadcast_limit(df: DataFrame) -> int:
     return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
-def hot_keys(fact: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
-    """At most ``limit`` rows (``key``): the most frequent non-NULL keys of ``fact``.
+def hot_keys(fact: DataFrame, key: str, share: int = HOT_SHARE) -> list:
+    """The keys that hold more than 1/``share`` of the rows of ``fact``; fewer than ``share``.
 
-    One sketch per task, merged; no row is shuffled.  The sketch only decides which way a
-    row travels, never what it is joined to, so its error cannot change a result.
+    One sketch per task, merged into one row: no row is shuffled.  The sketch is run here
+    and now and its answer goes into the plan as literals.  Left in the plan it could be
+    evaluated more than once, merge in another order, and answer differently for a key at
+    the limit; a row would then be sent one way and looked up the other.
     """
-    sketch = F.expr(f"approx_top_k(`{key}`, {limit}, {max(limit, HOT_TRACKED)})")
-    found = fact.where(F.col(key).isNotNull()).agg(sketch.alias("_top"))
-    return found.select(F.explode("_top").alias("_t")).select(F.col("_t.item").alias(key))
+    sketch = F.expr(f"approx_top_k(`{key}`, {share}, {max(share, HOT_TRACKED)})")
+    found = fact.where(F.col(key).isNotNull()).agg(sketch.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    # At a limit of one row any key of a tiny table would count as hot.
+    limit = max(found["n"] / share, 1)
+    return [top["item"] for top in found["top"] if top["count"] > limit]
 
 
 def lookup_join(
@@ -49,8 +54,8 @@ def lookup_join(
     A ``dim`` within the session's broadcast threshold is left to the engine, which
     broadcasts it.  A larger one goes the split way:
 
-    * the rows of ``dim`` for the hot keys of ``fact`` - at most ``HOT_KEYS`` rows, since
-      the key is unique - are broadcast;
+    * the rows of ``dim`` for the hot keys of ``fact`` - fewer than ``HOT_SHARE`` rows,
+      since the key is unique - are broadcast;
     * everything else meets in a shuffle join on (key, spread), where hot and NULL-key
       rows of ``fact`` carry a row hash as spread and the rest carry 0, so no reduce task
       receives a whole hot group.
@@ -66,22 +71,18 @@ def lookup_join(
     return _split_lookup(fact, dim, key, how, hot_keys(fact if hot_from is None else hot_from, key))
 
 
-def _split_lookup(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: DataFrame) -> DataFrame:
+def _split_lookup(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list) -> DataFrame:
     payload = [c for c in dim.columns if c != key]
     # A deterministic spread, so that a task run again sends each row the same way.  Facts
     # carry a unique id, so no large group of rows agrees in all plain columns.
     plain = [f.name for f in fact.schema.fields if f.dataType.typeName() not in _NESTED]
+    found = F.lit(True).alias("_found")
 
-    # Both uses of `hot` are the same broadcast, so the sketch runs once.
-    few = dim.join(F.broadcast(hot), key, "left_semi").select(
-        key, F.struct(F.lit(True).alias("_found"), *payload).alias("_few")
-    )
-    marker = hot.withColumn("_hot", F.lit(True))
-    tagged = fact.join(F.broadcast(marker), key, "left").join(F.broadcast(few), key, "left")
-    # Hot keys without a row in dim are marked, too, and must be spread like the others.
-    apart = F.col("_hot").isNotNull() | F.col(key).isNull()
+    apart = F.col(key).isNull()
+    if hot:
+        apart = apart | F.col(key).isin(hot)
     # +1 keeps the spread of these rows away from 0, the spread of every row of dim.
-    tagged = tagged.withColumn(
+    tagged = fact.withColumn(
         "_spread", F.when(apart, F.pmod(F.xxhash64(*plain), F.lit(SPREAD)) + 1).otherwise(0)
     )
     rest = dim.select(
@@ -89,10 +90,13 @@ def _split_lookup(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: Data
         # Always 0, but not a constant to the optimizer, which would fold it into a filter
         # on fact and leave the spread out of the shuffle key.
         F.pmod(F.xxhash64(key), F.lit(1)).alias("_spread"),
-        F.struct(F.lit(True).alias("_found"), *payload).alias("_rest"),
+        F.struct(found, *payload).alias("_rest"),
     )
-    joined = tagged.join(rest, [key, "_spread"], "left")
-    row = F.coalesce("_few", "_rest")
+    joined, row = tagged.join(rest, [key, "_spread"], "left"), F.col("_rest")
+    if hot:
+        few = dim.where(F.col(key).isin(hot)).select(key, F.struct(found, *payload).alias("_few"))
+        # After the shuffle, so that it does not carry what the broadcast adds.
+        joined, row = joined.join(F.broadcast(few), key, "left"), F.coalesce("_rest", "_few")
     if how == "inner":
         joined = joined.where(row["_found"].isNotNull())
     others = [c for c in fact.columns if c != key]

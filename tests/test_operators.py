@@ -24,7 +24,7 @@ from revloom.operators import (
     quality,
 )
 from revloom.operators.links import best_in_row
-from revloom.operators.lookup import HOT_KEYS
+from revloom.operators.lookup import HOT_SHARE
 from revloom.operators.upsert import incremental_upsert, upsert
 
 
@@ -117,14 +117,27 @@ def test_split_lookup_spreads_the_hot_key_and_nulls(spark, skewed):
 def test_lookup_of_a_small_side_is_left_to_the_engine(spark, skewed):
     fact, dim = skewed
     plan = lookup_join(fact, dim, "key")._jdf.queryExecution().optimizedPlan().toString()
-    assert "approx_top_k" not in plan
-
-
-def test_hot_keys_are_bounded_and_contain_the_heavy_one(spark, skewed):
-    found = [r[0] for r in hot_keys(skewed[0], "key").collect()]
-    assert len(found) <= HOT_KEYS
-    assert "hot" in found and None not in found
-    assert hot_keys(skewed[0].limit(0), "key").count() == 0
+    assert "_spread" not in plan
+
+
+def test_hot_keys_hold_more_than_their_share(spark, skewed):
+    fact = skewed[0]
+    counts = {r["key"]: r["count"] for r in fact.where("key is not null").groupBy("key").count().collect()}
+    total = sum(counts.values())
+    for share in (2, 100, 1500):
+        assert set(hot_keys(fact, "key", share)) == {k for k, n in counts.items() if n > total / share}
+    assert hot_keys(fact, "key", 100) == ["hot"]
+    assert hot_keys(fact.limit(0), "key") == []
+    assert len(hot_keys(fact, "key")) < HOT_SHARE
+
+
+def test_split_lookup_without_a_hot_key(spark):
+    fact = spark.range(5000).selectExpr("id", "if(id % 3 = 0, null, cast(id as string)) as key")
+    dim = spark.range(4000).selectExpr("cast(id as string) as key", "id * 2 as value")
+    assert hot_keys(fact, "key") == []
+    split = lookup_join(fact, dim, "key", limit_bytes=0)
+    plain = fact.join(dim, "key", "left")
+    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
 
 
 def test_lookup_join_refuses_other_joins(spark, skewed):
