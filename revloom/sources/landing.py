@@ -11,7 +11,7 @@ from revloom.operators.lookup import lookup_join
 from revloom.vocab import STAGE_WON
 
 PAGE_SCHEMA = (
-    "results array<struct<id string, properties map<string, variant>, associations variant, "
+    "results array<struct<id string, properties map<string, variant>, associations map<string, variant>, "
     "createdAt timestamp, updatedAt timestamp, archived boolean>>"
 )
 BILLING_SCHEMA = "subscriptions array<map<string, variant>>"
@@ -26,46 +26,50 @@ def read_pages(
     spark: SparkSession,
     path: str | Sequence[str],
     properties: Sequence[str] | None = None,
+    associations: Sequence[str] | None = None,
     page_per_line: bool = False,
 ) -> DataFrame:
     """Saved API pages ``{"results": [...], "paging": ...}``: one row per record.
 
     A file is one page, or with ``page_per_line`` holds a page on every line, which lets
-    the engine split large files.  ``properties`` limits what is carried of the blob.
+    the engine split large files.  ``properties`` and ``associations`` limit what is
+    carried of the two blobs; None carries everything.
     """
     pages = spark.read.schema(PAGE_SCHEMA).option("multiLine", not page_per_line).json(path)
-    return _project_properties(pages.select(F.inline("results")), properties)
+    return _project(pages.select(F.inline("results")), properties, associations)
 
 
 def read_pages_stream(
     spark: SparkSession,
     path: str,
     properties: Sequence[str] | None = None,
+    associations: Sequence[str] | None = None,
     page_per_line: bool = False,
 ) -> DataFrame:
     """The same over files as they arrive."""
     pages = spark.readStream.schema(PAGE_SCHEMA).option("multiLine", not page_per_line).json(path)
-    return _project_properties(pages.select(F.inline("results")), properties)
+    return _project(pages.select(F.inline("results")), properties, associations)
 
 
-def _project_properties(records: DataFrame, names: Sequence[str] | None) -> DataFrame:
-    if not names:
-        return records
-    wanted = [F.lit(n) for n in names]
-    return records.withColumn(
-        "properties", F.map_filter("properties", lambda k, _: k.isin(*wanted))
-    )
+def _project(
+    records: DataFrame, properties: Sequence[str] | None, associations: Sequence[str] | None
+) -> DataFrame:
+    def kept(blob: str, names: Sequence[str]) -> Column:
+        wanted = list(names)
+        return F.map_filter(blob, lambda k, _: k.isin(wanted))
+
+    blobs = {"properties": properties, "associations": associations}
+    return records.withColumns({b: kept(b, names) for b, names in blobs.items() if names is not None})
 
 
 def raw_envelope(records: DataFrame, loaded_at: Column) -> DataFrame:
     """RAW rows of a batch: properties default to an empty object, an empty association
     list counts as none, archived defaults to false, and one load time for all rows."""
     empty = F.parse_json(F.lit("{}"))
-    has_links = F.length(F.to_json("associations")) > 2
     return records.select(
         F.col("id").alias("hs_object_id"),
         F.coalesce(F.to_variant_object("properties"), empty).alias("properties"),
-        F.when(has_links & ~F.is_variant_null("associations"), F.col("associations")).alias("associations"),
+        F.when(F.size("associations") > 0, F.to_variant_object("associations")).alias("associations"),
         F.col("createdAt").alias("created_at"),
         F.col("updatedAt").alias("updated_at"),
         F.coalesce("archived", F.lit(False)).alias("archived"),
