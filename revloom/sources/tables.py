@@ -67,11 +67,19 @@ class VersionedTable:
     def merge(
         self, source: DataFrame, keys: Sequence[str], latest_by: Sequence[Column] | None = None
     ) -> int:
-        """Upsert ``source``; returns its row count.  An empty batch changes nothing."""
-        if source.isEmpty():
+        """Upsert ``source``; returns its row count.  An empty batch changes nothing.
+
+        The batch is written down first: the merge reads it several times, and so parses
+        its files or computes its plan once, and merges the same rows even if the source
+        changes meanwhile.
+        """
+        landed = f"{self.path}/batches/v={self.version() + 1}"
+        source.write.mode("overwrite").parquet(landed)
+        batch = self.spark.read.schema(source.schema).parquet(landed)
+        if batch.isEmpty():
             return 0
-        self.replace(upsert(self.read(), source, keys, latest_by))
-        return source.count()
+        self.replace(upsert(self.read(), batch, keys, latest_by))
+        return batch.count()
 
     def merge_new(
         self,
