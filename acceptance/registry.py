@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from acceptance.fixtures import FRESH_AS_OF, SYNCED_AT, Fixture, api_records, raw_rows
 from revloom.operators import contract, fixed_size_batches, quality
 from revloom.operators.upsert import incremental_upsert, upsert
-from revloom.plans import checks, clean, export, metrics, reports, staging
+from revloom.plans import checks, export, metrics, reports, staging
 from revloom.plans.model import RevenueModel, Staged, build_marts
 from revloom.session import prepare, scratch_path
 from revloom.sources import landing

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revloom.functions import (
-    MONEY,
     MONEY_SUM,
     days_between,
     health_score,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -44,6 +43,9 @@ def local_session(app_name: str = "revloom", cpus: str = "*", **overrides: str)
     return spark
 
 
+_local_scratch: str | None = None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -51,10 +53,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     folder; on a cluster the missing setting is an error, because executors could not
     read a folder of the driver's machine.
     """
+    global _local_scratch
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="revloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, "revloom", f"{name}-{uuid.uuid4().hex}")
+        _local_scratch = _local_scratch or tempfile.mkdtemp(prefix="revloom-")
+        root = _local_scratch
+    return f"{root.rstrip('/')}/revloom/{name}-{uuid.uuid4().hex}"
