@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from revloom.operators import contract, fixed_size_batches, quality
 from revloom.operators.upsert import incremental_upsert, upsert
 from revloom.plans import checks, export, metrics, reports, staging
 from revloom.plans.model import RevenueModel, Staged, build_marts
-from revloom.session import prepare, scratch_path
+from revloom.session import has_scratch, name_scratch_root, prepare, scratch_path
 from revloom.sources import landing
 from revloom.sources.tables import VersionedTable
 from revloom.streaming import stream_upsert
@@ -57,6 +58,13 @@ def _clean_queries() -> dict[str, Query]:
     return {name: _model(lambda m, n=name: getattr(m, n)) for name in names}
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh scratch path.  Only a local session without a shared folder gets one named here."""
+    if not has_scratch(spark) and spark.sparkContext.master.startswith("local["):
+        name_scratch_root(tempfile.mkdtemp(prefix="acceptance-"))
+    return scratch_path(spark, name)
+
+
 # --- marts ---------------------------------------------------------------------------
 
 
@@ -76,7 +84,7 @@ def _mart_queries() -> dict[str, Query]:
         return RevenueModel(Staged.from_raw(fixture.raw), fixture.as_of).fct_account_health
 
     def stored(fixture: Fixture) -> DataFrame:
-        path = scratch_path(fixture.spark, "marts")
+        path = _scratch(fixture.spark, "marts")
         return build_marts(fixture.spark, fixture.staged(), fixture.as_of, path)["fct_account_health"]
 
     found["raw_to_account_health"] = _fixture(from_raw)
@@ -311,7 +319,7 @@ def _ingest_pages(fixture: Fixture) -> DataFrame:
     pages = fixed_size_batches(records, "id", "record", 100).select(
         F.concat(F.lit('{"results":['), F.concat_ws(",", "items"), F.lit("]}")).alias("value")
     )
-    path = scratch_path(fixture.spark, "pages")
+    path = _scratch(fixture.spark, "pages")
     pages.write.text(path)
     landed = landing.read_pages(fixture.spark, path, tracked_names("companies"), page_per_line=True)
     return staging.stage("companies", landing.raw_envelope(landed, loaded))
@@ -332,7 +340,7 @@ def _stream_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
             "cast(o_orderdate as timestamp) as updated_at",
         )
     )
-    path = scratch_path(spark, "stream")
+    path = _scratch(spark, "stream")
     table = VersionedTable(
         spark, f"{path}/table", "deal_id string, status string, amount_usd decimal(18,2), updated_at timestamp"
     )

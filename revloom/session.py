@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,21 +42,26 @@ def local_session(app_name: str = "revloom", cpus: str = "*", **overrides: str)
     return spark
 
 
-_local_scratch: str | None = None
+_named_root: str | None = None
+
+
+def name_scratch_root(path: str) -> None:
+    """Name the scratch folder for sessions that do not set ``spark.checkpoint.dir``."""
+    global _named_root
+    _named_root = path
+
+
+def has_scratch(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None) or _named_root)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting on a local master falls back to a temporary
-    folder; on a cluster the missing setting is an error, because executors could not
-    read a folder of the driver's machine.
+    Without that setting the caller has to name a folder; the library never picks one,
+    because executors could not read a folder of the driver's machine.
     """
-    global _local_scratch
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _named_root
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        _local_scratch = _local_scratch or tempfile.mkdtemp(prefix="revloom-")
-        root = _local_scratch
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{root.rstrip('/')}/revloom/{name}-{uuid.uuid4().hex}"
