@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import packing, stream_files
+from revloom.llm import langid, lm, packing, stream_files
 from revloom.llm.shared import prepare
 
 
@@ -20,12 +20,30 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir)).drop("ids")
 
 
+def _remainder(count: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % count
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    found = langid.identify(docs, langid.train(docs.where(_remainder(4) != 2)))
+    return found.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    found = lm.score(docs, lm.train(docs.where(_remainder(10) != 0)))
+    return found.withColumn("held_out", _remainder(10) == 0).drop("bits_per_byte")
+
+
 def op6_stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_files.write_and_read(_documents(spark, sf_dir)).drop("file")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op4_language_id": op4_language_id,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_stream_files": op6_stream_files,
 }
 
