@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revloom.llm.blocks import blocks
 from revloom.llm.shared import keep, prepare, texts
 from revloom.llm.tokens import TOKENIZER_FILE, tokenizer
 
@@ -33,12 +34,17 @@ def encoded(docs: DataFrame, path: str, end_id: int, *columns: str) -> DataFrame
     """``columns`` of each document with ``ids`` (little-endian, of the tokenizer's width) and ``n_ids``."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer(path)
+        encoder = tokenizer(path, end_id)
         for batch in batches:
-            ids = encoder.encode(batch.column("text").to_pylist(), end_id)
-            found = [batch.column(name) for name in columns]
-            found += [pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())]
-            yield pa.RecordBatch.from_arrays(found, names=[*columns, "ids", "n_ids"])
+            found, sizes = [], []
+            for block in blocks(batch):
+                ids, bounds = encoder.encode(block, end_id)
+                raw, bounds = ids.tobytes(), bounds * ids.itemsize
+                found += [raw[begin:end] for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                sizes.append(np.diff(bounds) // ids.itemsize)
+            out = [batch.column(name) for name in columns]
+            out += [pa.array(found, pa.binary()), pa.array(np.concatenate([np.zeros(0, np.int64), *sizes]))]
+            yield pa.RecordBatch.from_arrays(out, names=[*columns, "ids", "n_ids"])
 
     kept = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*columns).dtypes)
     return docs.select(*columns, "text").mapInArrow(encode, f"{kept}, ids binary, n_ids bigint")
@@ -154,7 +160,7 @@ def pack(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stored = tokenizer(path).dtype
+        stored = tokenizer(path, end_id).dtype
         here, at = None, 0
         for batch in batches:
             out: list[list] = [[] for _ in range(10)]

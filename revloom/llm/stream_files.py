@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revloom.llm.blocks import blocks
 from revloom.llm.shared import open_folder, prepare, texts
 from revloom.llm.tokens import TOKENIZER_FILE, tokenizer
 from revloom.session import scratch_path
@@ -56,7 +57,7 @@ def write_files(
     ordered = rows.repartitionByRange(files, "doc_id", "order").sortWithinPartitions("doc_id", "order")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer(path)
+        encoder = tokenizer(path, end_id)
         dtype = encoder.dtype
         kind = pa.from_numpy_dtype(dtype)
         row_type = pa.list_(kind, length)
@@ -97,13 +98,13 @@ def write_files(
                 writer, index = pa.ipc.new_file(sink, schema), pa.ipc.new_file(index_sink, index_schema)
                 first = batch.column("doc_id")[0].as_py()
             last = batch.column("doc_id")[-1].as_py()
-            parts = encoder.encode(batch.column("text").to_pylist(), end_id)
-            counts = np.array([len(ids) for ids in parts], np.int64)
+            parts = [encoder.encode(block, end_id) for block in blocks(batch)]
+            counts = np.concatenate([np.diff(bounds) for _, bounds in parts])
             begins = n_ids + np.cumsum(counts) - counts
             index.write_batch(
                 pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(begins), pa.array(counts)], schema=index_schema)
             )
-            waiting = np.concatenate([waiting, *parts])
+            waiting = np.concatenate([waiting, *[ids for ids, _ in parts]])
             n_ids, n_docs = n_ids + int(counts.sum()), n_docs + batch.num_rows
             whole = len(waiting) // size * size
             for at in range(0, whole, size):
