@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import langid, lm, packing, stream_files
+from revloom.llm import jaccard, langid, lm, packing, stream_files
 from revloom.llm.shared import prepare
 
 
@@ -40,11 +40,16 @@ def op6_stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_files.write_and_read(_documents(spark, sf_dir)).drop("file")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_language_id": op4_language_id,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_stream_files": op6_stream_files,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
