@@ -86,7 +86,7 @@ def allocation(band: int, percent: int) -> tuple[int, int, int]:
                 trust, spread = 1.0 + wide * (size > 1), 1e-9
             missing = 0.5 * math.erfc((trust - most - 0.5) / spread / math.sqrt(2))
             stored = segments * (1 - empty) + wide * each
-            false = 200 * (segments * math.exp(-1.2 * each) + wide * each * math.exp(-1.2 * max(0.0, each - 1)))
+            false = 60 * (segments * math.exp(-1.2 * each) + wide * each * math.exp(-1.2 * max(0.0, each - 1)))
             cost = stored + false + missing * size * 4
             best = min(best, (cost, segments, wide))
     return most, best[1], best[2]
