@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import jaccard, langid, lm, packing, stream_files
+from revloom.llm import decontam, jaccard, langid, line_dedup, lm, packing, stream_files
 from revloom.llm.shared import prepare
 
 
@@ -40,6 +40,17 @@ def op6_stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_files.write_and_read(_documents(spark, sf_dir)).drop("file")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.remove_repeats(_documents(spark, sf_dir))
+    kept = F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256)
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", kept.alias("kept_sha256"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_documents(spark, sf_dir))
 
@@ -49,7 +60,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_stream_files": op6_stream_files,
+    "op7_line_dedup": op7_line_dedup,
     "op8_jaccard_join": op8_jaccard_join,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
