@@ -141,9 +141,9 @@ def _named(sums: np.ndarray, segment: np.ndarray, salt: np.uint64) -> np.ndarray
     return mixed(sums + mixed(segment.astype(np.uint64) + salt))
 
 
-def _set_table(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n, number) of each document; number is null for an empty set."""
-    kind = dict(docs.dtypes)["doc_id"]
+def _set_table(docs: DataFrame, words: int, passed: tuple[str, ...]) -> DataFrame:
+    """Columns ``passed``, n and number of each document; number is null for an empty set."""
+    kinds = dict(docs.dtypes)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,11 +153,12 @@ def _set_table(docs: DataFrame, words: int) -> DataFrame:
                     sizes.append(len(shingles))
                     numbers.append(set_number(shingles) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64())],
-                names=["doc_id", "n", "number"],
+                [*(batch.column(name) for name in passed), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64())],
+                names=[*passed, "n", "number"],
             )
 
-    return texts(docs).mapInArrow(measure, f"doc_id {kind}, n bigint, number bigint")
+    schema = "".join(f"`{name}` {kinds[name]}, " for name in passed)
+    return docs.select(*passed, "text").mapInArrow(measure, f"{schema}n bigint, number bigint")
 
 
 def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -391,18 +392,13 @@ def _unsettled(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
     return dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, passed: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``passed`` of every row of ``docs`` (doc_id, text), n_shingles, and the ``class`` of connected sets.
 
-    Two documents are linked when 100 * intersection >= ``percent`` * union of their sets
-    of ``words``-word shingles (A-Z in lower case; fewer words: the whole sequence as one
-    shingle; no word or a null text: empty, linked with nothing).  ``component_id`` is the
-    smallest doc_id reachable by links, itself included.  Repeated rows are linked like
-    any equal texts, and each keeps its row.  An empty table gives an empty result.
+    ``class`` is an arbitrary number, null for an empty set.  See :func:`join`.
     """
     prepare(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
-    members = keep(_set_table(docs, words), "jaccard-documents")
+    members = keep(_set_table(docs, words, passed), "jaccard-documents")
     groups = _groups(docs, words, percent)
     candidates = groups.select(F.col("hub").alias("number")).union(groups.select("member")).distinct()
     wanted = sorted_table(candidates.withColumn("wanted", F.lit(1)), "number", "jaccard-candidates")
@@ -422,12 +418,45 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     labels = components(links)
 
     named = members.join(labels.withColumnRenamed("node", "number"), "number", "left")
-    named = named.withColumn("class", F.coalesce("label", "number"))
+    return named.select(*passed, F.col("n").alias("n_shingles"), F.coalesce("label", "number").alias("class"))
+
+
+def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+
+    Two documents are linked when 100 * intersection >= ``percent`` * union of their sets
+    of ``words``-word shingles (A-Z in lower case; fewer words: the whole sequence as one
+    shingle; no word or a null text: empty, linked with nothing).  ``component_id`` is the
+    smallest doc_id reachable by links, itself included.  Repeated rows are linked like
+    any equal texts, and each keeps its row.  An empty table gives an empty result.
+    """
+    named = keep(classes(docs, words, percent), "jaccard-classes")
     # One row per class; empty sets have none.
     first = named.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
     return named.join(first, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def first_of_each_class(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay when each class keeps the one with the smallest doc_id (then text hash).
+
+    Rows without a word, null texts included, are in no class and all stay.  Of rows equal
+    in doc_id and text one stays.
+    """
+    columns = docs.columns
+    keyed = docs.select(F.struct(*columns).alias("row"), "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    named = classes(keyed, words, percent, ("doc_id", "hash"))
+    first = (
+        named.where("class is not null")
+        .groupBy("class")
+        .agg(F.min(F.struct("doc_id", "hash")).alias("first"))
+        .select("first.doc_id", "first.hash")
+        .distinct()
     )
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = keyed.where(worded).join(first, ["doc_id", "hash"], "left_semi").dropDuplicates(["doc_id", "hash"])
+    return kept.select("row").union(keyed.where(~worded).select("row")).select("row.*")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:

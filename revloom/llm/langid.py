@@ -65,8 +65,10 @@ def train(labelled: DataFrame, order: int = ORDER, sample_bytes: int = SAMPLE_BY
     return {name: Tree(codes[names == name], counts[names == name], order) for name in sorted(set(names))}
 
 
-def identify(docs: DataFrame, trees: dict[str, Tree], order: int = ORDER) -> DataFrame:
-    """``docs`` (doc_id, text) with lang_pred, score, bits_per_byte.
+def identify(
+    docs: DataFrame, trees: dict[str, Tree], order: int = ORDER, passed: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """Columns ``passed`` of every row of ``docs`` (with text), lang_pred, score, bits_per_byte.
 
     ``score`` is the probability of the language given the text under equal priors, with
     code lengths scaled to the evidence of independent grams (each byte is shared by
@@ -77,7 +79,8 @@ def identify(docs: DataFrame, trees: dict[str, Tree], order: int = ORDER) -> Dat
     prepare(spark)
     names = sorted(trees)
     shared = spark.sparkContext.broadcast(trees)
-    kind = dict(docs.dtypes)["doc_id"]
+    rows = docs.select(F.struct(*passed).alias("row"), "text")
+    kind = dict(rows.dtypes)["row"]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = [shared.value[name] for name in names]
@@ -101,13 +104,12 @@ def identify(docs: DataFrame, trees: dict[str, Tree], order: int = ORDER) -> Dat
                 scores += np.where(ok, 1 / odds.sum(axis=0), 0.0).tolist()
                 rates += (-sums.max(axis=0) * np.log2(10) / (np.diff(block.bounds) + 1)).tolist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(picks, pa.string()), pa.array(scores), pa.array(rates)],
-                names=["doc_id", "lang_pred", "score", "bits_per_byte"],
+                [batch.column("row"), pa.array(picks, pa.string()), pa.array(scores), pa.array(rates)],
+                names=["row", "lang_pred", "score", "bits_per_byte"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        predict, f"doc_id {kind}, lang_pred string, score double, bits_per_byte double"
-    )
+    found = rows.mapInArrow(predict, f"row {kind}, lang_pred string, score double, bits_per_byte double")
+    return found.select("row.*", "lang_pred", "score", "bits_per_byte")
 
 
 def _has_letter(text: str) -> bool:
