@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import decontam, jaccard, langid, line_dedup, lm, packing, stream_files
+from revloom.llm import decontam, jaccard, langid, line_dedup, lm, packing, quality, stream_files
 from revloom.llm.shared import prepare
 
 
@@ -20,6 +20,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir)).drop("ids")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_documents(spark, sf_dir))
+
+
 def _remainder(count: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % count
 
@@ -57,6 +61,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_stream_files": op6_stream_files,
@@ -65,4 +70,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_quality_rules": quality.JUDGE_SQL}
