@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import decontam, jaccard, langid, line_dedup, lm, packing, quality, stream_files
+from revloom.llm import decontam, jaccard, langid, line_dedup, lm, packing, pii, quality, stream_files
 from revloom.llm.shared import prepare
 
 
@@ -50,6 +50,22 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "n_runs", kept.alias("kept_sha256"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_documents(spark, sf_dir))
+    names = F.array(*map(F.lit, pii.KINDS))
+
+    def written(spans: str):
+        one = lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])
+        return F.array_join(F.transform(spans, one), ",")
+
+    counts = [
+        F.size(F.filter("base", lambda s, n=number: s["kind"] == n)).cast("bigint").alias(f"n_{name}")
+        for number, name in enumerate(pii.KINDS)
+    ]
+    digest = F.sha2(written("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, written("spans").alias("spans"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -67,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_stream_files": op6_stream_files,
     "op7_line_dedup": op7_line_dedup,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_personal_data": op9_personal_data,
     "op10_decontamination": op10_decontamination,
 }
 
