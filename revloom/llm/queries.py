@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import decontam, jaccard, langid, line_dedup, lm, packing, pii, quality, stream_files
+from revloom.llm import decontam, jaccard, langid, line_dedup, lm, packing, pii, quality, stream_files, suffixes
 from revloom.llm.shared import prepare
 
 
@@ -16,6 +16,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(_documents(spark, sf_dir))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir)).drop("ids")
 
@@ -76,6 +81,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
