@@ -63,10 +63,10 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         one = lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])
         return F.array_join(F.transform(spans, one), ",")
 
-    counts = [
-        F.size(F.filter("base", lambda s, n=number: s["kind"] == n)).cast("bigint").alias(f"n_{name}")
-        for number, name in enumerate(pii.KINDS)
-    ]
+    def count(number: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("bigint")
+
+    counts = [count(number).alias(f"n_{name}") for number, name in enumerate(pii.KINDS)]
     digest = F.sha2(written("base").cast("binary"), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, written("spans").alias("spans"))
 
