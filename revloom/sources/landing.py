@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.operators.lookup import lookup_join
 from revloom.vocab import STAGE_WON
 
 PAGE_SCHEMA = (
@@ -15,7 +14,11 @@ PAGE_SCHEMA = (
     "createdAt timestamp, updatedAt timestamp, archived boolean>>"
 )
 BILLING_SCHEMA = "subscriptions array<map<string, variant>>"
-LIFECYCLE_SCHEMA = "lifecycle_history array<struct<_contact_id string, stage string, entered_at string>>"
+EVENT_SCHEMA = "_contact_id string, stage string, entered_at string"
+LIFECYCLE_SCHEMA = f"lifecycle_history array<struct<{EVENT_SCHEMA}>>"
+# A record that does not parse fails the read.  The default mode would turn it into NULLs and
+# a torn file into an empty, seemingly successful load.
+_STRICT = {"mode": "FAILFAST"}
 STAGES_SCHEMA = (
     "results array<struct<id string, label string, stages array<struct<id string, label string, "
     "displayOrder int, metadata struct<probability string, isClosed string>>>>>"
@@ -33,9 +36,10 @@ def read_pages(
 
     A file is one page, or with ``page_per_line`` holds a page on every line, which lets
     the engine split large files.  ``properties`` and ``associations`` limit what is
-    carried of the two blobs; None carries everything.
+    carried of the two blobs; None carries everything.  A torn page or a timestamp that
+    does not parse fails the read.
     """
-    pages = spark.read.schema(PAGE_SCHEMA).option("multiLine", not page_per_line).json(path)
+    pages = spark.read.schema(PAGE_SCHEMA).options(**_STRICT).option("multiLine", not page_per_line).json(path)
     return _project(pages.select(F.inline("results")), properties, associations)
 
 
@@ -47,7 +51,7 @@ def read_pages_stream(
     page_per_line: bool = False,
 ) -> DataFrame:
     """The same over files as they arrive."""
-    pages = spark.readStream.schema(PAGE_SCHEMA).option("multiLine", not page_per_line).json(path)
+    pages = spark.readStream.schema(PAGE_SCHEMA).options(**_STRICT).option("multiLine", not page_per_line).json(path)
     return _project(pages.select(F.inline("results")), properties, associations)
 
 
@@ -83,15 +87,22 @@ def raw_from_text(rows: DataFrame, key: str) -> DataFrame:
     return rows.withColumns({c: F.parse_json(c) for c in blobs}).withColumn(key, F.col(key).cast("string"))
 
 
-def read_subscriptions(spark: SparkSession, path: str | Sequence[str], loaded_at: Column) -> DataFrame:
-    """Billing file ``{"_meta": ..., "subscriptions": [...]}``: key out, the rest as blob."""
+def read_subscriptions(
+    spark: SparkSession, path: str | Sequence[str], loaded_at: Column, record_per_line: bool = False
+) -> DataFrame:
+    """Billing rows: key out, the rest as blob.
+
+    A file is one document ``{"_meta": ..., "subscriptions": [...]}``, read by one task; a
+    folder of documents is read by many.  With ``record_per_line`` every line is one
+    subscription and large files split.  Malformed input fails the read.
+    """
     key = "subscription_id"
-    rows = (
-        spark.read.schema(BILLING_SCHEMA)
-        .option("multiLine", True)
-        .json(path)
-        .select(F.explode("subscriptions").alias("s"))
-    )
+    if record_per_line:
+        lines = spark.read.text(path).where(F.trim("value") != "")
+        rows = lines.select(F.from_json("value", "map<string, variant>", _STRICT).alias("s"))
+    else:
+        documents = spark.read.schema(BILLING_SCHEMA).options(**_STRICT).option("multiLine", True).json(path)
+        rows = documents.select(F.explode("subscriptions").alias("s"))
     return rows.select(
         F.variant_get(F.col("s")[key], "$", "string").alias(key),
         F.to_variant_object(F.map_filter("s", lambda k, _: k != key)).alias("properties"),
@@ -99,27 +110,32 @@ def read_subscriptions(spark: SparkSession, path: str | Sequence[str], loaded_at
     )
 
 
-def read_lifecycle_history(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """History file: rows (_contact_id, stage, entered_at)."""
-    return (
-        spark.read.schema(LIFECYCLE_SCHEMA)
-        .option("multiLine", True)
-        .json(path)
-        .select(F.inline("lifecycle_history"))
-    )
+def read_lifecycle_history(
+    spark: SparkSession, path: str | Sequence[str], record_per_line: bool = False
+) -> DataFrame:
+    """History rows (_contact_id, stage, entered_at), from documents or one record per line."""
+    if record_per_line:
+        return spark.read.schema(EVENT_SCHEMA).options(**_STRICT).json(path)
+    documents = spark.read.schema(LIFECYCLE_SCHEMA).options(**_STRICT).option("multiLine", True).json(path)
+    return documents.select(F.inline("lifecycle_history"))
 
 
 def raw_lifecycle(history: DataFrame, id_map: DataFrame, loaded_at: Column) -> DataFrame:
     """RAW lifecycle rows; ``id_map`` is (_contact_id, contact_id), unique on the first.
 
     Events of unmapped contacts are left out (see :func:`unmapped_events`).  A contact
-    that reports a stage twice keeps the later entry, as a repeated merge would.
+    that reports a stage twice keeps the later entry, as a repeated merge would: later in
+    time, however the two are written.  An entry without a time loses to any that has one;
+    text that is no timestamp fails the load.
     """
     known = id_map.where(F.col("contact_id").isNotNull() & (F.col("contact_id") != ""))
-    latest = F.max("entered_at").alias("entered_at")
-    # One row per contact and stage before the join, however often it was reported.
-    entries = history.groupBy("_contact_id", "stage").agg(latest)
-    latest = lookup_join(entries, known, "_contact_id", "inner").groupBy("contact_id", "stage").agg(latest)
+    # Equal times written differently: the greater text, so that a rerun agrees.
+    moment = F.struct(F.col("entered_at").cast("timestamp").alias("at"), "entered_at")
+    latest = F.max("moment").alias("moment")
+    # At most five rows per contact before the join, however often a stage was reported.
+    entries = history.groupBy("_contact_id", "stage").agg(F.max(moment).alias("moment"))
+    latest = entries.join(known, "_contact_id").groupBy("contact_id", "stage").agg(latest)
+    latest = latest.withColumn("entered_at", F.col("moment.entered_at"))
     return latest.select(
         F.concat_ws("_", "contact_id", "stage").alias("event_id"),
         F.to_variant_object(F.struct("contact_id", "stage", "entered_at")).alias("properties"),
@@ -158,7 +174,8 @@ def flatten_stages(pages: DataFrame) -> DataFrame:
 
 
 def read_stages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return flatten_stages(spark.read.schema(STAGES_SCHEMA).option("multiLine", True).json(path))
+    pages = spark.read.schema(STAGES_SCHEMA).options(**_STRICT).option("multiLine", True).json(path)
+    return flatten_stages(pages)
 
 
 def won_deals(raw_deals: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,64 +23,85 @@ def raw_blob_schema(key: str) -> str:
     return f"{key} string, properties variant, _loaded_at timestamp"
 
 
+class VersionMoved(RuntimeError):
+    """Another writer committed first; nothing of this write is visible.  Merge again."""
+
+
 class VersionedTable:
-    """A parquet table replaced version by version.
-
-    Plain parquet has no MERGE, and a path cannot be overwritten while it is read.  So a
-    merge writes a complete new version next to the old one and then appends one line to
-    ``versions``; readers see the old version until that line is committed, and a failed
-    write leaves nothing behind that a reader would pick up.  ``path`` must be in shared
-    storage on a cluster.  Where the catalog supports row-level changes use
-    :func:`merge_into`, which does not rewrite untouched data.
+    """A parquet table replaced version by version, bucket by bucket.
+
+    Plain parquet has no MERGE, and a path cannot be overwritten while it is read.  Rows are
+    stored in ``buckets`` by a hash of their key.  A merge writes the buckets its batch
+    touches into a folder of its own and commits a new version, a small file that lists
+    where every bucket lies.  Readers see the old version until then; a failed write leaves
+    nothing behind that a reader would pick up.  The version file is created exclusively,
+    so of two writers that started from one version the second fails with
+    :class:`VersionMoved`.  ``path`` must be in shared storage on a cluster, one with an
+    exclusive create (a file system, not a bare object store).
     """
 
-    _LOG = "version bigint, location string"
-
-    def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType) -> None:
+    def __init__(
+        self, spark: SparkSession, path: str, schema: str | T.StructType, buckets: int = 16
+    ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.buckets = buckets
 
     def version(self) -> int:
         """The committed version; 0 before the first."""
-        try:
-            log = self.spark.read.schema(self._LOG).json(f"{self.path}/versions")
-        except AnalysisException:
-            return 0
-        return log.agg(F.max("version")).first()[0] or 0
+        return self._entry()["version"]
 
-    def read(self) -> DataFrame:
+    def read(self, version: int | None = None) -> DataFrame:
         """The committed rows.  Columns an old version lacks are NULL."""
-        version = self.version()
-        if version == 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._location(version))
+        return self._rows(self._entry(version)["locations"].values())
 
     def replace(self, df: DataFrame) -> int:
         """Commit ``df`` as the new content."""
-        version = self.version() + 1
-        location = self._location(version)
-        df.select(*self.schema.names).write.mode("overwrite").parquet(location)
-        line = self.spark.createDataFrame([(version, location)], self._LOG)
-        line.write.mode("append").json(f"{self.path}/versions")
-        return version
+        before = self._entry()
+        rows = self._declared(df)
+        folder = self._folder()
+        rows.write.parquet(folder)
+        return self._commit(before["version"] + 1, [], {"all": folder})
 
     def merge(
-        self, source: DataFrame, keys: Sequence[str], latest_by: Sequence[Column] | None = None
+        self,
+        source: DataFrame,
+        keys: Sequence[str],
+        latest_by: Sequence[Column] | None = None,
+        keep_newer: str | None = None,
     ) -> int:
         """Upsert ``source``; returns its row count.  An empty batch changes nothing.
 
         The batch is written down first: the merge reads it several times, and so parses
         its files or computes its plan once, and merges the same rows even if the source
-        changes meanwhile.
+        changes meanwhile.  Columns the table does not declare are refused.
         """
-        landed = f"{self.path}/batches/v={self.version() + 1}"
-        source.write.mode("overwrite").parquet(landed)
-        batch = self.spark.read.schema(source.schema).parquet(landed)
-        if batch.isEmpty():
+        before = self._entry()
+        keys, folder = list(keys), self._folder()
+        self._declared(source, whole=False).write.parquet(f"{folder}/batch")
+        batch = self.spark.read.schema(source.schema).parquet(f"{folder}/batch")
+        # At most one row per bucket reaches the driver.
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+        counts = dict(batch.groupBy(bucket.alias("b")).count().collect())
+        if not counts:
             return 0
-        self.replace(upsert(self.read(), batch, keys, latest_by))
-        return batch.count()
+        if before["keys"] == keys:
+            touched = [before["locations"][str(b)] for b in counts if str(b) in before["locations"]]
+            rest = {b: place for b, place in before["locations"].items() if int(b) not in counts}
+        else:  # first merge, or stored by another key: deal all rows out anew
+            touched, rest = list(before["locations"].values()), {}
+        merged = upsert(self._rows(touched), batch, keys, latest_by, keep_newer)
+        merged = self._declared(merged).withColumn("_bucket", bucket)
+        merged.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{folder}/data")
+        if touched and not rest:
+            found = self.spark.read.parquet(f"{folder}/data").select("_bucket").distinct().collect()
+            written = [row["_bucket"] for row in found]
+        else:
+            written = list(counts)
+        locations = rest | {str(b): f"{folder}/data/_bucket={b}" for b in written}
+        self._commit(before["version"] + 1, keys, locations)
+        return sum(counts.values())
 
     def merge_new(
         self,
@@ -91,8 +113,71 @@ class VersionedTable:
         """Upsert only the rows past the table's high-water mark."""
         return self.merge(newer_than_target(source, self.read(), mark), keys, latest_by)
 
-    def _location(self, version: int) -> str:
-        return f"{self.path}/data/v={version}"
+    def prune(self, keep: int = 2) -> int:
+        """Delete what only versions before the last ``keep`` refer to; returns the folders deleted.
+
+        Call it when no reader of an older version and no writer is at work.
+        """
+        entries = sorted(self._entries(), key=lambda entry: entry["version"])[-keep:]
+        used = {place.split("/data/")[0] for entry in entries for place in entry["locations"].values()}
+        system, path = self._system(f"{self.path}/rows")
+        gone = 0
+        for status in system.listStatus(path) if system.exists(path) else []:
+            folder = f"{self.path}/rows/{status.getPath().getName()}"
+            if folder not in used:
+                system.delete(status.getPath(), True)
+                gone += 1
+        return gone
+
+    def _declared(self, df: DataFrame, whole: bool = True) -> DataFrame:
+        unknown = [c for c in df.columns if c not in self.schema.names]
+        if unknown:
+            raise ValueError(f"columns the table does not declare: {', '.join(unknown)}")
+        return df.select(*self.schema.names) if whole else df
+
+    def _rows(self, locations) -> DataFrame:
+        locations = list(locations)
+        if not locations:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*locations)
+
+    def _folder(self) -> str:
+        return f"{self.path}/rows/{uuid.uuid4().hex}"
+
+    # The version files are metadata, a line each; they go through the cluster's file system
+    # API because a Spark write has no exclusive create.
+
+    def _system(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), place
+
+    def _entries(self) -> list[dict]:
+        system, folder = self._system(f"{self.path}/versions")
+        if not system.exists(folder):
+            return []
+        lines = self.spark.read.text(f"{self.path}/versions").collect()
+        return [json.loads(line["value"]) for line in lines if line["value"].strip()]
+
+    def _entry(self, version: int | None = None) -> dict:
+        nothing = {"version": 0, "keys": [], "locations": {}}
+        entries = [e for e in self._entries() if version is None or e["version"] == version]
+        if version and not entries:
+            raise ValueError(f"no version {version} at {self.path}")
+        return max(entries, key=lambda entry: entry["version"], default=nothing)
+
+    def _commit(self, version: int, keys: list[str], locations: dict[str, str]) -> int:
+        entry = json.dumps({"version": version, "keys": keys, "locations": locations})
+        system, place = self._system(f"{self.path}/versions/{version:012d}.json")
+        try:
+            out = system.create(place, False)
+        except Exception as error:
+            if system.exists(place):
+                raise VersionMoved(f"version {version} of {self.path} was committed by another writer") from error
+            raise
+        out.write(bytearray(entry, "utf-8"))
+        out.close()
+        return version
 
 
 def write_clustered(df: DataFrame, path: str, by: Sequence[str]) -> None:

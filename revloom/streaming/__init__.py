@@ -11,23 +11,34 @@ from pyspark.sql.streaming import StreamingQuery
 from revloom.sources.tables import VersionedTable
 
 
+def total_order(df: DataFrame, by: Sequence[Column]) -> list[Column]:
+    """``by``, then every column: rows that still tie are equal, so any of them will do."""
+    kinds = {field.name: field.dataType.typeName() for field in df.schema.fields}
+    return [*by, *[F.to_json(name) if kind in ("variant", "map") else F.col(name) for name, kind in kinds.items()]]
+
+
 def stream_upsert(
     stream: DataFrame,
     table: VersionedTable,
     keys: Sequence[str],
     checkpoint: str,
     latest_by: Sequence[Column] | None = None,
+    keep_newer: str | None = None,
 ) -> StreamingQuery:
     """Merge every micro-batch into ``table`` until the available input is used up.
 
-    Within a micro-batch the row with the latest ``updated_at`` wins per key.  A batch that
-    is replayed after a failure merges to the same content, so the result is exact even
-    though the sink is only at-least-once.  ``checkpoint`` must be in shared storage.
+    Within a micro-batch the row with the latest ``updated_at`` wins per key; ties are
+    settled by the other columns.  A batch that is replayed after a failure therefore merges
+    to the same content, and the result is exact even though the sink is only at-least-once.
+    By default a later micro-batch always wins, as files are taken to arrive in order; with
+    ``keep_newer`` (a column, such as ``updated_at``) a stored row that is newer stays, and the
+    result no longer depends on how files fall into micro-batches.  ``checkpoint`` must be
+    in shared storage.
     """
     order = list(latest_by) if latest_by else [F.col("updated_at")]
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        table.merge(batch, keys, latest_by=order)
+        table.merge(batch, keys, latest_by=total_order(batch, order), keep_newer=keep_newer)
 
     return (
         stream.writeStream.foreachBatch(merge)

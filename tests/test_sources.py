@@ -13,6 +13,7 @@ from revloom.sources import landing
 from revloom.sources.tables import (
     RAW_ENTITY_SCHEMA,
     VersionedTable,
+    VersionMoved,
     ensure_table,
     raw_blob_schema,
     replace_table,
@@ -330,3 +331,142 @@ def test_stream_merges_pages_as_they_arrive(spark, tmp_path):
     assert run() == {"1": "new", "2": "B2", "3": "C"}
     version = table.version()
     assert run() == {"1": "new", "2": "B2", "3": "C"} and table.version() == version
+
+
+# --- nothing is lost --------------------------------------------------------------------
+
+
+def torn(folder, name, text):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(text)
+    return str(folder)
+
+
+@pytest.mark.parametrize("page_per_line", [False, True])
+def test_a_torn_page_fails_the_read(spark, tmp_path, page_per_line):
+    good = json.dumps({"results": [record("1", "A"), record("2", "B")]})
+    path = torn(tmp_path / "pages", "1.json", good)
+    assert landing.read_pages(spark, path, page_per_line=page_per_line).count() == 2
+    torn(tmp_path / "pages", "2.json", good[: len(good) // 2])
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        landing.read_pages(spark, path, page_per_line=page_per_line).collect()
+
+
+def test_a_bad_timestamp_fails_the_read(spark, tmp_path):
+    bad = record("1", "A") | {"createdAt": "yesterday"}
+    path = torn(tmp_path / "pages", "1.json", json.dumps({"results": [bad]}))
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        landing.read_pages(spark, path).collect()
+
+
+def test_torn_documents_fail_the_read(spark, tmp_path):
+    billing = json.dumps({"subscriptions": [{"subscription_id": "s1", "x": 1}, {"subscription_id": "s2"}]})
+    history = json.dumps({"lifecycle_history": [{"_contact_id": "a", "stage": "lead", "entered_at": "2026-01-01"}]})
+    path = torn(tmp_path / "b", "1.json", billing[:-20])
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        landing.read_subscriptions(spark, path, loaded_at()).collect()
+    path = torn(tmp_path / "h", "1.json", history[:-20])
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        landing.read_lifecycle_history(spark, path).collect()
+
+
+def test_records_one_per_line(spark, tmp_path):
+    rows = [{"subscription_id": f"s{k}", "amount": k, "plan": {"n": k}} for k in range(5)]
+    path = torn(tmp_path / "b", "1.json", "\n".join(map(json.dumps, rows)) + "\n")
+    whole = torn(tmp_path / "d", "1.json", json.dumps({"subscriptions": rows}))
+
+    def read(*args, **options):
+        found = landing.read_subscriptions(spark, *args, loaded_at(), **options)
+        return sorted(map(tuple, found.select("subscription_id", F.to_json("properties")).collect()))
+
+    assert read(path, record_per_line=True) == read(whole)
+    torn(tmp_path / "b", "2.json", '{"subscription_id": "s9"')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        read(path, record_per_line=True)
+
+
+def test_the_latest_stage_entry_is_the_latest_in_time(spark):
+    times = ["2026-01-01T00:00:00Z", "2026-01-01T00:00:00.5Z", "2026-01-01T01:00:00+02:00", None]
+    history = spark.createDataFrame(
+        [("a", "lead", t) for t in times], "_contact_id string, stage string, entered_at string"
+    )
+    ids = spark.createDataFrame([("a", "1")], "_contact_id string, contact_id string")
+    row = landing.raw_lifecycle(history, ids, loaded_at()).select(
+        F.variant_get("properties", "$.entered_at", "string").alias("at")
+    )
+    assert [r["at"] for r in row.collect()] == ["2026-01-01T00:00:00.5Z"]
+
+
+def test_undeclared_columns_are_refused(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "k string, v int")
+    wide = spark.createDataFrame([("a", 1, "x")], "k string, v int, extra string")
+    with pytest.raises(ValueError, match="extra"):
+        table.merge(wide, ["k"])
+    with pytest.raises(ValueError, match="extra"):
+        table.replace(wide)
+    assert table.version() == 0
+
+
+def test_two_writers_from_one_version(spark, tmp_path):
+    schema = "k string, v int"
+    ours, theirs = (VersionedTable(spark, str(tmp_path / "t"), schema) for _ in range(2))
+    ours.merge(spark.createDataFrame([("a", 1)], schema), ["k"])
+    entry = theirs._entry()
+    theirs._entry = lambda version=None: entry  # it read the version before ours committed
+    ours.merge(spark.createDataFrame([("b", 2)], schema), ["k"])
+    with pytest.raises(VersionMoved):
+        theirs.merge(spark.createDataFrame([("c", 3)], schema), ["k"])
+    assert sorted(map(tuple, ours.read().collect())) == [("a", 1), ("b", 2)]
+    del theirs._entry
+    theirs.merge(spark.createDataFrame([("c", 3)], schema), ["k"])
+    assert ours.read().count() == 3
+
+
+def test_a_merge_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "k bigint, v bigint", buckets=8)
+    table.merge(spark.range(400).selectExpr("id as k", "id as v"), ["k"])
+    before = table._entry()["locations"]
+    table.merge(spark.createDataFrame([(7, -7)], "k bigint, v bigint"), ["k"])
+    after = table._entry()["locations"]
+    assert len(before) == len(after) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert table.read().where("v = -7").count() == 1 and table.read().count() == 400
+    assert table.read(1).where("v = 7").count() == 1
+    assert table.prune(keep=1) == 0  # bucket files of the first version are still in use
+    table.replace(spark.range(3).selectExpr("id as k", "id as v"))
+    assert table.prune(keep=1) == 2 and table.read().count() == 3
+    table.merge(spark.createDataFrame([(2, 9), (5, 5)], "k bigint, v bigint"), ["k"])
+    assert sorted(map(tuple, table.read().collect())) == [(0, 0), (1, 1), (2, 9), (5, 5)]
+
+
+def test_only_a_missing_table_is_empty(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "k string")
+    assert table.version() == 0
+    (tmp_path / "t" / "versions").mkdir(parents=True)
+    (tmp_path / "t" / "versions" / "000000000001.json").write_text('{"version": 1, "keys"')
+    with pytest.raises(ValueError):
+        table.version()
+
+
+def test_a_newer_stored_row_can_stay(spark, tmp_path):
+    schema = "k string, v int, at int"
+    table = VersionedTable(spark, str(tmp_path / "t"), schema)
+    table.merge(spark.createDataFrame([("a", 1, 5), ("b", 1, 5)], schema), ["k"])
+    late = spark.createDataFrame([("a", 2, 4), ("b", 2, 6), ("c", 2, 1)], schema)
+    table.merge(late, ["k"], keep_newer="at")
+    assert sorted(map(tuple, table.read().collect())) == [("a", 1, 5), ("b", 2, 6), ("c", 2, 1)]
+    table.merge(late, ["k"])
+    assert sorted(map(tuple, table.read().collect())) == [("a", 2, 4), ("b", 2, 6), ("c", 2, 1)]
+
+
+def test_replayed_ties_merge_to_the_same_rows(spark, tmp_path):
+    schema = "k string, v string, updated_at int"
+    rows = [("a", f"v{n}", 1) for n in range(40)]
+    seen = set()
+    for number, order in enumerate((rows, rows[::-1], rows[20:] + rows[:20])):
+        folder = str(tmp_path / f"in{number}")
+        spark.createDataFrame(order, schema).repartition(5).write.parquet(folder)
+        table = VersionedTable(spark, str(tmp_path / f"t{number}"), schema)
+        stream = spark.readStream.schema(schema).parquet(folder)
+        stream_upsert(stream, table, ["k"], str(tmp_path / f"c{number}")).awaitTermination()
+        seen.update(map(tuple, table.read().collect()))
+    assert len(seen) == 1
