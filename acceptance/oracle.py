@@ -455,53 +455,54 @@ def _report_sql() -> dict[str, str]:
     }
 
 
-# Asserted constraints: table, unique column, further columns free of NULLs.
-_KEYS = """
-    raw_companies hs_object_id properties _loaded_at
-    raw_contacts hs_object_id properties _loaded_at
-    raw_deals hs_object_id properties _loaded_at
-    raw_line_items hs_object_id properties _loaded_at
-    raw_products hs_object_id properties _loaded_at
-    raw_lifecycle event_id properties _loaded_at
-    raw_subscriptions subscription_id properties _loaded_at
-    stg_companies company_id
-    stg_contacts contact_id
-    stg_deals deal_id
-    stg_line_items line_item_id
-    stg_products product_id
-    stg_lifecycle event_id contact_id
-    stg_subscriptions subscription_id deal_id
-    links_contact_company - contact_id company_id
-    links_deal_company - deal_id company_id
-    links_line_item_deal - line_item_id deal_id
-    int_companies company_id
-    int_contacts contact_id email
-    int_deals deal_id amount_usd
-    int_line_items line_item_id
-    int_products product_id
-    int_lifecycle event_id contact_id
-    int_subscriptions subscription_id deal_id
-    int_contact_company_primary - contact_id company_id
-    int_deal_company_primary - deal_id company_id
-    int_line_item_deal_primary - line_item_id deal_id
-    dim_accounts company_id
-    dim_contacts contact_id email
-    fct_deals deal_id amount_usd
-    fct_pipeline stage_id
-    fct_revenue subscription_id deal_id
-    fct_funnel event_id contact_id
-    fct_account_health company_id
-"""
-_REFERENCES = """
-    int_subscriptions deal_id int_deals deal_id
-    dim_contacts company_id dim_accounts company_id
-    fct_deals company_id dim_accounts company_id
-    fct_revenue deal_id fct_deals deal_id
-    fct_revenue company_id dim_accounts company_id
-    fct_funnel contact_id dim_contacts contact_id
-    fct_funnel company_id dim_accounts company_id
-    fct_account_health company_id dim_accounts company_id
-"""
+# Fixed values. Asserted constraints: table, unique column, further columns free of NULLs.
+_KEYS = (
+    ("raw_companies", "hs_object_id", "properties", "_loaded_at"),
+    ("raw_contacts", "hs_object_id", "properties", "_loaded_at"),
+    ("raw_deals", "hs_object_id", "properties", "_loaded_at"),
+    ("raw_line_items", "hs_object_id", "properties", "_loaded_at"),
+    ("raw_products", "hs_object_id", "properties", "_loaded_at"),
+    ("raw_lifecycle", "event_id", "properties", "_loaded_at"),
+    ("raw_subscriptions", "subscription_id", "properties", "_loaded_at"),
+    ("stg_companies", "company_id"),
+    ("stg_contacts", "contact_id"),
+    ("stg_deals", "deal_id"),
+    ("stg_line_items", "line_item_id"),
+    ("stg_products", "product_id"),
+    ("stg_lifecycle", "event_id", "contact_id"),
+    ("stg_subscriptions", "subscription_id", "deal_id"),
+    ("links_contact_company", None, "contact_id", "company_id"),
+    ("links_deal_company", None, "deal_id", "company_id"),
+    ("links_line_item_deal", None, "line_item_id", "deal_id"),
+    ("int_companies", "company_id"),
+    ("int_contacts", "contact_id", "email"),
+    ("int_deals", "deal_id", "amount_usd"),
+    ("int_line_items", "line_item_id"),
+    ("int_products", "product_id"),
+    ("int_lifecycle", "event_id", "contact_id"),
+    ("int_subscriptions", "subscription_id", "deal_id"),
+    ("int_contact_company_primary", None, "contact_id", "company_id"),
+    ("int_deal_company_primary", None, "deal_id", "company_id"),
+    ("int_line_item_deal_primary", None, "line_item_id", "deal_id"),
+    ("dim_accounts", "company_id"),
+    ("dim_contacts", "contact_id", "email"),
+    ("fct_deals", "deal_id", "amount_usd"),
+    ("fct_pipeline", "stage_id"),
+    ("fct_revenue", "subscription_id", "deal_id"),
+    ("fct_funnel", "event_id", "contact_id"),
+    ("fct_account_health", "company_id"),
+)
+# Asserted references: child table, child column, parent table, parent column.
+_REFERENCES = (
+    ("int_subscriptions", "deal_id", "int_deals", "deal_id"),
+    ("dim_contacts", "company_id", "dim_accounts", "company_id"),
+    ("fct_deals", "company_id", "dim_accounts", "company_id"),
+    ("fct_revenue", "deal_id", "fct_deals", "deal_id"),
+    ("fct_revenue", "company_id", "dim_accounts", "company_id"),
+    ("fct_funnel", "contact_id", "dim_contacts", "contact_id"),
+    ("fct_funnel", "company_id", "dim_accounts", "company_id"),
+    ("fct_account_health", "company_id", "dim_accounts", "company_id"),
+)
 
 
 def _table(name: str) -> str:
@@ -520,25 +521,24 @@ def _column(name: str, column: str) -> str:
 
 
 def _check_sql() -> dict[str, str]:
-    rows = [line.split() for line in _KEYS.strip().splitlines()]
     unique = [
         f"""SELECT 'unique:{t}.{key}' AS test, count(*) AS failures FROM
             (SELECT {_column(t, key)} FROM {_table(t)} WHERE {_column(t, key)} IS NOT NULL
              GROUP BY 1 HAVING count(*) > 1)"""
-        for t, key, *_ in rows
-        if key != "-"
+        for t, key, *_ in _KEYS
+        if key
     ]
     not_null = [
         f"""SELECT 'not_null:{t}.{c}' AS test, count(*) AS failures FROM {_table(t)}
             WHERE {_column(t, c)} IS NULL"""
-        for t, *columns in rows
+        for t, *columns in _KEYS
         for c in columns
-        if c != "-"
+        if c
     ]
     references = [
         f"""SELECT 'relationship:{child}.{c}->{parent}.{p}' AS test, count(*) AS failures FROM {child}
             WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {p} FROM {parent})"""
-        for child, c, parent, p in (line.split() for line in _REFERENCES.strip().splitlines())
+        for child, c, parent, p in _REFERENCES
     ]
     in_range = """SELECT 'account_health_score_in_range' AS test, count(*) AS failures FROM fct_account_health
         WHERE account_health_score IS NULL OR account_health_score NOT BETWEEN 0 AND 100"""
@@ -558,6 +558,7 @@ def _check_sql() -> dict[str, str]:
     return {
         "dq_unique": " UNION ALL ".join(unique),
         "dq_not_null": " UNION ALL ".join(not_null),
+        "dq_keys": " UNION ALL ".join(unique + not_null),
         "dq_relationships": " UNION ALL ".join(references),
         "dq_health_range": in_range,
         "dq_revenue_only_won": only_won,
@@ -567,37 +568,67 @@ def _check_sql() -> dict[str, str]:
     }
 
 
-# Property of the blob = staging column it carries, per object.
+# Fixed values. Per object the properties of its blob and the staging columns they carry.
+_DATES = (("createdate", "created_at_hubspot"), ("hs_lastmodifieddate", "modified_at_hubspot"))
 _PROPERTIES = {
-    "companies": """name=name domain=domain industry=industry numberofemployees=employee_count
-        annualrevenue=annual_revenue_usd city=city country=country createdate=created_at_hubspot
-        hs_lastmodifieddate=modified_at_hubspot""",
-    "deals": """dealname=deal_name amount=amount_usd dealstage=stage_id dealtype=deal_type
-        pipeline=pipeline_id closedate=close_date createdate=created_at_hubspot
-        hs_lastmodifieddate=modified_at_hubspot""",
-    "products": """name=product_name price=unit_price_usd hs_sku=sku createdate=created_at_hubspot
-        hs_lastmodifieddate=modified_at_hubspot""",
+    "companies": (
+        ("name", "name"),
+        ("domain", "domain"),
+        ("industry", "industry"),
+        ("numberofemployees", "employee_count"),
+        ("annualrevenue", "annual_revenue_usd"),
+        ("city", "city"),
+        ("country", "country"),
+        *_DATES,
+    ),
+    "contacts": (
+        ("firstname", "first_name"),
+        ("lastname", "last_name"),
+        ("email", "email"),
+        ("jobtitle", "job_title"),
+        ("phone", "phone"),
+        ("lifecyclestage", "lifecycle_stage"),
+        *_DATES,
+    ),
+    "deals": (
+        ("dealname", "deal_name"),
+        ("amount", "amount_usd"),
+        ("dealstage", "stage_id"),
+        ("dealtype", "deal_type"),
+        ("pipeline", "pipeline_id"),
+        ("closedate", "close_date"),
+        *_DATES,
+    ),
+    "line_items": (
+        ("name", "product_name"),
+        ("quantity", "quantity"),
+        ("price", "unit_price_usd"),
+        ("amount", "total_amount_usd"),
+        ("hs_product_id", "product_id"),
+        *_DATES,
+    ),
+    "products": (("name", "product_name"), ("price", "unit_price_usd"), ("hs_sku", "sku"), *_DATES),
 }
 
 
 def _observed_sql() -> str:
-    parts = []
-    for entity, pairs in _PROPERTIES.items():
-        for pair in pairs.split():
-            name, column = pair.split("=")
-            parts.append(
-                f"""SELECT '{entity}' AS object_type, '{name}' AS name,
-                CASE WHEN count({column}) > 0 THEN 'string' ELSE 'unknown' END AS type,
-                'required' AS field_type FROM stg_{entity}"""
-            )
-    return " UNION ALL ".join(parts)
+    return " UNION ALL ".join(
+        f"""SELECT '{entity}' AS object_type, '{name}' AS name,
+        CASE WHEN count({column}) > 0 THEN 'string' ELSE 'unknown' END AS type,
+        'required' AS field_type FROM stg_{entity}"""
+        for entity, pairs in _PROPERTIES.items()
+        for name, column in pairs
+    )
 
 
 def _live_sql() -> str:
     """The observed contract after the change of the sources."""
     return f"""
-        SELECT object_type, CASE WHEN name = 'dealtype' THEN 'deal_kind' ELSE name END AS name,
-               CASE WHEN object_type = 'deals' AND name = 'amount' THEN 'number' ELSE type END AS type, field_type
+        SELECT object_type,
+               CASE WHEN object_type = 'deals' AND name = 'dealtype' THEN 'deal_kind' ELSE name END AS name,
+               CASE WHEN object_type = 'deals' AND name = 'amount' THEN 'number|string' ELSE type END AS type,
+               CASE WHEN object_type = 'deals' AND name = 'closedate' THEN 'optional' ELSE field_type END
+                   AS field_type
         FROM ({_observed_sql()})
         UNION ALL SELECT 'products', 'currency', 'string', 'required'"""
 
@@ -619,6 +650,9 @@ def _contract_sql() -> dict[str, str]:
     return {
         "contract_observed": _observed_sql(),
         "contract_diff": _diff_sql(),
+        "contract_normalize": f"""SELECT l.* FROM ({_live_sql()}) l
+            SEMI JOIN ({_observed_sql()}) b ON l.object_type = b.object_type AND l.name = b.name""",
+        "contract_snapshot": _observed_sql(),
         "contract_status": f"""SELECT {severity.format("breaking", "informational", "none")} AS status,
             CAST({severity.format(1, 2, 0)} AS INTEGER) AS exit_code,
             count(*) FILTER (change = 'removed') AS removed, count(*) FILTER (change = 'changed') AS changed,
@@ -627,12 +661,30 @@ def _contract_sql() -> dict[str, str]:
             COALESCE(d.details, '') AS details
             FROM (SELECT object_type, count(*) AS tracked FROM ({_observed_sql()}) GROUP BY 1) t
             LEFT JOIN (SELECT object_type, {severity.format("FAIL", "WARN", "OK")} AS status,
-                              string_agg(upper(change) || ' ' || name, '; ' ORDER BY upper(change) || ' ' || name)
-                                  AS details
-                       FROM ({_diff_sql()}) GROUP BY 1) d ON t.object_type = d.object_type""",
+                              string_agg(line, '; ' ORDER BY line) AS details
+                       FROM (SELECT *, upper(change) || ' ' || name || CASE WHEN change = 'changed'
+                                 THEN ' (' || was_type || '/' || was_field_type || ' -> ' || now_type || '/'
+                                      || now_field_type || ')' ELSE '' END AS line
+                             FROM ({_diff_sql()})) GROUP BY 1) d ON t.object_type = d.object_type""",
     }
 
 
+# Deal links of RAW rows of which every third came twice, and their pairs.
+_LINKS_TWICE = """
+    SELECT * FROM links_deal_company
+    UNION ALL
+    SELECT CAST(o_orderkey AS VARCHAR), CAST(o_custkey + d.step AS VARCHAR), d.kind, o_orderdate + INTERVAL 54 HOUR
+    FROM orders, (VALUES (-1, 'deal_to_company_unlabeled'), (1, 'deal_to_company'), (0, NULL)) d(step, kind)
+    WHERE o_orderkey % 3 = 0"""
+# A labeled row wins; else a type before none, then the earlier load.
+_PAIRS_TWICE = f"""
+    SELECT deal_id, company_id, bool_or(COALESCE(link_type = 'deal_to_company', false)) AS labeled,
+           min(_loaded_at) FILTER (link_type = 'deal_to_company') AS labeled_at,
+           min(link_type) FILTER (link_type <> 'deal_to_company') AS other,
+           COALESCE(min(_loaded_at) FILTER (link_type <> 'deal_to_company'), min(_loaded_at)) AS other_at
+    FROM ({_LINKS_TWICE}) GROUP BY deal_id, company_id"""
+
+
 def _raw_sql() -> dict[str, str]:
     again = """SELECT deal_id, CASE WHEN {later} THEN deal_name || ' (again)' ELSE deal_name END AS deal_name,
         amount_usd, CASE WHEN {later} THEN _loaded_at + INTERVAL 10 DAY ELSE _loaded_at END AS _loaded_at
@@ -645,9 +697,43 @@ def _raw_sql() -> dict[str, str]:
             CASE WHEN started_at >= TIMESTAMP '1999-01-01' THEN 'churned' ELSE status END AS status
             FROM stg_subscriptions""",
         "incremental_upsert": again.format(later=f"_loaded_at + INTERVAL 10 DAY > {mark}"),
-        "stream_upsert": """SELECT CAST(o_orderkey AS VARCHAR) AS deal_id, o_orderstatus AS status,
-            CAST(o_totalprice AS DECIMAL(18,2)) AS amount_usd, CAST(o_orderdate AS TIMESTAMP) AS updated_at
+        "stream_upsert": """SELECT CAST(o_orderkey AS VARCHAR) AS deal_id,
+            CASE WHEN o_orderkey % 2 = 1 THEN 'U' ELSE o_orderstatus END AS status,
+            CAST(o_totalprice AS DECIMAL(18,2)) AS amount_usd,
+            o_orderdate + CASE WHEN o_orderkey % 2 = 1 THEN INTERVAL 2 DAY ELSE INTERVAL 0 DAY END AS updated_at
             FROM orders""",
+        "ingest_subscriptions": "SELECT * EXCLUDE (_loaded_at) FROM stg_subscriptions",
+        "ingest_lifecycle": """SELECT CAST(t.id AS VARCHAR) || '_' || stage AS event_id,
+            CAST(t.id AS VARCHAR) AS contact_id, stage AS lifecycle_stage, max(ts) AS entered_at,
+            TIMESTAMP '2024-02-01 12:00:00' AS _loaded_at
+            FROM touches t WHERE t.id % 31 <> 0 GROUP BY t.id, stage""",
+        "stage_metadata": """SELECT CAST(r_regionkey AS VARCHAR) AS pipeline_id, r_name AS pipeline_label,
+            CAST(n_nationkey AS VARCHAR) AS stage_id, n_name AS stage_label,
+            CAST(n_nationkey AS INTEGER) AS display_order,
+            CAST(CAST(n_nationkey / 100 AS DECIMAL(4,2)) AS VARCHAR) AS probability,
+            CASE WHEN n_nationkey % 5 = 0 THEN 'true' ELSE 'false' END AS is_closed
+            FROM nation JOIN region ON n_regionkey = r_regionkey""",
+        "raw_text_blobs": """SELECT deal_id,
+            CASE WHEN o.keep THEN deal_name END AS deal_name, CASE WHEN o.keep THEN amount_usd END AS amount_usd,
+            CASE WHEN o.keep THEN stage_id END AS stage_id, CASE WHEN o.keep THEN deal_type END AS deal_type,
+            CASE WHEN o.keep THEN close_date END AS close_date,
+            CASE WHEN o.keep THEN created_at_hubspot END AS created_at_hubspot,
+            CASE WHEN o.keep THEN modified_at_hubspot END AS modified_at_hubspot, _loaded_at
+            FROM (SELECT *, CAST(deal_id AS BIGINT) % 3 <> 0 AS keep FROM stg_deals) o""",
+        "view_sql": """SELECT a.country, count(DISTINCT d.deal_id) AS deals,
+            CAST(sum(d.amount_usd) AS DECIMAL(28,2)) AS won_usd,
+            count(DISTINCT s.subscription_id) AS subscriptions
+            FROM dim_accounts a JOIN fct_deals d ON d.company_id = a.company_id
+            LEFT JOIN int_subscriptions s ON s.deal_id = d.deal_id WHERE d.is_won GROUP BY a.country""",
+        "links_deal_company_across_rows": f"""SELECT deal_id, company_id,
+            CASE WHEN labeled THEN 'deal_to_company' ELSE other END AS link_type,
+            CASE WHEN labeled THEN labeled_at ELSE other_at END AS _loaded_at
+            FROM ({_PAIRS_TWICE})""",
+        "int_deal_company_across_rows": f"""SELECT deal_id, company_id, _loaded_at FROM (
+            SELECT *, row_number() OVER (PARTITION BY deal_id ORDER BY
+                       CASE WHEN link_type = 'deal_to_company' THEN 0 ELSE 1 END, company_id, _loaded_at) AS rn
+            FROM ({_LINKS_TWICE})) WHERE rn = 1""",
+        "int_contacts_across_rows": "SELECT * FROM int_contacts",
         "ingest_pages": "SELECT * FROM stg_companies",
         "lifecycle_id_resolution": """SELECT CAST(t.id AS VARCHAR) || '_' || stage AS event_id,
             CAST(t.id AS VARCHAR) AS contact_id, stage AS lifecycle_stage, max(ts) AS entered_at,

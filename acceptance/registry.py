@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from acceptance.fixtures import FRESH_AS_OF, SYNCED_AT, Fixture, api_records, raw_rows
 from revloom.operators import contract, fixed_size_batches, quality
 from revloom.operators.upsert import incremental_upsert, upsert
-from revloom.plans import checks, export, metrics, reports, staging
+from revloom.plans import checks, clean, export, metrics, reports, staging
 from revloom.plans.model import RevenueModel, Staged, build_marts
+from revloom.plans.views import register_views
 from revloom.session import has_scratch, name_scratch_root, prepare, scratch_path
-from revloom.sources import landing
+from revloom.sources import ingest, landing
 from revloom.sources.tables import VersionedTable
 from revloom.streaming import stream_upsert
 from revloom.vocab import tracked_names
@@ -42,6 +43,97 @@ def _staging_queries() -> dict[str, Query]:
     return found
 
 
+def _twice_delivered(fixture: Fixture) -> DataFrame:
+    """RAW deals of which every third came again a day later, with other associations.
+
+    The second delivery adds a company with a smaller id, unlabeled, one with a larger id,
+    labeled, and repeats the first one without a label.
+    """
+    deals = fixture.entity("deals")
+    link = "named_struct('id', cast({} as string), 'type', {})"
+    own = "cast(associations.companies.results[0].id as bigint)"
+    again = deals.where("cast(deal_id as bigint) % 3 = 0").selectExpr(
+        *[c for c in deals.columns if c not in ("associations", "_loaded_at")],
+        "_loaded_at + interval 1 day as _loaded_at",
+        "named_struct('companies', named_struct('results', array("
+        + ", ".join(
+            [
+                link.format(f"{own} - 1", "'deal_to_company_unlabeled'"),
+                link.format(f"{own} + 1", "'deal_to_company'"),
+                link.format(own, "cast(null as string)"),
+            ]
+        )
+        + "))) as associations",
+    )
+    return raw_rows("deals", deals.unionByName(again))
+
+
+def _across_rows_queries() -> dict[str, Query]:
+    def pairs(fixture: Fixture) -> DataFrame:
+        return staging.links("deal_company", _twice_delivered(fixture), keyed=False)
+
+    def best(fixture: Fixture) -> DataFrame:
+        return clean.int_deal_company_primary(staging.exploded_links("deal_company", _twice_delivered(fixture)))
+
+    def contacts(fixture: Fixture) -> DataFrame:
+        staged = fixture.staged(keyed=False)
+        return clean.int_contacts(staged.contacts, staged.contact_company_links)
+
+    return {
+        "links_deal_company_across_rows": _fixture(pairs),
+        "int_deal_company_across_rows": _fixture(best),
+        "int_contacts_across_rows": _fixture(contacts),
+    }
+
+
+def _view_sql(fixture: Fixture) -> DataFrame:
+    """A user's statement over the registered views."""
+    register_views(fixture.model(), _marts(fixture).__getitem__)
+    return fixture.spark.sql(
+        """
+        select a.country, count(distinct d.deal_id) as deals, sum(d.amount_usd) as won_usd,
+               count(distinct s.subscription_id) as subscriptions
+        from dim_accounts a
+        join fct_deals d on d.company_id = a.company_id
+        left join int_billing__subscriptions s on s.deal_id = d.deal_id
+        where d.is_won
+        group by a.country
+        """
+    )
+
+
+def _stage_metadata(fixture: Fixture) -> DataFrame:
+    """A pipeline per region whose stages are its nations, as saved metadata pages."""
+    nations = fixture.table("nation").selectExpr(
+        "n_regionkey",
+        "named_struct('id', cast(n_nationkey as string), 'label', n_name, 'displayOrder', cast(n_nationkey as int), "
+        "'metadata', named_struct('probability', cast(n_nationkey / 100 as decimal(4,2)), "
+        "'isClosed', cast(n_nationkey % 5 = 0 as string))) as stage",
+    )
+    pipelines = (
+        nations.groupBy("n_regionkey")
+        .agg(F.sort_array(F.collect_list("stage")).alias("stages"))
+        .join(fixture.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .selectExpr("named_struct('id', cast(r_regionkey as string), 'label', r_name, 'stages', stages) as pipeline")
+    )
+    page = pipelines.agg(F.sort_array(F.collect_list("pipeline")).alias("results"))
+    path = _scratch(fixture.spark, "stages")
+    page.select(F.to_json(F.struct("results")).alias("value")).write.text(path)
+    return landing.read_stages(fixture.spark, path)
+
+
+def _text_blobs(fixture: Fixture) -> DataFrame:
+    """Deals whose blobs arrive as JSON text; a third of them without any text."""
+    records = api_records("deals", fixture.entity("deals"))
+    text = F.to_json("properties", {"ignoreNullFields": "false"})
+    rows = records.select(
+        F.col("hs_object_id").cast("bigint").alias("hs_object_id"),
+        F.when(F.col("hs_object_id").cast("bigint") % 3 != 0, text).alias("properties"),
+        "_loaded_at",
+    )
+    return staging.stage("deals", landing.raw_from_text(rows, "hs_object_id")).drop("pipeline_id")
+
+
 def _clean_queries() -> dict[str, Query]:
     names = (
         "int_companies",
@@ -153,9 +245,21 @@ def _report_queries() -> dict[str, Query]:
 # --- checks and contracts --------------------------------------------------------------
 
 
+_built: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def _marts(fixture: Fixture) -> dict[str, DataFrame]:
+    """The stored marts, built once per session and input."""
+    key = (fixture.spark.sparkContext.applicationId, fixture.sf_dir)
+    if key not in _built:
+        path = _scratch(fixture.spark, "marts")
+        _built[key] = build_marts(fixture.spark, fixture.staged(), fixture.as_of, path)
+    return _built[key]
+
+
 def _tables(fixture: Fixture) -> Callable[[str], DataFrame]:
-    """Any table of the model by the name the checks use."""
-    model = fixture.model()
+    """Any table of the model by the name the checks use; marts are the stored ones."""
+    model, marts = fixture.model(), _marts(fixture)
 
     def table(name: str) -> DataFrame:
         layer, _, rest = name.partition("_")
@@ -165,78 +269,95 @@ def _tables(fixture: Fixture) -> Callable[[str], DataFrame]:
             return getattr(model.staged, rest)
         if layer == "links":
             return getattr(model.staged, f"{rest}_links")
-        return model.unnamed(name)
+        return marts[name] if name in marts else getattr(model, name)
 
     return table
 
 
+_CRM = ("companies", "contacts", "deals", "line_items", "products")
+
+
+def _contract_of(raw: DataFrame, entity: str) -> DataFrame:
+    return contract.contract_from_blobs(raw, entity, tracked=tracked_names(entity))
+
+
 def _observed(fixture: Fixture) -> DataFrame:
-    entities = ("companies", "deals", "products")
-    return quality.all_of([contract.contract_from_blobs(fixture.raw(e), e) for e in entities])
+    return quality.all_of([_contract_of(fixture.raw(e), e) for e in _CRM])
 
 
 def _observed_after_change(fixture: Fixture) -> DataFrame:
-    """The same sources after the CRM retyped, renamed and added properties."""
+    """The same sources after the CRM retyped, renamed, dropped and added properties."""
+    text = {name: F.variant_get("properties", f"$.{name}", "string").alias(name) for name in tracked_names("deals")}
+    renamed = [column.alias("deal_kind") if name == "dealtype" else column for name, column in text.items()]
+    plain = [column for name, column in zip(text, renamed, strict=True) if name not in ("amount", "closedate")]
+    amount = F.variant_get("properties", "$.amount", "decimal(18,2)").alias("amount")
+    # Every third deal still sends its amount as text, every fifth has no close date at all.
+    number = F.col("hs_object_id").cast("bigint")
     deals = raw_rows("deals", fixture.entity("deals")).select(
-        F.to_variant_object(
-            F.struct(
-                F.variant_get("properties", "$.dealname", "string").alias("dealname"),
-                F.variant_get("properties", "$.amount", "decimal(18,2)").alias("amount"),
-                F.variant_get("properties", "$.dealstage", "string").alias("dealstage"),
-                F.variant_get("properties", "$.dealtype", "string").alias("deal_kind"),
-                F.variant_get("properties", "$.pipeline", "string").alias("pipeline"),
-                F.variant_get("properties", "$.closedate", "string").alias("closedate"),
-                F.variant_get("properties", "$.createdate", "string").alias("createdate"),
-                F.variant_get("properties", "$.hs_lastmodifieddate", "string").alias("hs_lastmodifieddate"),
-            )
-        ).alias("properties")
+        F.when(number % 5 == 0, F.to_variant_object(F.struct(*plain, amount)))
+        .when(number % 3 == 0, F.to_variant_object(F.struct(*plain, text["amount"], text["closedate"])))
+        .otherwise(F.to_variant_object(F.struct(*plain, amount, text["closedate"])))
+        .alias("properties")
     )
     products = api_records("products", fixture.entity("products")).select(
         F.to_variant_object(F.struct("properties.*", F.lit("USD").alias("currency"))).alias("properties")
     )
-    return quality.all_of(
-        [
-            contract.contract_from_blobs(fixture.raw("companies"), "companies"),
-            contract.contract_from_blobs(deals, "deals"),
-            contract.contract_from_blobs(products, "products"),
-            # Not in the baseline, hence ignored by the comparison.
-            contract.contract_from_blobs(fixture.raw("subscriptions"), "subscriptions"),
-        ]
-    )
+    changed = {"deals": deals, "products": products}
+    live = [_contract_of(changed[e] if e in changed else fixture.raw(e), e) for e in _CRM]
+    # Not in the baseline, hence ignored by the comparison.
+    live.append(contract.contract_from_blobs(fixture.raw("subscriptions"), "subscriptions"))
+    return quality.all_of(live)
 
 
 def _changes(fixture: Fixture) -> DataFrame:
     return contract.diff(_observed(fixture), _observed_after_change(fixture))
 
 
+def _normalized(fixture: Fixture) -> DataFrame:
+    """A property catalog with more properties and fields than the contract tracks."""
+    catalog = _observed_after_change(fixture).select(
+        "object_type", "name", "type", F.col("field_type").alias("fieldType"), F.upper("name").alias("label")
+    )
+    rows = [(entity, name) for entity in _CRM for name in tracked_names(entity)]
+    return contract.contract_from_catalog(catalog, fixture.spark.createDataFrame(rows, "object_type string, name string"))
+
+
+def _snapshot(fixture: Fixture) -> DataFrame:
+    path = _scratch(fixture.spark, "contract")
+    contract.write_snapshot(_observed(fixture), f"{path}/accepted")
+    return contract.read_snapshot(fixture.spark, f"{path}/accepted")
+
+
 def _check_queries() -> dict[str, Query]:
     return {
         "dq_unique": _fixture(lambda f: checks.unique_tests(_tables(f))),
         "dq_not_null": _fixture(lambda f: checks.not_null_tests(_tables(f))),
         "dq_relationships": _fixture(lambda f: checks.relationship_tests(_tables(f))),
-        "dq_health_range": _model(
-            lambda m: quality.expect_none(
-                checks.health_out_of_range(m.fct_account_health), "account_health_score_in_range"
+        "dq_keys": _fixture(lambda f: checks.key_tests(_tables(f))),
+        "dq_health_range": _fixture(
+            lambda f: quality.expect_none(
+                checks.health_out_of_range(_tables(f)("fct_account_health")), "account_health_score_in_range"
             )
         ),
-        "dq_revenue_only_won": _model(
-            lambda m: quality.expect_none(
-                checks.revenue_of_unwon_deals(m.revenue, m.deals), "revenue_only_won_deals"
+        "dq_revenue_only_won": _fixture(
+            lambda f: quality.expect_none(
+                checks.revenue_of_unwon_deals(_tables(f)("fct_revenue"), _tables(f)("fct_deals")),
+                "revenue_only_won_deals",
             )
         ),
-        "dq_mrr_reconciliation": _model(
-            lambda m: quality.expect_none(checks.mrr_gaps(m.revenue), "mrr_reconciliation")
+        "dq_mrr_reconciliation": _fixture(
+            lambda f: quality.expect_none(checks.mrr_gaps(_tables(f)("fct_revenue")), "mrr_reconciliation")
         ),
         "dq_invariants": _fixture(lambda f: checks.invariant_tests(_tables(f))),
         "dq_freshness": _fixture(
-            lambda f: checks.freshness_tests(
-                f.entity, F.lit(FRESH_AS_OF).cast("timestamp")
-            )
+            lambda f: checks.freshness_tests(f.raw, F.lit(FRESH_AS_OF).cast("timestamp"))
         ),
         "contract_observed": _fixture(_observed),
         "contract_diff": _fixture(_changes),
         "contract_status": _fixture(lambda f: contract.status(_changes(f))),
         "contract_report": _fixture(lambda f: contract.report(_observed(f), _changes(f))),
+        "contract_normalize": _fixture(_normalized),
+        "contract_snapshot": _fixture(_snapshot),
     }
 
 
@@ -325,26 +446,61 @@ def _ingest_pages(fixture: Fixture) -> DataFrame:
     return staging.stage("companies", landing.raw_envelope(landed, loaded))
 
 
+def _ingest_subscriptions(fixture: Fixture) -> DataFrame:
+    """Billing documents by month into the stored table; the second load repeats a month."""
+    moment = F.lit("2024-01-31 06:00:00").cast("timestamp")
+    records = api_records("subscriptions", fixture.entity("subscriptions")).selectExpr(
+        "named_struct('subscription_id', subscription_id, 'body', properties) as r", "_loaded_at"
+    )
+    one = F.struct(F.col("r.subscription_id").alias("subscription_id"), "r.body.*")
+    lines = records.select(F.to_json(one, {"ignoreNullFields": "false"}).alias("value"), "_loaded_at")
+    path = _scratch(fixture.spark, "billing")
+    cut = F.lit("1996-01-01").cast("timestamp")
+    lines.where(F.col("_loaded_at") < cut).select("value").write.text(f"{path}/old")
+    lines.where(F.col("_loaded_at") >= F.expr("timestamp'1995-12-01'")).select("value").write.text(f"{path}/new")
+    table = ingest.raw_table(fixture.spark, f"{path}/raw", "subscriptions")
+    for part in ("old", "new", "new"):
+        raw = landing.read_subscriptions(fixture.spark, f"{path}/{part}", moment, record_per_line=True)
+        table.merge(raw, ["subscription_id"])
+    return staging.stage("subscriptions", table.read()).drop("_loaded_at")
+
+
+def _ingest_lifecycle(fixture: Fixture) -> DataFrame:
+    """The stage history, one record per line, loaded twice into the stored table."""
+    path = _scratch(fixture.spark, "history")
+    _history(fixture).select(F.to_json(F.struct("*")).alias("value")).write.text(f"{path}/files")
+    moment = F.lit(SYNCED_AT).cast("timestamp")
+    for _ in range(2):
+        ingest.ingest_lifecycle(
+            fixture.spark, f"{path}/files", _id_map(fixture), f"{path}/raw", moment, record_per_line=True
+        )
+    return staging.stage("lifecycle", ingest.raw_table(fixture.spark, f"{path}/raw", "lifecycle").read())
+
+
 def _stream_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders arrive as a stream and are merged into a stored table."""
+    """Orders arrive as a stream of three files and are merged into a stored table.
+
+    The second file updates every other order and repeats each of its keys; the third is
+    late: older rows, which must not replace newer ones.
+    """
     prepare(spark)
-    # A pattern, because a stream takes a folder or a pattern and the table may be one file.
-    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
-    stream = (
-        spark.readStream.schema(schema)
-        .parquet(f"{sf_dir}/orders.parque[t]")
-        .selectExpr(
-            "cast(o_orderkey as string) as deal_id",
-            "o_orderstatus as status",
-            "cast(o_totalprice as decimal(18,2)) as amount_usd",
-            "cast(o_orderdate as timestamp) as updated_at",
-        )
+    schema = "deal_id string, status string, amount_usd decimal(18,2), updated_at timestamp"
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "cast(o_orderkey as string) as deal_id",
+        "o_orderstatus as status",
+        "cast(o_totalprice as decimal(18,2)) as amount_usd",
+        "cast(o_orderdate as timestamp) as updated_at",
     )
+    odd = orders.where("cast(deal_id as bigint) % 2 = 1")
     path = _scratch(spark, "stream")
-    table = VersionedTable(
-        spark, f"{path}/table", "deal_id string, status string, amount_usd decimal(18,2), updated_at timestamp"
-    )
-    stream_upsert(stream, table, ["deal_id"], f"{path}/checkpoint").awaitTermination()
+    update = odd.withColumns({"status": F.lit("U"), "updated_at": F.expr("updated_at + interval 2 days")})
+    repeat = odd.withColumns({"status": F.lit("R"), "updated_at": F.expr("updated_at + interval 1 day")})
+    late = orders.withColumns({"status": F.lit("L"), "updated_at": F.expr("updated_at - interval 1 day")})
+    table = VersionedTable(spark, f"{path}/table", schema)
+    for number, rows in enumerate((orders, update.unionByName(repeat), late)):
+        rows.write.mode("append").parquet(f"{path}/files/{number}")
+        stream = spark.readStream.schema(schema).parquet(f"{path}/files/*")
+        stream_upsert(stream, table, ["deal_id"], f"{path}/checkpoint", keep_newer="updated_at").awaitTermination()
     return table.read()
 
 
@@ -359,6 +515,11 @@ def _raw_queries() -> dict[str, Query]:
         "incremental_upsert": _fixture(_upsert_incremental),
         "stream_upsert": _stream_deals,
         "ingest_pages": _fixture(_ingest_pages),
+        "ingest_subscriptions": _fixture(_ingest_subscriptions),
+        "ingest_lifecycle": _fixture(_ingest_lifecycle),
+        "stage_metadata": _fixture(_stage_metadata),
+        "raw_text_blobs": _fixture(_text_blobs),
+        "view_sql": _fixture(_view_sql),
         "lifecycle_id_resolution": _fixture(_lifecycle_load),
         "lifecycle_unmapped": _fixture(lambda f: landing.unmapped_events(_history(f), _id_map(f))),
         "won_deal_scan": _fixture(lambda f: landing.won_deals(f.raw("deals"))),
@@ -372,6 +533,7 @@ def all_queries() -> dict[str, Query]:
     return {
         **_staging_queries(),
         **_clean_queries(),
+        **_across_rows_queries(),
         **_mart_queries(),
         **_metric_queries(),
         **_report_queries(),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CONTRACT_SCHEMA = "object_type string, name string, type string, field_type string"
@@ -43,36 +43,54 @@ def contract_from_schema(df: DataFrame, object_type: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, CONTRACT_SCHEMA)
 
 
-def contract_from_blobs(raw: DataFrame, object_type: str, blob: str = "properties") -> DataFrame:
+def _kind(value: Column) -> Column:
+    """The kind of a JSON value: string, number, boolean, object, array; NULL for a JSON null."""
+    # The bare type name: without the parameters of DECIMAL(..), ARRAY<..>, OBJECT<..>.
+    bare = F.substring_index(F.substring_index(F.schema_of_variant(value), "(", 1), "<", 1)
+    return (
+        F.when(bare == "VOID", F.lit(None))
+        .when(bare.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "number")
+        .otherwise(F.lower(bare))
+    )
+
+
+def contract_from_blobs(
+    raw: DataFrame, object_type: str, blob: str = "properties", tracked: Sequence[str] = ()
+) -> DataFrame:
     """The contract a VARIANT column actually follows, from all its rows.
 
     The type is the kind of JSON value seen (string, number, boolean, ...), several joined
     by '|', 'unknown' when only nulls were seen; the field type tells whether the property
-    was present in every row.  Distinct kinds per property are a handful, and counts are
-    reduced in the map tasks, so neither step carries a group of rows.
+    was present in every row.
+
+    ``tracked`` names are read off their own paths and counted in one aggregate, without a
+    row per property.  Whatever else a blob holds is taken apart row by row, which costs
+    nothing where there is nothing else.
     """
-    # One explode for the keys, and the object count from the same pass (position 0 of
-    # each object; an object without any key has no property to report on anyway).
-    seen = raw.select(blob).lateralJoin(
-        raw.sparkSession.tvf.variant_explode(F.col(blob).outer())
-    )
-    # The bare type name: without the parameters of DECIMAL(..), ARRAY<..>, OBJECT<..>.
-    kind = F.substring_index(F.substring_index(F.schema_of_variant("value"), "(", 1), "<", 1)
-    kind = (
-        F.when(kind == "VOID", F.lit(None))
-        .when(kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "number")
-        .otherwise(F.lower(kind))
-    )
-    per_kind = seen.groupBy(F.col("key").alias("name"), kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
-    total = raw.where(F.col(blob).isNotNull()).agg(F.count(F.lit(1))).scalar()
-    per_name = per_kind.groupBy("name").agg(
-        F.concat_ws("|", F.array_sort(F.collect_set("kind"))).alias("type"), F.sum("n").alias("n")
-    )
-    return per_name.select(
+    rows = raw.select(blob).where(F.col(blob).isNotNull())
+    names = list(dict.fromkeys(tracked))
+    columns = [F.variant_get(blob, f"$['{name}']", "variant").alias(f"_{i}") for i, name in enumerate(names)]
+    aggregates = [F.count(F.lit(1)).alias("total")]
+    for i, _ in enumerate(names):
+        aggregates += [F.count(f"_{i}").alias(f"n{i}"), F.collect_set(_kind(F.col(f"_{i}"))).alias(f"k{i}")]
+    once = rows.select(F.col(blob), *columns).agg(*aggregates)
+    seen = [F.struct(F.lit(n).alias("name"), F.col(f"k{i}").alias("kinds"), F.col(f"n{i}").alias("n"), "total")
+            for i, n in enumerate(names)]
+    parts = []
+    if seen:
+        parts.append(once.select(F.inline(F.array(*seen))).where("n > 0"))
+    rest = F.map_filter(F.col(blob).cast("map<string,variant>"), lambda name, _: ~name.isin(names))
+    others = rows.select(F.explode(rest).alias("name", "value")).groupBy("name", _kind(F.col("value")).alias("kind"))
+    others = others.agg(F.count(F.lit(1)).alias("n")).groupBy("name")
+    others = others.agg(F.collect_set("kind").alias("kinds"), F.sum("n").alias("n"))
+    parts.append(others.withColumn("total", rows.agg(F.count(F.lit(1))).scalar()))
+    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    kinds = F.concat_ws("|", F.array_sort("kinds"))
+    return found.select(
         F.lit(object_type).alias("object_type"),
         "name",
-        F.when(F.col("type") == "", "unknown").otherwise(F.col("type")).alias("type"),
-        F.when(F.col("n") == total, "required").otherwise("optional").alias("field_type"),
+        F.when(kinds == "", "unknown").otherwise(kinds).alias("type"),
+        F.when(F.col("n") == F.col("total"), "required").otherwise("optional").alias("field_type"),
     )
 
 
@@ -137,8 +155,17 @@ def status(changes: DataFrame) -> DataFrame:
 
 
 def report(baseline: DataFrame, changes: DataFrame) -> DataFrame:
-    """Per object: ``(object_type, status, tracked, details)`` with status OK, WARN or FAIL."""
-    line = F.concat_ws(" ", F.upper("change"), "name")
+    """Per object: ``(object_type, status, tracked, details)`` with status OK, WARN or FAIL.
+
+    A changed property is listed with what it was and what it is now.
+    """
+    sides = F.concat(
+        F.lit(" ("), F.concat_ws("/", "was_type", "was_field_type"),
+        F.lit(" -> "), F.concat_ws("/", "now_type", "now_field_type"), F.lit(")"),
+    )
+    line = F.concat(
+        F.upper("change"), F.lit(" "), F.col("name"), F.when(F.col("change") == "changed", sides).otherwise("")
+    )
     per_object = changes.groupBy("object_type").agg(
         _severity(changes).alias("severity"),
         # Bounded by the number of properties an object has.

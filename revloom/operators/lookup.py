@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,23 +18,14 @@ SPREAD = 1 << 20
 _NESTED = ("variant", "map", "struct", "array")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The size the optimizer expects ``df`` to have."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's automatic broadcast threshold in bytes (-1 when switched off)."""
-    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-
-
 def hot_keys(fact: DataFrame, key: str, share: int = HOT_SHARE) -> list:
     """The keys that hold more than 1/``share`` of the rows of ``fact``; fewer than ``share``.
 
-    One sketch per task, merged into one row: no row is shuffled.  The sketch is run here
-    and now and its answer goes into the plan as literals.  Left in the plan it could be
-    evaluated more than once, merge in another order, and answer differently for a key at
-    the limit; a row would then be sent one way and looked up the other.
+    A job: one sketch per task, merged into one row; no row is shuffled.  Call it on a stored
+    table and pass the answer to :func:`lookup_join`, whose plan then holds it as literals.
+    Left in the plan the sketch could be evaluated more than once, merge in another order,
+    and answer differently for a key at the limit; a row would then be sent one way and
+    looked up the other.
     """
     sketch = F.expr(f"approx_top_k(`{key}`, {share}, {max(share, HOT_TRACKED)})")
     found = fact.where(F.col(key).isNotNull()).agg(sketch.alias("top"), F.count(F.lit(1)).alias("n")).first()
@@ -42,36 +35,22 @@ def hot_keys(fact: DataFrame, key: str, share: int = HOT_SHARE) -> list:
 
 
 def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    how: str = "left",
-    hot_from: DataFrame | None = None,
-    limit_bytes: int | None = None,
+    fact: DataFrame, dim: DataFrame, key: str, how: str = "left", hot: Sequence = ()
 ) -> DataFrame:
     """Join each row of ``fact`` to its one row of ``dim`` (``dim`` is unique on ``key``).
 
-    A ``dim`` within the session's broadcast threshold is left to the engine, which
-    broadcasts it.  A larger one goes the split way:
-
-    * the rows of ``dim`` for the hot keys of ``fact`` - fewer than ``HOT_SHARE`` rows,
-      since the key is unique - are broadcast;
-    * everything else meets in a shuffle join on (key, spread), where hot and NULL-key
-      rows of ``fact`` carry a row hash as spread and the rest carry 0, so no reduce task
-      receives a whole hot group.
-
-    ``hot_from`` is where to look for hot keys when ``fact`` itself is costly to compute:
-    a table it stems from with the same ``key``.  ``how`` is ``left`` or ``inner``.
+    Rows meet on (key, spread).  NULL-key rows of ``fact``, and those of the ``hot`` keys,
+    carry a row hash as spread, the others 0, so no reduce task receives a whole such
+    group.  The few rows of ``dim`` for hot keys (``hot`` is a bounded list, such as
+    :func:`hot_keys` of a stored table) are broadcast.  Hot keys nobody named are left to
+    the engine's skew handling.  Building the plan runs no job and asks for no estimate, so
+    every size takes the same path.  ``how`` is ``left`` or ``inner``.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner, not {how}")
-    limit = broadcast_limit(dim) if limit_bytes is None else limit_bytes
-    if estimated_bytes(dim) <= limit:
-        return fact.join(dim, key, how)
-    return _split_lookup(fact, dim, key, how, hot_keys(fact if hot_from is None else hot_from, key))
-
-
-def _split_lookup(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list) -> DataFrame:
+    if len(hot) > HOT_SHARE:
+        raise ValueError(f"at most {HOT_SHARE} hot keys, since their rows are broadcast")
+    hot = list(hot)
     payload = [c for c in dim.columns if c != key]
     # A deterministic spread, so that a task run again sends each row the same way.  Facts
     # carry a unique id, so no large group of rows agrees in all plain columns.

@@ -31,6 +31,22 @@ def unique(df: DataFrame, table: str, column: str) -> DataFrame:
     return _report(counted.withColumn("test", F.lit(f"unique:{table}.{column}")))
 
 
+def keys(df: DataFrame, table: str, columns: Sequence[str], key: str | None = None) -> DataFrame:
+    """:func:`not_null` of ``columns`` and :func:`unique` of ``key`` from one pass.
+
+    Rows are counted per key, NULLs with them; the totals follow from one row per key.
+    """
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in columns]
+    if key is None:
+        return not_null(df, table, columns)
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+    totals = per_key.agg(
+        *[F.coalesce(F.sum(f"_{c}"), F.lit(0)).alias(f"not_null:{table}.{c}") for c in columns],
+        F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias(f"unique:{table}.{key}"),
+    )
+    return _report(totals.unpivot([], [f"`{c}`" for c in totals.columns], "test", "failures"))
+
+
 def relationship(
     child: DataFrame, child_name: str, column: str, parent: DataFrame, parent_name: str, parent_column: str
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revloom.operators import lookup_join, quality
+from revloom.operators import quality
 from revloom.vocab import FRESHNESS_ERROR_HOURS, FRESHNESS_WARN_HOURS
 
 Tables = Callable[[str], DataFrame]
@@ -76,6 +76,11 @@ def unique_tests(tables: Tables) -> DataFrame:
     )
 
 
+def key_tests(tables: Tables) -> DataFrame:
+    """Both of the above, with one aggregate per table in place of two."""
+    return quality.all_of([quality.keys(tables(name), name, columns, key) for name, columns, key in KEY_TESTS])
+
+
 def relationship_tests(tables: Tables) -> DataFrame:
     return quality.all_of(
         [
@@ -95,7 +100,7 @@ def health_out_of_range(health: DataFrame) -> DataFrame:
 def revenue_of_unwon_deals(revenue: DataFrame, deals: DataFrame) -> DataFrame:
     """Subscriptions in revenue whose deal is missing or not won."""
     state = deals.select("deal_id", "stage_id", "is_won")
-    checked = lookup_join(revenue.select("subscription_id", "deal_id"), state, "deal_id")
+    checked = revenue.select("subscription_id", "deal_id").join(state, "deal_id", "left")
     return checked.where(~F.coalesce("is_won", F.lit(False))).select(
         "subscription_id", "deal_id", "stage_id", "is_won"
     )

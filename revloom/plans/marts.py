@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,19 +62,19 @@ def deals_with_company(int_deals: DataFrame, deal_company: DataFrame | None = No
 
 
 def with_company_name(
-    rows: DataFrame, int_companies: DataFrame, hot_from: DataFrame | None = None
+    rows: DataFrame, int_companies: DataFrame, hot: Sequence[str] = ()
 ) -> DataFrame:
     """Adds ``company_name``; NULL where cleaning removed the company or there is none."""
     names = int_companies.select("company_id", F.col("name").alias("company_name"))
-    return lookup_join(rows, names, "company_id", hot_from=hot_from)
+    return lookup_join(rows, names, "company_id", hot=hot)
 
 
-def fct_deals(deals: DataFrame, int_companies: DataFrame) -> DataFrame:
+def fct_deals(deals: DataFrame, int_companies: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
     """One row per deal; ``deals`` comes from :func:`deals_with_company`.
 
     The company id is the link's, so it may point at a company cleaning removed.
     """
-    return with_company_name(deals, int_companies).select(
+    return with_company_name(deals, int_companies, hot).select(
         "deal_id",
         "company_id",
         "company_name",
@@ -150,7 +152,7 @@ def revenue_facts(int_subscriptions: DataFrame, deals: DataFrame) -> DataFrame:
     names = [c for c in ("company_name",) if c in deals.columns]
     won = deals.where("is_won").select("deal_id", "company_id", *names, "deal_name", "deal_type", "close_date")
     mrr = monthly("amount_usd")
-    return lookup_join(int_subscriptions, won, "deal_id", "inner").select(
+    return int_subscriptions.join(won, "deal_id").select(
         "subscription_id",
         "deal_id",
         "company_id",
@@ -174,7 +176,10 @@ def revenue_facts(int_subscriptions: DataFrame, deals: DataFrame) -> DataFrame:
 
 
 def fct_revenue(
-    int_subscriptions: DataFrame, deals: DataFrame, int_companies: DataFrame | None = None
+    int_subscriptions: DataFrame,
+    deals: DataFrame,
+    int_companies: DataFrame | None = None,
+    hot: Sequence[str] = (),
 ) -> DataFrame:
     """:func:`revenue_facts` with the company's name.
 
@@ -184,7 +189,7 @@ def fct_revenue(
     facts = revenue_facts(int_subscriptions, deals)
     if int_companies is None:
         return facts
-    named = with_company_name(facts, int_companies, hot_from=deals)
+    named = with_company_name(facts, int_companies, hot)
     first = ["subscription_id", "deal_id", "company_id", "company_name"]
     return named.select(*first, *[c for c in facts.columns if c not in first])
 
@@ -193,9 +198,9 @@ def fct_revenue(
 
 
 def dim_contacts(
-    int_contacts: DataFrame, int_companies: DataFrame, hot_from: DataFrame | None = None
+    int_contacts: DataFrame, int_companies: DataFrame, hot: Sequence[str] = ()
 ) -> DataFrame:
-    return with_company_name(int_contacts, int_companies, hot_from).select(
+    return with_company_name(int_contacts, int_companies, hot).select(
         "contact_id",
         "first_name",
         "last_name",

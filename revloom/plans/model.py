@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revloom.plans import clean, marts, staging
-from revloom.sources.tables import write_clustered
+from revloom.sources.tables import VersionLog, write_clustered
 
 
 @dataclass(frozen=True)
@@ -58,13 +59,16 @@ class Staged:
 class RevenueModel:
     """Lazy cleaned tables and marts.
 
-    ``as_of`` stands for "now" in stale-deal and recency rules.  Each attribute is one
-    DataFrame, so plans that share an attribute also share its exchanges.
+    ``as_of`` stands for "now" in stale-deal and recency rules.  ``hot_companies`` names
+    companies that hold a large share of the rows, if any are known (see ``lookup_join``).
+    Each attribute is one DataFrame, so plans that share an attribute also share its
+    exchanges.  Building them runs no job.
     """
 
-    def __init__(self, staged: Staged, as_of: Column) -> None:
+    def __init__(self, staged: Staged, as_of: Column, hot_companies: Sequence[str] = ()) -> None:
         self.staged = staged
         self.as_of = as_of
+        self.hot = hot_companies
 
     @cached_property
     def int_companies(self) -> DataFrame:
@@ -133,13 +137,11 @@ class RevenueModel:
 
     @cached_property
     def dim_contacts(self) -> DataFrame:
-        # Contacts before cleaning name the same companies and need no shuffle to look at.
-        hot_from = self.staged.contacts if self.staged.keyed else None
-        return marts.dim_contacts(self.int_contacts, self.int_companies, hot_from)
+        return marts.dim_contacts(self.int_contacts, self.int_companies, self.hot)
 
     @cached_property
     def fct_deals(self) -> DataFrame:
-        return marts.fct_deals(self.deals, self.int_companies)
+        return marts.fct_deals(self.deals, self.int_companies, self.hot)
 
     @cached_property
     def fct_pipeline(self) -> DataFrame:
@@ -152,7 +154,7 @@ class RevenueModel:
 
     @cached_property
     def fct_revenue(self) -> DataFrame:
-        return marts.fct_revenue(self.int_subscriptions, self.deals, self.int_companies)
+        return marts.fct_revenue(self.int_subscriptions, self.deals, self.int_companies, self.hot)
 
     @cached_property
     def funnel(self) -> DataFrame:
@@ -204,49 +206,81 @@ MARTS = (
 
 
 def build_marts(
-    spark: SparkSession, staged: Staged, as_of: Column, path: str, parallel: int = 4
+    spark: SparkSession,
+    staged: Staged,
+    as_of: Column,
+    path: str,
+    parallel: int = 4,
+    hot_companies: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """Write every mart below ``path`` (full refresh) and return the stored tables.
 
-    A mart that feeds others is written first and read back, so it is computed once.
-    Marts that do not depend on each other are written side by side.
+    A refresh is written beside the last one and becomes visible by one committed entry, so
+    readers (:func:`stored_marts`) see the old marts or the new ones, whole.  A failed or
+    overtaken refresh changes nothing.
+
+    Cleaned companies are stored first, then ``fct_deals`` and ``dim_contacts``; the other
+    marts come out of these.  RAW companies and deals are parsed once, RAW contacts once for
+    their columns and once for their links, which accounts count whether or not cleaning
+    keeps the contact.  Marts that do not depend on each other are written side by side.
     """
-    model = RevenueModel(staged, as_of)
+    log = VersionLog(spark, f"{path.rstrip('/')}/versions")
+    version = (log.entries() or [{"version": 0}])[-1]["version"] + 1
+    folder = f"{path.rstrip('/')}/builds/{uuid.uuid4().hex}"
+    model = RevenueModel(staged, as_of, hot_companies)
     stored: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame) -> None:
-        target = f"{path}/{name}"
+        target = f"{folder}/{name}"
         if name in CLUSTERING:
             write_clustered(df, target, CLUSTERING[name])
         else:
-            df.write.mode("overwrite").parquet(target)
-        stored[name] = spark.read.parquet(target)
+            df.write.parquet(target)
+        stored[name] = spark.read.schema(df.schema).parquet(target)
 
     def store_all(plans: dict[str, Callable[[], DataFrame]]) -> None:
         with ThreadPoolExecutor(parallel) as pool:
             list(pool.map(lambda item: store(item[0], item[1]()), plans.items()))
 
+    store("int_companies", model.int_companies)
+    model.__dict__["int_companies"] = stored["int_companies"]
+    store_all({"dim_contacts": lambda: model.dim_contacts, "fct_deals": lambda: model.fct_deals})
+    deals = stored["fct_deals"]
     store_all(
         {
-            "dim_accounts": lambda: model.dim_accounts,
-            "dim_contacts": lambda: model.dim_contacts,
-            "fct_deals": lambda: model.fct_deals,
-        }
-    )
-    store_all(
-        {
-            "fct_pipeline": lambda: marts.fct_pipeline(stored["fct_deals"]),
-            "fct_revenue": lambda: marts.fct_revenue(model.int_subscriptions, stored["fct_deals"]),
+            "dim_accounts": lambda: marts.dim_accounts(
+                marts.accounts_base(
+                    stored["int_companies"], marts.deal_rollup(deals), model.int_contact_company_primary
+                )
+            ),
+            "fct_pipeline": lambda: marts.fct_pipeline(deals),
+            "fct_revenue": lambda: marts.fct_revenue(model.int_subscriptions, deals),
             "fct_funnel": lambda: marts.fct_funnel(staged.lifecycle, stored["dim_contacts"]),
         }
     )
     store(
         "fct_account_health",
         marts.fct_account_health(
-            marts.stored_accounts_base(stored["dim_accounts"], stored["fct_deals"]),
+            marts.stored_accounts_base(stored["dim_accounts"], deals),
             marts.revenue_rollup(stored["fct_revenue"]),
             marts.funnel_rollup(stored["fct_funnel"]),
             as_of,
         ),
     )
-    return stored
+    log.commit({"version": version, "folder": folder})
+    return {name: stored[name] for name in MARTS}
+
+
+def stored_marts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The marts of the last committed refresh below ``path``."""
+    entries = VersionLog(spark, f"{path.rstrip('/')}/versions").entries()
+    if not entries:
+        raise ValueError(f"no marts at {path}")
+    return {name: spark.read.parquet(f"{entries[-1]['folder']}/{name}") for name in MARTS}
+
+
+def prune_marts(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Delete all refreshes but the last ``keep``, once no reader or writer uses them."""
+    log = VersionLog(spark, f"{path.rstrip('/')}/versions")
+    used = {entry["folder"] for entry in log.entries()[-keep:]}
+    return log.delete(f"{path.rstrip('/')}/builds", used)

@@ -48,16 +48,23 @@ def ingest_entities(
     return {e: ingest_entity(spark, e, f"{pages_root}/{e}", root, loaded_at) for e in entities}
 
 
-def ingest_subscriptions(spark: SparkSession, path: str, root: str, loaded_at: Column) -> int:
-    raw = landing.read_subscriptions(spark, path, loaded_at)
+def ingest_subscriptions(
+    spark: SparkSession, path: str, root: str, loaded_at: Column, record_per_line: bool = False
+) -> int:
+    raw = landing.read_subscriptions(spark, path, loaded_at, record_per_line)
     return raw_table(spark, root, "subscriptions").merge(raw, ["subscription_id"])
 
 
 def ingest_lifecycle(
-    spark: SparkSession, path: str, id_map: DataFrame, root: str, loaded_at: Column
+    spark: SparkSession,
+    path: str,
+    id_map: DataFrame,
+    root: str,
+    loaded_at: Column,
+    record_per_line: bool = False,
 ) -> tuple[int, int]:
     """(events merged, events left out because their contact has no id)."""
-    history = landing.read_lifecycle_history(spark, path)
+    history = landing.read_lifecycle_history(spark, path, record_per_line)
     merged = raw_table(spark, root, "lifecycle").merge(
         landing.raw_lifecycle(history, id_map, loaded_at), ["event_id"]
     )

@@ -27,6 +27,55 @@ class VersionMoved(RuntimeError):
     """Another writer committed first; nothing of this write is visible.  Merge again."""
 
 
+class VersionLog:
+    """Numbered entries in a folder, each a small JSON file that is created exclusively.
+
+    They are metadata, a line each, and go through the cluster's file system API because a
+    Spark write has no exclusive create.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark = spark
+        self.path = path
+
+    def system(self, path: str):
+        context = self.spark.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+    def entries(self) -> list[dict]:
+        """All entries, oldest first; none if the folder is missing."""
+        system, folder = self.system(self.path)
+        if not system.exists(folder):
+            return []
+        lines = self.spark.read.text(self.path).collect()
+        found = [json.loads(line["value"]) for line in lines if line["value"].strip()]
+        return sorted(found, key=lambda entry: entry["version"])
+
+    def commit(self, entry: dict) -> int:
+        """Add ``entry``; :class:`VersionMoved` if its version exists."""
+        system, place = self.system(f"{self.path}/{entry['version']:012d}.json")
+        try:
+            out = system.create(place, False)
+        except Exception as error:
+            if system.exists(place):
+                raise VersionMoved(f"{self.path} has a version {entry['version']} by another writer") from error
+            raise
+        out.write(bytearray(json.dumps(entry), "utf-8"))
+        out.close()
+        return entry["version"]
+
+    def delete(self, folder: str, used: set[str]) -> int:
+        """Delete the folders below ``folder`` that are not ``used``; returns how many."""
+        system, path = self.system(folder)
+        gone = 0
+        for status in system.listStatus(path) if system.exists(path) else []:
+            if f"{folder}/{status.getPath().getName()}" not in used:
+                system.delete(status.getPath(), True)
+                gone += 1
+        return gone
+
+
 class VersionedTable:
     """A parquet table replaced version by version, bucket by bucket.
 
@@ -47,6 +96,7 @@ class VersionedTable:
         self.path = path.rstrip("/")
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self.buckets = buckets
+        self.log = VersionLog(spark, f"{self.path}/versions")
 
     def version(self) -> int:
         """The committed version; 0 before the first."""
@@ -118,16 +168,18 @@ class VersionedTable:
 
         Call it when no reader of an older version and no writer is at work.
         """
-        entries = sorted(self._entries(), key=lambda entry: entry["version"])[-keep:]
+        entries = self.log.entries()[-keep:]
         used = {place.split("/data/")[0] for entry in entries for place in entry["locations"].values()}
-        system, path = self._system(f"{self.path}/rows")
-        gone = 0
-        for status in system.listStatus(path) if system.exists(path) else []:
-            folder = f"{self.path}/rows/{status.getPath().getName()}"
-            if folder not in used:
-                system.delete(status.getPath(), True)
-                gone += 1
-        return gone
+        return self.log.delete(f"{self.path}/rows", used)
+
+    def _entry(self, version: int | None = None) -> dict:
+        entries = [e for e in self.log.entries() if version is None or e["version"] == version]
+        if version and not entries:
+            raise ValueError(f"no version {version} at {self.path}")
+        return entries[-1] if entries else {"version": 0, "keys": [], "locations": {}}
+
+    def _commit(self, version: int, keys: list[str], locations: dict[str, str]) -> int:
+        return self.log.commit({"version": version, "keys": keys, "locations": locations})
 
     def _declared(self, df: DataFrame, whole: bool = True) -> DataFrame:
         unknown = [c for c in df.columns if c not in self.schema.names]
@@ -144,41 +196,6 @@ class VersionedTable:
     def _folder(self) -> str:
         return f"{self.path}/rows/{uuid.uuid4().hex}"
 
-    # The version files are metadata, a line each; they go through the cluster's file system
-    # API because a Spark write has no exclusive create.
-
-    def _system(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), place
-
-    def _entries(self) -> list[dict]:
-        system, folder = self._system(f"{self.path}/versions")
-        if not system.exists(folder):
-            return []
-        lines = self.spark.read.text(f"{self.path}/versions").collect()
-        return [json.loads(line["value"]) for line in lines if line["value"].strip()]
-
-    def _entry(self, version: int | None = None) -> dict:
-        nothing = {"version": 0, "keys": [], "locations": {}}
-        entries = [e for e in self._entries() if version is None or e["version"] == version]
-        if version and not entries:
-            raise ValueError(f"no version {version} at {self.path}")
-        return max(entries, key=lambda entry: entry["version"], default=nothing)
-
-    def _commit(self, version: int, keys: list[str], locations: dict[str, str]) -> int:
-        entry = json.dumps({"version": version, "keys": keys, "locations": locations})
-        system, place = self._system(f"{self.path}/versions/{version:012d}.json")
-        try:
-            out = system.create(place, False)
-        except Exception as error:
-            if system.exists(place):
-                raise VersionMoved(f"version {version} of {self.path} was committed by another writer") from error
-            raise
-        out.write(bytearray(entry, "utf-8"))
-        out.close()
-        return version
-
 
 def write_clustered(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Full refresh, rows sorted by ``by`` across and within files.

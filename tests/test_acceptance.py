@@ -1,57 +1,28 @@
-"""Queries against their SQL twins.  All of them with REVLOOM_ALL=1, else a cross-section."""
+"""Every query against its SQL twin."""
 
 from __future__ import annotations
 
-import os
-
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from acceptance.compare import connect, difference
+from acceptance.oracle import all_sql
+from acceptance.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
-SAMPLE = (
-    "stg_deals",
-    "stg_line_items",
-    "links_contact_company",
-    "int_contacts",
-    "dim_accounts",
-    "fct_pipeline",
-    "fct_revenue",
-    "fct_funnel",
-    "fct_account_health",
-    "raw_to_account_health",
-    "metric_mrr",
-    "metric_sql_to_customer",
-    "metric_median_days_mql_to_sql",
-    "cohort_conversion_within",
-    "report_acv_histogram",
-    "report_pipeline_long",
-    "top_accounts_by_arr",
-    "dq_relationships",
-    "dq_freshness",
-    "contract_report",
-    "raw_upsert_entity",
-    "incremental_upsert",
-    "stream_upsert",
-    "ingest_pages",
-    "lifecycle_id_resolution",
-    "reverse_etl_batches",
-)
-
-
 @pytest.fixture(scope="module")
 def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()) if os.environ.get("REVLOOM_ALL") else SAMPLE)
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, duck, name):
-    assert difference(spark, duck, name, queries()[name], oracle_sql()[name], SF) is None
+    assert difference(spark, duck, name, all_queries()[name], all_sql()[name], SF) is None
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(all_queries()) <= set(queries()) and set(all_sql()) <= set(oracle_sql())
 
 
 def test_entry_returns_the_open_stages(spark):

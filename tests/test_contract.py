@@ -80,6 +80,8 @@ def test_report_has_one_line_per_object(table):
         ("contacts", "WARN", 1, "ADDED phone"),
         ("deals", "FAIL", 2, "REMOVED dealname"),
     ]
+    retyped = contract.report(baseline, contract.diff(baseline, table(NAME, ("deals", "amount", "string", "text"), EMAIL)))
+    assert retyped.where("status = 'FAIL'").first().details == "CHANGED amount (number/number -> string/text)"
     same = contract.report(baseline, contract.diff(baseline, baseline)).collect()
     assert {r.status for r in same} == {"OK"}
 
@@ -110,13 +112,14 @@ def test_contract_observed_in_blobs(spark):
     raw = spark.createDataFrame([(t,) for t in texts], "properties string").select(
         F.parse_json("properties").alias("properties")
     )
-    found = {(r.name, r.type, r.field_type) for r in contract.contract_from_blobs(raw, "o").collect()}
-    assert found == {
-        ("a", "string", "required"),
-        ("b", "number|string", "required"),
-        ("c", "unknown", "optional"),
-        ("d", "object", "optional"),
-    }
+    for tracked in ((), ("a", "b", "absent"), ("a", "b", "c", "d")):
+        contract_rows = contract.contract_from_blobs(raw, "o", tracked=tracked).collect()
+        assert {(r.name, r.type, r.field_type) for r in contract_rows} == {
+            ("a", "string", "required"),
+            ("b", "number|string", "required"),
+            ("c", "unknown", "optional"),
+            ("d", "object", "optional"),
+        }
 
 
 def test_snapshot_round_trip_and_missing_baseline(spark, table, tmp_path):

@@ -85,7 +85,7 @@ def test_split_lookup_equals_plain_join(spark, skewed, how, hot_in_dim):
     fact, dim = skewed
     if not hot_in_dim:
         dim = dim.where("key <> 'hot'")
-    split = lookup_join(fact, dim, "key", how, limit_bytes=0)
+    split = lookup_join(fact, dim, "key", how, hot=hot_keys(fact, "key"))
     plain = fact.join(dim, "key", how)
     assert split.columns == plain.columns
     assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
@@ -106,7 +106,7 @@ def test_split_lookup_spreads_the_hot_key_and_nulls(spark, skewed):
             return max(r["count"] for r in sizes)
 
         plain = largest(fact.join(dim, "key", "left"))
-        split = largest(lookup_join(fact, dim, "key"))
+        split = largest(lookup_join(fact, dim, "key", hot=["hot"]))
     finally:
         for name, value in keep.items():
             spark.conf.set(name, value)
@@ -114,10 +114,15 @@ def test_split_lookup_spreads_the_hot_key_and_nulls(spark, skewed):
     assert split < 6000  # 30,000 rows over 8 tasks
 
 
-def test_lookup_of_a_small_side_is_left_to_the_engine(spark, skewed):
+def test_lookup_without_named_hot_keys(spark, skewed):
     fact, dim = skewed
-    plan = lookup_join(fact, dim, "key")._jdf.queryExecution().optimizedPlan().toString()
-    assert "_spread" not in plan
+    found, plain = lookup_join(fact, dim, "key"), fact.join(dim, "key", "left")
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_hot_keys_are_a_bounded_list(spark, skewed):
+    with pytest.raises(ValueError, match="hot keys"):
+        lookup_join(*skewed, "key", hot=[f"k{n}" for n in range(HOT_SHARE + 1)])
 
 
 def test_hot_keys_hold_more_than_their_share(spark, skewed):
@@ -135,7 +140,7 @@ def test_split_lookup_without_a_hot_key(spark):
     fact = spark.range(5000).selectExpr("id", "if(id % 3 = 0, null, cast(id as string)) as key")
     dim = spark.range(4000).selectExpr("cast(id as string) as key", "id * 2 as value")
     assert hot_keys(fact, "key") == []
-    split = lookup_join(fact, dim, "key", limit_bytes=0)
+    split = lookup_join(fact, dim, "key", hot=hot_keys(fact, "key"))
     plain = fact.join(dim, "key", "left")
     assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
 
