@@ -70,7 +70,7 @@ def per_text(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class Counter:
     """Adds up gram counts over the batches of a task."""
 
-    def __init__(self, limit: int = 1 << 22):
+    def __init__(self, limit: int = 1 << 20):
         self.limit, self.held, self.parts = limit, 0, []
 
     def add(self, codes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -65,7 +65,7 @@ class SortedTable:
     last: np.ndarray
     key: str
     values: list[str]
-    cached_bytes: int = 192 << 20
+    cached_bytes: int = 128 << 20
     _files: dict = field(default_factory=dict)
 
     def __getstate__(self):
