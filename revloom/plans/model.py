@@ -233,7 +233,10 @@ def build_marts(
     def store(name: str, df: DataFrame) -> None:
         target = f"{folder}/{name}"
         if name in CLUSTERING:
-            write_clustered(df, target, CLUSTERING[name])
+            # Range bounds come from a sample, which would compute the mart a second time.
+            df.write.parquet(f"{folder}/unordered/{name}")
+            unordered = spark.read.schema(df.schema).parquet(f"{folder}/unordered/{name}")
+            write_clustered(unordered, target, CLUSTERING[name])
         else:
             df.write.parquet(target)
         stored[name] = spark.read.schema(df.schema).parquet(target)

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from acceptance.fixtures import Fixture
 from revloom.functions import monthly, over_term
 from revloom.plans import checks, clean, export, marts, metrics, reports
-from revloom.plans.model import MARTS, RevenueModel, Staged, build_marts
+from revloom.operators import quality
+from revloom.plans.model import MARTS, RevenueModel, Staged, build_marts, prune_marts, stored_marts
+from revloom.plans.staging import STAGING
 
 SF = "/root/testdata/sf0.001"
 DAY = dt.datetime(2024, 1, 1)
@@ -341,15 +343,15 @@ def health_rows(spark, *rows):
 
 
 def test_payload_has_text_numbers_and_an_integer_time(spark):
-    sync = F.lit("2023-11-14 22:13:20").cast("timestamp")
-    row = export.payloads(health_rows(spark, ("123", "60000.50", "0", 78)), sync).first()
+    sync = F.lit("2024-04-05 19:34:38").cast("timestamp")
+    row = export.payloads(health_rows(spark, ("c-907", "41250.75", "0", 63)), sync).first()
     assert json.loads(row.payload) == {
-        "id": "123",
+        "id": "c-907",
         "properties": {
-            "arr_usd": "60000.50",
+            "arr_usd": "41250.75",
             "open_pipeline_usd": "0.00",
-            "account_health_score": "78",
-            "last_synced_from_warehouse": 1_700_000_000_000,
+            "account_health_score": "63",
+            "last_synced_from_warehouse": 1_712_345_678_000,
         },
     }
 
@@ -401,3 +403,79 @@ def test_every_metric_is_on_an_existing_mart(fixture):
         assert set(metric.cuts) <= set(
             (metric.prepare or (lambda df: df))(getattr(fixture.model(), metric.mart)).columns
         )
+
+
+# --- data tests and refreshes on what is stored -----------------------------------------
+
+
+class Doubled:
+    """The staged tables with every company delivered twice."""
+
+    def __init__(self, staged):
+        self.staged = staged
+
+    def __getattr__(self, name):
+        table = getattr(self.staged, name)
+        return table.union(table) if name == "companies" else table
+
+
+def test_a_company_delivered_twice_fails_the_data_tests(spark, tmp_path):
+    fixture = Fixture(spark, "/root/testdata/sf0.001")
+
+    def failures(staged, path):
+        stored = build_marts(spark, staged, fixture.as_of, str(tmp_path / path))
+        found = quality.unique(stored["fct_deals"], "fct_deals", "deal_id").union(
+            quality.unique(stored["dim_accounts"], "dim_accounts", "company_id")
+        )
+        both = quality.keys(stored["fct_deals"], "fct_deals", ["deal_id", "amount_usd"], "deal_id")
+        return [r.failures for r in found.collect()], {r.test: r.failures for r in both.collect()}
+
+    assert failures(fixture.staged(), "once")[0] == [0, 0]
+    counts, both = failures(Doubled(fixture.staged()), "twice")
+    assert min(counts) > 0
+    assert both["unique:fct_deals.deal_id"] == counts[0] and both["not_null:fct_deals.deal_id"] == 0
+
+
+def test_a_refresh_becomes_visible_as_a_whole(spark, tmp_path, monkeypatch):
+    fixture = Fixture(spark, "/root/testdata/sf0.001")
+    path = str(tmp_path / "marts")
+    with pytest.raises(ValueError, match="no marts"):
+        stored_marts(spark, path)
+    build_marts(spark, fixture.staged(), fixture.as_of, path)
+    old = stored_marts(spark, path)
+    scores = lambda marts: sorted(map(tuple, marts["fct_account_health"].collect()))
+    before = scores(old)
+    later = F.lit("2010-01-01 00:00:00").cast("timestamp")
+
+    with monkeypatch.context() as broken:
+        broken.setattr("revloom.plans.marts.fct_account_health", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            build_marts(spark, fixture.staged(), later, path)
+    assert scores(stored_marts(spark, path)) == before  # most marts were written, none is seen
+
+    build_marts(spark, fixture.staged(), later, path)
+    assert scores(old) == before  # a reader that began before the refresh goes on undisturbed
+    assert scores(stored_marts(spark, path)) != before
+    assert prune_marts(spark, path, keep=1) == 2
+    assert len(stored_marts(spark, path)) == 7 and stored_marts(spark, path)["fct_deals"].count() > 0
+
+
+def test_marts_read_raw_deals_and_companies_once(spark, tmp_path):
+    fixture = Fixture(spark, "/root/testdata/sf0.001")
+    counts = {}
+
+    def raw(entity):
+        seen = counts[entity] = spark.sparkContext.accumulator(0)
+
+        def look(key):
+            seen.add(1)
+            return key
+
+        counted = F.udf(look, "string").asNondeterministic()
+        return fixture.raw(entity).withColumn(STAGING[entity].key[0], counted(STAGING[entity].key[0]))
+
+    build_marts(spark, Staged.from_raw(raw), fixture.as_of, str(tmp_path / "marts"))
+    for entity in ("companies", "deals"):
+        assert counts[entity].value == fixture.raw(entity).count(), entity
+    # Once for the columns, once for the links.
+    assert counts["contacts"].value == 2 * fixture.raw("contacts").count()
