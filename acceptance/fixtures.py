@@ -22,6 +22,9 @@ _LOADED = "timestamp'2024-01-31 06:00:00'"
 
 
 class Fixture:
+    #: Folder of stored RAW tables per input, filled by :meth:`store_raw`.
+    stored: dict[str, str] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
@@ -213,8 +216,16 @@ class Fixture:
         return RevenueModel(self.staged(), self.as_of)
 
     def raw(self, entity: str) -> DataFrame:
+        if self.sf_dir in Fixture.stored:
+            return self.spark.read.parquet(f"{Fixture.stored[self.sf_dir]}/{entity}")
         return raw_rows(entity, self.entity(entity))
 
+    def store_raw(self, folder: str) -> None:
+        """Write every RAW table below ``folder``; fixtures of the same input read them from there."""
+        for entity in STAGING:
+            raw_rows(entity, self.entity(entity)).write.parquet(f"{folder}/{entity}")
+        Fixture.stored[self.sf_dir] = folder
+
 
 class LazyStaged:
     """The attributes of ``Staged``, each built when it is first asked for."""
