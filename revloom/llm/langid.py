@@ -19,7 +19,7 @@ from revloom.llm.shared import prepare
 
 ORDER = 4
 #: Training bytes of all languages together, in expectation.
-SAMPLE_BYTES = 48 << 20
+SAMPLE_BYTES = 16 << 20
 
 
 def train(labelled: DataFrame, order: int = ORDER, sample_bytes: int = SAMPLE_BYTES) -> dict[str, Tree]:
