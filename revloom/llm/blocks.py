@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+#: Small enough for the arrays of a block to stay in a core's cache.
+BLOCK_BYTES = 1 << 18
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -25,7 +26,7 @@ def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < length:
         made = []
         for base in (_BASE, _INVERSE):
-            steps = np.full(max(length, BLOCK_BYTES + 1024), base)
+            steps = np.full(1 << max(length, 2 * BLOCK_BYTES).bit_length(), base)
             steps[0] = 1
             made.append(np.multiply.accumulate(steps))
         _powers = (made[0], made[1])
@@ -34,9 +35,12 @@ def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
 
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit numbers whose every output bit depends on every input bit."""
-    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return values ^ (values >> np.uint64(31))
+    values = values ^ (values >> np.uint64(30))
+    values *= np.uint64(0xBF58476D1CE4E5B9)
+    values ^= values >> np.uint64(27)
+    values *= np.uint64(0x94D049BB133111EB)
+    values ^= values >> np.uint64(31)
+    return values
 
 
 class Block:
@@ -56,8 +60,8 @@ class Block:
         """Prefix sums from which any window's hash follows in two steps."""
         up, _ = powers(len(self.data))
         sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * up, out=sums[1:])
-        return sums
+        np.multiply(_BYTE[self.data], up, out=sums[1:])
+        return np.cumsum(sums, out=sums)
 
     def hashes(self, prefix: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hashes of ``data[begin:end]``, equal for equal bytes wherever they stand."""

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from revloom.llm.blocks import blocks
 from revloom.llm.shared import keep, prepare, texts
-from revloom.llm.tokens import TOKENIZER_FILE, tokenizer
+from revloom.llm.tokens import TOKEN_BLOCK, TOKENIZER_FILE, tokenizer
 
 STRETCHES = 4096
 
@@ -37,7 +37,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, *columns: str) -> DataFrame
         encoder = tokenizer(path, end_id)
         for batch in batches:
             found, sizes = [], []
-            for block in blocks(batch):
+            for block in blocks(batch, limit=TOKEN_BLOCK):
                 ids, bounds = encoder.encode(block, end_id)
                 raw, bounds = ids.tobytes(), bounds * ids.itemsize
                 found += [raw[begin:end] for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from revloom.llm.blocks import blocks
 from revloom.llm.shared import open_folder, prepare, texts
-from revloom.llm.tokens import TOKENIZER_FILE, tokenizer
+from revloom.llm.tokens import TOKEN_BLOCK, TOKENIZER_FILE, tokenizer
 from revloom.session import scratch_path
 
 MANIFEST = "number int, path string, n_docs bigint, n_ids bigint, n_sequences bigint, first_doc bigint, last_doc bigint"
@@ -98,7 +98,7 @@ def write_files(
                 writer, index = pa.ipc.new_file(sink, schema), pa.ipc.new_file(index_sink, index_schema)
                 first = batch.column("doc_id")[0].as_py()
             last = batch.column("doc_id")[-1].as_py()
-            parts = [encoder.encode(block, end_id) for block in blocks(batch)]
+            parts = [encoder.encode(block, end_id) for block in blocks(batch, limit=TOKEN_BLOCK)]
             counts = np.concatenate([np.diff(bounds) for _, bounds in parts])
             begins = n_ids + np.cumsum(counts) - counts
             index.write_batch(

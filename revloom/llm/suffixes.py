@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revloom.llm.blocks import Block, blocks, mixed
+from revloom.llm.blocks import Block, blocks, mixed, powers
 from revloom.llm.shared import keep, prepare, sorted_table, texts
 
 LENGTH = 200
@@ -65,21 +65,26 @@ def runs(block: Block, length: int) -> Runs:
         bounds = np.clip(block.bounds - begin, 0, len(data))
         piece = Block(data, bounds)
         prefix = piece.prefix()
-        places = np.arange(len(data) - KEY + 1)
-        keys = piece.hashes(prefix, places, places + KEY)
-        ranked = keys >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS) | places.astype(np.uint64)
-        anchor = (_least(ranked, length - KEY + 1) & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
-        lengths = np.diff(bounds)
-        own = np.repeat(np.arange(len(block)), lengths)[: len(anchor)]
-        start = np.flatnonzero(np.arange(len(anchor)) + length <= bounds[1:][own])
+        # Rank places by the unmixed hash: its high bits depend on all bytes of the key.
+        count = len(data) - KEY + 1
+        ranked = (prefix[KEY : KEY + count] - prefix[:count]) * powers(count)[1]
+        ranked >>= np.uint64(_PLACE_BITS)
+        ranked <<= np.uint64(_PLACE_BITS)
+        ranked |= np.arange(count, dtype=np.uint64)
+        anchor = _least(ranked, length - KEY + 1)
+        anchor &= np.uint64((1 << _PLACE_BITS) - 1)
+        ends = np.repeat(bounds[1:], np.diff(bounds))[: len(anchor)]
+        start = np.flatnonzero(np.arange(length, length + len(anchor)) <= ends)
         if not len(start):
             continue
-        anchor, own = anchor[start], own[start]
-        new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (own[1:] != own[:-1])))
+        anchor = anchor[start].astype(np.int64)
+        # The last strings of a text are cut off, so a new text shows as a gap.
+        new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)))
         first, last = start[new], start[np.append(new[1:], len(start)) - 1]
         at = anchor[new]
+        keys = piece.hashes(prefix, at, at + KEY)
         span = mixed(piece.hashes(prefix, first, last + length) + (at - first).astype(np.uint64))
-        found.append((keys[at], span, first + begin, last + begin))
+        found.append((keys, span, first + begin, last + begin))
     return Runs(*(np.concatenate(column) for column in zip(*found, strict=True)))
 
 
@@ -93,11 +98,11 @@ class SuffixIndex:
         """Index a batch of (key, span, n); returns the keys it repeats, within itself or from a level."""
         array = entries.groupBy("key", "span").agg(F.sum("n").alias("n"))
         array = keep(array.sortWithinPartitions("key", "span"), "suffix-array")
-        keys = keep(array.groupBy("key").agg(F.sum("n").alias("n")), "suffix-keys")
-        repeated = keys.where("n > 1").select("key")
+        scanned = array.select("key", "n", F.lit(True).alias("new"))
         for _, level in self.levels:
-            repeated = repeated.union(keys.select("key").join(level.select("key").distinct(), "key"))
-        repeated = keep(repeated.distinct(), "suffix-matches")
+            scanned = scanned.union(level.select("key", "n", F.lit(False).alias("new")))
+        met = scanned.groupBy("key").agg(F.sum("n").alias("n"), F.bool_or("new").alias("new"))
+        repeated = keep(met.where("new and n > 1").select("key"), "suffix-matches")
         self.levels.append((1, array))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, left), (_, right) = self.levels.pop(), self.levels.pop()
@@ -114,21 +119,34 @@ class SuffixIndex:
 
 
 def _entries(docs: DataFrame, length: int) -> DataFrame:
-    """(batch, key, span, n) of each task's runs."""
+    """(batch, key, span, n) of each task's runs, added up within the task."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        count = 0
+
+        def summed() -> Iterator[pa.RecordBatch]:
+            for number, parts in held.items():
+                key, span = (np.concatenate(column) for column in zip(*parts, strict=True))
+                span, first, n = np.unique(span, return_index=True, return_counts=True)
+                columns = [np.full(len(span), number, np.int32), key[first].view(np.int64), span.view(np.int64), n]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["batch", "key", "span", "n"])
+            held.clear()
+
         for batch in batches:
             number = batch.column("batch").to_numpy()
             for block in blocks(batch):
                 found = runs(block, length)
-                own = np.searchsorted(block.bounds, found.first, "right") - 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(number[block.first + own]), pa.array(found.key.view(np.int64)), pa.array(found.span.view(np.int64))],
-                    names=["batch", "key", "span"],
-                )
+                own = number[block.first + np.searchsorted(block.bounds, found.first, "right") - 1]
+                for each in np.unique(own).tolist():
+                    held.setdefault(each, []).append((found.key[own == each], found.span[own == each]))
+                count += len(own)
+            if count > 1 << 20:
+                yield from summed()
+                count = 0
+        yield from summed()
 
-    found = docs.select("batch", "text").mapInArrow(index, "batch int, key bigint, span bigint")
-    return found.groupBy("batch", "key", "span").agg(F.count("*").alias("n"))
+    return docs.select("batch", "text").mapInArrow(index, "batch int, key bigint, span bigint, n bigint")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
@@ -157,8 +175,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     shared = merged.groupBy("key").agg((F.count("*") > 1).alias("several"))
     # 1: the run occurs twice; 2: it shares its key with other runs.
     state = (F.col("n") > 1).cast("int") + 2 * F.col("several").cast("int")
-    states = merged.join(shared, "key").select("span", state.alias("state")).where("state > 0")
-    states = sorted_table(states.groupBy("span").agg(F.max("state").alias("state")), "span", "suffix-states")
+    states = keep(merged.join(shared, "key").select("span", state.alias("state")).where("state > 0"), "suffix-flags")
+    several = states.where("state >= 2").count()
+    states = sorted_table(states, "span", "suffix-states")
 
     def looked_up(found: Runs) -> tuple[np.ndarray, np.ndarray]:
         """State and name of each run."""
@@ -187,16 +206,56 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     bodies = rows.select("text").mapInArrow(collect, "span bigint, raw binary")
     bodies = bodies.groupBy("span").agg(F.first("raw").alias("raw"))
 
+    # Hashes travel as sorted blobs, one per bucket of their high bits, not as rows.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(parts, several * (length - KEY + 1) >> 21)
+
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+
+        def dealt() -> pa.RecordBatch:
+            hashes = np.sort(np.concatenate(held))
+            bucket = ((hashes >> np.uint64(32)).astype(np.int64) * buckets) >> 32
+            begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            raw, ends = hashes.tobytes(), np.append(begin[1:], len(hashes))
+            blobs = [raw[8 * a : 8 * b] for a, b in zip(begin.tolist(), ends.tolist(), strict=True)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket[begin]), pa.array(blobs, pa.binary())], names=["bucket", "hashes"]
+            )
+
         for batch in batches:
             for block in blocks(batch, "raw"):
-                own = np.repeat(np.arange(len(block)), np.diff(block.bounds))
-                start = np.flatnonzero(np.arange(len(own)) + length <= block.bounds[1:][own])
-                hashes = block.hashes(block.prefix(), start, start + length)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["string"])
+                ends = np.repeat(block.bounds[1:], np.diff(block.bounds))
+                start = np.flatnonzero(np.arange(len(ends)) + length <= ends)
+                held.append(block.hashes(block.prefix(), start, start + length))
+                count += len(start)
+            if count > 1 << 21:
+                yield dealt()
+                held, count = [], 0
+        if count:
+            yield dealt()
+
+    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held = None, []
+
+        def found() -> pa.RecordBatch:
+            hashes = np.sort(np.frombuffer(b"".join(held), np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(np.unique(hashes[1:][hashes[1:] == hashes[:-1]]))], names=["string"])
 
-    counted = bodies.select("raw").mapInArrow(strings, "string bigint").groupBy("string").agg(F.count("*").alias("n"))
-    twice = sorted_table(counted.where("n > 1").select("string", F.lit(1).alias("twice")), "string", "suffix-strings")
+        for batch in batches:
+            for bucket, hashes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if bucket != here and held:
+                    yield found()
+                    held = []
+                here = bucket
+                held.append(hashes)
+        if held:
+            yield found()
+
+    dealt = bodies.select("raw").mapInArrow(strings, "bucket bigint, hashes binary")
+    dealt = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    twice = dealt.mapInArrow(repeats, "string bigint").withColumn("twice", F.lit(1))
+    twice = sorted_table(twice, "string", "suffix-strings")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,6 +10,9 @@ from revloom.llm.blocks import Block
 
 TOKENIZER_FILE = public_tokenizers.path("word_bpe_49k.json")
 
+#: Bytes of text encoded at once: the more, the fewer look-ups of a piece.
+TOKEN_BLOCK = 1 << 21
+
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("a"), ord("z") + 1), *range(ord("0"), ord("9") + 1)]] = True
 _STOP = np.zeros(256, bool)
