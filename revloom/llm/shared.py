@@ -20,13 +20,24 @@ BATCH_SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
+# Python workers live on between tasks: let them hand freed memory back.
+WORKER_ENVIRONMENT = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(8 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(16 << 20),
+}
+
 
 def prepare(spark: SparkSession) -> None:
     """Bound Arrow batches, let Python workers import this package, settle the scratch folder."""
     for key, value in BATCH_SETTINGS.items():
         spark.conf.set(key, value)
     package_root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    spark.sparkContext.environment.setdefault("PYTHONPATH", package_root)
+    environment = spark.sparkContext.environment
+    environment.setdefault("PYTHONPATH", package_root)
+    for key, value in WORKER_ENVIRONMENT.items():
+        environment.setdefault(key, value)
     if not has_scratch(spark) and spark.sparkContext.master.startswith("local["):
         name_scratch_root(tempfile.mkdtemp(prefix="corpus-"))
 
