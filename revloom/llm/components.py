@@ -17,7 +17,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a <> b").distinct()
     both = keep(both, "links")
-    labels = keep(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
+    labels = keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
         found = labels.join(near.withColumnRenamed("a", "node"), "node").select(

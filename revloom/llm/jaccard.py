@@ -12,10 +12,10 @@ shingles leave too many segments empty to trust H + 1 is indexed by each single
 next to others of that kind, so nothing is lost.
 
 Sets with equal content are one set from the start.  Sets with a signature in common are
-candidates.  Candidates are verified exactly, in three steps that never list the pairs of a
-group: each set against its smallest partner, then against the smallest member of each of
-its groups, then only members of one group that are still in different components and that
-a bitmap of their shingles cannot tell apart.
+candidates.  Candidates are verified exactly, in two steps that never list the pairs of a
+group: each set against the smallest member of each of its groups, then members of one group
+that are still in different components.  Either way only pairs that a bitmap of their
+shingles cannot tell apart are emitted.
 """
 
 from __future__ import annotations
@@ -201,7 +201,7 @@ def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
                         rows["signature"], rows["band"], rows["number"] = found, scheme, number
                         held.append(rows)
                         count += len(rows)
-                if count > 1 << 21:
+                if count > 1 << 19:
                     yield deal()
                     held, count = [], 0
         if count:
@@ -274,22 +274,86 @@ def _shingles_of(docs: DataFrame, wanted: SortedTable, words: int) -> DataFrame:
                     )
 
     found = texts(docs).select("text").mapInArrow(fetch, "number bigint, n bigint, shingles binary")
-    # The same content may have been found by several tasks; all have the same bytes.
-    once = found.groupBy("number").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
-    return keep(once, "jaccard-sets")
+    return keep(found, "jaccard-sets")
+
+
+def _sketches(sets: DataFrame, percent: int) -> DataFrame:
+    """(number, band, n, bitmap) of each set for the bands it was indexed in.
+
+    A shingle flips one bit, so two sets differ in at least as many shingles as their
+    bitmaps differ in bits.
+    """
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = [("number", pa.int64()), ("band", pa.int32()), ("n", pa.int64()), ("bitmap", pa.binary())]
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                own = mixed(np.frombuffer(row["shingles"], np.uint64) + np.uint64(1))
+                top = band_of(row["n"], percent)
+                for band in range(max(0, top - 1), top + 1):
+                    bits = _bits(band, percent)
+                    flips = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+                    out.append((row["number"], band, row["n"], np.packbits(flips & 1 == 1).tobytes()))
+            columns = zip(*out, strict=True) if out else [[], [], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, (_, kind) in zip(columns, schema, strict=True)], schema=pa.schema(schema)
+            )
+
+    found = sets.mapInArrow(draw, "number bigint, band int, n bigint, bitmap binary")
+    return keep(found.dropDuplicates(["number", "band"]), "jaccard-sketches")
+
+
+def _possible(left: np.ndarray, right: np.ndarray, n_left, n_right, percent: int) -> np.ndarray:
+    """Which pairs sizes and bitmaps (rows of 64-bit words) leave possible."""
+    most = n_left + n_right + 2 * (-percent * (n_left + n_right) // (100 + percent))
+    fit = np.minimum(n_left, n_right) * 100 >= np.maximum(n_left, n_right) * percent
+    return fit & (np.bitwise_count(left ^ right).sum(axis=1) <= most)
+
+
+def _words(bitmaps: list[bytes]) -> np.ndarray:
+    maps = np.frombuffer(b"".join(bitmaps), np.uint8).reshape(len(bitmaps), -1)
+    return np.ascontiguousarray(np.pad(maps, ((0, 0), (0, -maps.shape[1] % 8)))).view(np.uint64)
+
+
+def _sifted(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b, band) those that sketches leave possible."""
+    of = lambda name: sketches.select(
+        F.col("number").alias(name), "band", F.col("n").alias(f"n{name}"), F.col("bitmap").alias(f"m{name}")
+    )
+    both = pairs.join(of("b"), ["b", "band"]).join(of("a"), ["a", "band"])
+    both = both.where(f"least(na, nb) * 100 >= greatest(na, nb) * {percent}")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            band, na, nb = (batch.column(name).to_numpy() for name in ("band", "na", "nb"))
+            good = np.zeros(batch.num_rows, bool)
+            ma, mb = batch.column("ma").to_pylist(), batch.column("mb").to_pylist()
+            for own in np.unique(band):
+                at = np.flatnonzero(band == own)
+                left, right = _words([ma[k] for k in at]), _words([mb[k] for k in at])
+                good[at] = _possible(left, right, na[at], nb[at], percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return both.select("a", "b", "band", "na", "nb", "ma", "mb").mapInArrow(sift, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
-    sizes = sets.select("number", "n")
-    fit = (
-        pairs.join(sizes.select(F.col("number").alias("a"), F.col("n").alias("na")), "a")
-        .join(sizes.select(F.col("number").alias("b"), F.col("n").alias("nb")), "b")
-        .where(f"least(na, nb) * 100 >= greatest(na, nb) * {percent}")
-        .select("a", "b")
-    )
-    full = fit.join(sets.select(F.col("number").alias("b"), F.col("shingles").alias("right")), "b").join(
-        sets.select(F.col("number").alias("a"), F.col("shingles").alias("left")), "a"
+    pairs = keep(pairs, "jaccard-pairs")
+    ends = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
+    wanted = sorted_table(ends.withColumn("wanted", F.lit(1)), "number", "jaccard-ends")
+
+    def needed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            distinct, place = np.unique(batch.column("number").to_numpy(), return_inverse=True)
+            yield batch.filter(pa.array(wanted.find(distinct)[0][place] > 0))
+
+    # Sets nobody asks for stay where they are; the others travel once per side.
+    few = sets.select("number", "shingles").mapInArrow(needed_sets, "number bigint, shingles binary")
+    few = keep(few.dropDuplicates(["number"]), "jaccard-asked")
+    full = pairs.join(few.select(F.col("number").alias("b"), F.col("shingles").alias("right")), "b").join(
+        few.select(F.col("number").alias("a"), F.col("shingles").alias("left")), "a"
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,91 +369,103 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _bits(band: int, percent: int) -> int:
-    return min(1 << 16, 1 << (4 * band_edges(percent)[band + 1]).bit_length())
+    return min(1 << 16, 1 << (2 * band_edges(percent)[band + 1]).bit_length())
 
 
-def _unsettled(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int = 1024) -> DataFrame:
+def _unsettled(groups: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, block: int = 1024) -> DataFrame:
     """Pairs of one group in different components that sizes and bitmaps leave possible.
 
-    The smallest member of a group has met all others already.  A group of more than
-    ``block`` members is dealt out as pairs of blocks, so no task holds more than two blocks.
+    The smallest member of a group has met all others already.  Groups with the same
+    members are one.  A group of more than ``block`` members is dealt out as pairs of
+    blocks, so no task holds more than two blocks.
     """
     label = labels.select(F.col("node").alias("member"), "label")
     rows = groups.select("signature", "band", "member").join(label, "member", "left")
-    rows = rows.withColumn("label", F.coalesce("label", "member"))
+    rows = keep(rows.withColumn("label", F.coalesce("label", "member")), "jaccard-members")
     open_groups = (
-        rows.groupBy("signature")
-        .agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+        rows.groupBy("signature", "band")
+        .agg(
+            F.count("*").alias("size"),
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            F.bit_xor(F.xxhash64("member")).alias("x"),
+            F.bit_xor(F.xxhash64("member", F.lit(1))).alias("y"),
+        )
         .where("low <> high")
-        .select("signature", F.expr(f"cast(ceil(size / {block}) as int)").alias("blocks"))
+        .groupBy("band", "size", "x", "y")
+        .agg(F.min("signature").alias("signature"))
+        .select("signature", "band", F.expr(f"cast(ceil(size / {block}) as int)").alias("blocks"))
     )
-    rows = rows.join(open_groups, "signature")
+    rows = rows.join(open_groups, ["signature", "band"])
     own = F.expr("cast(pmod(xxhash64(member), blocks) as int)")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     rows = rows.select(
         "signature", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "band", "member", "label"
     )
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                shingles = np.frombuffer(row["shingles"], np.uint64)
-                top = band_of(row["n"], percent)
-                for band in range(max(0, top - 1), top + 1):
-                    bits = _bits(band, percent)
-                    flips = np.bincount((mixed(shingles + np.uint64(1)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
-                    out.append(
-                        {"member": row["number"], "band": band, "n": row["n"], "bitmap": np.packbits(flips & 1 == 1).tobytes()}
-                    )
-            schema = [("member", pa.int64()), ("band", pa.int32()), ("n", pa.int64()), ("bitmap", pa.binary())]
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema(schema))
-
-    bitmaps = sets.mapInArrow(draw, "member bigint, band int, n bigint, bitmap binary")
-    rows = rows.join(bitmaps, ["member", "band"])
+    rows = rows.join(sketches.withColumnRenamed("number", "member"), ["member", "band"])
     parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(parts, "signature", "x", "y").sortWithinPartitions("signature", "x", "y")
+    dealt = rows.repartition(parts, "signature", "band", "x", "y").sortWithinPartitions("signature", "band", "x", "y")
+
+    pair = np.dtype([("a", "<i8"), ("b", "<i8")])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, held = None, []
+        here, held, found, count = None, [], [], 0
         for batch in batches:
             for row in batch.to_pylist():
-                key = (row["signature"], row["x"], row["y"])
+                key = (row["signature"], row["band"], row["x"], row["y"])
                 if key != here and held:
-                    yield from possible(held)
+                    found.append(possible(held))
+                    count += len(found[-1])
                     held = []
+                    if count > 1 << 20:
+                        yield dealt_out(found)
+                        found, count = [], 0
                 here = key
                 held.append(row)
         if held:
-            yield from possible(held)
+            found.append(possible(held))
+        if found:
+            yield dealt_out(found)
 
-    def possible(held: list[dict]) -> Iterator[pa.RecordBatch]:
+    def possible(held: list[dict]) -> np.ndarray:
         held.sort(key=lambda row: row["member"])
         number = np.array([row["member"] for row in held])
         labels = np.array([row["label"] for row in held])
         n = np.array([row["n"] for row in held])
         own = np.array([row["own"] for row in held])
         across = held[0]["x"] != held[0]["y"]
-        maps = np.frombuffer(b"".join(row["bitmap"] for row in held), np.uint8).reshape(len(held), -1)
-        maps = np.ascontiguousarray(np.pad(maps, ((0, 0), (0, -maps.shape[1] % 8)))).view(np.uint64)
-        a, b = [], []
+        maps = _words([row["bitmap"] for row in held])
+        pairs = [np.zeros(0, pair)]
         for i in range(len(held) - 1):
-            rest = slice(i + 1, None)
-            total = n[i] + n[rest]
-            most = total + 2 * (-percent * total // (100 + percent))
-            fit = (labels[rest] != labels[i]) & (np.minimum(n[i], n[rest]) * 100 >= np.maximum(n[i], n[rest]) * percent)
+            apart = labels[i + 1 :] != labels[i]
             if across:
-                fit &= own[rest] != own[i]
-            at = np.flatnonzero(fit)
-            if len(at):
-                apart = np.bitwise_count(maps[i + 1 + at] ^ maps[i]).sum(axis=1)
-                at = at[apart <= most[at]]
-                a.append(np.full(len(at), number[i]))
-                b.append(number[i + 1 + at])
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                apart &= own[i + 1 :] != own[i]
+            at = np.flatnonzero(apart) + i + 1
+            at = at[_possible(maps[at], maps[i], n[at], n[i], percent)]
+            pairs.append(np.empty(len(at), pair))
+            pairs[-1]["a"], pairs[-1]["b"] = number[i], number[at]
+        return np.concatenate(pairs)
+
+    def dealt_out(found: list[np.ndarray]) -> pa.RecordBatch:
+        """Distinct pairs as blobs, one per bucket: groups overlap, so many report the same pair."""
+        pairs = np.unique(np.concatenate(found))
+        bucket = (mixed(pairs["a"].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        pairs, bucket = pairs[order], bucket[order]
+        begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+        ends = np.append(begin[1:], len(pairs))[: len(begin)]
+        blobs = [pairs[i:j].tobytes() for i, j in zip(begin.tolist(), ends.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[begin]), pa.array(blobs, pa.binary())], names=["bucket", "pairs"])
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = np.zeros(0, pair)
+        for batch in batches:
+            raw = b"".join(batch.column(1).to_pylist())
+            pairs = np.unique(np.concatenate([pairs, np.frombuffer(raw, pair)]))
+        yield pa.RecordBatch.from_arrays([pa.array(pairs["a"].copy()), pa.array(pairs["b"].copy())], names=["a", "b"])
 
-    return dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
+    blobs = dealt.mapInArrow(compare, "bucket bigint, pairs binary").repartition(parts, "bucket")
+    return blobs.mapInArrow(distinct, "a bigint, b bigint")
 
 
 def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, passed: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -404,17 +480,15 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, passed:
     wanted = sorted_table(candidates.withColumn("wanted", F.lit(1)), "number", "jaccard-candidates")
     sets = _shingles_of(docs, wanted, words)
 
-    # Each set against its smallest partner.
-    nearest = keep(groups.groupBy(F.col("member").alias("b")).agg(F.min("hub").alias("a")), "jaccard-nearest")
-    links = keep(_verified(nearest.select("a", "b"), sets, percent), "jaccard-links")
-    labels = components(links)
-    # Against the smallest member of each of its groups, unless already connected.
-    pairs = groups.select(F.col("hub").alias("a"), F.col("member").alias("b")).distinct()
-    pairs = _apart(pairs, labels).join(nearest.select("a", "b"), ["a", "b"], "left_anti")
-    links = links.union(keep(_verified(pairs, sets, percent), "jaccard-links"))
+    sketches = _sketches(sets, percent)
+
+    # Each set against the smallest member of each of its groups.
+    pairs = groups.groupBy(F.col("hub").alias("a"), F.col("member").alias("b")).agg(F.min("band").alias("band"))
+    links = keep(_verified(_sifted(pairs, sketches, percent), sets, percent), "jaccard-links")
     labels = components(links)
     # Among the others of a group.
-    links = links.union(keep(_verified(_unsettled(groups, labels, sets, percent), sets, percent), "jaccard-links"))
+    more = _verified(_unsettled(groups, labels, sketches, percent), sets, percent)
+    links = links.union(keep(more, "jaccard-links"))
     labels = components(links)
 
     named = members.join(labels.withColumnRenamed("node", "number"), "number", "left")
@@ -459,11 +533,34 @@ def first_of_each_class(docs: DataFrame, words: int = WORDS, percent: int = PERC
     return kept.select("row").union(keyed.where(~worded).select("row")).select("row.*")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are not known to be connected."""
-    return (
-        pairs.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left")
-        .join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
-        .where("coalesce(la, a) <> coalesce(lb, b)")
-        .select("a", "b")
-    )
+#: :func:`join` in SQL.
+JOIN_SQL = r"""
+with recursive words as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+shingles as (
+  select distinct r, array_to_string(w[i:i + 4], chr(10)) as t
+  from (select r, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from words where len(w) > 0)
+),
+sizes as (select r, count(*) as n from shingles group by r),
+shared as (
+  select a.r as x, b.r as y, count(*) as common
+  from shingles a join shingles b on a.t = b.t and a.r <> b.r group by a.r, b.r
+),
+links as (
+  select x, y from shared join sizes p on p.r = x join sizes q on q.r = y
+  where 100 * common >= 80 * (p.n + q.n - common)
+),
+reached as (
+  select r as x, r as y from words
+  union
+  select reached.x, links.y from reached join links on reached.y = links.x
+)
+select a.doc_id, coalesce(max(n), 0)::bigint as n_shingles, min(b.doc_id) as component_id
+from reached join words a on a.r = reached.x join words b on b.r = reached.y left join sizes s on s.r = a.r
+group by a.r, a.doc_id
+"""
