@@ -137,3 +137,47 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, passed: tuple[st
         remove, f"row {kinds['row']}, kept_text string, n_lines bigint, n_removed bigint, n_runs bigint"
     )
     return done.select("row.*", "kept_text", "n_lines", "n_removed", "n_runs")
+
+
+#: What the query returns, in SQL (for tables whose doc_id is unique).
+REMOVED_SQL = r"""
+with lines as (
+  select doc_id, generate_subscripts(l, 1) as line, unnest(l) as raw,
+         array_to_string(regexp_extract_all(lower(unnest(l)), '\S+'), ' ') as plain
+  from (select doc_id, string_split(text, chr(10)) as l from documents where text is not null)
+),
+content as (
+  select *, row_number() over (partition by doc_id order by line) as place,
+         sum(len(string_split(plain, ' '))) over (partition by doc_id order by line) as words
+  from lines where plain <> ''
+),
+stops as (
+  select a.doc_id, a.place, a.line, min(b.place) as stop
+  from content a join content b on a.doc_id = b.doc_id and b.place >= a.place
+   and b.words - a.words + len(string_split(a.plain, ' ')) >= 40
+  group by a.doc_id, a.place, a.line
+),
+windows as (
+  select s.doc_id, s.place, s.line, s.stop, string_agg(c.plain, chr(10) order by c.place) as text
+  from stops s join content c on c.doc_id = s.doc_id and c.place between s.place and s.stop
+  group by s.doc_id, s.place, s.line, s.stop
+),
+later as (
+  select *, row_number() over (partition by text order by doc_id, line) as occurrence from windows
+),
+gone as (
+  select distinct c.doc_id, c.line, c.place from later l join content c on c.doc_id = l.doc_id and c.place between l.place and l.stop
+  where occurrence > 1
+),
+runs as (
+  select g.doc_id, count(*) as n_removed, count(*) filter (p.place is null) as n_runs
+  from gone g left join gone p on p.doc_id = g.doc_id and p.place = g.place - 1 group by g.doc_id
+),
+kept as (
+  select l.doc_id, count(*) as n_lines, string_agg(raw, chr(10) order by l.line) filter (g.line is null) as text
+  from lines l left join gone g on g.doc_id = l.doc_id and g.line = l.line group by l.doc_id
+)
+select d.doc_id, coalesce(k.n_lines, 0)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(n_runs, 0)::bigint as n_runs, sha256(coalesce(k.text, '')) as kept_sha256
+from documents d left join kept k on k.doc_id = d.doc_id left join runs r on r.doc_id = d.doc_id
+"""

@@ -93,4 +93,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_quality_rules": quality.JUDGE_SQL}
+#: The other operators are tested against brute force, round trips and held-out texts.
+ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": suffixes.REMOVED_SQL,
+    "op3_quality_rules": quality.JUDGE_SQL,
+    "op7_line_dedup": line_dedup.REMOVED_SQL,
+    "op8_jaccard_join": jaccard.JOIN_SQL,
+}

@@ -296,3 +296,41 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
             )
 
     return rows.mapInArrow(remove, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+
+
+#: What the query returns, in SQL: strings of 200 bytes by their hash, kept bytes as hex digits.
+REMOVED_SQL = r"""
+with docs as (
+  select row_number() over () as r, doc_id, encode(coalesce(text, '')) as raw, hex(encode(coalesce(text, ''))) as h
+  from documents
+),
+starts as (
+  select r, i, hash(raw[i + 1:i + 200]) as string
+  from (select r, raw, unnest(range(0, octet_length(raw) - 199)) as i from docs where octet_length(raw) >= 200)
+),
+twice as (
+  select r, i from starts join (select string from starts group by string having count(*) > 1) using (string)
+),
+edges as (
+  select r, i, lag(i) over (partition by r order by i) as before from twice
+),
+numbered as (
+  select r, i, sum(case when before is null or i > before + 200 then 1 else 0 end)
+                 over (partition by r order by i) as run
+  from edges
+),
+runs as (
+  select r, run, min(i) as a, max(i) + 200 as b from numbered group by r, run
+),
+gaps as (
+  select r, run, a, b, coalesce(lag(b) over (partition by r order by run), 0) as after from runs
+),
+kept as (
+  select g.r, sum(b - a) as n_removed, count(*) as n_spans,
+         string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' order by run) || substr(any_value(h), 2 * max(b) + 1) as h
+  from gaps g join docs d on d.r = g.r group by g.r
+)
+select doc_id, (length(d.h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(k.h, d.h))) as kept_sha256
+from docs d left join kept k on k.r = d.r
+"""

@@ -6,16 +6,28 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 
 from revloom.llm import jaccard, line_dedup, suffixes
 from revloom.llm.components import components
-from revloom.llm.queries import QUERIES
+from revloom.llm.queries import ORACLE_SQL, QUERIES
 
 from .samples import SF, awkward, collected, table
 
 
+@pytest.mark.parametrize("name", ["op1_suffix_dedup", "op7_line_dedup", "op8_jaccard_join"])
+def test_queries_equal_their_sql(spark, name):
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from read_parquet('{SF}/documents.parquet')")
+    want = con.sql(ORACLE_SQL[name]).to_arrow_table()
+    found = QUERIES[name](spark, SF)
+    assert sorted(found.columns) == sorted(want.column_names)
+    columns = sorted(found.columns)
+    assert collected(found.select(*columns)) == sorted((tuple(r[c] for c in columns) for r in want.to_pylist()), key=repr)
+
+
 def documents(spark):
     return [(d["doc_id"], d["text"]) for d in spark.read.parquet(f"{SF}/documents.parquet").collect()]
 
