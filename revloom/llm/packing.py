@@ -80,10 +80,10 @@ class Mixture:
         step = np.asarray(step, np.int64)[:, None]
         return given + whole * step + rest * step // windows
 
-    def places(self, queue: int, start: int, length: int) -> Iterator[tuple[int, int, int]]:
-        """Cut ``length`` tokens of a queue from position ``start``: (offset in them, length, place in the stream)."""
+    def places(self, queue: int, start: int, length: int) -> Iterator[tuple[int, int, int, int]]:
+        """Cut ``length`` tokens of a queue from position ``start``: (offset in them, length, place in the stream, window)."""
         at, stop = start, start + length
-        for phase, (given, amounts, windows, _) in enumerate(self.phases):
+        for phase, (given, amounts, windows, first) in enumerate(self.phases):
             low, high = int(given[queue]), int(given[queue] + amounts[queue])
             while low <= at < min(high, stop):
                 # The window that holds token ``at``: the least step whose edge passes it.
@@ -97,7 +97,7 @@ class Mixture:
                     edges = self._edge(phase, [step, step + 1])
                 end = min(stop, int(edges[1, queue]))
                 place = int(edges[0].sum()) + int((edges[1, :queue] - edges[0, :queue]).sum()) + at - int(edges[0, queue])
-                yield at - start, end - at, place
+                yield at - start, end - at, place, first + step
                 at = end
 
 
@@ -112,7 +112,8 @@ def pack(
 ) -> DataFrame:
     """Pack every document's ids into sequences of ``sequence`` tokens; one row per piece.
 
-    ``docs`` has doc_id, text and source.  A window spans ``window_sequences`` sequences.
+    ``docs`` has doc_id, text and source.  A window spans ``window_sequences`` sequences at most: the tokens between
+    two queues running dry are split evenly into windows.
     ``weights`` names sources and their shares; the other sources are dealt to ``hashed``
     queues by a hash of their name (null is a name) and share what weight is left by their
     size.  Without weights every queue's share is its share of all tokens, so all queues
@@ -168,7 +169,7 @@ def pack(
                 if (row["queue"], row["stretch"]) != here:
                     here, at = (row["queue"], row["stretch"]), row["begin"]
                 ids, count = row["ids"], row["n_ids"]
-                for offset, length, place in mixture.places(row["queue"], at, count):
+                for offset, length, place, window in mixture.places(row["queue"], at, count):
                     done = 0
                     while done < length:
                         number, inside = divmod(place + done, sequence)
@@ -185,7 +186,7 @@ def pack(
                             count,
                             number,
                             inside,
-                            (place + done) // mixture.window,
+                            window,
                             part,
                         )
                         for column, value in zip(out, piece, strict=True):
