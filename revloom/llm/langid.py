@@ -18,6 +18,8 @@ from revloom.llm.ppm import Counter, Tree, counted, grams, per_text
 from revloom.llm.shared import prepare
 
 ORDER = 4
+#: Bytes of text scored at once: the more, the fewer look-ups of a gram.
+BLOCK = 1 << 21
 #: Training bytes of all languages together, in expectation.
 SAMPLE_BYTES = 16 << 20
 
@@ -87,7 +89,7 @@ def identify(
         for batch in batches:
             has_letter = np.array([text is not None and _has_letter(text) for text in batch.column("text").to_pylist()], bool)
             picks, scores, rates = [], [], []
-            for block in blocks(batch):
+            for block in blocks(batch, limit=BLOCK):
                 if not models:
                     picks += ["und"] * len(block)
                     scores += [0.0] * len(block)
