@@ -1,13 +1,15 @@
 """Removal of repeated runs of lines by winnowing over line hashes.
 
 Lines are compared trimmed, in lower case and with single spaces; blank lines are no part
-of a run.  A line and the lines after it, up to ``min_words`` words, form a window.  From
-every window the line with the least hash is selected; windows with equal content select
-the same line, so every run worth removing leaves a fingerprint (the guarantee of
-winnowing).  Windows whose fingerprint was selected in one place only are dropped; the others
-are joined on their content, and the first place of each content, by doc_id and line, is
-kept.  Overlapping later windows make up the longest runs, which is what extending a match
-line by line both ways arrives at, without listing pairs of places.
+of a run.  A line and the lines after it, up to ``min_words`` words, form a window.  Every
+window selects its line with the least hash (the first of several), and a place (document
+and selected line) makes one row, which carries the windows that selected it.  Windows with
+equal content select the same line of it, so places are joined on the hash of their line,
+and those whose line was selected nowhere else are dropped (the guarantee of winnowing).
+The windows of the others are verified on the hash of their whole content, and the first
+of each content, by doc_id and line, is kept.  A match grows line by line as far as least
+windows that start in it go on repeating; the last lines of a run, fewer than
+``min_words`` words after the start of its last window, stay.
 """
 
 from __future__ import annotations
@@ -37,8 +39,8 @@ def _content(text: str) -> tuple[list[int], list[int], list[int]]:
     return numbers, hashes, sizes
 
 
-def windows(text: str, min_words: int) -> Iterator[tuple[int, int, int, int]]:
-    """(fingerprint, content hash, first line, last line) of every window of a text."""
+def windows(text: str, min_words: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """(fingerprint, content hash, first line, last line, selected line) of every window of a text."""
     numbers, hashes, sizes = _content(text)
     raw = np.array(hashes, np.uint64).tobytes()
     stop = held = 0
@@ -49,35 +51,57 @@ def windows(text: str, min_words: int) -> Iterator[tuple[int, int, int, int]]:
         if held < min_words:
             return
         content = xxhash.xxh3_64_intdigest(raw[8 * start : 8 * stop])
-        yield min(hashes[start:stop]), content, numbers[start], numbers[stop - 1]
+        least = min(hashes[start:stop])
+        yield least, content, numbers[start], numbers[stop - 1], numbers[hashes.index(least, start, stop)]
         held -= sizes[start]
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_hash, first_line, last_line) of windows that occurred earlier."""
+def selected_places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, text_hash, line, fingerprint, windows): the selected lines, with the windows that selected each."""
     kind = dict(docs.dtypes)["doc_id"]
+    window = pa.struct([(name, pa.int64()) for name in ("content", "first_line", "last_line")])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, found = [], []
+            rows, selected, starts, found = [], [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                for window in windows(text or "", min_words):
-                    rows.append(row)
-                    found.append(window)
-            values = np.array(found, np.uint64).reshape(-1, 4).T.copy()
+                before = None
+                # The selected line never moves up, so the windows of a place come in a row.
+                for fingerprint, content, first, last, line in windows(text or "", min_words):
+                    if line != before:
+                        rows.append(row)
+                        selected.append((line, fingerprint))
+                        starts.append(len(found))
+                        before = line
+                    found.append((content, first, last))
+            places = np.array(selected, np.uint64).reshape(-1, 2).T.copy().view(np.int64)
+            columns = np.array(found, np.uint64).reshape(-1, 3).T.copy().view(np.int64)
+            held = pa.StructArray.from_arrays([pa.array(column) for column in columns], fields=list(window))
+            lists = pa.ListArray.from_arrays(pa.array([*starts, len(found)], pa.int32()), held)
             taken = [batch.column(name).take(pa.array(rows, pa.int64())) for name in ("doc_id", "text_hash")]
             yield pa.RecordBatch.from_arrays(
-                [*taken, *(pa.array(column.view(np.int64)) for column in values)],
-                names=["doc_id", "text_hash", "fingerprint", "content", "first_line", "last_line"],
+                [*taken, *map(pa.array, places), lists], names=["doc_id", "text_hash", "line", "fingerprint", "windows"]
             )
 
     rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    places = rows.mapInArrow(
-        cut, f"doc_id {kind}, text_hash bigint, fingerprint bigint, content bigint, first_line bigint, last_line bigint"
+    return rows.mapInArrow(
+        cut,
+        f"doc_id {kind}, text_hash bigint, line bigint, fingerprint bigint, "
+        "windows array<struct<content: bigint, first_line: bigint, last_line: bigint>>",
     )
-    places = keep(places, "line-windows")
-    selected = places.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
-    candidates = places.join(selected, "fingerprint", "left_semi")
+
+
+def joined_places(places: DataFrame) -> DataFrame:
+    """The rows of ``places`` whose line was selected in another place too."""
+    twice = places.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
+    return places.join(twice, "fingerprint", "left_semi")
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, text_hash, first_line, last_line) of windows that occurred earlier."""
+    places = keep(selected_places(docs, min_words), "line-places")
+    candidates = joined_places(places).select("doc_id", "text_hash", F.explode("windows").alias("w"))
+    candidates = candidates.select("doc_id", "text_hash", "w.*")
     place = F.struct("doc_id", "text_hash", "first_line")
     first = candidates.groupBy("content").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = candidates.join(first.select("content", "first"), "content").where(place > F.col("first"))

@@ -154,6 +154,22 @@ def test_equal_windows_select_one_fingerprint():
     assert len(common) == 6 and all(ours[c] == theirs[c] for c in common)
 
 
+def test_places_are_selected_once_and_joined_on_their_line(spark):
+    line = lambda k: " ".join(f"w{k}x{n}" for n in range(12))
+    run = [line(k) for k in range(9)]
+    alone = "\n".join(line(k) for k in range(100, 160))
+    texts = ["\n".join([line(70), *run]), "\n".join([line(80), *run, line(82)]), alone, None, "", "\n".join(run[:1] * 9)]
+    found = line_dedup.selected_places(table(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)]))
+    rows = found.collect()
+    assert len({(r["doc_id"], r["line"]) for r in rows}) == len(rows)
+    for i, text in enumerate(texts):
+        want = sorted((w[4], w[0], *w[1:4]) for w in line_dedup.windows(text or "", 40))
+        signed = lambda n: n - (n >> 63 << 64)
+        got = sorted((r["line"], r["fingerprint"], *w) for r in rows if r["doc_id"] == i for w in r["windows"])
+        assert got == sorted((a, signed(b), signed(c), d, e) for a, b, c, d, e in want)
+    assert {r["doc_id"] for r in line_dedup.joined_places(found).collect()} == {0, 1, 5}
+
+
 # --- sets -------------------------------------------------------------------------------
 
 
