@@ -108,6 +108,43 @@ def test_context_finds_what_patterns_miss(spark):
     assert found[200]["spans"] == [] and found[201]["spans"] == []
 
 
+def test_context_finds_tokens_without_digits_and_groups(spark):
+    rnd = random.Random(3)
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    cards = []
+    while len(cards) < 40:
+        card = f"4{digits(3)} {digits(4)} {digits(4)} {digits(4)}"
+        cards += [card] * pii.luhn(card.replace(" ", ""))
+    texts = [f"please mail me at user{chr(97 + i % 26)}{i}@x.example.org thanks" for i in range(40)]
+    texts += [f"you can call us on +44 20 7946 {1000 + i} any time" for i in range(40)]
+    texts += [f"it was charged to {card} last week" for card in cards]
+    planted = [
+        ("do mail me at ", "jane.doe[at]example.org", " thanks"),
+        ("do mail me at ", "jane.doe@localhost", ", thanks"),
+        ("so call us on ", "020 7946 0958", " any day"),
+        ("was charged to ", "4111 1111 1111 1112", " last week"),
+    ]
+    # A new entity's own context, which no seed has, makes others known in a later round.
+    names = [f"{name}(at)home" for name in "abcdefghijkl"]
+    planted += [("do mail me at ", name, " thanks") for name in names]
+    planted += [("", name, " is mine") for name in names] + [("", "emil(at)home", " is mine")]
+    rows = [(i, text, None, None, 0) for i, text in enumerate(texts + ["".join(parts) for parts in planted])]
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in pii.find(table(spark, rows)).collect()}
+    kinds = [0, 0, 3, 2] + [0] * (2 * len(names) + 1)
+    for i, (parts, kind) in enumerate(zip(planted, kinds, strict=True)):
+        begin = len(parts[0])
+        assert found[len(texts) + i] == [(kind, begin, begin + len(parts[1]))], parts
+    assert all(len(found[i]) == 1 for i in range(len(texts)))
+
+
+def test_runs_next_to_base_spans_are_no_part_of_them():
+    text = "at 192.168.0.1 12 34, 56 (78) 90. 11"
+    words, firsts = pii._hashes([text], pii._Words())
+    first, last = pii._runs(words)
+    places, use = pii._free(text, first - firsts[0], last - firsts[0], (first - firsts[0], last - firsts[0]))
+    assert [text[a:b] for (a, b), u in zip(places, use, strict=True) if u] == ["12 34", "56 (78) 90"]
+
+
 def test_personal_data_of_awkward_rows(spark):
     assert pii.find(table(spark, clashes=True)).count() == len(awkward())
     assert pii.find(table(spark, [])).count() == 0
