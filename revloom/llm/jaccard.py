@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from revloom.llm.blocks import Block, blocks, mixed, shingle_hashes
 from revloom.llm.components import components
-from revloom.llm.shared import SortedTable, keep, prepare, sorted_table, texts
+from revloom.llm.shared import SortedTable, join_rows, keep, prepare, sorted_table, texts
 
 WORDS = 5
 PERCENT = 80
@@ -513,7 +513,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
 
 
 def first_of_each_class(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay when each class keeps the one with the smallest doc_id (then text hash).
+    """The rows of ``docs`` that stay when each class keeps the one with the smallest doc_id (null last; then text hash).
 
     Rows without a word, null texts included, are in no class and all stay.  Of rows equal
     in doc_id and text one stays.
@@ -524,12 +524,12 @@ def first_of_each_class(docs: DataFrame, words: int = WORDS, percent: int = PERC
     first = (
         named.where("class is not null")
         .groupBy("class")
-        .agg(F.min(F.struct("doc_id", "hash")).alias("first"))
+        .agg(F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "hash")).alias("first"))
         .select("first.doc_id", "first.hash")
         .distinct()
     )
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = keyed.where(worded).join(first, ["doc_id", "hash"], "left_semi").dropDuplicates(["doc_id", "hash"])
+    kept = join_rows(keyed.where(worded), first, ["doc_id", "hash"], "left_semi").dropDuplicates(["doc_id", "hash"])
     return kept.select("row").union(keyed.where(~worded).select("row")).select("row.*")
 
 

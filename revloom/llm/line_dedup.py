@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revloom.llm.shared import keep, prepare
+from revloom.llm.shared import join_rows, keep, prepare
 
 MIN_WORDS = 40
 
@@ -112,8 +112,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, passed: tuple[st
     """``passed`` columns of every row of ``docs`` (doc_id, text), kept_text, n_lines, n_removed, n_runs.
 
     A line goes when it lies in a window (a least run of lines with ``min_words`` words)
-    that stood earlier: in a document with a smaller doc_id (then smaller hash of the
-    text), or further up in the same one.  Windows are judged on the input.  ``n_runs``
+    that stood earlier: in a document with a smaller doc_id (null first; then smaller hash
+    of the text), or further up in the same one.  Windows are judged on the input.  ``n_runs``
     counts the runs of removed lines, blank lines between two of them included in neither.
     Blank lines stay.  A null text gives null, 0, 0, 0; an empty one has one (blank) line.
     Rows equal in doc_id and text are one place: they are all treated as the first of them.
@@ -125,7 +125,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, passed: tuple[st
     rows = docs.select(
         F.struct(*passed).alias("row"), "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
     )
-    joined = rows.join(by_text, ["doc_id", "text_hash"], "left").select("row", "text", "spans")
+    joined = join_rows(rows, by_text, ["doc_id", "text_hash"], "left").select("row", "text", "spans")
     kinds = dict(rows.dtypes)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revloom.llm.shared import SortedTable, keep, prepare, sorted_table
+from revloom.llm.shared import SortedTable, join_rows, keep, prepare, sorted_table
 
 # The kinds in their order, and what the base patterns accept.
 KINDS = ("email", "ip", "card", "phone")
@@ -387,7 +387,7 @@ def find(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         .groupBy("doc_id", "hash")
         .agg(F.collect_set(F.struct("kind", "start", "end")).alias("added"))
     )
-    joined = stored.join(added, ["doc_id", "hash"], "left")
+    joined = join_rows(stored, added, ["doc_id", "hash"], "left")
     return joined.select(
         "doc_id",
         F.col("spans").alias("base"),

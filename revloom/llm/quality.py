@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revloom.llm.shared import join_rows
+
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 #: A line found in more distinct texts of a host than this is boilerplate of the host.
@@ -123,7 +125,7 @@ def judge(
     )
     base = measures(rows, "doc_id", "hash", "host")
     removed = frequent_line_words(rows, max_texts)
-    joined = base.join(removed, ["doc_id", "hash", "host"], "left")
+    joined = join_rows(base, removed, ["doc_id", "hash", "host"], "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     gone = F.coalesce("frequent_words", F.lit(0)).cast("bigint")
     return joined.select(

@@ -49,6 +49,13 @@ def keep(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def join_rows(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
+    """Join on ``names``, of which ``doc_id`` may be null: nulls are equal."""
+    other = right.withColumnsRenamed({name: f"right {name}" for name in names})
+    same = [F.col(name).eqNullSafe(F.col(f"`right {name}`")) for name in names]
+    return left.join(other, same, how).drop(*(f"right {name}" for name in names))
+
+
 def texts(docs: DataFrame, *columns: str) -> DataFrame:
     """``doc_id``, the named columns, and ``text`` with nulls as empty texts."""
     return docs.select("doc_id", *columns, F.coalesce(F.col("text"), F.lit("")).alias("text"))
