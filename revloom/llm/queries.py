@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import decontam, jaccard, langid, line_dedup, lm, packing, pii, quality, stream_files, suffixes
+from revloom.llm import audit, decontam, jaccard, langid, line_dedup, lm, packing, pii, quality, stream_files, suffixes
 from revloom.llm.shared import prepare
 
 
@@ -80,6 +80,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_documents(spark, sf_dir))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return audit.audit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_packing": op2_packing,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_personal_data": op9_personal_data,
     "op10_decontamination": op10_decontamination,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: The other operators are tested against brute force, round trips and held-out texts.
@@ -99,4 +105,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": quality.JUDGE_SQL,
     "op7_line_dedup": line_dedup.REMOVED_SQL,
     "op8_jaccard_join": jaccard.JOIN_SQL,
+    "op13_filter_audit": audit.AUDIT_SQL,
 }
