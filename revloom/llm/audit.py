@@ -3,8 +3,8 @@
 Texts become shards of a CSR matrix: row i of a shard holds, for every distinct word of its
 i-th document, a column and how often the word occurs.  Within a shard columns are local;
 ``columns`` maps them to the global numbers of the words, which come from one dictionary over
-all shards.  Encoding is a shuffle of (word hash, shard) pairs, so a shard never reads the
-whole dictionary, and the dictionary is never in one place.  Row sums and nonzero counts of
+all shards.  Encoding shuffles the (word hash, shard) pairs once to rank the words and once
+back, so no task ever reads the whole dictionary.  Row sums and nonzero counts of
 the matrix decide the filters on length and repetition.  Words are told apart by 64-bit hashes.
 """
 
@@ -29,7 +29,7 @@ MAX_CAPITAL_PERCENT = 2
 SYMBOLS = "#$%&*|"
 FILTERS = "ABCDE"
 #: Text of a shard; a longer text is a shard of its own.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 16 << 20
 
 _CAPITAL = np.zeros(256, np.int64)
 _CAPITAL[ord("A") : ord("Z") + 1] = 1
@@ -45,21 +45,19 @@ def _sums(table: np.ndarray, block: Block) -> np.ndarray:
     return total[block.bounds[1:]] - total[block.bounds[:-1]]
 
 
-def csr(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
-    """(starts, columns, counts, hashes, words): the rows of a block's texts, columns in order of the word's hash."""
-    begin, end, firsts = block.words()
-    found = block.hashes(block.prefix(), begin, end)
-    hashes, first, column = np.unique(found, return_index=True, return_inverse=True)
-    row = np.repeat(np.arange(len(block)), np.diff(firsts))
-    cells, counts = np.unique(row * max(1, len(hashes)) + column, return_counts=True)
-    starts = np.searchsorted(cells, np.arange(len(block) + 1) * max(1, len(hashes)))
-    raw = block.data.tobytes()
-    words = [raw[b:e].decode() for b, e in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
-    return starts, (cells % max(1, len(hashes))).astype(np.int32), counts.astype(np.int32), hashes.view(np.int64), words
+def csr(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, columns, counts, hashes): the rows of a block's texts, columns in order of the word's hash."""
+    found, firsts = block.word_hashes()
+    hashes, column = np.unique(found, return_inverse=True)
+    width = max(1, len(hashes))
+    column += np.repeat(np.arange(len(block)) * width, np.diff(firsts))
+    cells, counts = np.unique(column, return_counts=True)
+    starts = np.searchsorted(cells, np.arange(len(block) + 1) * width)
+    return starts, (cells % width).astype(np.int32), counts.astype(np.int32), hashes.view(np.int64)
 
 
 def shards(docs: DataFrame) -> DataFrame:
-    """(shard, docs, starts, columns, counts, hashes, words): the matrix with local columns, stored.
+    """(shard, docs, starts, columns, counts, hashes): the matrix with local columns, stored.
 
     ``docs`` lists doc_id, part, a 128-bit hash of the text, and flags of the filters that need
     no matrix: 4 (capital letters) and 8 (symbols).
@@ -79,7 +77,7 @@ def shards(docs: DataFrame) -> DataFrame:
             ends = np.cumsum([0, *(len(block.data) for _, _, block in held)])
             bounds = [block.bounds[:-1] + at for (_, _, block), at in zip(held, ends[:-1], strict=True)]
             whole = Block(data, np.concatenate([*bounds, ends[-1:]]))
-            starts, columns, counts, hashes, words = csr(whole)
+            starts, columns, counts, hashes = csr(whole)
             flags = 4 * (100 * _sums(_CAPITAL, whole) > MAX_CAPITAL_PERCENT * _sums(_POINT, whole))
             flags += 8 * (_sums(_SYMBOL, whole) > 0)
             places = zip(whole.bounds[:-1].tolist(), whole.bounds[1:].tolist(), strict=True)
@@ -96,13 +94,12 @@ def shards(docs: DataFrame) -> DataFrame:
             blobs = [pa.array([column.tobytes()], pa.binary()) for column in (starts.astype(np.int64), columns, counts)]
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([f"{task}-{made}"]),
+                    pa.array([task << 32 | made]),
                     pa.ListArray.from_arrays(pa.array([0, len(listed)], pa.int32()), listed),
                     *blobs,
                     pa.array([hashes], pa.list_(pa.int64())),
-                    pa.array([words], pa.list_(pa.string())),
                 ],
-                names=["shard", "docs", "starts", "columns", "counts", "hashes", "words"],
+                names=["shard", "docs", "starts", "columns", "counts", "hashes"],
             )
 
         for batch in batches:
@@ -119,37 +116,25 @@ def shards(docs: DataFrame) -> DataFrame:
 
     made = rows.mapInArrow(
         build,
-        f"shard string, docs array<struct<doc_id: {kind}, part: string, high: bigint, low: bigint, flags: int>>, "
-        "starts binary, columns binary, counts binary, hashes array<bigint>, words array<string>",
+        f"shard bigint, docs array<struct<doc_id: {kind}, part: string, high: bigint, low: bigint, flags: int>>, "
+        "starts binary, columns binary, counts binary, hashes array<bigint>",
     )
     return keep(made, "audit-shards")
 
 
-def dictionary(matrix: DataFrame) -> DataFrame:
-    """(hash, id) of every word of the shards: ids 0, 1, 2, ... without gaps, in order of the hash.
+def global_columns(matrix: DataFrame) -> DataFrame:
+    """(shard, ids): for each shard the global numbers of its local columns, as 64-bit integers.
 
-    Hashes are cut into 4,096 equal stretches, each numbered by itself and shifted by the
-    words before it; the table of shifts has at most 4,096 rows.
+    Words are numbered 0, 1, 2, ... without gaps in order of their hash.  Hashes are cut into
+    4,096 equal stretches, each ranked by itself and shifted by the words before it; the
+    driver learns one count per stretch.
     """
-    distinct = matrix.select(F.explode("hashes").alias("hash")).distinct().withColumn("stretch", F.shiftright("hash", 52))
-    distinct = keep(distinct, "audit-words")
-    sizes = distinct.groupBy("stretch").agg(F.count("*").alias("size"))
-    before = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("stretch", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("shift"))
-    own = F.row_number().over(Window.partitionBy("stretch").orderBy("hash"))
-    numbered = distinct.withColumn("own", own).join(F.broadcast(shifts), "stretch")
-    return keep(numbered.select("hash", (F.col("shift") + F.col("own") - 1).cast("bigint").alias("id")), "audit-dictionary")
-
-
-def named_words(matrix: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, word): the dictionary in words."""
-    words = matrix.select(F.explode(F.arrays_zip("hashes", "words")).alias("w")).select("w.*").dropDuplicates(["hashes"])
-    return words.join(ids, words["hashes"] == ids["hash"]).select("id", F.col("words").alias("word"))
-
-
-def global_columns(matrix: DataFrame, ids: DataFrame) -> DataFrame:
-    """(shard, ids): for each shard the global numbers of its local columns, as 64-bit integers."""
-    pairs = matrix.select("shard", F.posexplode("hashes").alias("local", "hash")).join(ids, "hash")
+    pairs = matrix.select("shard", F.posexplode("hashes").alias("local", "hash"))
+    pairs = pairs.withColumn("stretch", F.shiftright("hash", 52).cast("int"))
+    rank = F.dense_rank().over(Window.partitionBy("stretch").orderBy("hash")) - 1
+    ranked = keep(pairs.select("shard", "local", "stretch", rank.alias("rank")), "audit-ranks")
+    sizes = dict(ranked.groupBy("stretch").agg(F.max("rank") + 1).collect())
+    shifts = np.concatenate([[0], np.cumsum([sizes.get(k, 0) for k in range(-2048, 2048)])])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, held = None, []
@@ -159,31 +144,52 @@ def global_columns(matrix: DataFrame, ids: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([here]), pa.array([blob], pa.binary())], names=["shard", "ids"])
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            names = batch.column("shard").dictionary_encode()
-            numbers = batch.column("id").to_numpy()
-            own = names.indices.to_numpy()
-            cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-            for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(own)], strict=True):
-                name = names.dictionary[int(own[begin])].as_py()
-                if name != here:
+            own, stretch, ranks = (batch.column(name).to_numpy() for name in ("shard", "stretch", "rank"))
+            numbers = shifts[stretch + 2048] + ranks
+            cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else own
+            for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(own)], strict=False):
+                if own[begin] != here:
                     if held:
                         yield row()
-                    here, held = name, []
+                    here, held = int(own[begin]), []
                 held.append(numbers[begin:end])
         if held:
             yield row()
 
-    dealt = pairs.select("shard", "local", "id").repartition("shard").sortWithinPartitions("shard", "local")
-    return dealt.mapInArrow(gather, "shard string, ids binary")
+    dealt = ranked.repartition("shard").sortWithinPartitions("shard", "local").select("shard", "stretch", "rank")
+    return dealt.mapInArrow(gather, "shard bigint, ids binary")
 
 
-def term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(matrix, ids): shards as of :func:`shards` with their ``ids`` (null without a word), and the dictionary (hash, id)."""
+def term_matrix(docs: DataFrame) -> DataFrame:
+    """Shards as of :func:`shards`, with the global numbers of their columns as ``ids`` (null without a word)."""
     matrix = shards(docs)
-    ids = dictionary(matrix)
-    return matrix.join(global_columns(matrix, ids), "shard", "left"), ids
+    return matrix.join(global_columns(matrix), "shard", "left")
+
+
+def dictionary(docs: DataFrame, matrix: DataFrame) -> DataFrame:
+    """(id, word) of every word of the documents that ``matrix`` was made of."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch):
+                begin, end, _ = block.words()
+                hashes, first = np.unique(block.hashes(block.prefix(), begin, end), return_index=True)
+                raw = block.data.tobytes()
+                words = [raw[b:e].decode() for b, e in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes.view(np.int64)), pa.array(words, pa.string())], names=["hash", "word"]
+                )
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for hashes, ids in zip(batch.column("hashes"), batch.column("ids"), strict=True):
+                if ids.is_valid:
+                    numbers = pa.array(np.frombuffer(ids.as_buffer(), "<i8"))
+                    yield pa.RecordBatch.from_arrays([hashes.values, numbers], names=["hash", "id"])
+
+    words = docs.select("text").mapInArrow(cut, "hash bigint, word string").dropDuplicates(["hash"])
+    ids = matrix.select("hashes", "ids").mapInArrow(number, "hash bigint, id bigint").distinct()
+    return words.join(ids, "hash").select("id", "word")
 
 
 def measured(matrix: DataFrame) -> DataFrame:
@@ -308,8 +314,7 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     toxic if one label says so.  No documents give no rows.
     """
     prepare(docs.sparkSession)
-    matrix, _ = term_matrix(docs)
-    rows = keep(measured(matrix), "audit-rows")
+    rows = keep(measured(term_matrix(docs)), "audit-rows")
     return interactions(_masks(rows, labels))
 
 

@@ -9,11 +9,8 @@ from itertools import permutations
 
 import duckdb
 import numpy as np
-import pyarrow as pa
-import pytest
 
 from revloom.llm import audit
-from revloom.llm.blocks import blocks
 from revloom.llm.queries import ORACLE_SQL, QUERIES
 from revloom.llm.shared import keep, prepare
 
@@ -100,9 +97,8 @@ def test_matrix_rebuilds_the_bags_of_words(spark, monkeypatch):
     monkeypatch.setattr(audit, "SHARD_BYTES", 3000)
     prepare(spark)
     docs = table(spark)
-    matrix, ids = audit.term_matrix(docs)
-    matrix = keep(matrix, "test-matrix")
-    words = {r["id"]: r["word"] for r in audit.named_words(matrix, ids).collect()}
+    matrix = keep(audit.term_matrix(docs), "test-matrix")
+    words = {r["id"]: r["word"] for r in audit.dictionary(docs, matrix).collect()}
     assert sorted(words) == list(range(len(words))) and len(set(words.values())) == len(words)
     found = []
     for r in matrix.collect():
@@ -116,13 +112,3 @@ def test_matrix_rebuilds_the_bags_of_words(spark, monkeypatch):
     order = lambda pair: (pair[0], sorted(pair[1].items()))
     assert sorted(found, key=order) == sorted(want, key=order)
     assert matrix.count() > 4
-
-
-@pytest.mark.parametrize("texts", [["a b a", "", "b"], [""], ["é é x"]])
-def test_csr_rows(texts):
-    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
-    starts, columns, counts, hashes, words = audit.csr(next(blocks(batch)))
-    for k, text in enumerate(texts):
-        cut = slice(starts[k], starts[k + 1])
-        assert {words[c]: n for c, n in zip(columns[cut], counts[cut], strict=True)} == Counter(text.split())
-    assert len(hashes) == len(words) and (np.diff(hashes.view(np.uint64).astype(float)) > 0).all()
