@@ -45,17 +45,27 @@ def _sums(table: np.ndarray, block: Block) -> np.ndarray:
     return total[block.bounds[1:]] - total[block.bounds[:-1]]
 
 
-def csr(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, columns, counts, hashes): the rows of a block's texts, columns in order of the word's hash."""
-    found, firsts = block.word_hashes()
-    hashes, column = np.unique(found, return_inverse=True)
+def csr(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, columns, counts, hashes) of rows with so many word hashes each, columns in order of the word's hash."""
+    hashes, column = np.unique(words, return_inverse=True)
     width = max(1, len(hashes))
-    column += np.repeat(np.arange(len(block)) * width, np.diff(firsts))
+    column += np.repeat(np.arange(len(lengths)) * width, lengths)
     cells, counts = np.unique(column, return_counts=True)
-    starts = np.searchsorted(cells, np.arange(len(block) + 1) * width)
+    starts = np.searchsorted(cells, np.arange(len(lengths) + 1) * width)
     return starts, (cells % width).astype(np.int32), counts.astype(np.int32), hashes.view(np.int64)
 
 
+def _simple_flags(block: Block) -> np.ndarray:
+    flags = 4 * (100 * _sums(_CAPITAL, block) > MAX_CAPITAL_PERCENT * _sums(_POINT, block))
+    return (flags + 8 * (_sums(_SYMBOL, block) > 0)).astype(np.int32)
+
+
+def _digests(block: Block) -> np.ndarray:
+    places = zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist(), strict=True)
+    pairs = [divmod(xxhash.xxh3_128_intdigest(block.data[b:e]), 1 << 64) for b, e in places]
+    return np.array(pairs, np.uint64).reshape(-1, 2).view(np.int64)
+
+
 def shards(docs: DataFrame) -> DataFrame:
     """(shard, docs, starts, columns, counts, hashes): the matrix with local columns, stored.
 
@@ -69,28 +79,21 @@ def shards(docs: DataFrame) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId(), 0
-        held: list[tuple[pa.Array, pa.Array, Block]] = []
+        held: list[tuple] = []
         size = 0
 
         def shard() -> pa.RecordBatch:
-            data = np.concatenate([block.data for _, _, block in held])
-            ends = np.cumsum([0, *(len(block.data) for _, _, block in held)])
-            bounds = [block.bounds[:-1] + at for (_, _, block), at in zip(held, ends[:-1], strict=True)]
-            whole = Block(data, np.concatenate([*bounds, ends[-1:]]))
-            starts, columns, counts, hashes = csr(whole)
-            flags = 4 * (100 * _sums(_CAPITAL, whole) > MAX_CAPITAL_PERCENT * _sums(_POINT, whole))
-            flags += 8 * (_sums(_SYMBOL, whole) > 0)
-            places = zip(whole.bounds[:-1].tolist(), whole.bounds[1:].tolist(), strict=True)
-            digest = np.array([divmod(xxhash.xxh3_128_intdigest(data[b:e]), 1 << 64) for b, e in places], np.uint64)
-            digest = digest.view(np.int64).reshape(-1, 2)
+            doc_id, part, words, lengths, digests, flags = zip(*held, strict=True)
+            digest = np.concatenate(digests)
             fields = {
-                "doc_id": pa.concat_arrays([own for own, _, _ in held]),
-                "part": pa.concat_arrays([own for _, own, _ in held]),
+                "doc_id": pa.concat_arrays(doc_id),
+                "part": pa.concat_arrays(part),
                 "high": pa.array(digest[:, 0].copy()),
                 "low": pa.array(digest[:, 1].copy()),
-                "flags": pa.array(flags.astype(np.int32)),
+                "flags": pa.array(np.concatenate(flags)),
             }
             listed = pa.StructArray.from_arrays(list(fields.values()), names=list(fields))
+            starts, columns, counts, hashes = csr(np.concatenate(words), np.concatenate(lengths))
             blobs = [pa.array([column.tobytes()], pa.binary()) for column in (starts.astype(np.int64), columns, counts)]
             return pa.RecordBatch.from_arrays(
                 [
@@ -107,9 +110,11 @@ def shards(docs: DataFrame) -> DataFrame:
                 if held and size + len(block.data) > SHARD_BYTES:
                     yield shard()
                     made, held, size = made + 1, [], 0
-                own = slice(block.first, block.first + len(block))
-                # A copy, as the buffers of a batch go with it.
-                held.append((*(batch.column(n)[own] for n in ("doc_id", "part")), Block(block.data.copy(), block.bounds)))
+                own = pa.array(np.arange(block.first, block.first + len(block)))
+                words, firsts = block.word_hashes()
+                # Copies, as the buffers of a batch go with it.
+                taken = [batch.column(name).take(own) for name in ("doc_id", "part")]
+                held.append((*taken, words, np.diff(firsts), _digests(block), _simple_flags(block)))
                 size += len(block.data)
         if held:
             yield shard()
