@@ -68,9 +68,9 @@ class Block:
         _, down = powers(len(self.data) + 1)
         return mixed((prefix[end] - prefix[begin]) * down[begin])
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def words(self, separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Begin and end of each word, and for each text the number of its first word (plus the total)."""
-        inside = ~_SEPARATOR[self.data]
+        inside = ~separator[self.data]
         before = np.zeros(len(inside), bool)
         before[1:] = inside[:-1]
         after = np.zeros(len(inside), bool)
@@ -83,9 +83,9 @@ class Block:
         end = np.flatnonzero(inside & ~after) + 1
         return begin, end, np.searchsorted(begin, self.bounds)
 
-    def word_hashes(self) -> tuple[np.ndarray, np.ndarray]:
+    def word_hashes(self, separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
         """Hash of each word, and for each text the number of its first word (plus the total)."""
-        begin, end, firsts = self.words()
+        begin, end, firsts = self.words(separator)
         return self.hashes(self.prefix(), begin, end), firsts
 
 

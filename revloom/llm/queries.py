@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import audit, decontam, jaccard, langid, line_dedup, lm, packing, pii, quality, stream_files, suffixes
+from revloom.llm import audit, decontam, jaccard, langid, lexical, line_dedup, lm, nearest, packing, pii, quality, stream_files, suffixes
 from revloom.llm.shared import prepare
 
 
@@ -80,6 +80,17 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_documents(spark, sf_dir))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return lexical.search(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return audit.audit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -96,6 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_personal_data": op9_personal_data,
     "op10_decontamination": op10_decontamination,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -105,5 +118,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": quality.JUDGE_SQL,
     "op7_line_dedup": line_dedup.REMOVED_SQL,
     "op8_jaccard_join": jaccard.JOIN_SQL,
+    "op11_ranked_search": lexical.SEARCH_SQL,
     "op13_filter_audit": audit.AUDIT_SQL,
 }

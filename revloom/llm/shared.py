@@ -140,3 +140,35 @@ def sorted_table(frame: DataFrame, key: str, name: str, rows_per_file: int = 1 <
         key,
         [column for column in frame.columns if column != key],
     )
+
+
+@dataclass
+class StoredBlocks:
+    """A table of any size in files of a bounded number of rows, which tasks read one at a time.
+
+    Tasks hold the files that fit in ``cached_bytes`` and read the others again.
+    """
+
+    paths: list[str]
+    cached_bytes: int = 64 << 20
+    _files: dict = field(default_factory=dict)
+
+    def __getstate__(self):
+        return self.__dict__ | {"_files": {}}
+
+    def __iter__(self):
+        for number, uri in enumerate(self.paths):
+            table = self._files.get(number)
+            if table is None:
+                system, path = open_folder(uri)
+                table = pq.read_table(path, filesystem=system, partitioning=None)
+                if sum(t.nbytes for t in self._files.values()) + table.nbytes <= self.cached_bytes:
+                    self._files[number] = table
+            yield number, table
+
+
+def stored_blocks(frame: DataFrame, name: str, rows: int) -> StoredBlocks:
+    """Store ``frame`` in files of at most ``rows`` rows; the driver learns their names only."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.option("maxRecordsPerFile", rows).parquet(path)
+    return StoredBlocks(sorted(frame.sparkSession.read.schema(frame.schema).parquet(path).inputFiles()))
