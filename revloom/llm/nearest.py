@@ -9,10 +9,12 @@ collides in a direction with a known probability, and in at least :func:`thresho
 directions with probability ``CAUGHT``.  Vectors that reach the threshold are verified on the
 original vectors.
 
-Two passes.  The first expands the windows of a query in each segment until enough vectors
-reach the threshold; the k-th nearest of all that were verified bounds the radius.  The
-second opens windows of just that radius in all segments: each true neighbour lies within
-it, so it is missed with probability 1 - ``CAUGHT`` at most, unless the first pass had it.
+Two passes.  The first expands the windows of a query in each segment, as many values in each
+direction, until enough vectors reach the threshold; those that collide most are verified,
+and the k-th nearest of all bounds the radius.  The second opens windows of that radius in
+all segments, or of a smaller one as soon as k nearer vectors are known: each true neighbour
+lies within it, so it is missed with probability 1 - ``CAUGHT`` at most, unless the first pass
+had it.
 """
 
 from __future__ import annotations
@@ -32,8 +34,9 @@ BEST = 10
 PROJECTIONS = 128
 WIDTH = 1.5
 CAUGHT = 0.97
-#: A query's windows grow by this factor in the first pass.
-GROWTH = 1.5
+#: In the first pass windows grow by this factor, and so many times the vectors asked for are verified in a segment.
+GROWTH = 4
+EXPANDED = 5
 #: Vectors of a segment (below 2 ** 16), and of all segments that a task holds at once.
 SEGMENT_VECTORS = 8192
 LOT_VECTORS = 65536
@@ -151,27 +154,21 @@ class Segment:
         """Euclidean distances of the original vectors."""
         return np.sqrt(((self.vectors[places] - query) ** 2).sum(axis=1))
 
-    def expand(self, query: np.ndarray, centre: np.ndarray, own: int, wanted: int, bound: float) -> np.ndarray:
-        """Places that reach the threshold once ``wanted`` do, the query's own aside, or at radius ``bound``."""
+    def expand(self, centre: np.ndarray, wanted: int) -> np.ndarray:
+        """The ``wanted`` vectors that collide most, once so many reach the threshold or windows hold a quarter of all."""
         size = len(self.ids)
-        # Below this radius windows hold too few values for so many vectors to collide in most of them.
+        if size <= wanted:
+            return np.arange(size)
         near = np.array([v.searchsorted(x) for v, x in zip(self.values, centre.astype(np.float32), strict=True)])
-        reach = min(wanted // 2, size - 1)
-        rows = np.arange(PROJECTIONS)
-        gaps = [np.abs(self.values[rows, np.clip(near + step, 0, size - 1)] - centre) for step in (-reach, reach)]
-        radius = min(bound, max(float(np.median(np.minimum(*gaps))) / WIDTH, self.slack))
         begin = end = near
-        counts = np.zeros(size, np.int64)
+        counts, reach = np.zeros(size, np.int64), wanted
         while True:
-            wider = self.windows(centre, WIDTH * radius)
-            # Only what the windows gained.
-            counts += self.count(wider[0], np.maximum(begin, wider[0])) + self.count(np.minimum(end, wider[1]), wider[1])
+            wider = np.maximum(near - reach, 0), np.minimum(near + reach, size)
+            counts += self.count(wider[0], begin) + self.count(end, wider[1])  # only what the windows gained
             begin, end = wider
-            places = np.flatnonzero(counts >= threshold())
-            places = places[self.ids[places] != own]
-            if len(places) >= wanted or radius >= bound or int((end - begin).sum()) == size * PROJECTIONS:
-                return places
-            radius = min(bound, radius * GROWTH)
+            if int((counts >= threshold()).sum()) >= wanted or 8 * reach >= size:
+                return np.argpartition(-counts, wanted)[:wanted]
+            reach = min(reach * GROWTH, -(-size // 8))
 
 
 def _answers(segments: DataFrame, queries: StoredBlocks, best: int, expand: bool) -> DataFrame:
@@ -184,7 +181,7 @@ def _answers(segments: DataFrame, queries: StoredBlocks, best: int, expand: bool
             if segment.dimension != len(query):
                 continue
             if expand:
-                places = segment.expand(query, centre, own, 2 * best, bound)
+                places = segment.expand(centre, EXPANDED * best + 1)
             else:
                 places = np.flatnonzero(segment.collisions(*segment.windows(centre, WIDTH * bound)) >= threshold())
             places = places[segment.ids[places] != own]
@@ -195,8 +192,8 @@ def _answers(segments: DataFrame, queries: StoredBlocks, best: int, expand: bool
             # A row of the same id counts once, at its nearest.
             first = np.sort(np.unique(ids, return_index=True)[1])[:best]
             ids, scores = ids[first], scores[first]
-            if expand and len(ids) == best:
-                bound = float(scores[-1])
+            if len(ids) == best:
+                bound = min(bound, float(scores[-1]))
         return ids, scores
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
