@@ -16,7 +16,7 @@ from revloom.plans.model import RevenueModel, Staged, build_marts
 from revloom.plans.views import register_views
 from revloom.session import has_scratch, name_scratch_root, prepare, scratch_path
 from revloom.sources import ingest, landing
-from revloom.sources.tables import VersionedTable
+from revloom.sources.tables import KeyedTable
 from revloom.streaming import stream_upsert
 from revloom.vocab import tracked_names
 
@@ -157,6 +157,11 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
+def _database(path: str) -> str:
+    """A catalog database of its own for a scratch path."""
+    return "marts_" + path.rsplit("-", 1)[-1]
+
+
 # --- marts ---------------------------------------------------------------------------
 
 
@@ -176,8 +181,10 @@ def _mart_queries() -> dict[str, Query]:
         return RevenueModel(Staged.from_raw(fixture.raw), fixture.as_of).fct_account_health
 
     def stored(fixture: Fixture) -> DataFrame:
+        """The mart as a reader of the catalog finds it."""
         path = _scratch(fixture.spark, "marts")
-        return build_marts(fixture.spark, fixture.staged(), fixture.as_of, path)["fct_account_health"]
+        build_marts(fixture.spark, fixture.staged(), fixture.as_of, path, database=_database(path))
+        return fixture.spark.table(f"{_database(path)}.fct_account_health")
 
     found["raw_to_account_health"] = _fixture(from_raw)
     found["stored_account_health"] = _fixture(stored)
@@ -253,7 +260,7 @@ def _marts(fixture: Fixture) -> dict[str, DataFrame]:
     key = (fixture.spark.sparkContext.applicationId, fixture.sf_dir)
     if key not in _built:
         path = _scratch(fixture.spark, "marts")
-        _built[key] = build_marts(fixture.spark, fixture.staged(), fixture.as_of, path)
+        _built[key] = build_marts(fixture.spark, fixture.staged(), fixture.as_of, path, database=_database(path))
     return _built[key]
 
 
@@ -461,7 +468,7 @@ def _ingest_subscriptions(fixture: Fixture) -> DataFrame:
     table = ingest.raw_table(fixture.spark, f"{path}/raw", "subscriptions")
     for part in ("old", "new", "new"):
         raw = landing.read_subscriptions(fixture.spark, f"{path}/{part}", moment, record_per_line=True)
-        table.merge(raw, ["subscription_id"])
+        table.merge(raw)
     return staging.stage("subscriptions", table.read()).drop("_loaded_at")
 
 
@@ -496,11 +503,11 @@ def _stream_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     update = odd.withColumns({"status": F.lit("U"), "updated_at": F.expr("updated_at + interval 2 days")})
     repeat = odd.withColumns({"status": F.lit("R"), "updated_at": F.expr("updated_at + interval 1 day")})
     late = orders.withColumns({"status": F.lit("L"), "updated_at": F.expr("updated_at - interval 1 day")})
-    table = VersionedTable(spark, f"{path}/table", schema)
+    table = KeyedTable(spark, f"{path}/table", schema, ["deal_id"])
     for number, rows in enumerate((orders, update.unionByName(repeat), late)):
         rows.write.mode("append").parquet(f"{path}/files/{number}")
         stream = spark.readStream.schema(schema).parquet(f"{path}/files/*")
-        stream_upsert(stream, table, ["deal_id"], f"{path}/checkpoint", keep_newer="updated_at").awaitTermination()
+        stream_upsert(stream, table, f"{path}/checkpoint", keep_newer="updated_at").awaitTermination()
     return table.read()
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revloom.plans import clean, marts, staging
-from revloom.sources.tables import VersionLog, write_clustered
+from revloom.sources.tables import publish, published, write_clustered
 
 
 @dataclass(frozen=True)
@@ -212,20 +212,19 @@ def build_marts(
     path: str,
     parallel: int = 4,
     hot_companies: Sequence[str] = (),
+    database: str = "revloom",
 ) -> dict[str, DataFrame]:
     """Write every mart below ``path`` (full refresh) and return the stored tables.
 
-    A refresh is written beside the last one and becomes visible by one committed entry, so
-    readers (:func:`stored_marts`) see the old marts or the new ones, whole.  A failed or
-    overtaken refresh changes nothing.
+    A refresh is written beside the last one and published in the catalog by replacing one
+    view, so readers (:func:`stored_marts`) see the old marts or the new ones, whole.  A
+    failed refresh changes nothing.  ``database`` also has a view per mart.
 
     Cleaned companies are stored first, then ``fct_deals`` and ``dim_contacts``; the other
     marts come out of these.  RAW companies and deals are parsed once, RAW contacts once for
     their columns and once for their links, which accounts count whether or not cleaning
     keeps the contact.  Marts that do not depend on each other are written side by side.
     """
-    log = VersionLog(spark, f"{path.rstrip('/')}/versions")
-    version = (log.entries() or [{"version": 0}])[-1]["version"] + 1
     folder = f"{path.rstrip('/')}/builds/{uuid.uuid4().hex}"
     model = RevenueModel(staged, as_of, hot_companies)
     stored: dict[str, DataFrame] = {}
@@ -270,20 +269,10 @@ def build_marts(
             as_of,
         ),
     )
-    log.commit({"version": version, "folder": folder})
+    publish(spark, database, folder, MARTS)
     return {name: stored[name] for name in MARTS}
 
 
-def stored_marts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The marts of the last committed refresh below ``path``."""
-    entries = VersionLog(spark, f"{path.rstrip('/')}/versions").entries()
-    if not entries:
-        raise ValueError(f"no marts at {path}")
-    return {name: spark.read.parquet(f"{entries[-1]['folder']}/{name}") for name in MARTS}
-
-
-def prune_marts(spark: SparkSession, path: str, keep: int = 2) -> int:
-    """Delete all refreshes but the last ``keep``, once no reader or writer uses them."""
-    log = VersionLog(spark, f"{path.rstrip('/')}/versions")
-    used = {entry["folder"] for entry in log.entries()[-keep:]}
-    return log.delete(f"{path.rstrip('/')}/builds", used)
+def stored_marts(spark: SparkSession, database: str = "revloom") -> dict[str, DataFrame]:
+    """The marts of the last refresh published in ``database``."""
+    return published(spark, database, MARTS)

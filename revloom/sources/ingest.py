@@ -4,23 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from revloom.sources import landing
-from revloom.sources.tables import RAW_ENTITY_SCHEMA, VersionedTable, raw_blob_schema
+from revloom.sources.tables import RAW_ENTITY_SCHEMA, KeyedTable, raw_blob_schema
 from revloom.vocab import ENTITY_ASSOCIATIONS, RAW_TABLES, tracked_names
 
 SUBSCRIPTIONS_TABLE = "billing_subscriptions"
 LIFECYCLE_TABLE = "hubspot_contact_lifecycle_history"
 
 
-def raw_table(spark: SparkSession, root: str, entity: str) -> VersionedTable:
+def raw_table(spark: SparkSession, root: str, entity: str) -> KeyedTable:
     """The stored RAW table of an entity, of ``subscriptions`` or of ``lifecycle``."""
     if entity == "subscriptions":
-        return VersionedTable(spark, f"{root}/{SUBSCRIPTIONS_TABLE}", raw_blob_schema("subscription_id"))
+        key = "subscription_id"
+        return KeyedTable(spark, f"{root}/{SUBSCRIPTIONS_TABLE}", raw_blob_schema(key), [key])
     if entity == "lifecycle":
-        return VersionedTable(spark, f"{root}/{LIFECYCLE_TABLE}", raw_blob_schema("event_id"))
-    return VersionedTable(spark, f"{root}/{RAW_TABLES[entity]}", RAW_ENTITY_SCHEMA)
+        return KeyedTable(spark, f"{root}/{LIFECYCLE_TABLE}", raw_blob_schema("event_id"), ["event_id"])
+    return KeyedTable(spark, f"{root}/{RAW_TABLES[entity]}", RAW_ENTITY_SCHEMA, ["hs_object_id"])
 
 
 def ingest_entity(
@@ -34,7 +35,7 @@ def ingest_entity(
         spark, pages, tracked_names(entity), ENTITY_ASSOCIATIONS[entity], page_per_line
     )
     raw = landing.raw_envelope(records, loaded_at)
-    return raw_table(spark, root, entity).merge(raw, ["hs_object_id"])
+    return raw_table(spark, root, entity).merge(raw)
 
 
 def ingest_entities(
@@ -52,7 +53,7 @@ def ingest_subscriptions(
     spark: SparkSession, path: str, root: str, loaded_at: Column, record_per_line: bool = False
 ) -> int:
     raw = landing.read_subscriptions(spark, path, loaded_at, record_per_line)
-    return raw_table(spark, root, "subscriptions").merge(raw, ["subscription_id"])
+    return raw_table(spark, root, "subscriptions").merge(raw)
 
 
 def ingest_lifecycle(
@@ -65,7 +66,8 @@ def ingest_lifecycle(
 ) -> tuple[int, int]:
     """(events merged, events left out because their contact has no id)."""
     history = landing.read_lifecycle_history(spark, path, record_per_line)
-    merged = raw_table(spark, root, "lifecycle").merge(
-        landing.raw_lifecycle(history, id_map, loaded_at), ["event_id"]
-    )
-    return merged, landing.unmapped_events(history, id_map).first()["skipped"]
+    # Both counts come from the one pass that stages the batch.
+    loaded = Observation("lifecycle_load")
+    raw = landing.raw_lifecycle(history, id_map, loaded_at, loaded)
+    merged = raw_table(spark, root, "lifecycle").merge(raw)
+    return merged, loaded.get["skipped"]

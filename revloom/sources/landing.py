@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from revloom.vocab import STAGE_WON
@@ -120,10 +120,14 @@ def read_lifecycle_history(
     return documents.select(F.inline("lifecycle_history"))
 
 
-def raw_lifecycle(history: DataFrame, id_map: DataFrame, loaded_at: Column) -> DataFrame:
+def raw_lifecycle(
+    history: DataFrame, id_map: DataFrame, loaded_at: Column, loaded: Observation | None = None
+) -> DataFrame:
     """RAW lifecycle rows; ``id_map`` is (_contact_id, contact_id), unique on the first.
 
-    Events of unmapped contacts are left out (see :func:`unmapped_events`).  A contact
+    Events of unmapped contacts are left out (see :func:`unmapped_events`); ``loaded``
+    observes how many events were ``skipped`` for that, and how many ``kept``, while the rows are
+    computed.  A contact
     that reports a stage twice keeps the later entry, as a repeated merge would: later in
     time, however the two are written.  An entry without a time loses to any that has one;
     text that is no timestamp fails the load.
@@ -133,8 +137,17 @@ def raw_lifecycle(history: DataFrame, id_map: DataFrame, loaded_at: Column) -> D
     moment = F.struct(F.col("entered_at").cast("timestamp").alias("at"), "entered_at")
     latest = F.max("moment").alias("moment")
     # At most five rows per contact before the join, however often a stage was reported.
-    entries = history.groupBy("_contact_id", "stage").agg(F.max(moment).alias("moment"))
-    latest = entries.join(known, "_contact_id").groupBy("contact_id", "stage").agg(latest)
+    entries = history.groupBy("_contact_id", "stage").agg(F.max(moment).alias("moment"), F.count(F.lit(1)).alias("n"))
+    if loaded is None:
+        mapped = entries.join(known, "_contact_id")
+    else:
+        mapped = entries.join(known, "_contact_id", "left").observe(
+            loaded,
+            F.coalesce(F.sum(F.when(F.col("contact_id").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("skipped"),
+            F.coalesce(F.sum(F.when(F.col("contact_id").isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("kept"),
+        )
+        mapped = mapped.where(F.col("contact_id").isNotNull())
+    latest = mapped.groupBy("contact_id", "stage").agg(latest)
     latest = latest.withColumn("entered_at", F.col("moment.entered_at"))
     return latest.select(
         F.concat_ws("_", "contact_id", "stage").alias("event_id"),

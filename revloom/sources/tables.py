@@ -1,9 +1,7 @@
-"""Table sinks: versioned parquet with keyed merge, clustered parquet, catalog tables."""
+"""Table sinks: keyed parquet with merge, clustered parquet, catalog tables and views."""
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revloom.operators.upsert import newer_than_target, upsert
+from revloom.session import scratch_path
 
 RAW_ENTITY_SCHEMA = (
     "hs_object_id string, properties variant, associations variant, "
@@ -23,103 +22,42 @@ def raw_blob_schema(key: str) -> str:
     return f"{key} string, properties variant, _loaded_at timestamp"
 
 
-class VersionMoved(RuntimeError):
-    """Another writer committed first; nothing of this write is visible.  Merge again."""
+class KeyedTable:
+    """A parquet table with one row per key, merged bucket by bucket.
 
+    Rows are partitioned by a hash of ``by`` (the key, if not given) into ``buckets`` folders.
+    A merge stages its batch in scratch space, reads the buckets the batch touches and writes
+    them anew by dynamic partition overwrite: Spark puts the new files aside and moves them in
+    when all of them are written, so a merge that fails leaves the old rows, and buckets that
+    are not touched are neither read nor written.  A merge is idempotent; one that stopped while
+    files were moved is repeated.  A table takes one writer at a time, and a DataFrame
+    read before a merge has to be read again after it, as with any parquet table.
 
-class VersionLog:
-    """Numbered entries in a folder, each a small JSON file that is created exclusively.
-
-    They are metadata, a line each, and go through the cluster's file system API because a
-    Spark write has no exclusive create.
-    """
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark = spark
-        self.path = path
-
-    def system(self, path: str):
-        context = self.spark.sparkContext
-        place = context._jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(context._jsc.hadoopConfiguration()), place
-
-    def entries(self) -> list[dict]:
-        """All entries, oldest first; none if the folder is missing."""
-        system, folder = self.system(self.path)
-        if not system.exists(folder):
-            return []
-        lines = self.spark.read.text(self.path).collect()
-        found = [json.loads(line["value"]) for line in lines if line["value"].strip()]
-        return sorted(found, key=lambda entry: entry["version"])
-
-    def commit(self, entry: dict) -> int:
-        """Add ``entry``; :class:`VersionMoved` if its version exists."""
-        system, place = self.system(f"{self.path}/{entry['version']:012d}.json")
-        try:
-            out = system.create(place, False)
-        except Exception as error:
-            if system.exists(place):
-                raise VersionMoved(f"{self.path} has a version {entry['version']} by another writer") from error
-            raise
-        out.write(bytearray(json.dumps(entry), "utf-8"))
-        out.close()
-        return entry["version"]
-
-    def delete(self, folder: str, used: set[str]) -> int:
-        """Delete the folders below ``folder`` that are not ``used``; returns how many."""
-        system, path = self.system(folder)
-        gone = 0
-        for status in system.listStatus(path) if system.exists(path) else []:
-            if f"{folder}/{status.getPath().getName()}" not in used:
-                system.delete(status.getPath(), True)
-                gone += 1
-        return gone
-
-
-class VersionedTable:
-    """A parquet table replaced version by version, bucket by bucket.
-
-    Plain parquet has no MERGE, and a path cannot be overwritten while it is read.  Rows are
-    stored in ``buckets`` by a hash of their key.  A merge writes the buckets its batch
-    touches into a folder of its own and commits a new version, a small file that lists
-    where every bucket lies.  Readers see the old version until then; a failed write leaves
-    nothing behind that a reader would pick up.  The version file is created exclusively,
-    so of two writers that started from one version the second fails with
-    :class:`VersionMoved`.  ``path`` must be in shared storage on a cluster, one with an
-    exclusive create (a file system, not a bare object store).
+    In a catalog with row-level operations :func:`merge_into` does the same.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: str | T.StructType, buckets: int = 16
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: str | T.StructType,
+        keys: Sequence[str],
+        buckets: int = 16,
+        by: Sequence[str] | None = None,
     ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.keys = list(keys)
         self.buckets = buckets
-        self.log = VersionLog(spark, f"{self.path}/versions")
+        self.by = list(by or keys)
 
-    def version(self) -> int:
-        """The committed version; 0 before the first."""
-        return self._entry()["version"]
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The committed rows.  Columns an old version lacks are NULL."""
-        return self._rows(self._entry(version)["locations"].values())
-
-    def replace(self, df: DataFrame) -> int:
-        """Commit ``df`` as the new content."""
-        before = self._entry()
-        rows = self._declared(df)
-        folder = self._folder()
-        rows.write.parquet(folder)
-        return self._commit(before["version"] + 1, [], {"all": folder})
+    def read(self) -> DataFrame:
+        """The rows.  Columns that old files lack are NULL; a table nobody wrote is empty."""
+        return self._stored().drop("_bucket")
 
     def merge(
-        self,
-        source: DataFrame,
-        keys: Sequence[str],
-        latest_by: Sequence[Column] | None = None,
-        keep_newer: str | None = None,
+        self, source: DataFrame, latest_by: Sequence[Column] | None = None, keep_newer: str | None = None
     ) -> int:
         """Upsert ``source``; returns its row count.  An empty batch changes nothing.
 
@@ -127,74 +65,72 @@ class VersionedTable:
         its files or computes its plan once, and merges the same rows even if the source
         changes meanwhile.  Columns the table does not declare are refused.
         """
-        before = self._entry()
-        keys, folder = list(keys), self._folder()
-        self._declared(source, whole=False).write.parquet(f"{folder}/batch")
-        batch = self.spark.read.schema(source.schema).parquet(f"{folder}/batch")
-        # At most one row per bucket reaches the driver.
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
-        counts = dict(batch.groupBy(bucket.alias("b")).count().collect())
+        batch = self._staged(source)
+        counts = self._buckets_of(batch)
         if not counts:
             return 0
-        if before["keys"] == keys:
-            touched = [before["locations"][str(b)] for b in counts if str(b) in before["locations"]]
-            rest = {b: place for b, place in before["locations"].items() if int(b) not in counts}
-        else:  # first merge, or stored by another key: deal all rows out anew
-            touched, rest = list(before["locations"].values()), {}
-        merged = upsert(self._rows(touched), batch, keys, latest_by, keep_newer)
-        merged = self._declared(merged).withColumn("_bucket", bucket)
-        merged.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{folder}/data")
-        if touched and not rest:
-            found = self.spark.read.parquet(f"{folder}/data").select("_bucket").distinct().collect()
-            written = [row["_bucket"] for row in found]
-        else:
-            written = list(counts)
-        locations = rest | {str(b): f"{folder}/data/_bucket={b}" for b in written}
-        self._commit(before["version"] + 1, keys, locations)
+        stored = self.read_buckets(list(counts))
+        self.write_buckets(list(counts), upsert(stored, batch, self.keys, latest_by, keep_newer))
         return sum(counts.values())
 
     def merge_new(
-        self,
-        source: DataFrame,
-        keys: Sequence[str],
-        mark: str = "_loaded_at",
-        latest_by: Sequence[Column] | None = None,
+        self, source: DataFrame, mark: str = "_loaded_at", latest_by: Sequence[Column] | None = None
     ) -> int:
         """Upsert only the rows past the table's high-water mark."""
-        return self.merge(newer_than_target(source, self.read(), mark), keys, latest_by)
-
-    def prune(self, keep: int = 2) -> int:
-        """Delete what only versions before the last ``keep`` refer to; returns the folders deleted.
-
-        Call it when no reader of an older version and no writer is at work.
-        """
-        entries = self.log.entries()[-keep:]
-        used = {place.split("/data/")[0] for entry in entries for place in entry["locations"].values()}
-        return self.log.delete(f"{self.path}/rows", used)
-
-    def _entry(self, version: int | None = None) -> dict:
-        entries = [e for e in self.log.entries() if version is None or e["version"] == version]
-        if version and not entries:
-            raise ValueError(f"no version {version} at {self.path}")
-        return entries[-1] if entries else {"version": 0, "keys": [], "locations": {}}
-
-    def _commit(self, version: int, keys: list[str], locations: dict[str, str]) -> int:
-        return self.log.commit({"version": version, "keys": keys, "locations": locations})
-
-    def _declared(self, df: DataFrame, whole: bool = True) -> DataFrame:
+        return self.merge(newer_than_target(source, self.read(), mark), latest_by)
+
+    def replace(self, df: DataFrame) -> None:
+        """Make ``df``, which must not read this table, the whole content."""
+        self._checked(df)
+        self._bucketed(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "_bucket"
+        ).parquet(self.path)
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        """The buckets that rows with the columns ``by`` belong to; at most one value each reaches the driver."""
+        return list(self._buckets_of(rows))
+
+    def read_buckets(self, buckets: Sequence[int]) -> DataFrame:
+        """The rows of some buckets; no file of another one is opened."""
+        return self._stored().where(F.col("_bucket").isin(list(buckets))).drop("_bucket")
+
+    def write_buckets(self, buckets: Sequence[int], rows: DataFrame) -> None:
+        """Replace the content of ``buckets`` by ``rows``, which may read this table and belong to these buckets."""
+        if not buckets:
+            return
+        # A bucket that has become empty is only replaced if something is written to it: rows without a key,
+        # which no reader sees.
+        empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in self.schema.fields]
+        marks = self.spark.createDataFrame([(b,) for b in buckets], "_bucket int").select(*empty, "_bucket")
+        self._bucketed(rows).unionByName(marks).repartition("_bucket").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("_bucket").parquet(self.path)
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.by), F.lit(self.buckets)).cast("int")
+
+    def _buckets_of(self, rows: DataFrame) -> dict[int, int]:
+        return dict(rows.groupBy(self._bucket().alias("b")).count().collect())
+
+    def _bucketed(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*self.schema.names).withColumn("_bucket", self._bucket())
+
+    def _stored(self) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField("_bucket", T.IntegerType())])
+        # A reader needs a folder; where there is one, this does nothing.
+        self.spark.createDataFrame([], schema).write.mode("ignore").partitionBy("_bucket").parquet(self.path)
+        return self.spark.read.schema(schema).parquet(self.path).where(F.col(self.keys[0]).isNotNull())
+
+    def _staged(self, source: DataFrame) -> DataFrame:
+        self._checked(source)
+        folder = scratch_path(self.spark, "batch")
+        source.write.parquet(folder)
+        return self.spark.read.schema(source.schema).parquet(folder)
+
+    def _checked(self, df: DataFrame) -> None:
         unknown = [c for c in df.columns if c not in self.schema.names]
         if unknown:
             raise ValueError(f"columns the table does not declare: {', '.join(unknown)}")
-        return df.select(*self.schema.names) if whole else df
-
-    def _rows(self, locations) -> DataFrame:
-        locations = list(locations)
-        if not locations:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*locations)
-
-    def _folder(self) -> str:
-        return f"{self.path}/rows/{uuid.uuid4().hex}"
 
 
 def write_clustered(df: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -223,6 +159,28 @@ def replace_table(df: DataFrame, name: str) -> None:
     df.write.format("parquet").mode("overwrite").saveAsTable(name)
 
 
+def publish(spark: SparkSession, database: str, folder: str, names: Sequence[str]) -> None:
+    """Make the parquet tables ``folder/<name>`` the current ones of ``database``.
+
+    The one step that counts is a single statement, which replaces the view ``refresh``
+    that names the folder: :func:`published` shows all tables of one refresh, never of two.
+    For SQL users a view per table follows.  The database is created if it is missing.
+    """
+    root = folder.rsplit("/", 1)[0]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.refresh AS SELECT '{folder}' AS folder")
+    for name in names:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM parquet.`{folder}/{name}`")
+
+
+def published(spark: SparkSession, database: str, names: Sequence[str]) -> dict[str, DataFrame]:
+    """The current tables of ``database``, all of the same refresh."""
+    if not spark.catalog.tableExists(f"{database}.refresh"):
+        raise ValueError(f"nothing is published in {database}")
+    folder = spark.table(f"{database}.refresh").first()["folder"]
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+
+
 def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Keyed merge in a catalog with row-level operations (plain parquet has none)."""
     matches = [F.col(f"{table}.{k}") == F.col(f"source.{k}") for k in keys]

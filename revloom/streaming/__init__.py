@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from revloom.sources.tables import VersionedTable
+from revloom.sources.tables import KeyedTable
 
 
 def total_order(df: DataFrame, by: Sequence[Column]) -> list[Column]:
@@ -19,8 +19,7 @@ def total_order(df: DataFrame, by: Sequence[Column]) -> list[Column]:
 
 def stream_upsert(
     stream: DataFrame,
-    table: VersionedTable,
-    keys: Sequence[str],
+    table: KeyedTable,
     checkpoint: str,
     latest_by: Sequence[Column] | None = None,
     keep_newer: str | None = None,
@@ -38,7 +37,7 @@ def stream_upsert(
     order = list(latest_by) if latest_by else [F.col("updated_at")]
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        table.merge(batch, keys, latest_by=total_order(batch, order), keep_newer=keep_newer)
+        table.merge(batch, latest_by=total_order(batch, order), keep_newer=keep_newer)
 
     return (
         stream.writeStream.foreachBatch(merge)

@@ -13,7 +13,7 @@ from acceptance.fixtures import Fixture
 from revloom.functions import monthly, over_term
 from revloom.plans import checks, clean, export, marts, metrics, reports
 from revloom.operators import quality
-from revloom.plans.model import MARTS, RevenueModel, Staged, build_marts, prune_marts, stored_marts
+from revloom.plans.model import MARTS, RevenueModel, Staged, build_marts, stored_marts
 from revloom.plans.staging import STAGING
 
 SF = "/root/testdata/sf0.001"
@@ -438,11 +438,11 @@ def test_a_company_delivered_twice_fails_the_data_tests(spark, tmp_path):
 
 def test_a_refresh_becomes_visible_as_a_whole(spark, tmp_path, monkeypatch):
     fixture = Fixture(spark, "/root/testdata/sf0.001")
-    path = str(tmp_path / "marts")
-    with pytest.raises(ValueError, match="no marts"):
-        stored_marts(spark, path)
-    build_marts(spark, fixture.staged(), fixture.as_of, path)
-    old = stored_marts(spark, path)
+    path, database = str(tmp_path / "marts"), "refresh_test"
+    with pytest.raises(ValueError, match="nothing is published"):
+        stored_marts(spark, database)
+    build_marts(spark, fixture.staged(), fixture.as_of, path, database=database)
+    old = stored_marts(spark, database)
     scores = lambda marts: sorted(map(tuple, marts["fct_account_health"].collect()))
     before = scores(old)
     later = F.lit("2010-01-01 00:00:00").cast("timestamp")
@@ -450,14 +450,25 @@ def test_a_refresh_becomes_visible_as_a_whole(spark, tmp_path, monkeypatch):
     with monkeypatch.context() as broken:
         broken.setattr("revloom.plans.marts.fct_account_health", lambda *_: 1 / 0)
         with pytest.raises(ZeroDivisionError):
-            build_marts(spark, fixture.staged(), later, path)
-    assert scores(stored_marts(spark, path)) == before  # most marts were written, none is seen
+            build_marts(spark, fixture.staged(), later, path, database=database)
+    assert scores(stored_marts(spark, database)) == before  # most marts were written, none is seen
 
-    build_marts(spark, fixture.staged(), later, path)
+    with monkeypatch.context() as slow:  # a reader comes after each single statement of the switch
+        seen, sql = [], type(spark).sql
+
+        def look(session, statement, *rest):
+            done = sql(session, statement, *rest)
+            folders = {f.rsplit("/", 2)[0] for m in stored_marts(spark, database).values() for f in m.inputFiles()}
+            seen.append(len(folders))
+            return done
+
+        slow.setattr(type(spark), "sql", look)
+        build_marts(spark, fixture.staged(), later, path, database=database)
+    assert len(seen) > 7 and set(seen) == {1}
     assert scores(old) == before  # a reader that began before the refresh goes on undisturbed
-    assert scores(stored_marts(spark, path)) != before
-    assert prune_marts(spark, path, keep=1) == 2
-    assert len(stored_marts(spark, path)) == 7 and stored_marts(spark, path)["fct_deals"].count() > 0
+    new = scores(stored_marts(spark, database))
+    assert new != before
+    assert sorted(map(tuple, spark.table(f"{database}.fct_account_health").collect())) == new
 
 
 def test_marts_read_raw_deals_and_companies_once(spark, tmp_path):

@@ -12,8 +12,7 @@ from revloom.plans import staging
 from revloom.sources import landing
 from revloom.sources.tables import (
     RAW_ENTITY_SCHEMA,
-    VersionedTable,
-    VersionMoved,
+    KeyedTable,
     ensure_table,
     raw_blob_schema,
     replace_table,
@@ -226,48 +225,57 @@ def names(table):
     return dict(sorted(tuple(r) for r in got.collect()))
 
 
-def test_versioned_merge_is_idempotent(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), raw_blob_schema("subscription_id"))
-    assert table.version() == 0 and table.read().count() == 0
+def test_merge_is_idempotent(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), raw_blob_schema("subscription_id"), ["subscription_id"])
+    assert table.read().count() == 0
     batch = smoke(spark, ("s1", "A"), ("s2", "B"), ("s3", "C"))
-    assert table.merge(batch, ["subscription_id"]) == 3
-    assert table.merge(batch, ["subscription_id"]) == 3
+    assert table.merge(batch) == 3
+    assert table.merge(batch) == 3
     assert names(table) == {"s1": "A", "s2": "B", "s3": "C"}
-    assert table.merge(smoke(spark, ("s1", "A2")), ["subscription_id"]) == 1
+    assert table.merge(smoke(spark, ("s1", "A2"))) == 1
     assert names(table) == {"s1": "A2", "s2": "B", "s3": "C"}
 
 
-def test_an_empty_batch_changes_nothing(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), raw_blob_schema("subscription_id"))
-    assert table.merge(smoke(spark, ("s1", "A")).limit(0), ["subscription_id"]) == 0
-    assert table.version() == 0
+def files(path):
+    return {str(f) for f in path.rglob("*.parquet")}
 
 
-def test_a_failed_merge_leaves_the_old_version(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), raw_blob_schema("subscription_id"))
-    table.merge(smoke(spark, ("s1", "A")), ["subscription_id"])
+def test_an_empty_batch_changes_nothing(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), raw_blob_schema("subscription_id"), ["subscription_id"])
+    assert table.merge(smoke(spark, ("s1", "A")).limit(0)) == 0
+    assert table.read().count() == 0
+    table.merge(smoke(spark, ("s1", "A")))
+    before = files(tmp_path / "t")
+    assert table.merge(smoke(spark, ("s1", "B")).limit(0)) == 0
+    assert files(tmp_path / "t") == before and names(table) == {"s1": "A"}
+
+
+def test_a_failed_merge_leaves_the_old_rows(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), raw_blob_schema("subscription_id"), ["subscription_id"])
+    table.merge(smoke(spark, *((f"s{k}", "A") for k in range(40))))
+    before = files(tmp_path / "t")
     with pytest.raises(Exception, match="duplicate key"):
-        table.merge(smoke(spark, ("s1", "B"), ("s1", "C")), ["subscription_id"])
-    assert table.version() == 1 and names(table) == {"s1": "A"}
-    table.merge(smoke(spark, ("s1", "D")), ["subscription_id"])
-    assert names(table) == {"s1": "D"}
+        table.merge(smoke(spark, *((f"s{k}", "B") for k in range(40)), ("s1", "C")))
+    assert files(tmp_path / "t") == before and set(names(table).values()) == {"A"}
+    table.merge(smoke(spark, ("s1", "D")))
+    assert names(table)["s1"] == "D" and len(names(table)) == 40
 
 
 def test_a_column_added_later_is_null_in_old_rows(spark, tmp_path):
     path = str(tmp_path / "t")
-    VersionedTable(spark, path, "k string, v int").replace(spark.createDataFrame([("a", 1)], "k string, v int"))
-    wider = VersionedTable(spark, path, "k string, v int, extra string")
-    wider.merge(spark.createDataFrame([("b", 2, "x")], "k string, v int, extra string"), ["k"])
+    KeyedTable(spark, path, "k string, v int", ["k"]).replace(spark.createDataFrame([("a", 1)], "k string, v int"))
+    wider = KeyedTable(spark, path, "k string, v int, extra string", ["k"])
+    wider.merge(spark.createDataFrame([("b", 2, "x")], "k string, v int, extra string"))
     assert sorted(tuple(r) for r in wider.read().collect()) == [("a", 1, None), ("b", 2, "x")]
 
 
 def test_merge_new_honours_the_high_water_mark(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k string, v int, _loaded_at int")
     schema = "k string, v int, _loaded_at int"
-    assert table.merge_new(spark.createDataFrame([("a", 1, 5)], schema), ["k"]) == 1
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"])
+    assert table.merge_new(spark.createDataFrame([("a", 1, 5)], schema)) == 1
     late = spark.createDataFrame([("a", 9, 5), ("b", 2, 6)], schema)
-    assert table.merge_new(late, ["k"]) == 1
-    assert table.merge_new(late, ["k"]) == 0
+    assert table.merge_new(late) == 1
+    assert table.merge_new(late) == 0
     assert sorted(tuple(r) for r in table.read().collect()) == [("a", 1, 5), ("b", 2, 6)]
 
 
@@ -317,11 +325,11 @@ def test_stream_merges_pages_as_they_arrive(spark, tmp_path):
     old = record("1", "old")
     new = record("1", "new") | {"updatedAt": "2026-01-09T00:00:00Z"}
     write_pages(folder, [old, record("2", "B")], [new])
-    table = VersionedTable(spark, str(tmp_path / "t"), RAW_ENTITY_SCHEMA)
+    table = KeyedTable(spark, str(tmp_path / "t"), RAW_ENTITY_SCHEMA, ["hs_object_id"])
 
     def run():
         stream = landing.raw_envelope(landing.read_pages_stream(spark, str(folder)), loaded_at())
-        query = stream_upsert(stream, table, ["hs_object_id"], str(tmp_path / "checkpoint"))
+        query = stream_upsert(stream, table, str(tmp_path / "checkpoint"))
         query.awaitTermination()
         got = table.read().select("hs_object_id", F.variant_get("properties", "$.name", "string"))
         return dict(tuple(r) for r in got.collect())
@@ -329,8 +337,8 @@ def test_stream_merges_pages_as_they_arrive(spark, tmp_path):
     assert run() == {"1": "new", "2": "B"}
     write_pages(folder, [record("2", "B2"), record("3", "C")])
     assert run() == {"1": "new", "2": "B2", "3": "C"}
-    version = table.version()
-    assert run() == {"1": "new", "2": "B2", "3": "C"} and table.version() == version
+    before = files(tmp_path / "t")
+    assert run() == {"1": "new", "2": "B2", "3": "C"} and files(tmp_path / "t") == before
 
 
 # --- nothing is lost --------------------------------------------------------------------
@@ -398,63 +406,52 @@ def test_the_latest_stage_entry_is_the_latest_in_time(spark):
 
 
 def test_undeclared_columns_are_refused(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k string, v int")
+    table = KeyedTable(spark, str(tmp_path / "t"), "k string, v int", ["k"])
     wide = spark.createDataFrame([("a", 1, "x")], "k string, v int, extra string")
     with pytest.raises(ValueError, match="extra"):
-        table.merge(wide, ["k"])
+        table.merge(wide)
     with pytest.raises(ValueError, match="extra"):
         table.replace(wide)
-    assert table.version() == 0
-
-
-def test_two_writers_from_one_version(spark, tmp_path):
-    schema = "k string, v int"
-    ours, theirs = (VersionedTable(spark, str(tmp_path / "t"), schema) for _ in range(2))
-    ours.merge(spark.createDataFrame([("a", 1)], schema), ["k"])
-    entry = theirs._entry()
-    theirs._entry = lambda version=None: entry  # it read the version before ours committed
-    ours.merge(spark.createDataFrame([("b", 2)], schema), ["k"])
-    with pytest.raises(VersionMoved):
-        theirs.merge(spark.createDataFrame([("c", 3)], schema), ["k"])
-    assert sorted(map(tuple, ours.read().collect())) == [("a", 1), ("b", 2)]
-    del theirs._entry
-    theirs.merge(spark.createDataFrame([("c", 3)], schema), ["k"])
-    assert ours.read().count() == 3
-
-
-def test_a_merge_rewrites_only_the_buckets_it_touches(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k bigint, v bigint", buckets=8)
-    table.merge(spark.range(400).selectExpr("id as k", "id as v"), ["k"])
-    before = table._entry()["locations"]
-    table.merge(spark.createDataFrame([(7, -7)], "k bigint, v bigint"), ["k"])
-    after = table._entry()["locations"]
-    assert len(before) == len(after) == 8 and sum(before[b] != after[b] for b in before) == 1
-    assert table.read().where("v = -7").count() == 1 and table.read().count() == 400
-    assert table.read(1).where("v = 7").count() == 1
-    assert table.prune(keep=1) == 0  # bucket files of the first version are still in use
-    table.replace(spark.range(3).selectExpr("id as k", "id as v"))
-    assert table.prune(keep=1) == 2 and table.read().count() == 3
-    table.merge(spark.createDataFrame([(2, 9), (5, 5)], "k bigint, v bigint"), ["k"])
-    assert sorted(map(tuple, table.read().collect())) == [(0, 0), (1, 1), (2, 9), (5, 5)]
-
-
-def test_only_a_missing_table_is_empty(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k string")
-    assert table.version() == 0
-    (tmp_path / "t" / "versions").mkdir(parents=True)
-    (tmp_path / "t" / "versions" / "000000000001.json").write_text('{"version": 1, "keys"')
-    with pytest.raises(ValueError):
-        table.version()
+    assert table.read().count() == 0
+
+
+def test_a_merge_opens_and_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), "k bigint, v bigint", ["k"], buckets=8)
+    table.merge(spark.range(400).selectExpr("id as k", "id as v"))
+    before = files(tmp_path / "t")
+    (bucket,) = table.touched(spark.createDataFrame([(7,)], "k bigint"))
+    # No file of another bucket can be read any more.
+    for path in before:
+        if f"_bucket={bucket}/" not in path:
+            open(path, "wb").close()
+    table.merge(spark.createDataFrame([(7, -7)], "k bigint, v bigint"))
+    after = files(tmp_path / "t")
+    assert {p for p in before if f"_bucket={bucket}/" not in p} <= after
+    assert not {p for p in before if f"_bucket={bucket}/" in p} & after
+    own = table.read_buckets([bucket])
+    assert own.where("v = -7").count() == 1 and own.where("k = 7").count() == 1
+
+
+def test_rows_that_move_leave_their_bucket(spark, tmp_path):
+    schema = "k bigint, owner string"
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"], buckets=8, by=["owner"])
+    table.replace(spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], schema))
+    new = spark.createDataFrame([(1, "b")], schema)
+    buckets = sorted({*table.touched(new), *table.touched(table.read().where("k = 1"))})
+    assert len(buckets) == 2
+    kept = table.read_buckets(buckets).join(new.select("k"), "k", "left_anti")
+    table.write_buckets(buckets, kept.unionByName(new))
+    assert sorted(map(tuple, table.read().collect())) == [(1, "b"), (2, "b"), (3, "b")]
 
 
 def test_a_newer_stored_row_can_stay(spark, tmp_path):
     schema = "k string, v int, at int"
-    table = VersionedTable(spark, str(tmp_path / "t"), schema)
-    table.merge(spark.createDataFrame([("a", 1, 5), ("b", 1, 5)], schema), ["k"])
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["k"])
+    table.merge(spark.createDataFrame([("a", 1, 5), ("b", 1, 5)], schema))
     late = spark.createDataFrame([("a", 2, 4), ("b", 2, 6), ("c", 2, 1)], schema)
-    table.merge(late, ["k"], keep_newer="at")
+    table.merge(late, keep_newer="at")
     assert sorted(map(tuple, table.read().collect())) == [("a", 1, 5), ("b", 2, 6), ("c", 2, 1)]
-    table.merge(late, ["k"])
+    table.merge(late)
     assert sorted(map(tuple, table.read().collect())) == [("a", 2, 4), ("b", 2, 6), ("c", 2, 1)]
 
 
@@ -465,8 +462,8 @@ def test_replayed_ties_merge_to_the_same_rows(spark, tmp_path):
     for number, order in enumerate((rows, rows[::-1], rows[20:] + rows[:20])):
         folder = str(tmp_path / f"in{number}")
         spark.createDataFrame(order, schema).repartition(5).write.parquet(folder)
-        table = VersionedTable(spark, str(tmp_path / f"t{number}"), schema)
+        table = KeyedTable(spark, str(tmp_path / f"t{number}"), schema, ["k"])
         stream = spark.readStream.schema(schema).parquet(folder)
-        stream_upsert(stream, table, ["k"], str(tmp_path / f"c{number}")).awaitTermination()
+        stream_upsert(stream, table, str(tmp_path / f"c{number}")).awaitTermination()
         seen.update(map(tuple, table.read().collect()))
     assert len(seen) == 1
