@@ -735,6 +735,15 @@ def _raw_sql() -> dict[str, str]:
             FROM ({_LINKS_TWICE})) WHERE rn = 1""",
         "int_contacts_across_rows": "SELECT * FROM int_contacts",
         "ingest_pages": "SELECT * FROM stg_companies",
+        "ingest_page_chain": """SELECT unnest(range((n + 99) // 100 + 1)) AS position,
+            greatest(0, least(100, n - 100 * unnest(range((n + 99) // 100 + 1)))) AS records, n AS loaded, n AS stored
+            FROM (SELECT count(*) AS n FROM stg_companies)""",
+        "stream_pages": """SELECT * REPLACE (CASE WHEN CAST(company_id AS BIGINT) % 2 = 1 AND CAST(company_id AS BIGINT) % 7 <> 0
+            THEN name || ' (new)' ELSE name END AS name) FROM stg_companies""",
+        "table_evolution": """SELECT deal_id,
+            CASE WHEN created_at_hubspot >= TIMESTAMP '1995-01-01' THEN c.company_id END AS company_id,
+            amount_usd, created_at_hubspot, d._loaded_at
+            FROM stg_deals d LEFT JOIN int_deal_company_primary c USING (deal_id)""",
         "lifecycle_id_resolution": """SELECT CAST(t.id AS VARCHAR) || '_' || stage AS event_id,
             CAST(t.id AS VARCHAR) AS contact_id, stage AS lifecycle_stage, max(ts) AS entered_at,
             TIMESTAMP '2024-02-01 12:00:00' AS _loaded_at

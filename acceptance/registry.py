@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 
 from acceptance.fixtures import FRESH_AS_OF, SYNCED_AT, Fixture, api_records, raw_rows
 from revloom.operators import contract, fixed_size_batches, quality
+from revloom.operators.chain import whole_chain
 from revloom.operators.upsert import incremental_upsert, upsert
 from revloom.plans import checks, clean, export, metrics, reports, staging
 from revloom.plans.model import RevenueModel, Staged, build_marts
 from revloom.plans.views import register_views
 from revloom.session import has_scratch, name_scratch_root, prepare, scratch_path
 from revloom.sources import ingest, landing
-from revloom.sources.tables import KeyedTable
-from revloom.streaming import stream_upsert
+from revloom.sources.tables import RAW_ENTITY_SCHEMA, KeyedTable, append_rows, ensure_table
+from revloom.streaming import stream_pages, stream_upsert
 from revloom.vocab import tracked_names
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -453,6 +454,100 @@ def _ingest_pages(fixture: Fixture) -> DataFrame:
     return staging.stage("companies", landing.raw_envelope(landed, loaded))
 
 
+def _page(records: DataFrame) -> DataFrame:
+    """(id, record): API records as JSON text."""
+    fields = [F.col("hs_object_id").alias("id"), "properties", F.col("created_at").alias("createdAt")]
+    more = [F.col(c).alias(n) for c, n in (("updated_at", "updatedAt"), ("associations", "associations")) if c in records.columns]
+    return records.select(
+        F.col("hs_object_id").alias("id"), F.to_json(F.struct(*fields, *more), {"ignoreNullFields": "false"}).alias("record")
+    )
+
+
+def _ingest_page_chain(fixture: Fixture) -> DataFrame:
+    """Pages with cursors that tell nothing of their order, the last one empty: the chain, and what was loaded."""
+    spark, path = fixture.spark, _scratch(fixture.spark, "chain")
+    batches = fixed_size_batches(_page(api_records("companies", fixture.entity("companies"))), "id", "record", 100)
+    end = batches.agg((F.max("batch_no") + 1).alias("batch_no")).select("batch_no", F.array().cast("array<string>").alias("items"))
+    pages = batches.select("batch_no", "items").union(end).join(end.select(F.col("batch_no").alias("last")))
+    cursor = lambda number: F.md5(F.concat(F.lit("page "), number.cast("string")))
+    after = F.when(F.col("batch_no") > 0, cursor(F.col("batch_no")))
+    following = F.when(F.col("batch_no") < F.col("last"), cursor(F.col("batch_no") + 1))
+    quoted = lambda text: F.concat(F.lit('"'), text, F.lit('"'))
+    line = F.concat(
+        F.lit('{"after":'), F.coalesce(quoted(after), F.lit("null")),
+        F.lit(',"results":['), F.concat_ws(",", "items"), F.lit("]"),
+        F.coalesce(F.concat(F.lit(',"paging":{"next":{"after":'), quoted(following), F.lit("}}")), F.lit("")),
+        F.lit("}"),
+    )
+    pages.select(line.alias("value")).write.text(f"{path}/pages")
+    loaded = ingest.ingest_entity(
+        spark, "companies", f"{path}/pages", f"{path}/raw", F.lit(SYNCED_AT).cast("timestamp"), page_per_line=True
+    )
+    chain = whole_chain(landing.read_cursors(spark, f"{path}/pages", page_per_line=True))
+    stored = ingest.raw_table(spark, f"{path}/raw", "companies").read().agg(F.count(F.lit(1)).alias("stored"))
+    return chain.select("position", "records", F.lit(loaded).cast("bigint").alias("loaded")).join(F.broadcast(stored))
+
+
+def _stream_pages(fixture: Fixture) -> DataFrame:
+    """Company pages arrive in three deliveries; the stream is stopped before the last one.
+
+    The second delivery repeats the first and renames odd companies; the third is late: older
+    versions under other names, and every seventh company for the first time.
+    """
+    spark, path = fixture.spark, _scratch(fixture.spark, "pages")
+    typed = fixture.entity("companies")
+    number = F.col("company_id").cast("bigint")
+    seventh = number % 7 == 0
+
+    def deliver(name: str, rows: DataFrame, at: str) -> None:
+        records = api_records("companies", rows).withColumn("updated_at", F.lit(at).cast("timestamp"))
+        pages = fixed_size_batches(_page(records), "id", "record", 100)
+        page = F.concat(F.lit('{"results":['), F.concat_ws(",", "items"), F.lit("]}"))
+        # A few files each, so that a delivery takes several micro-batches.
+        pages.select(page.alias("value")).repartition(3).write.mode("append").text(f"{path}/files/{name}")
+
+    def run() -> None:
+        stream_pages(
+            spark,
+            f"{path}/files/*",
+            ingest.raw_table(spark, f"{path}/raw", "companies"),
+            f"{path}/checkpoint",
+            F.lit("2024-01-31 06:00:00").cast("timestamp"),
+            tracked_names("companies"),
+            page_per_line=True,
+            files_per_batch=2,
+        ).awaitTermination()
+
+    first = typed.where(~seventh)
+    deliver("1", first, "2024-01-10 00:00:00")
+    deliver("2", first, "2024-01-10 00:00:00")
+    deliver("2", first.where(number % 2 == 1).withColumn("name", F.concat("name", F.lit(" (new)"))), "2024-01-12 00:00:00")
+    run()
+    deliver("3", first.withColumn("name", F.concat("name", F.lit(" (old)"))), "2024-01-09 00:00:00")
+    deliver("3", typed.where(seventh), "2024-01-09 00:00:00")
+    run()
+    return staging.stage("companies", ingest.raw_table(spark, f"{path}/raw", "companies").read())
+
+
+def _table_evolution(fixture: Fixture) -> DataFrame:
+    """A catalog table made before associations were carried, extended, and loaded again, then with no rows."""
+    spark, path = fixture.spark, _scratch(fixture.spark, "evolution")
+    name = "raw_deals_" + path.rsplit("-", 1)[-1]
+    deals = raw_rows("deals", fixture.entity("deals"))
+    early = F.col("created_at") < F.lit("1995-01-01").cast("timestamp")
+    plain = ", ".join(part for part in RAW_ENTITY_SCHEMA.split(", ") if not part.startswith("associations"))
+    ensure_table(spark, name, plain, f"{path}/table")
+    append_rows(deals.where(early).drop("associations"), name)
+    for _ in range(2):  # the second time there is nothing to add
+        ensure_table(spark, name, RAW_ENTITY_SCHEMA)
+    append_rows(deals.where(~early), name)
+    append_rows(deals.limit(0), name)
+    table = spark.table(name)
+    return staging.stage_owned("deals", "deal_company", table).select(
+        "deal_id", "company_id", "amount_usd", "created_at_hubspot", "_loaded_at"
+    )
+
+
 def _ingest_subscriptions(fixture: Fixture) -> DataFrame:
     """Billing documents by month into the stored table; the second load repeats a month."""
     moment = F.lit("2024-01-31 06:00:00").cast("timestamp")
@@ -522,6 +617,9 @@ def _raw_queries() -> dict[str, Query]:
         "incremental_upsert": _fixture(_upsert_incremental),
         "stream_upsert": _stream_deals,
         "ingest_pages": _fixture(_ingest_pages),
+        "ingest_page_chain": _fixture(_ingest_page_chain),
+        "stream_pages": _fixture(_stream_pages),
+        "table_evolution": _fixture(_table_evolution),
         "ingest_subscriptions": _fixture(_ingest_subscriptions),
         "ingest_lifecycle": _fixture(_ingest_lifecycle),
         "stage_metadata": _fixture(_stage_metadata),

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+from revloom.operators.chain import whole_chain
 from revloom.sources import landing
 from revloom.sources.tables import RAW_ENTITY_SCHEMA, KeyedTable, raw_blob_schema
 from revloom.vocab import ENTITY_ASSOCIATIONS, RAW_TABLES, tracked_names
@@ -25,12 +26,22 @@ def raw_table(spark: SparkSession, root: str, entity: str) -> KeyedTable:
 
 
 def ingest_entity(
-    spark: SparkSession, entity: str, pages: str, root: str, loaded_at: Column, page_per_line: bool = False
+    spark: SparkSession,
+    entity: str,
+    pages: str,
+    root: str,
+    loaded_at: Column,
+    page_per_line: bool = False,
+    whole: bool = True,
 ) -> int:
     """Merge an entity's saved pages into its RAW table; returns the records read.
 
-    Only the tracked properties and associations are carried.
+    Only the tracked properties and associations are carried.  A lost, repeated or looping
+    page fails the load before anything is written (:class:`BrokenChain`); ``whole=False``
+    takes the pages as they are, for files without cursors.
     """
+    if whole:
+        whole_chain(landing.read_cursors(spark, pages, page_per_line))
     records = landing.read_pages(
         spark, pages, tracked_names(entity), ENTITY_ASSOCIATIONS[entity], page_per_line
     )

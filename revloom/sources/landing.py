@@ -13,6 +13,11 @@ PAGE_SCHEMA = (
     "results array<struct<id string, properties map<string, variant>, associations map<string, variant>, "
     "createdAt timestamp, updatedAt timestamp, archived boolean>>"
 )
+# What a saved page says of its place: the extract run it belongs to, the cursor it was asked for
+# (absent on the first page) and the one that comes next (absent on the last).
+CURSOR_SCHEMA = (
+    "run string, after string, paging struct<next: struct<after: string>>, results array<struct<id string>>"
+)
 BILLING_SCHEMA = "subscriptions array<map<string, variant>>"
 EVENT_SCHEMA = "_contact_id string, stage string, entered_at string"
 LIFECYCLE_SCHEMA = f"lifecycle_history array<struct<{EVENT_SCHEMA}>>"
@@ -49,10 +54,24 @@ def read_pages_stream(
     properties: Sequence[str] | None = None,
     associations: Sequence[str] | None = None,
     page_per_line: bool = False,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """The same over files as they arrive."""
-    pages = spark.readStream.schema(PAGE_SCHEMA).options(**_STRICT).option("multiLine", not page_per_line).json(path)
-    return _project(pages.select(F.inline("results")), properties, associations)
+    """The same over files as they arrive, at most ``files_per_batch`` of them in a micro-batch."""
+    reader = spark.readStream.schema(PAGE_SCHEMA).options(**_STRICT).option("multiLine", not page_per_line)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _project(reader.json(path).select(F.inline("results")), properties, associations)
+
+
+def read_cursors(spark: SparkSession, path: str | Sequence[str], page_per_line: bool = False) -> DataFrame:
+    """(run, at, to, records) of every saved page; pages that name no run are one run."""
+    pages = spark.read.schema(CURSOR_SCHEMA).options(**_STRICT).option("multiLine", not page_per_line).json(path)
+    return pages.select(
+        F.coalesce("run", F.lit("")).alias("run"),
+        F.col("after").alias("at"),
+        F.col("paging.next.after").alias("to"),
+        F.coalesce(F.size("results"), F.lit(0)).cast("bigint").alias("records"),
+    )
 
 
 def _project(

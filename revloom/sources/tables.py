@@ -142,11 +142,12 @@ def write_clustered(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
 
 
-def ensure_table(spark: SparkSession, name: str, schema: str | T.StructType) -> None:
-    """Create the catalog table if it is missing, else add the columns it lacks."""
+def ensure_table(spark: SparkSession, name: str, schema: str | T.StructType, path: str | None = None) -> None:
+    """Create the catalog table if it is missing (at ``path``, if given), else add the columns it lacks."""
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if not spark.catalog.tableExists(name):
-        spark.createDataFrame([], wanted).write.format("parquet").saveAsTable(name)
+        writer = spark.createDataFrame([], wanted).write.format("parquet")
+        (writer.option("path", path) if path else writer).saveAsTable(name)
         return
     have = set(spark.table(name).columns)
     missing = [f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.fields if f.name not in have]
@@ -154,6 +155,16 @@ def ensure_table(spark: SparkSession, name: str, schema: str | T.StructType) ->
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(missing)})")
 
 
+def append_rows(df: DataFrame, name: str) -> None:
+    """Append to a catalog table by column name; columns that ``df`` lacks are NULL, others are refused."""
+    declared = df.sparkSession.table(name).schema.fields
+    unknown = [c for c in df.columns if c not in [f.name for f in declared]]
+    if unknown:
+        raise ValueError(f"columns the table does not declare: {', '.join(unknown)}")
+    filled = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in declared]
+    df.select(*filled).write.insertInto(name)
+
+
 def replace_table(df: DataFrame, name: str) -> None:
     """Full refresh of a catalog table."""
     df.write.format("parquet").mode("overwrite").saveAsTable(name)

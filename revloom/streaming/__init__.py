@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from revloom.sources import landing
 from revloom.sources.tables import KeyedTable
 
 
@@ -45,3 +46,38 @@ def stream_upsert(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_pages(
+    spark: SparkSession,
+    path: str,
+    table: KeyedTable,
+    checkpoint: str,
+    loaded_at: Column,
+    properties: Sequence[str] | None = None,
+    associations: Sequence[str] | None = None,
+    page_per_line: bool = False,
+    remembered: str = "1 day",
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Merge saved API pages into a RAW table as their files arrive.
+
+    A record that was delivered before, in this or an earlier micro-batch, with the same content
+    is dropped by the stream's state, so a page sent again rewrites no bucket.  The state
+    holds a hash per record version for ``remembered``, counted from the arrival of a micro-batch:
+    that clock never runs backwards, so no record is dropped for being late.  What the state
+    has forgotten, and pages that arrive late with older versions, are settled by the merge: a
+    stored row with a later ``updated_at`` stays.  The query goes on from ``checkpoint`` after
+    a restart.  With many records use a state store on disk
+    (``spark.sql.streaming.stateStore.providerClass``).
+    """
+    records = landing.read_pages_stream(spark, path, properties, associations, page_per_line, files_per_batch)
+    raw = landing.raw_envelope(records, loaded_at)
+    content = F.xxhash64(F.to_json("properties"), F.to_json("associations"), "archived")
+    fresh = (
+        raw.withColumns({"_content": content, "_arrived": F.current_timestamp()})
+        .withWatermark("_arrived", remembered)
+        .dropDuplicatesWithinWatermark(["hs_object_id", "updated_at", "_content"])
+        .drop("_content", "_arrived")
+    )
+    return stream_upsert(fresh, table, checkpoint, keep_newer="updated_at")

@@ -62,7 +62,10 @@ def landed(tmp_path_factory):
     for entity, records in pages.items():
         (root / entity).mkdir()
         for number, record in enumerate(records):  # one record per page, so paging matters
-            (root / entity / f"{number}.json").write_text(json.dumps({"results": [record]}))
+            page = {"results": [record]} | ({"after": f"c{number}"} if number else {})
+            if number + 1 < len(records):
+                page["paging"] = {"next": {"after": f"c{number + 1}"}}
+            (root / entity / f"{number}.json").write_text(json.dumps(page))
     (root / "billing.json").write_text(json.dumps({"_meta": {}, "subscriptions": [
         {"subscription_id": "s1", "crm_deal_id": "d1", "billing_interval": "monthly", "amount": 1200.0, "term_months": 24,
          "status": "active", "started_at": "2026-05-01T00:00:00+00:00", "churned_at": None}]}))
