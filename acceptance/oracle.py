@@ -735,6 +735,7 @@ def _raw_sql() -> dict[str, str]:
             FROM ({_LINKS_TWICE})) WHERE rn = 1""",
         "int_contacts_across_rows": "SELECT * FROM int_contacts",
         "ingest_pages": "SELECT * FROM stg_companies",
+        "incremental_account_health": "SELECT * FROM fct_account_health",
         "ingest_page_chain": """SELECT unnest(range((n + 99) // 100 + 1)) AS position,
             greatest(0, least(100, n - 100 * unnest(range((n + 99) // 100 + 1)))) AS records, n AS loaded, n AS stored
             FROM (SELECT count(*) AS n FROM stg_companies)""",

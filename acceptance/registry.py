@@ -13,6 +13,7 @@ from revloom.operators import contract, fixed_size_batches, quality
 from revloom.operators.chain import whole_chain
 from revloom.operators.upsert import incremental_upsert, upsert
 from revloom.plans import checks, clean, export, metrics, reports, staging
+from revloom.plans.incremental import AccountHealth
 from revloom.plans.model import RevenueModel, Staged, build_marts
 from revloom.plans.views import register_views
 from revloom.session import has_scratch, name_scratch_root, prepare, scratch_path
@@ -166,6 +167,58 @@ def _database(path: str) -> str:
 # --- marts ---------------------------------------------------------------------------
 
 
+#: Per entity the rows that are missing at first, and those that are different, as the second load finds them.
+LATE = {
+    "companies": ("cast(company_id as bigint) % 13 = 4", "cast(company_id as bigint) % 8 = 1"),
+    "contacts": ("cast(contact_id as bigint) % 9 = 2", "cast(contact_id as bigint) % 4 = 0 or cast(contact_id as bigint) % 6 = 1"),
+    "deals": ("cast(deal_id as bigint) % 11 = 3", "cast(deal_id as bigint) % 5 = 0 or cast(deal_id as bigint) % 7 = 0"),
+    "subscriptions": ("crc32(subscription_id) % 6 = 5", "crc32(subscription_id) % 10 = 1"),
+    "lifecycle": ("crc32(event_id) % 3 = 1", "false"),
+}
+
+
+def earlier_rows(fixture: Fixture, entity: str) -> DataFrame:
+    """The typed rows of the first load: other owners, names, stages and more links than at last."""
+    rows = fixture.entity(entity)
+    if entity not in LATE:
+        return rows
+    missing, other = (F.expr(text) for text in LATE[entity])
+
+    def linked(key: str, label: str) -> F.Column:
+        neighbour = (F.col(f"associations.{key}.results")[0]["id"].cast("bigint") + 1).cast("string")
+        link = F.struct(neighbour.alias("id"), F.lit(label).alias("type"))
+        return F.struct(F.struct(F.array(link, F.col(f"associations.{key}.results")[0]).alias("results")).alias(key))
+
+    changes = {
+        "companies": {"name": F.lit("HubSpot")},
+        "contacts": {
+            "first_name": F.concat(F.lit("X"), "first_name"),
+            "associations": linked("companies", "contact_to_company"),
+        },
+        "deals": {"stage_id": F.lit("contractsent"), "associations": linked("companies", "deal_to_company")},
+        "subscriptions": {"deal_id": (F.col("deal_id").cast("bigint") + 1).cast("string"), "status": F.lit("churned")},
+        "lifecycle": {},
+    }[entity]
+    kept = rows.where(~missing)
+    return kept.withColumns({name: F.when(other, value).otherwise(F.col(name)) for name, value in changes.items()})
+
+
+def later_rows(fixture: Fixture, entity: str) -> DataFrame:
+    """The typed rows of the second load."""
+    if entity not in LATE:
+        return fixture.entity(entity).limit(0)
+    missing, other = LATE[entity]
+    return fixture.entity(entity).where(f"({missing}) or ({other})")
+
+
+def _incremental_health(fixture: Fixture) -> DataFrame:
+    """Health out of two loads, the second of which moves, renames, unlinks and adds rows."""
+    state = AccountHealth(fixture.spark, _scratch(fixture.spark, "health"), buckets=8)
+    for rows in (earlier_rows, later_rows):
+        state.refresh(Staged.from_raw(lambda e, rows=rows: raw_rows(e, rows(fixture, e))))
+    return state.read(fixture.as_of)
+
+
 def _mart_queries() -> dict[str, Query]:
     names = (
         "dim_accounts",
@@ -187,6 +240,7 @@ def _mart_queries() -> dict[str, Query]:
         build_marts(fixture.spark, fixture.staged(), fixture.as_of, path, database=_database(path))
         return fixture.spark.table(f"{_database(path)}.fct_account_health")
 
+    found["incremental_account_health"] = _fixture(_incremental_health)
     found["raw_to_account_health"] = _fixture(from_raw)
     found["stored_account_health"] = _fixture(stored)
     return found

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revloom.session import scratch_path
+from revloom.session import stored_copy
 
 
 class BrokenChain(ValueError):
@@ -49,24 +49,16 @@ def positions(links: DataFrame) -> DataFrame:
     pages takes log2(n) rounds of one join over the links; a page that still sees no end
     then is in a loop, and :class:`BrokenChain` is raised.
     """
-    spark = links.sparkSession
-
-    def stored(df: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "chain")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    seen = stored(links.select("run", "at", "to", F.col("to").isNotNull().cast("bigint").alias("ahead")))
+    seen = stored_copy(links.select("run", "at", "to", F.col("to").isNotNull().cast("bigint").alias("ahead")), "chain")
     longest = seen.groupBy("run").count().agg(F.max("count").alias("n")).first()["n"] or 1
     for _ in range(math.ceil(math.log2(longest)) + 1):
         further = seen.select(
             "run", F.col("at").alias("to"), F.col("to").alias("further"), F.col("ahead").alias("more")
         )
-        seen = stored(
-            seen.join(further, ["run", "to"], "left").select(
-                "run", "at", F.col("further").alias("to"), (F.col("ahead") + F.coalesce("more", F.lit(0))).alias("ahead")
-            )
+        seen = seen.join(further, ["run", "to"], "left").select(
+            "run", "at", F.col("further").alias("to"), (F.col("ahead") + F.coalesce("more", F.lit(0))).alias("ahead")
         )
+        seen = stored_copy(seen, "chain")
     lost = seen.where("to is not null").limit(1).collect()
     if lost:
         raise BrokenChain(f"run {lost[0]['run']!r}: a loop holds the page at cursor {lost[0]['at']!r}")

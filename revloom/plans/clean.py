@@ -32,6 +32,22 @@ def int_companies(stg_companies: DataFrame) -> DataFrame:
     )
 
 
+def tidy_contacts(stg_contacts: DataFrame) -> DataFrame:
+    """Contacts with an email that is nobody's test address; names trimmed, emails in lower case."""
+    return stg_contacts.withColumns(
+        {
+            "first_name": F.trim("first_name"),
+            "last_name": F.trim("last_name"),
+            "email": F.lower(F.trim("email")),
+        }
+    ).where(F.col("email").isNotNull() & ~F.col("email").isin(*TEST_EMAILS, *SAMPLE_EMAILS))
+
+
+def one_per_name(contacts: DataFrame, name: tuple[str, ...] = ("first_name", "last_name")) -> DataFrame:
+    """Of the contacts of one name the earliest created."""
+    return keep_first(contacts, list(name), ascending("created_at_hubspot", "contact_id"))
+
+
 def int_contacts(stg_contacts: DataFrame, contact_links: DataFrame | None = None) -> DataFrame:
     """Normalized contacts, one per (first, last) name: the earliest created.
 
@@ -39,16 +55,9 @@ def int_contacts(stg_contacts: DataFrame, contact_links: DataFrame | None = None
     from a ``company_id`` column of ``stg_contacts``.  A contact with several labeled
     companies gets the smallest company id.
     """
-    tidy = stg_contacts.withColumns(
-        {
-            "first_name": F.trim("first_name"),
-            "last_name": F.trim("last_name"),
-            "email": F.lower(F.trim("email")),
-        }
-    ).where(F.col("email").isNotNull() & ~F.col("email").isin(*TEST_EMAILS, *SAMPLE_EMAILS))
     # Reduce before any join: the company does not take part in the choice, and one
     # company per contact cannot change the number of rows.
-    kept = keep_first(tidy, ["first_name", "last_name"], ascending("created_at_hubspot", "contact_id"))
+    kept = one_per_name(tidy_contacts(stg_contacts))
     if contact_links is not None:
         primary = (
             contact_links.where(F.col("link_type") == CONTACT_COMPANY_LABEL)

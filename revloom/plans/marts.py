@@ -280,9 +280,9 @@ def contact_rollup(contact_company: DataFrame) -> DataFrame:
     return contact_company.groupBy("company_id").agg(F.count(F.lit(1)).alias("contact_count"))
 
 
-def revenue_rollup(revenue: DataFrame) -> DataFrame:
+def revenue_rollup(revenue: DataFrame, by: str = "company_id") -> DataFrame:
     live = F.when(~F.col("is_churned"), F.col("arr_usd")).otherwise(_NO_MONEY)
-    return revenue.groupBy("company_id").agg(
+    return revenue.groupBy(by).agg(
         F.sum(live).cast(MONEY_SUM).alias("active_arr_usd"), F.bool_or("is_churned").alias("has_churn")
     )
 
@@ -324,18 +324,32 @@ def fct_account_health(
     ``last_activity_date``: see :func:`accounts_base`, or :func:`stored_accounts_base`
     for stored marts.  ``revenue`` and ``funnel`` are the rollups of those names.
     """
+    return scored_accounts(account_inputs(base, revenue, funnel), as_of)
+
+
+def account_inputs(base: DataFrame, revenue: DataFrame, funnel: DataFrame) -> DataFrame:
+    """What the health of a company is made of: nothing here depends on the time."""
+    joined = base.join(revenue, "company_id", "left").join(funnel, "company_id", "left")
+    return joined.select(
+        "company_id",
+        "name",
+        "industry",
+        "contact_count",
+        *_DEAL_COUNTS,
+        F.coalesce("open_pipeline_usd", F.lit(0)).cast(MONEY_SUM).alias("open_pipeline_usd"),
+        "last_activity_date",
+        F.coalesce("active_arr_usd", F.lit(0)).cast(MONEY_SUM).alias("arr_usd"),
+        F.coalesce("has_churn", F.lit(False)).alias("has_churn"),
+        "max_stage_order",
+    )
+
+
+def scored_accounts(inputs: DataFrame, as_of: Column) -> DataFrame:
+    """Account health from :func:`account_inputs`, without a join."""
     ratio = F.coalesce(
         safe_ratio("deal_count_won", F.col("deal_count_won") + F.col("deal_count_lost")), F.lit(0.0)
     )
-    joined = base.join(revenue, "company_id", "left").join(funnel, "company_id", "left")
-    filled = joined.withColumns(
-        {
-            "_ratio": ratio,
-            "arr_usd": F.coalesce("active_arr_usd", F.lit(0)).cast(MONEY_SUM),
-            "open_pipeline_usd": F.coalesce("open_pipeline_usd", F.lit(0)).cast(MONEY_SUM),
-            "has_churn": F.coalesce("has_churn", F.lit(False)),
-        }
-    )
+    filled = inputs.withColumn("_ratio", ratio)
     score = health_score(
         F.col("arr_usd"),
         F.col("_ratio"),

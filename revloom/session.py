@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan relies on.  UTC keeps date derivations stable; the skew
 # settings let the engine split a hot shuffle partition even when a later aggregate
@@ -65,3 +65,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{root.rstrip('/')}/revloom/{name}-{uuid.uuid4().hex}"
+
+
+def stored_copy(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to scratch space and read back: its lineage ends there, and what it read may change."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revloom.operators.upsert import newer_than_target, upsert
-from revloom.session import scratch_path
+from revloom.session import stored_copy
 
 RAW_ENTITY_SCHEMA = (
     "hs_object_id string, properties variant, associations variant, "
@@ -65,7 +65,8 @@ class KeyedTable:
         its files or computes its plan once, and merges the same rows even if the source
         changes meanwhile.  Columns the table does not declare are refused.
         """
-        batch = self._staged(source)
+        self._checked(source)
+        batch = stored_copy(source, "batch")
         counts = self._buckets_of(batch)
         if not counts:
             return 0
@@ -102,7 +103,8 @@ class KeyedTable:
         # which no reader sees.
         empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in self.schema.fields]
         marks = self.spark.createDataFrame([(b,) for b in buckets], "_bucket int").select(*empty, "_bucket")
-        self._bucketed(rows).unionByName(marks).repartition("_bucket").write.mode("overwrite").option(
+        # One file per bucket, unless a bucket is large: the engine splits it then.
+        self._bucketed(rows).unionByName(marks).hint("rebalance", "_bucket").write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("_bucket").parquet(self.path)
 
@@ -121,12 +123,6 @@ class KeyedTable:
         self.spark.createDataFrame([], schema).write.mode("ignore").partitionBy("_bucket").parquet(self.path)
         return self.spark.read.schema(schema).parquet(self.path).where(F.col(self.keys[0]).isNotNull())
 
-    def _staged(self, source: DataFrame) -> DataFrame:
-        self._checked(source)
-        folder = scratch_path(self.spark, "batch")
-        source.write.parquet(folder)
-        return self.spark.read.schema(source.schema).parquet(folder)
-
     def _checked(self, df: DataFrame) -> None:
         unknown = [c for c in df.columns if c not in self.schema.names]
         if unknown:
