@@ -18,35 +18,60 @@ _SPACE = r"[\x20\x09-\x0D]"
 _NOT_SPACE = r"[^\x20\x09-\x0D]"
 #: Bits for a word's place in a text; the rest of 64 bits holds the window's hash.
 _PLACE_BITS = 26
+#: SQL of a window's hash; only speed depends on how good it is.
+_WINDOW_HASH = "xxhash64({words}[i], {words}[i + 1], {words}[i + 2])"
 
 
-def _repeated_words(words: str) -> tuple[str, str]:
-    """SQL for the sorted windows ``s``, and from them how many words of the array lie in a 3-word window found twice or more in it.
+def _covered(entries: str, equal, place) -> str:
+    """SQL: how many words lie in 3-word windows that equal their neighbour in the sorted ``entries``."""
+    last = f"size({entries}) - 1"
+    repeated = (
+        f"filter(sequence(0, {last}), k -> (k > 0 and {equal('greatest(k - 1, 0)', 'k')}) "
+        f"or (k < {last} and {equal('k', f'least(k + 1, {last})')}))"
+    )
+    places = f"sort_array(transform({repeated}, k -> {place('k')}))"
+    return (
+        f"aggregate({places}, named_struct('next', 0, 'sum', 0L), "
+        "(acc, p) -> named_struct('next', p + 3, 'sum', acc.sum + p + 3 - greatest(p, acc.next)), acc -> acc.sum)"
+    )
 
-    Windows are sorted by hash with their place in the low bits, so equal windows become
-    neighbours; neighbours are compared word by word.
+
+def _repeated_words(words: str) -> tuple[str, str, str]:
+    """SQL for the windows ``s`` sorted by hash, ``t`` sorted by their words, and from both the repeated words.
+
+    ``s`` has the place in the low bits, so windows of equal hash become neighbours.  If all
+    such neighbours agree word by word, equal hash means equal window, and ``t`` is empty.  If
+    two differ (a collision, which may also part two equal windows), or if the text has more
+    words than places can tell, ``t`` decides: sorted by the words themselves, equal windows
+    are neighbours in any case.
     """
     place = f"{(1 << _PLACE_BITS) - 1}L"
-    window = f"xxhash64({words}[i], {words}[i + 1], {words}[i + 2])"
-    ordered = f"sort_array(transform(sequence(0, size({words}) - 3), i -> ({window} & ~{place}) | cast(i as bigint)))"
+    window = _WINDOW_HASH.format(words=words)
+    indexes = f"sequence(0, size({words}) - 3)"
+    packed = f"sort_array(transform({indexes}, i -> ({window} & ~{place}) | cast(i as bigint)))"
 
-    def equal(left: str, right: str) -> str:
-        a, b = f"cast(s[{left}] & {place} as int)", f"cast(s[{right}] & {place} as int)"
-        return f"((s[{left}] & ~{place}) = (s[{right}] & ~{place}) and " + " and ".join(
-            f"{words}[{a} + {k}] = {words}[{b} + {k}]" for k in range(3)
-        ) + ")"
+    def same_hash(left: str, right: str) -> str:
+        return f"(s[{left}] & ~{place}) = (s[{right}] & ~{place})"
 
-    repeated = (
-        "filter(sequence(0, size(s) - 1), k -> "
-        f"(k > 0 and {equal('greatest(k - 1, 0)', 'k')}) or (k < size(s) - 1 and {equal('k', 'least(k + 1, size(s) - 1)')}))"
-    )
-    places = f"sort_array(transform({repeated}, k -> cast(s[k] & {place} as int)))"
-    covered = (
-        f"aggregate({places}, named_struct('next', 0, 'sum', 0L), "
-        "(acc, p) -> named_struct('next', p + 3, 'sum', acc.sum + p + 3 - greatest(p, acc.next)), acc -> acc.sum)"
+    def at(k: str) -> str:
+        return f"cast(s[{k}] & {place} as int)"
+
+    other = " or ".join(f"{words}[{at('k')} + {d}] <> {words}[{at('k + 1')} + {d}]" for d in range(3))
+    clash = (
+        f"(size({words}) > {1 << _PLACE_BITS} or "
+        f"exists(sequence(0, size(s) - 2), k -> {same_hash('k', 'k + 1')} and ({other})))"
     )
+    struct = f"named_struct('a', {words}[i], 'b', {words}[i + 1], 'c', {words}[i + 2], 'p', i)"
+    exact = f"transform({indexes}, i -> {struct})"
+    by_words = f"case when size(s) > 1 and {clash} then sort_array({exact}) else filter({exact}, x -> false) end"
+
+    def same_words(left: str, right: str) -> str:
+        return "(" + " and ".join(f"t[{left}].{f} = t[{right}].{f}" for f in "abc") + ")"
+
     distinct = f"size(array_distinct(transform(s, x -> shiftright(x, {_PLACE_BITS}))))"
-    return ordered, f"case when {distinct} = size(s) then 0L else {covered} end"
+    fast = _covered("s", same_hash, at)
+    slow = _covered("t", same_words, lambda k: f"t[{k}].p")
+    return packed, by_words, f"case when size(t) > 0 then {slow} when {distinct} = size(s) then 0L else {fast} end"
 
 
 def measures(docs: DataFrame, *passed: str | Column) -> DataFrame:
@@ -64,7 +89,7 @@ def measures(docs: DataFrame, *passed: str | Column) -> DataFrame:
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
         F.regexp_count("body", F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
     )
-    ordered, repeated = _repeated_words("w")
+    packed, by_words, repeated = _repeated_words("w")
     kept = [name for name in rows.columns if name not in ("w", "n_dup_lines", "n_symbols")]
     # Generators between the steps keep the optimizer from computing the arrays once per use.
     rows = rows.select(*kept, "n_symbols", "n_dup_lines", F.explode(F.array("w")).alias("w"))
@@ -74,8 +99,10 @@ def measures(docs: DataFrame, *passed: str | Column) -> DataFrame:
         "n_symbols",
         "n_dup_lines",
         "w",
-        F.explode(F.array(F.when(short, F.array().cast("array<bigint>")).otherwise(F.expr(ordered)))).alias("s"),
+        F.explode(F.array(F.when(short, F.array().cast("array<bigint>")).otherwise(F.expr(packed)))).alias("s"),
     )
+    none = F.array().cast("array<struct<a: string, b: string, c: string, p: int>>")
+    rows = rows.withColumn("t", F.explode(F.array(F.when(short, none).otherwise(F.expr(by_words)))))
     return rows.select(
         *kept,
         F.size("w").cast("bigint").alias("n_words"),
@@ -86,8 +113,8 @@ def measures(docs: DataFrame, *passed: str | Column) -> DataFrame:
     )
 
 
-def frequent_line_words(docs: DataFrame, max_texts: int = MAX_TEXTS) -> DataFrame:
-    """(doc_id, hash, host, frequent_words): words on lines found in over ``max_texts`` distinct texts of the host.
+def frequent_lines(docs: DataFrame, max_texts: int = MAX_TEXTS) -> DataFrame:
+    """(doc_id, hash, host, place, words): the lines found in over ``max_texts`` distinct texts of their host.
 
     ``docs`` has doc_id, hash (of the text), host and text.  Lines are compared in lower
     case, trimmed, with single spaces; copies of one text count once.
@@ -101,8 +128,37 @@ def frequent_line_words(docs: DataFrame, max_texts: int = MAX_TEXTS) -> DataFram
     texts = lines.groupBy("host", "line", "hash").agg(F.lit(1).alias("one"))
     frequent = texts.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_texts)
     found = lines.join(frequent.select("host", "line"), ["host", "line"], "left_semi")
-    once = found.groupBy("doc_id", "hash", "host", "place").agg(F.max("words").alias("words"))
-    return once.groupBy("doc_id", "hash", "host").agg(F.sum("words").alias("frequent_words"))
+    return found.groupBy("doc_id", "hash", "host", "place").agg(F.max("words").alias("words"))
+
+
+def frequent_line_words(docs: DataFrame, max_texts: int = MAX_TEXTS) -> DataFrame:
+    """(doc_id, hash, host, frequent_words): words on :func:`frequent_lines`."""
+    return frequent_lines(docs, max_texts).groupBy("doc_id", "hash", "host").agg(F.sum("words").alias("frequent_words"))
+
+
+def _hosted(docs: DataFrame, *passed: str | Column) -> DataFrame:
+    return docs.select(
+        *passed,
+        "doc_id",
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"),
+        F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("host"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
+
+
+def remove_frequent_lines(docs: DataFrame, max_texts: int = MAX_TEXTS) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, source) with the frequent lines of their host taken out of ``text``.
+
+    Other lines, blank ones included, stay as they are and in order.  A null text stays null.
+    """
+    rows = _hosted(docs, F.struct(*docs.columns).alias("row"))
+    places = frequent_lines(rows, max_texts).groupBy("doc_id", "hash", "host").agg(F.collect_set("place").alias("places"))
+    joined = join_rows(rows, places, ["doc_id", "hash", "host"], "left")
+    left = F.filter(F.split("text", "\n"), lambda line, place: ~F.array_contains("places", place))
+    text = F.when(F.col("places").isNull(), F.col("row.text")).otherwise(F.array_join(left, "\n"))
+    return joined.select(
+        *(text.alias(name) if name == "text" else F.col("row").getField(name).alias(name) for name in docs.columns)
+    )
 
 
 def judge(
@@ -115,14 +171,10 @@ def judge(
     ``docs`` has doc_id, text and source (the host; null is a host).  ``base_failed``: under
     50 words, or over half of the words in repeated windows.  A document that passes is
     kept unless it is depleted: without its host's frequent lines less than
-    ``min_left_percent`` of its words are left.  Repeated rows are judged each.
+    ``min_left_percent`` of its words are left; :func:`remove_frequent_lines` gives that
+    text.  Repeated rows are judged each.
     """
-    rows = docs.select(
-        "doc_id",
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"),
-        F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("host"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    )
+    rows = _hosted(docs)
     base = measures(rows, "doc_id", "hash", "host")
     removed = frequent_line_words(rows, max_texts)
     joined = join_rows(base, removed, ["doc_id", "hash", "host"], "left")

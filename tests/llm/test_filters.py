@@ -52,6 +52,40 @@ def test_boilerplate_of_one_host_depletes_its_documents(spark):
     assert all(found[i]["kept"] for i in (*range(100, 110), *range(200, 240)))
 
 
+@pytest.mark.parametrize("bits, window", [(26, "xxhash64({words}[i]) & 2"), (56, None), (3, None)])
+def test_colliding_windows_hide_no_repeat(spark, monkeypatch, bits, window):
+    """With hashes of few values, and with more words than places."""
+    monkeypatch.setattr(quality, "_PLACE_BITS", bits)
+    if window:
+        monkeypatch.setattr(quality, "_WINDOW_HASH", f"(({window}) << 60)")
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choice("abcdefgh") for _ in range(n)) for n in (0, 2, 3, 4, 6, 7, 8, 9, 10, 30, 90, 224)]
+    rows = [(i, t, None, "a", 0) for i, t in enumerate(texts)]
+    found = {r["doc_id"]: r["n_repeat_words"] for r in quality.judge(table(spark, rows)).collect()}
+    for i, text in enumerate(texts):
+        words = text.split()
+        windows = [tuple(words[k : k + 3]) for k in range(len(words) - 2)]
+        covered = {k + d for k, w in enumerate(windows) if windows.count(w) > 1 for d in range(3)}
+        assert found[i] == len(covered), i
+
+
+def test_texts_without_frequent_lines(spark):
+    own = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n))
+    menu = own("menu", 40)
+    rows = [(i, f"{own(i, 5)}\n\n {menu.upper()}  \n{own(i, 3)}\n", "en", "a", 0) for i in range(11)]
+    rows += [(50, None, "en", "a", 0), (51, "", "en", "a", 0), (None, menu, "en", "a", 0), (60, f"x\n{menu}", "en", "b", 0)]
+    docs = table(spark, rows, clashes=True)
+    found = quality.remove_frequent_lines(docs)
+    assert found.columns == docs.columns
+    texts = {r["doc_id"]: r["text"] for r in found.collect()}
+    assert all(texts[i] == f"{own(i, 5)}\n\n{own(i, 3)}\n" for i in range(11))
+    assert texts[50] is None and texts[51] == "" and texts[None] == "" and texts[60] == f"x\n{menu}"
+    # The verdict counts just the words that are gone.
+    words = lambda t: len((t or "").split())
+    gone = {r["doc_id"]: r["frequent_words"] for r in quality.judge(docs).collect()}
+    assert gone == {i: words(t) - words(texts[i]) for i, t, *_ in rows}
+
+
 def test_quality_runs_no_python(spark):
     plan = QUERIES["op3_quality_rules"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
