@@ -105,22 +105,26 @@ def test_levels_merge_geometrically(spark):
 
 
 def repeated_lines(rows, least=line_dedup.MIN_WORDS):
-    """Kept text per row; rows equal in id and text are one place."""
-    seen, kept = {}, {}
-    for i, text in sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: (r[0], r[1])):
-        lines = text.split("\n")
-        plain = [" ".join(line.lower().split()) for line in lines]
-        places = [k for k, line in enumerate(plain) if line]
-        gone = set()
-        for a in range(len(places)):
-            b = a
-            while b < len(places) and sum(len(plain[k].split()) for k in places[a:b]) < least:
-                b += 1
-            if sum(len(plain[k].split()) for k in places[a:b]) < least:
-                break
-            if seen.setdefault(tuple(plain[k] for k in places[a:b]), (i, text, a)) != (i, text, a):
-                gone.update(places[a:b])
-        kept[i, text] = "\n".join(line for k, line in enumerate(lines) if k not in gone)
+    """Kept text per row; rows equal in id and text are one place.  Every two places of a line are extended both ways."""
+    texts = sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: (r[0], r[1]))
+    plain = [[(k, " ".join(line.lower().split())) for k, line in enumerate(t.split("\n")) if line.split()] for _, t in texts]
+    at, gone = {}, [set() for _ in texts]
+    for d, lines in enumerate(plain):
+        for p, (_, line) in enumerate(lines):
+            for e, q in at.setdefault(line, []):
+                other = plain[e]
+                if p and q and lines[p - 1][1] == other[q - 1][1]:
+                    continue  # found from the line before
+                n = 0
+                while p + n < len(lines) and q + n < len(other) and lines[p + n][1] == other[q + n][1]:
+                    n += 1
+                if sum(len(words.split()) for _, words in lines[p : p + n]) >= least:
+                    gone[d].update(k for k, _ in lines[p : p + n])
+            at[line].append((d, p))
+    kept = {
+        text: "\n".join(line for k, line in enumerate(text[1].split("\n")) if k not in own)
+        for text, own in zip(texts, gone, strict=True)
+    }
     return sorted(((i, kept.get((i, t))) for i, t in rows), key=repr)
 
 
@@ -154,22 +158,44 @@ def test_equal_windows_select_one_fingerprint():
     assert len(common) == 6 and all(ours[c] == theirs[c] for c in common)
 
 
-def test_places_are_selected_once_and_joined_on_their_line(spark):
+def test_places_are_joined_on_their_line(spark, monkeypatch):
     line = lambda k: " ".join(f"w{k}x{n}" for n in range(12))
     run = [line(k) for k in range(9)]
     alone = "\n".join(line(k) for k in range(100, 160))
     texts = ["\n".join([line(70), *run]), "\n".join([line(80), *run, line(82)]), alone, None, "", "\n".join(run[:1] * 9)]
+    monkeypatch.setattr(line_dedup, "ROWS", 7)
     found = line_dedup.selected_places(table(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)]))
     rows = found.collect()
-    assert len({(r["doc_id"], r["line"]) for r in rows}) == len(rows)
     for i, text in enumerate(texts):
-        want = sorted((w[4], w[0], *w[1:4]) for w in line_dedup.windows(text or "", 40))
         signed = lambda n: n - (n >> 63 << 64)
-        got = sorted((r["line"], r["fingerprint"], *w) for r in rows if r["doc_id"] == i for w in r["windows"])
-        assert got == sorted((a, signed(b), signed(c), d, e) for a, b, c, d, e in want)
+        want = sorted((signed(a), signed(b), c, d, e) for a, b, c, d, e in line_dedup.windows(text or "", 40))
+        assert sorted(tuple(r)[2:] for r in rows if r["doc_id"] == i) == want
+        assert len({w[2:4] for w in want}) == len(want)
     assert {r["doc_id"] for r in line_dedup.joined_places(found).collect()} == {0, 1, 5}
 
 
+@pytest.mark.parametrize("sizes", [(30, 12, 12, 12), (40,), (1,) * 41, (12, 12, 12, 30), (39,), (5, 90, 5)])
+def test_a_repeated_run_goes_whole(spark, sizes):
+    run = "\n".join(" ".join(f"r{k}n{n}" for n in range(size)) for k, size in enumerate(sizes))
+    other = lambda k: "\n".join(" ".join(f"o{k}l{j}n{n}" for n in range(9)) for j in range(6))
+    rows = [(1, f"{other(1)}\n{run}\n{other(2)}"), (2, f"{other(3)}\n{run}\n{other(4)}"), (3, f"{run}\n\n{other(5)}\n{run}")]
+    found = line_dedup.remove_repeats(table(spark, [(i, t, None, None, 0) for i, t in rows]))
+    kept = {r["doc_id"]: r["kept_text"] for r in found.collect()}
+    assert sorted(kept.items()) == repeated_lines(rows)
+    if sum(sizes) >= 40:
+        assert kept[2] == f"{other(3)}\n{other(4)}" and kept[3] == f"\n{other(5)}"
+    else:
+        assert kept == dict(rows)
+
+
+def test_random_runs_equal_brute_force(spark):
+    rnd = random.Random(6)
+    lines = [" ".join(f"l{k}w{n}" for n in range(rnd.choice([1, 3, 8, 20, 45]))) for k in range(7)]
+    rows = [(i, "\n".join(rnd.choice([*lines, "", f"own {i}"]) for _ in range(rnd.randrange(30)))) for i in range(60)]
+    found = line_dedup.remove_repeats(table(spark, [(i, t, None, None, 0) for i, t in rows]))
+    assert collected(found.select("doc_id", "kept_text")) == repeated_lines(rows)
+
+
 # --- sets -------------------------------------------------------------------------------
 
 
