@@ -12,10 +12,11 @@ shingles leave too many segments empty to trust H + 1 is indexed by each single
 next to others of that kind, so nothing is lost.
 
 Sets with equal content are one set from the start.  Sets with a signature in common are
-candidates.  Candidates are verified exactly, in two steps that never list the pairs of a
-group: each set against the smallest member of each of its groups, then members of one group
-that are still in different components.  Either way only pairs that a bitmap of their
-shingles cannot tell apart are emitted.
+candidates.  Candidates are verified exactly, in steps that do not list the pairs of a group:
+each set against the smallest member of each of its groups; then, twice, pairs that would
+span what is still apart in a group if they were links; then members of one group that
+are still in different components.  In all steps only pairs that a bitmap of their shingles
+cannot tell apart are emitted.
 """
 
 from __future__ import annotations
@@ -372,12 +373,18 @@ def _bits(band: int, percent: int) -> int:
     return min(1 << 16, 1 << (2 * band_edges(percent)[band + 1]).bit_length())
 
 
-def _unsettled(groups: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, block: int = 1024) -> DataFrame:
-    """Pairs of one group in different components that sizes and bitmaps leave possible.
+def _unsettled(
+    groups: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, spanning: int | None = None, block: int = 1024
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs of one group in different components that sizes and bitmaps leave possible, and the groups that have some.
 
     The smallest member of a group has met all others already.  Groups with the same
     members are one.  A group of more than ``block`` members is dealt out as pairs of
     blocks, so no task holds more than two blocks.
+
+    With ``spanning`` (a salt for the order of members) pairs are taken to be links as they are
+    found, and only pairs that would join two components are: fewer than there are members.
+    Without, all pairs are found.
     """
     label = labels.select(F.col("node").alias("member"), "label")
     rows = groups.select("signature", "band", "member").join(label, "member", "left")
@@ -409,27 +416,37 @@ def _unsettled(groups: DataFrame, labels: DataFrame, sketches: DataFrame, percen
     pair = np.dtype([("a", "<i8"), ("b", "<i8")])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, held, found, count = None, [], [], 0
+        here, held, found, opened, count = None, [], [], [], 0
+
+        def close() -> int:
+            pairs = possible(held)
+            if len(pairs):
+                found.append(pairs)
+                opened.append(here[0])
+            return len(pairs)
+
         for batch in batches:
             for row in batch.to_pylist():
                 key = (row["signature"], row["band"], row["x"], row["y"])
                 if key != here and held:
-                    found.append(possible(held))
-                    count += len(found[-1])
+                    count += close()
                     held = []
                     if count > 1 << 20:
-                        yield dealt_out(found)
-                        found, count = [], 0
+                        yield dealt_out(found, opened)
+                        found, opened, count = [], [], 0
                 here = key
                 held.append(row)
         if held:
-            found.append(possible(held))
+            close()
         if found:
-            yield dealt_out(found)
+            yield dealt_out(found, opened)
 
     def possible(held: list[dict]) -> np.ndarray:
         held.sort(key=lambda row: row["member"])
         number = np.array([row["member"] for row in held])
+        if spanning is not None:
+            order = np.argsort(mixed(number.view(np.uint64) + np.uint64(spanning)), kind="stable")
+            held, number = [held[k] for k in order.tolist()], number[order]
         labels = np.array([row["label"] for row in held])
         n = np.array([row["n"] for row in held])
         own = np.array([row["own"] for row in held])
@@ -442,12 +459,16 @@ def _unsettled(groups: DataFrame, labels: DataFrame, sketches: DataFrame, percen
                 apart &= own[i + 1 :] != own[i]
             at = np.flatnonzero(apart) + i + 1
             at = at[_possible(maps[at], maps[i], n[at], n[i], percent)]
+            if spanning is not None and len(at):
+                joined, first = np.unique(labels[at], return_index=True)
+                at = at[first]
+                labels[np.isin(labels, joined)] = labels[i]
             pairs.append(np.empty(len(at), pair))
-            pairs[-1]["a"], pairs[-1]["b"] = number[i], number[at]
+            pairs[-1]["a"], pairs[-1]["b"] = np.minimum(number[i], number[at]), np.maximum(number[i], number[at])
         return np.concatenate(pairs)
 
-    def dealt_out(found: list[np.ndarray]) -> pa.RecordBatch:
-        """Distinct pairs as blobs, one per bucket: groups overlap, so many report the same pair."""
+    def dealt_out(found: list[np.ndarray], opened: list[int]) -> pa.RecordBatch:
+        """Distinct pairs as blobs, one per bucket: groups overlap, so many report the same pair.  Bucket -1: groups."""
         pairs = np.unique(np.concatenate(found))
         bucket = (mixed(pairs["a"].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -455,7 +476,9 @@ def _unsettled(groups: DataFrame, labels: DataFrame, sketches: DataFrame, percen
         begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
         ends = np.append(begin[1:], len(pairs))[: len(begin)]
         blobs = [pairs[i:j].tobytes() for i, j in zip(begin.tolist(), ends.tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[begin]), pa.array(blobs, pa.binary())], names=["bucket", "pairs"])
+        blobs.append(np.unique(np.array(opened, np.int64)).tobytes())
+        buckets = np.append(bucket[begin], -1)
+        return pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(blobs, pa.binary())], names=["bucket", "pairs"])
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = np.zeros(0, pair)
@@ -464,8 +487,14 @@ def _unsettled(groups: DataFrame, labels: DataFrame, sketches: DataFrame, percen
             pairs = np.unique(np.concatenate([pairs, np.frombuffer(raw, pair)]))
         yield pa.RecordBatch.from_arrays([pa.array(pairs["a"].copy()), pa.array(pairs["b"].copy())], names=["a", "b"])
 
-    blobs = dealt.mapInArrow(compare, "bucket bigint, pairs binary").repartition(parts, "bucket")
-    return blobs.mapInArrow(distinct, "a bigint, b bigint")
+    def signatures_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(1):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(blob.as_buffer(), np.int64))], names=["signature"])
+
+    blobs = keep(dealt.mapInArrow(compare, "bucket bigint, pairs binary"), "jaccard-unsettled")
+    pairs = blobs.where("bucket >= 0").repartition(parts, "bucket").mapInArrow(distinct, "a bigint, b bigint")
+    return pairs, blobs.where("bucket < 0").mapInArrow(signatures_of, "signature bigint").distinct()
 
 
 def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, passed: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -486,10 +515,13 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, passed:
     pairs = groups.groupBy(F.col("hub").alias("a"), F.col("member").alias("b")).agg(F.min("band").alias("band"))
     links = keep(_verified(_sifted(pairs, sketches, percent), sets, percent), "jaccard-links")
     labels = components(links)
-    # Among the others of a group.
-    more = _verified(_unsettled(groups, labels, sketches, percent), sets, percent)
-    links = links.union(keep(more, "jaccard-links"))
-    labels = components(links)
+    # Among the others of a group: first pairs that span it, which leaves few members apart even where all
+    # are alike but unlike the smallest, then all that are left.
+    for spanning in (1, 2, None):
+        pairs, opened = _unsettled(groups, labels, sketches, percent, spanning)
+        links = links.union(keep(_verified(pairs, sets, percent), "jaccard-links"))
+        labels = components(links)
+        groups = keep(groups.join(opened, "signature", "left_semi"), "jaccard-open")
 
     named = members.join(labels.withColumnRenamed("node", "number"), "number", "left")
     return named.select(*passed, F.col("n").alias("n_shingles"), F.coalesce("label", "number").alias("class"))

@@ -114,7 +114,9 @@ def joined_places(places: DataFrame) -> DataFrame:
     """The rows of ``places`` whose line was selected in another place too."""
     place = F.xxhash64("doc_id", "text_hash", "line")
     ends = places.groupBy("fingerprint").agg(F.min(place).alias("one"), F.max(place).alias("other"))
-    return places.join(ends.where("one <> other").select("fingerprint"), "fingerprint", "left_semi")
+    # Stored, so that the join is one of two shuffles, of which the engine can split a common line's.
+    joined = keep(ends.where("one <> other").select("fingerprint"), "line-fingerprints")
+    return places.join(joined, "fingerprint", "left_semi")
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -123,7 +125,8 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     candidates = joined_places(places).select("doc_id", "text_hash", "content", "first_line", "last_line")
     place = F.struct("doc_id", "text_hash", "first_line")
     first = candidates.groupBy("content").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = candidates.join(first.select("content", "first"), "content").where(place > F.col("first"))
+    first = keep(first.select("content", "first"), "line-runs")
+    later = candidates.join(first, "content").where(place > F.col("first"))
     return later.select("doc_id", "text_hash", "first_line", "last_line")
 
 

@@ -13,6 +13,7 @@ import pytest
 from revloom.llm import jaccard, line_dedup, suffixes
 from revloom.llm.components import components
 from revloom.llm.queries import ORACLE_SQL, QUERIES
+from revloom.llm.shared import keep, prepare, sorted_table
 
 from .samples import SF, awkward, collected, table
 
@@ -298,3 +299,40 @@ def test_first_of_each_class(spark):
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 400), (400, 500), (7, 7)], "a bigint, b bigint")
     assert dict(map(tuple, components(links).collect())) == {k: 0 for k in range(201)} | {400: 400, 500: 400}
+
+
+def test_alike_sets_beside_an_odd_smallest_one_make_few_pairs(spark, monkeypatch):
+    """A group whose members are all alike, but unlike its smallest: pairs grow with its members only."""
+    from pyspark.sql import functions as F
+
+    prepare(spark)
+    rnd = random.Random(12)
+    base = [f"w{k}" for k in range(104)]
+
+    def near():
+        words = list(base)
+        words[rnd.randrange(30, 104)] = f"x{rnd.randrange(10**6)}"
+        return " ".join(words)
+
+    # The odd one shares a run with all others, under the threshold.
+    texts = [" ".join([*base[:60], *(f"odd{k}" for k in range(44))])] + [near() for _ in range(150)]
+    docs = table(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)])
+    wanted = docs.select(F.lit(1).alias("number")).limit(0).withColumn("wanted", F.lit(1))
+    numbers = [r["number"] for r in jaccard._set_table(docs, 5, ("doc_id",)).collect()]
+    every = spark.createDataFrame([(n, 1) for n in set(numbers)], "number bigint, wanted int")
+    sets = jaccard._shingles_of(docs, sorted_table(every.union(wanted), "number", "test-wanted"), 5)
+    sketches = jaccard._sketches(sets, 80)
+    members = sets.select("number", F.lit(0).alias("label"), "n")
+    band = jaccard.band_of(100, 80)
+    groups = keep(members.select(F.lit(7).cast("bigint").alias("signature"), F.lit(band).alias("band"), F.lit(0).cast("bigint").alias("hub"), F.col("number").alias("member")), "test-groups")
+    alone = spark.createDataFrame([], "node bigint, label bigint")
+    pairs, opened = jaccard._unsettled(groups, alone, sketches, 80, 1, block=40)
+    count, size = pairs.count(), groups.count()
+    assert [r["signature"] for r in opened.collect()] == [7]
+    everything = jaccard._unsettled(groups, alone, sketches, 80, None, block=40)[0].count()
+    assert size - 3 <= count < 12 * size < everything
+    labels = components(jaccard._verified(pairs, sets, 80))
+    left = jaccard._unsettled(groups, labels, sketches, 80, None, block=40)[0].count()
+    assert left < everything / 10
+    found = jaccard.join(docs).groupBy("component_id").count().collect()
+    assert sorted(r["count"] for r in found) == [1, 150]
