@@ -444,6 +444,17 @@ def _report_sql() -> dict[str, str]:
             FROM (SELECT *, lag(label) OVER (ORDER BY stage_order) AS from_label,
                          lag(contact_count) OVER (ORDER BY stage_order) AS before FROM funnel_by_stage)
             WHERE before IS NOT NULL""",
+        "sketch_stage_counts": """SELECT CAST(date_trunc('quarter', cohort_month) AS DATE) AS period, lifecycle_stage,
+            count(DISTINCT contact_id) AS contact_count FROM fct_funnel GROUP BY ALL""",
+        "sketch_conversion": """SELECT period, source_count, target_count, both_count,
+            CAST(both_count AS DOUBLE) / nullif(source_count, 0) AS rate
+            FROM (SELECT period, count(*) FILTER (l) AS source_count, count(*) FILTER (m) AS target_count,
+                         count(*) FILTER (l AND m) AS both_count
+                  FROM (SELECT CAST(date_trunc('quarter', cohort_month) AS DATE) AS period, contact_id,
+                               bool_or(lifecycle_stage = 'lead') AS l, bool_or(lifecycle_stage = 'marketingqualifiedlead') AS m
+                        FROM fct_funnel GROUP BY ALL) WHERE l OR m GROUP BY period)""",
+        "sketch_handoff_median": f"""SELECT CAST(date_trunc('year', cohort_month) AS DATE) AS period, count(*) AS handoffs,
+            CAST(quantile_disc(days_to_convert, 0.5) AS BIGINT) AS days FROM {_HANDOFFS} GROUP BY ALL""",
         "report_median_handoff": f"SELECT CAST(median(days_to_convert) AS DOUBLE) AS median_days FROM {_HANDOFFS}",
         "report_health_list": """SELECT company_id, company_name, arr_usd, open_pipeline_usd, account_health_score,
             has_churn FROM fct_account_health ORDER BY account_health_score DESC""",

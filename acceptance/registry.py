@@ -5,18 +5,18 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acceptance.fixtures import FRESH_AS_OF, SYNCED_AT, Fixture, api_records, raw_rows
 from revloom.operators import contract, fixed_size_batches, quality
 from revloom.operators.chain import whole_chain
 from revloom.operators.upsert import incremental_upsert, upsert
-from revloom.plans import checks, clean, export, metrics, reports, staging
+from revloom.plans import checks, clean, export, metrics, reports, sketches, staging
 from revloom.plans.incremental import AccountHealth
 from revloom.plans.model import RevenueModel, Staged, build_marts
 from revloom.plans.views import register_views
-from revloom.session import has_scratch, name_scratch_root, prepare, scratch_path
+from revloom.session import has_scratch, name_scratch_root, prepare, scratch_path, stored_copy
 from revloom.sources import ingest, landing
 from revloom.sources.tables import RAW_ENTITY_SCHEMA, KeyedTable, append_rows, ensure_table
 from revloom.streaming import stream_pages, stream_upsert
@@ -184,7 +184,7 @@ def earlier_rows(fixture: Fixture, entity: str) -> DataFrame:
         return rows
     missing, other = (F.expr(text) for text in LATE[entity])
 
-    def linked(key: str, label: str) -> F.Column:
+    def linked(key: str, label: str) -> Column:
         neighbour = (F.col(f"associations.{key}.results")[0]["id"].cast("bigint") + 1).cast("string")
         link = F.struct(neighbour.alias("id"), F.lit(label).alias("type"))
         return F.struct(F.struct(F.array(link, F.col(f"associations.{key}.results")[0]).alias("results")).alias(key))
@@ -304,6 +304,36 @@ def _report_queries() -> dict[str, Query]:
     }
 
 
+def _sketch_queries() -> dict[str, Query]:
+    """Reports out of stored sketches; with as many entries as here they are exact."""
+    lg_entries, size = 20, 65535
+
+    def stored(fixture: Fixture, rows: DataFrame) -> DataFrame:
+        _scratch(fixture.spark, "sketches")
+        return stored_copy(rows, "sketches")
+
+    def month(unit: str) -> Column:
+        return F.trunc("cohort_month", unit)
+
+    def counts(fixture: Fixture) -> DataFrame:
+        kept = stored(fixture, sketches.stage_sketches(fixture.model().funnel, lg_entries))
+        return sketches.stage_counts(kept, month("quarter"), lg_entries)
+
+    def conversion(fixture: Fixture) -> DataFrame:
+        kept = stored(fixture, sketches.stage_sketches(fixture.model().funnel, lg_entries))
+        return sketches.conversion(kept, "lead", "marketingqualifiedlead", month("quarter"), lg_entries)
+
+    def median(fixture: Fixture) -> DataFrame:
+        kept = stored(fixture, sketches.handoff_sketches(fixture.model().funnel, size))
+        return sketches.handoff_quantile(kept, 0.5, month("year"), size)
+
+    return {
+        "sketch_stage_counts": _fixture(counts),
+        "sketch_conversion": _fixture(conversion),
+        "sketch_handoff_median": _fixture(median),
+    }
+
+
 # --- checks and contracts --------------------------------------------------------------
 
 
@@ -696,6 +726,7 @@ def all_queries() -> dict[str, Query]:
         **_mart_queries(),
         **_metric_queries(),
         **_report_queries(),
+        **_sketch_queries(),
         **_check_queries(),
         **_raw_queries(),
     }
