@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from revloom.llm.blocks import Block, blocks, shingle_hashes
 from revloom.llm.shared import prepare
@@ -137,7 +138,7 @@ def contamination(
     ``benchmark`` has item_id and text; words are runs without white space, A-Z in lower
     case.  An item of fewer than ``min_match`` words has to occur whole; one without words,
     null included, is never found.  ``n_items`` counts items covered to ``min_coverage`` or
-    more; ``best_item`` is the best covered (ties: first in item order), null without any
+    more; ``best_item`` is the best covered (ties: the smallest item_id, null first), null without any
     common seed.  Repeated rows and items are treated each on their own.  Empty tables
     give no rows or no contamination.
 
@@ -168,8 +169,11 @@ def contamination(
                         row = block.first + number
                         for item, covered in sorted(found):
                             counts[row] += covered >= min_coverage
-                            if covered > score[row]:
-                                best[row], score[row] = part.names[item], covered
+                            name = part.names[item]
+                            # Ties go by item_id, null first, in whatever part an item lies.
+                            tie = covered == score[row] > 0 and (name is not None, name) < (best[row] is not None, best[row])
+                            if covered > score[row] or tie:
+                                best[row], score[row] = name, covered
                 columns = [batch.column(name) for name in passed] + ([] if last else [batch.column("text")])
                 columns += [pa.array(counts, pa.int64()), pa.array(best, item_type), pa.array(score, pa.float64())]
                 kept = [*passed, *([] if last else ["text"]), "n items", "best item", "best coverage"]
@@ -178,7 +182,7 @@ def contamination(
         return run
 
     frame = docs.select(*passed, "text") if "text" not in passed else docs.select(*passed)
-    item_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    item_type = to_arrow_type(items.schema["item_id"].dataType)
     for part in range(parts):
         own = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         table = own.orderBy("item_id", "text").toArrow()  # one bounded part

@@ -275,6 +275,18 @@ def test_reordered_and_partial_passages(spark, monkeypatch):
     assert nothing.count() == len(awkward()) and not nothing.where("contaminated").count()
 
 
+@pytest.mark.parametrize("kind", ["bigint", "smallint", "decimal(9,0)", "string"])
+def test_ties_do_not_depend_on_the_parts(spark, monkeypatch, kind):
+    text = " ".join(f"b{k}" for k in range(12))
+    bench = spark.createDataFrame([(n, text) for n in range(10, 50)] + [(9, f"{text} more words")], "item_id bigint, text string")
+    bench = bench.select(bench["item_id"].cast(kind).alias("item_id"), "text")
+    docs = table(spark, [(1, text, None, None, 0), (2, "b1 b2", None, None, 0)])
+    for part in (decontam.PART_BYTES, 900):
+        monkeypatch.setattr(decontam, "PART_BYTES", part)
+        found = {r["doc_id"]: r for r in decontam.contamination(docs, bench).collect()}
+        assert str(found[1]["best_item"]) == "10" and found[1]["n_items"] == 41 and found[2]["n_items"] == 0
+
+
 def test_columns_pass_through(spark):
     docs = table(spark, clashes=True)
     bench = spark.createDataFrame([(1, "wan el io")], "item_id bigint, text string")
