@@ -374,12 +374,18 @@ def _bits(band: int, percent: int) -> int:
 
 
 def _unsettled(
-    groups: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, spanning: int | None = None, block: int = 1024
+    groups: DataFrame,
+    labels: DataFrame,
+    sketches: DataFrame,
+    percent: int,
+    spanning: int | None = None,
+    among: DataFrame | None = None,
+    block: int = 1024,
 ) -> tuple[DataFrame, DataFrame]:
     """Pairs of one group in different components that sizes and bitmaps leave possible, and the groups that have some.
 
     The smallest member of a group has met all others already.  Groups with the same
-    members are one.  A group of more than ``block`` members is dealt out as pairs of
+    members are one, named by their least signature; ``among`` (signature) are those to look at.  A group of more than ``block`` members is dealt out as pairs of
     blocks, so no task holds more than two blocks.
 
     With ``spanning`` (a salt for the order of members) pairs are taken to be links as they are
@@ -403,6 +409,8 @@ def _unsettled(
         .agg(F.min("signature").alias("signature"))
         .select("signature", "band", F.expr(f"cast(ceil(size / {block}) as int)").alias("blocks"))
     )
+    if among is not None:
+        open_groups = open_groups.join(among, "signature", "left_semi")
     rows = rows.join(open_groups, ["signature", "band"])
     own = F.expr("cast(pmod(xxhash64(member), blocks) as int)")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -517,11 +525,11 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, passed:
     labels = components(links)
     # Among the others of a group: first pairs that span it, which leaves few members apart even where all
     # are alike but unlike the smallest, then all that are left.
+    opened = None
     for spanning in (1, 2, None):
-        pairs, opened = _unsettled(groups, labels, sketches, percent, spanning)
+        pairs, opened = _unsettled(groups, labels, sketches, percent, spanning, opened)
         links = links.union(keep(_verified(pairs, sets, percent), "jaccard-links"))
         labels = components(links)
-        groups = keep(groups.join(opened, "signature", "left_semi"), "jaccard-open")
 
     named = members.join(labels.withColumnRenamed("node", "number"), "number", "left")
     return named.select(*passed, F.col("n").alias("n_shingles"), F.coalesce("label", "number").alias("class"))
