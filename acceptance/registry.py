@@ -551,8 +551,9 @@ def _ingest_page_chain(fixture: Fixture) -> DataFrame:
     """Pages with cursors that tell nothing of their order, the last one empty: the chain, and what was loaded."""
     spark, path = fixture.spark, _scratch(fixture.spark, "chain")
     batches = fixed_size_batches(_page(api_records("companies", fixture.entity("companies"))), "id", "record", 100)
+    last = batches.agg(F.max("batch_no") + 1).scalar()
     end = batches.agg((F.max("batch_no") + 1).alias("batch_no")).select("batch_no", F.array().cast("array<string>").alias("items"))
-    pages = batches.select("batch_no", "items").union(end).join(end.select(F.col("batch_no").alias("last")))
+    pages = batches.select("batch_no", "items").union(end).withColumn("last", last)
     cursor = lambda number: F.md5(F.concat(F.lit("page "), number.cast("string")))
     after = F.when(F.col("batch_no") > 0, cursor(F.col("batch_no")))
     following = F.when(F.col("batch_no") < F.col("last"), cursor(F.col("batch_no") + 1))
@@ -568,8 +569,8 @@ def _ingest_page_chain(fixture: Fixture) -> DataFrame:
         spark, "companies", f"{path}/pages", f"{path}/raw", F.lit(SYNCED_AT).cast("timestamp"), page_per_line=True
     )
     chain = whole_chain(landing.read_cursors(spark, f"{path}/pages", page_per_line=True))
-    stored = ingest.raw_table(spark, f"{path}/raw", "companies").read().agg(F.count(F.lit(1)).alias("stored"))
-    return chain.select("position", "records", F.lit(loaded).cast("bigint").alias("loaded")).join(F.broadcast(stored))
+    stored = ingest.raw_table(spark, f"{path}/raw", "companies").read().agg(F.count(F.lit(1))).scalar()
+    return chain.select("position", "records", F.lit(loaded).cast("bigint").alias("loaded"), stored.alias("stored"))
 
 
 def _stream_pages(fixture: Fixture) -> DataFrame:
