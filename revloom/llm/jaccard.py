@@ -13,7 +13,7 @@ next to others of that kind, so nothing is lost.
 
 Sets with equal content are one set from the start.  Sets with a signature in common are
 candidates.  Candidates are verified exactly, in steps that do not list the pairs of a group:
-each set against the smallest member of each of its groups; then, twice, pairs that would
+each set against the smallest member of each of its groups; then pairs that would
 span what is still apart in a group if they were links; then members of one group that
 are still in different components.  In all steps only pairs that a bitmap of their shingles
 cannot tell apart are emitted.
@@ -523,10 +523,10 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, passed:
     pairs = groups.groupBy(F.col("hub").alias("a"), F.col("member").alias("b")).agg(F.min("band").alias("band"))
     links = keep(_verified(_sifted(pairs, sketches, percent), sets, percent), "jaccard-links")
     labels = components(links)
-    # Among the others of a group: first pairs that span it, which leaves few members apart even where all
+    # Among the others of a group: first pairs that span it, which leave few members apart even where all
     # are alike but unlike the smallest, then all that are left.
     opened = None
-    for spanning in (1, 2, None):
+    for spanning in (1, None):
         pairs, opened = _unsettled(groups, labels, sketches, percent, spanning, opened)
         links = links.union(keep(_verified(pairs, sets, percent), "jaccard-links"))
         labels = components(links)
