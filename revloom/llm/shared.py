@@ -156,15 +156,19 @@ class StoredBlocks:
     def __getstate__(self):
         return self.__dict__ | {"_files": {}}
 
+    def load(self, number: int):
+        """One file as an Arrow table."""
+        table = self._files.get(number)
+        if table is None:
+            system, path = open_folder(self.paths[number])
+            table = pq.read_table(path, filesystem=system, partitioning=None)
+            if sum(t.nbytes for t in self._files.values()) + table.nbytes <= self.cached_bytes:
+                self._files[number] = table
+        return table
+
     def __iter__(self):
-        for number, uri in enumerate(self.paths):
-            table = self._files.get(number)
-            if table is None:
-                system, path = open_folder(uri)
-                table = pq.read_table(path, filesystem=system, partitioning=None)
-                if sum(t.nbytes for t in self._files.values()) + table.nbytes <= self.cached_bytes:
-                    self._files[number] = table
-            yield number, table
+        for number in range(len(self.paths)):
+            yield number, self.load(number)
 
 
 def stored_blocks(frame: DataFrame, name: str, rows: int) -> StoredBlocks:

@@ -5,11 +5,15 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from revloom.llm import decontam, pii, quality
+from revloom.llm.blocks import blocks, mixed
 from revloom.llm.queries import ORACLE_SQL, QUERIES
 
 from .samples import SF, awkward, collected, table
@@ -230,6 +234,38 @@ def test_tiles_equal_the_slow_algorithm():
             if left[i : i + size] == right[j : j + size]
         ]
         assert decontam.tiles(pairs, size) == slow_tiles(left, right, size)
+        hashes = [mixed(np.array([ord(w) for w in words], np.uint64)) for words in (left, right)]
+        assert decontam.tiles_by_hash(*hashes, size) == slow_tiles(left, right, size)
+
+
+@pytest.mark.parametrize("limit", [0, 1, decontam.PAIRS_PER_WORD])
+def test_crowded_texts_are_tiled_alike(spark, monkeypatch, limit):
+    rnd = random.Random(5)
+    monkeypatch.setattr(decontam, "PAIRS_PER_WORD", limit)
+    prose = lambda n: " ".join(rnd.choice("ab") for _ in range(n))
+    items = [prose(n) for n in (6, 12, 30, 30, 3)]
+    texts = [prose(n) for n in (40, 7, 60, 0, 25)]
+    data = pa.record_batch({"text": pa.array(texts)})
+    part = decontam._items(list(range(len(items))), items, 4)
+    found = [sorted(row) for block in blocks(data) for row in decontam._coverage(block, part)]
+    for text, row in zip(texts, found, strict=True):
+        want = []
+        for number, item in enumerate(items):
+            marked = slow_tiles(item.split(), text.split(), min(4, len(item.split())))
+            if marked:
+                want.append((number, sum(t[2] for t in marked) / len(item.split())))
+        assert row == want
+
+
+def test_one_word_repeated_takes_memory_in_proportion():
+    """100,000 equal words against 1,000: 100 million common places, none of them listed."""
+    part = decontam._items([1, 2], ["aa " * 1000, "aa " * 999 + "bb"], 5)
+    block = next(blocks(pa.record_batch({"text": pa.array(["aa " * 100_000])})))
+    tracemalloc.start()
+    found = decontam._coverage(block, part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [[(0, 1.0), (1, 0.999)]] and peak < 100 << 20
 
 
 def test_decontamination_query(spark):
