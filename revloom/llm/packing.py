@@ -1,7 +1,7 @@
 """Mixture-controlled packing of documents into training sequences.
 
-Documents wait in queues, one per named source and ``hashed`` further ones for all other
-sources.  Deficit round-robin serves the queues window by window: in every window a queue
+Documents wait in queues, one per source; only sources with less than a token per window,
+which could not show in most windows, wait together in one.  Deficit round-robin serves the queues window by window: in every window a queue
 earns its share of the window's tokens, gives out whole tokens, and carries the fraction it
 could not give (its deficit) into the next window.  With shares that stay the same from
 window to window, the tokens a queue has given out after window ``w`` are
@@ -22,12 +22,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from revloom.llm.blocks import blocks
-from revloom.llm.shared import keep, prepare, texts
+from revloom.llm.shared import join_rows, keep, prepare, texts
 from revloom.llm.tokens import TOKEN_BLOCK, TOKENIZER_FILE, tokenizer
 
-STRETCHES = 4096
+#: Tokens of all queues in a stretch of the order, about; and the least number of stretches, as a power of two.
+STRETCH_TOKENS = 1 << 22
+LEAST_BITS = 12
 
 
 def encoded(docs: DataFrame, path: str, end_id: int, *columns: str) -> DataFrame:
@@ -106,7 +109,6 @@ def pack(
     sequence: int = 4096,
     window_sequences: int = 16,
     weights: dict[str, float] | None = None,
-    hashed: int = 32,
     end_id: int = 2,
     path: str = TOKENIZER_FILE,
 ) -> DataFrame:
@@ -114,10 +116,12 @@ def pack(
 
     ``docs`` has doc_id, text and source.  A window spans ``window_sequences`` sequences at most: the tokens between
     two queues running dry are split evenly into windows.
-    ``weights`` names sources and their shares; the other sources are dealt to ``hashed``
-    queues by a hash of their name (null is a name) and share what weight is left by their
-    size.  Without weights every queue's share is its share of all tokens, so all queues
-    run dry together.  When a queue runs dry the others divide its share.
+    ``weights`` names sources and their shares; the other sources share what weight is left by
+    their size.  Without weights every source's share is its share of all tokens, so all
+    queues run dry together.  When a queue runs dry the others divide its share.  Null is a
+    source of its own.  Sources that are not named and have fewer tokens than the stream has
+    windows share one queue; so there are at most as many queues as a window has tokens, plus
+    the named ones and that one.
 
     Within a queue, documents come in the order of a hash of doc_id and text; repeated rows
     stay next to each other.  A null text is empty and still has its end id.  An empty table
@@ -130,29 +134,40 @@ def pack(
     prepare(spark)
     weights = weights or {}
     named = sorted(weights)
-    queue = F.lit(len(named)) + F.pmod(F.xxhash64(F.coalesce(F.col("source"), F.lit("\0"))), F.lit(hashed)).cast("int")
-    for number, name in enumerate(named):
-        queue = F.when(F.col("source").eqNullSafe(name), F.lit(number)).otherwise(queue)
-    order = F.xxhash64("doc_id", "text")
-    rows = texts(docs, "source").select("doc_id", F.col("source").cast("string").alias("source"), "text", queue.alias("queue"), order.alias("order"))
-    rows = rows.withColumn("stretch", F.pmod(F.xxhash64("order"), F.lit(STRETCHES)).cast("int"))
-    rows = keep(encoded(rows, path, end_id, "doc_id", "source", "queue", "order", "stretch"), "packing-ids")
-
-    # At most queues x STRETCHES rows: where each stretch of a queue begins.
-    sums = rows.groupBy("queue", "stretch").agg(F.sum("n_ids").alias("tokens"))
-    before = Window.partitionBy("queue").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sums.select("queue", "stretch", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("begin"))
-    queues = len(named) + hashed
-    totals = [0] * queues
-    for row in sums.groupBy("queue").agg(F.sum("tokens").alias("tokens")).collect():  # one row per queue
-        totals[row["queue"]] = row["tokens"]
-    rest = sum(totals[len(named) :]) or 1
-    left = max(0.0, 1.0 - sum(weights.values())) or 1e-9
+    window = sequence * window_sequences
+    rows = texts(docs, "source").select(
+        "doc_id", F.col("source").cast("string").alias("source"), "text", F.xxhash64("doc_id", "text").alias("order")
+    )
+    rows = keep(encoded(rows, path, end_id, "doc_id", "source", "order"), "packing-ids")
+
+    sources = rows.groupBy("source").agg(F.sum("n_ids").alias("tokens"))
+    all_tokens = sources.agg(F.sum("tokens")).first()[0] or 0
+    windows = -(-all_tokens // window)
+    # At most as many rows as a window has tokens, plus the named sources.
+    large = sources.where((F.col("tokens") >= windows) | F.col("source").isin(named)).collect()
+    sized = {row["source"]: row["tokens"] for row in large}
+    own = named + sorted((name for name in sized if name not in weights), key=lambda name: (name is not None, name))
+    totals = [sized.get(name, 0) for name in own]
+    totals.append(all_tokens - sum(totals))  # the shared queue
     if weights:
+        rest = sum(totals[len(named) :]) or 1
+        left = max(0.0, 1.0 - sum(weights.values())) or 1e-9
         shares = [weights[name] for name in named] + [left * total / rest for total in totals[len(named) :]]
     else:
         shares = [float(total) for total in totals]
-    mixture = Mixture(totals, shares, sequence * window_sequences)
+    mixture = Mixture(totals, shares, window)
+
+    # Stretches are ranges of the order, so their number shows in no result.
+    bits = max(LEAST_BITS, (all_tokens // STRETCH_TOKENS).bit_length())
+    numbers = spark.createDataFrame([(name, number) for number, name in enumerate(own)], "source string, number int")
+    queue = F.coalesce("number", F.lit(len(own))).alias("queue")
+    rows = join_rows(rows, F.broadcast(numbers), ["source"], "left").select(
+        "doc_id", "source", queue, F.shiftright("order", 64 - bits).alias("stretch"), "order", "ids", "n_ids"
+    )
+    # Where each stretch of a queue begins: a row that comes before its documents.
+    sums = rows.groupBy("queue", "stretch").agg(F.sum("n_ids").alias("tokens"))
+    before = Window.partitionBy("queue").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sums.select("queue", "stretch", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("begin"))
 
     kinds = dict(rows.dtypes)
     schema = (
@@ -162,12 +177,13 @@ def pack(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stored = tokenizer(path, end_id).dtype
-        here, at = None, 0
+        at = 0
         for batch in batches:
             out: list[list] = [[] for _ in range(10)]
             for row in batch.to_pylist():
-                if (row["queue"], row["stretch"]) != here:
-                    here, at = (row["queue"], row["stretch"]), row["begin"]
+                if row["begin"] is not None:
+                    at = row["begin"]
+                    continue
                 ids, count = row["ids"], row["n_ids"]
                 for offset, length, place, window in mixture.places(row["queue"], at, count):
                     done = 0
@@ -199,13 +215,14 @@ def pack(
 
     fields = pa.schema(
         [
-            ("doc_id", {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kinds["doc_id"]]),
+            ("doc_id", to_arrow_type(rows.schema["doc_id"].dataType)),
             ("source", pa.string()),
             *[(name, pa.int64()) for name in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window_id")],
             ("ids", pa.binary()),
         ]
     )
     # Named, not defaulted: a stretch must not be dealt to two tasks.
-    parts = max(1, min(STRETCHES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = rows.join(F.broadcast(begins), ["queue", "stretch"]).repartition(parts, "stretch").sortWithinPartitions("queue", "stretch", "order", "doc_id")
-    return dealt.select("doc_id", "source", "queue", "stretch", "begin", "ids", "n_ids").mapInArrow(cut, schema)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), all_tokens // (16 * STRETCH_TOKENS))
+    every = rows.withColumn("begin", F.lit(None).cast("bigint")).unionByName(begins, allowMissingColumns=True)
+    dealt = every.repartition(min(parts, 1 << bits), "stretch").sortWithinPartitions("queue", "stretch", F.col("begin").desc_nulls_last(), "order", "doc_id")
+    return dealt.select("doc_id", "source", "queue", "begin", "ids", "n_ids").mapInArrow(cut, schema)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,7 @@ from revloom.llm.shared import prepare
 from revloom.llm.tokens import TOKENIZER_FILE, WordTokenizer
 from revloom.session import scratch_path
 
-from .samples import SF, awkward, table
+from .samples import SF, awkward, collected, table
 
 TOKENIZER = Tokenizer.from_file(TOKENIZER_FILE)
 
@@ -116,6 +118,61 @@ def test_deficits_add_up():
     assert (taken == 1).all()
 
 
+@pytest.mark.parametrize("weights", [None, [0.5, 0.1, 0.4, 0.0]])
+def test_places_are_those_of_a_round_robin_that_carries_deficits(weights):
+    """Window by window every queue earns its share, gives whole tokens and keeps the fraction."""
+    totals = [400, 37, 0, 900] if weights is None else [400, 37, 900, 0]
+    mixture = packing.Mixture(totals, weights or [float(t) for t in totals], 64)
+    stream = []
+    for given, amounts, windows, _ in mixture.phases:
+        deficit, at = [Fraction(0)] * 4, given.tolist()
+        for _ in range(windows):
+            for queue, amount in enumerate(amounts.tolist()):
+                deficit[queue] += Fraction(amount, windows)
+                out = math.floor(deficit[queue])
+                deficit[queue] -= out
+                stream += [(queue, at[queue] + k) for k in range(out)]
+                at[queue] += out
+        assert not any(deficit)
+    placed = {}
+    for queue, total in enumerate(totals):
+        for at, length, place, _ in mixture.places(queue, 0, total):
+            placed |= {place + k: (queue, at + k) for k in range(length)}
+    assert [placed[k] for k in range(len(stream))] == stream and len(placed) == sum(totals)
+
+
+def test_every_source_has_its_share_of_every_window(spark):
+    """Forty sources, one of them with a third of all tokens, and many with next to nothing."""
+    rows = [(i, "wan el io um " * 40, "en", "hot" if i % 3 == 0 else f"s{i % 40}", 0) for i in range(1200)]
+    rows += [(2000 + i, "", "en", f"tiny{i}", 0) for i in range(30)] + [(3000, "wan " * 900, "en", None, 0)]
+    found = packing.pack(table(spark, rows), sequence=512, window_sequences=8).collect()
+    share, whole = defaultdict(lambda: defaultdict(int)), defaultdict(int)
+    for r in found:
+        share[r["window_id"]][r["source"]] += r["length"]
+        whole[r["source"]] += r["length"]
+    assert len(share) > 20 and all(whole[f"tiny{i}"] == 1 for i in range(30))
+    for source in {r[3] for r in rows if not str(r[3]).startswith("tiny")}:
+        for own in share.values():
+            assert abs(own[source] - whole[source] / len(share)) <= 1, source
+
+
+@pytest.mark.parametrize("bits", [1, 4])
+def test_the_number_of_stretches_shows_in_no_result(spark, monkeypatch, bits):
+    plan = lambda: collected(packing.pack(table(spark), sequence=256, window_sequences=2).drop("doc_id", "source"))
+    want = plan()
+    monkeypatch.setattr(packing, "LEAST_BITS", bits)
+    assert plan() == want
+
+
+@pytest.mark.parametrize("kind", ["smallint", "decimal(9,0)", "string"])
+def test_packing_takes_any_type_of_id(spark, kind):
+    rows = [(1, "wan el", "en", "a", 0), (None, "io um", "en", None, 0), (3, None, "en", "a", 0)]
+    docs = table(spark, rows)
+    found = packing.pack(docs.withColumn("doc_id", docs["doc_id"].cast(kind)))
+    assert dict(found.dtypes)["doc_id"] == kind
+    assert sorted(str(r["doc_id"]) for r in found.collect()) == ["1", "3", "None"]
+
+
 def test_stream_files_query(spark):
     docs = sorted((d["doc_id"], plain(d["text"], 1)) for d in spark.read.parquet(f"{SF}/documents.parquet").collect())
     found = sorted(QUERIES["op6_stream_files"](spark, SF).collect())
