@@ -22,25 +22,35 @@ ORDER = 4
 BLOCK = 1 << 21
 #: Training bytes of all languages together, in expectation.
 SAMPLE_BYTES = 16 << 20
+#: Characters of a segment, the unit of the sample.
+SEGMENT = 1 << 14
 
 
 def train(labelled: DataFrame, order: int = ORDER, sample_bytes: int = SAMPLE_BYTES) -> dict[str, Tree]:
     """A tree per language from a bounded sample of ``labelled`` (doc_id, text, lang).
 
     Every language gets an equal part of ``sample_bytes``; if it has more text than that,
-    whole documents are drawn by a hash of their row at the rate that fits.  The trees
-    therefore have at most as many grams as the sample has bytes, whatever the corpus.
+    segments of ``SEGMENT`` characters are drawn by a hash of their row and place at the rate
+    that fits, and the segment with the least draw whatever the rate.  Every language
+    with text therefore has a tree, and the trees have at most as many grams as the sample has
+    bytes, whatever the corpus and however long its texts.
     Rows without a language or text are left out.
     """
     prepare(labelled.sparkSession)
     rows = labelled.select("doc_id", "lang", "text").where("lang is not null and length(text) > 0")
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    # One number per segment; the texts themselves are cut only where one is drawn.
+    draw = lambda n: F.pmod(F.xxhash64("row", n), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
+    rows = rows.withColumn("segments", F.expr(f"sequence(0, cast((length(text) - 1) div {SEGMENT} as int))"))
+    least = F.array_min(F.transform("segments", draw))
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.min(least).alias("least"))
     languages = sizes.select(F.count("*").alias("n")).first()["n"]
     part = sample_bytes // max(1, languages)
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rates = sizes.select("lang", (F.lit(float(part)) / F.col("bytes")).alias("rate"))
-    drawn = rows.withColumn("draw", draw).join(F.broadcast(rates) if languages <= 10_000 else rates, "lang")
-    drawn = drawn.where("draw < rate").select("lang", "text")
+    rates = sizes.select("lang", F.greatest(F.lit(float(part)) / F.col("bytes"), "least").alias("rate"))
+    drawn = rows.join(F.broadcast(rates) if languages <= 10_000 else rates, "lang")
+    chosen = F.filter("segments", lambda n: draw(n) <= F.col("rate"))
+    cut = F.transform(chosen, lambda n: F.substring("text", n * SEGMENT + 1, F.lit(SEGMENT)))
+    drawn = drawn.select("lang", F.explode(cut).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, Counter] = {}

@@ -33,8 +33,10 @@ class Slow:
                 for k in range(order + 1):
                     self.seen.setdefault(tuple(data[at - k : at]), Counter())[data[at]] += 1
 
+    fold = staticmethod(lower)
+
     def symbols(self, text):
-        return [0] * self.order + [max(b, 1) for b in lower(text).encode()] + [0]
+        return [0] * self.order + [max(b, 1) for b in self.fold(text).encode()] + [0]
 
     def log10(self, text):
         data, total = self.symbols(text), 0.0
@@ -55,6 +57,12 @@ class Slow:
         return total
 
 
+class SlowAsWritten(Slow):
+    """Languages tell capitals apart."""
+
+    fold = staticmethod(lambda text: text or "")
+
+
 def test_tree_gives_a_distribution_after_any_context():
     batch = pa.record_batch({"text": ["abracadabra", "", "hello abra", "abracadabra" * 3]})
     tree = ppm.Tree(*ppm.counted(ppm.grams(next(blocks(batch)), 3)[0]), 3)
@@ -131,3 +139,33 @@ def test_the_sample_is_bounded(spark):
     trees = langid.train(table(spark, rows), sample_bytes=40_000)
     size = sum(counts.sum() for tree in trees.values() for _, counts in tree.grams[-1:])
     assert sorted(trees) == ["en", "fr"] and 10_000 < size < 80_000
+
+
+@pytest.mark.parametrize("order", [0, 2, 4])
+def test_languages_equal_the_slow_model(spark, order):
+    rows = [r for r in awkward() if r[1] is None or len(r[1]) < 3000]
+    trees = langid.train(table(spark, [r for r in rows if r[0] % 3]), order)
+    slow = {lang: SlowAsWritten([t for i, t, own, *_ in rows if i % 3 and t and own == lang], order) for lang in ("en", "fr")}
+    want = []
+    for i, t, *_ in rows:
+        sums = [slow[lang].log10(t) for lang in ("en", "fr")]
+        odds = [10 ** ((s - max(sums)) / (order + 1)) for s in sums]
+        known = any(map(str.isalpha, t or ""))
+        rate = round(-max(sums) * math.log2(10) / (len((t or "").encode()) + 1), 6)
+        want.append((i, ("en", "fr")[sums.index(max(sums))] if known else "und", round(1 / sum(odds), 6) if known else 0.0, rate))
+    found = langid.identify(table(spark, rows, clashes=True), trees, order).collect()
+    assert sorted((r["doc_id"], r["lang_pred"], round(r["score"], 6), round(r["bits_per_byte"], 6)) for r in found) == sorted(want)
+
+
+def test_every_language_has_a_tree_however_long_its_texts(spark, monkeypatch):
+    """A few very long documents of one language, many short ones of another, a small sample."""
+    monkeypatch.setattr(langid, "SEGMENT", 1000)
+    rows = [(1, "wan el io um " * 20_000, "long", "a", 0), (2, "uno due tre quattro " * 20_000, "other", "a", 0)]
+    rows += [(i, f"and so on {i}", "short", "a", 0) for i in range(3, 300)]
+    for sample in (3, 30_000):
+        trees = langid.train(table(spark, rows), sample_bytes=sample)
+        assert sorted(trees) == ["long", "other", "short"]
+        # At most one segment more than a language's part.
+        assert all(tree.grams[-1][1].sum() < 3 * (sample / 3 + 2000) for tree in trees.values())
+    found = langid.identify(table(spark, rows[:2] + [(9, "uno due", None, None, 0)]), trees).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == {1: "long", 2: "other", 9: "other"}
