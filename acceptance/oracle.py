@@ -566,7 +566,10 @@ def _check_sql() -> dict[str, str]:
                   FROM stg_{entity})"""
         for entity in ("companies", "contacts", "deals", "line_items", "products", "lifecycle", "subscriptions")
     ]
+    marts = ("dim_accounts", "dim_contacts", "fct_deals", "fct_pipeline", "fct_revenue", "fct_funnel", "fct_account_health")
+    stored = [q for q in unique + not_null if any(f":{mart}." in q for mart in marts)]
     return {
+        "dq_on_write": " UNION ALL ".join([*stored, in_range, reconciled]),
         "dq_unique": " UNION ALL ".join(unique),
         "dq_not_null": " UNION ALL ".join(not_null),
         "dq_keys": " UNION ALL ".join(unique + not_null),
@@ -661,6 +664,19 @@ def _contract_sql() -> dict[str, str]:
     return {
         "contract_observed": _observed_sql(),
         "contract_diff": _diff_sql(),
+        "contract_schema": """SELECT 'deals' AS object_type, name, change, was_type, was_field_type, now_type, now_field_type
+            FROM (SELECT count(*) = count(amount_usd) AS whole,
+                         count_if(CAST(deal_id AS BIGINT) % 4 = 0) > 0 AS gaps FROM stg_deals),
+                 LATERAL (VALUES
+                ('amount_usd', 'removed', 'decimal(18,2)', CASE WHEN whole THEN 'required' ELSE 'optional' END, NULL, NULL),
+                ('associations.companies.results[].id', 'changed', 'string', 'required', 'bigint', 'required'),
+                ('associations.companies.results[].type', 'changed', 'string', 'required', 'string',
+                 CASE WHEN gaps THEN 'optional' ELSE 'required' END),
+                ('associations.companies.results[].labeled', 'added', NULL, NULL, 'boolean',
+                 CASE WHEN gaps THEN 'optional' ELSE 'required' END),
+                ('associations.companies.paging', 'added', NULL, NULL, 'struct', 'unseen'),
+                ('associations.companies.paging.after', 'added', NULL, NULL, 'string', 'unseen'))
+                AS changes(name, change, was_type, was_field_type, now_type, now_field_type)""",
         "contract_normalize": f"""SELECT l.* FROM ({_live_sql()}) l
             SEMI JOIN ({_observed_sql()}) b ON l.object_type = b.object_type AND l.name = b.name""",
         "contract_snapshot": _observed_sql(),
@@ -752,6 +768,10 @@ def _raw_sql() -> dict[str, str]:
             FROM (SELECT count(*) AS n FROM stg_companies)""",
         "stream_pages": """SELECT * REPLACE (CASE WHEN CAST(company_id AS BIGINT) % 2 = 1 AND CAST(company_id AS BIGINT) % 7 <> 0
             THEN name || ' (new)' ELSE name END AS name) FROM stg_companies""",
+        "revenue_of_quarter": f"""SELECT metric_month, count(DISTINCT company_id) AS companies, count(*) AS subscriptions,
+            CAST(sum(mrr_usd) AS DECIMAL(38,2)) AS mrr_usd, CAST(sum(churned_mrr_usd) AS DECIMAL(38,2)) AS churned_mrr_usd,
+            CAST(sum({_LIVE_ARR}) AS DECIMAL(38,2)) AS active_arr_usd FROM fct_revenue
+            WHERE year(metric_month) = 1998 AND quarter(metric_month) = 2 GROUP BY metric_month""",
         "table_evolution": """SELECT deal_id,
             CASE WHEN created_at_hubspot >= TIMESTAMP '1995-01-01' THEN c.company_id END AS company_id,
             amount_usd, created_at_hubspot, d._loaded_at
@@ -780,7 +800,8 @@ def all_sql() -> dict[str, str]:
         if name not in ("touches", "people", "health_scored", "funnel_by_stage", "payloads")
     ]
     finals = {name: f"SELECT * FROM {name}" for name in plain}
-    finals["raw_to_account_health"] = finals["stored_account_health"] = "SELECT * FROM fct_account_health"
+    for name in ("raw_to_account_health", "stored_account_health", "copartitioned_account_health"):
+        finals[name] = "SELECT * FROM fct_account_health"
     for group in (_metric_sql(), _report_sql(), _check_sql(), _contract_sql(), _raw_sql()):
         finals.update(group)
     return {name: _query(final) for name, final in finals.items()}

@@ -13,6 +13,7 @@ from revloom.operators import contract, fixed_size_batches, quality
 from revloom.operators.chain import whole_chain
 from revloom.operators.upsert import incremental_upsert, upsert
 from revloom.plans import checks, clean, export, metrics, reports, sketches, staging
+from revloom.plans.copartitioned import AccountRollups, store_rollups
 from revloom.plans.incremental import AccountHealth
 from revloom.plans.model import RevenueModel, Staged, build_marts
 from revloom.plans.views import register_views
@@ -240,6 +241,11 @@ def _mart_queries() -> dict[str, Query]:
         build_marts(fixture.spark, fixture.staged(), fixture.as_of, path, database=_database(path))
         return fixture.spark.table(f"{_database(path)}.fct_account_health")
 
+    def quarter(fixture: Fixture) -> DataFrame:
+        return _rollups(fixture).revenue_of(F.expr("year = 1998 and quarter = 2"))
+
+    found["copartitioned_account_health"] = _fixture(lambda f: _rollups(f).health(f.as_of))
+    found["revenue_of_quarter"] = _fixture(quarter)
     found["incremental_account_health"] = _fixture(_incremental_health)
     found["raw_to_account_health"] = _fixture(from_raw)
     found["stored_account_health"] = _fixture(stored)
@@ -349,6 +355,22 @@ def _marts(fixture: Fixture) -> dict[str, DataFrame]:
     return _built[key]
 
 
+def _rollups(fixture: Fixture) -> AccountRollups:
+    """The stored marts rolled up into bucketed tables of a database of their own."""
+    spark, path = fixture.spark, _scratch(fixture.spark, "rollups")
+    spark.sql(f"CREATE DATABASE {_database(path)} LOCATION '{path}'")
+    store_rollups(spark, _marts(fixture), _database(path), buckets=8)
+    return AccountRollups(spark, _database(path))
+
+
+def _tested_while_written(fixture: Fixture) -> DataFrame:
+    path, seen = _scratch(fixture.spark, "marts"), quality.WriteChecks()
+    marts = build_marts(
+        fixture.spark, fixture.staged(), fixture.as_of, path, database=_database(path), seen=seen
+    )
+    return checks.mart_tests(seen, marts)
+
+
 def _tables(fixture: Fixture) -> Callable[[str], DataFrame]:
     """Any table of the model by the name the checks use; marts are the stored ones."""
     model, marts = fixture.model(), _marts(fixture)
@@ -405,6 +427,20 @@ def _changes(fixture: Fixture) -> DataFrame:
     return contract.diff(_observed(fixture), _observed_after_change(fixture))
 
 
+def _nested_changes(fixture: Fixture) -> DataFrame:
+    """Typed deals against a delivery that changed inside their associations."""
+    deals = fixture.entity("deals")
+    later = deals.drop("amount_usd").withColumn(
+        "associations",
+        F.expr(
+            "named_struct('companies', named_struct('results', transform(associations.companies.results, r -> "
+            "named_struct('id', cast(r.id as bigint), 'type', if(cast(deal_id as bigint) % 4 = 0, null, r.type), "
+            "'labeled', if(cast(deal_id as bigint) % 4 = 0, null, r.type = 'deal_to_company'))), 'paging', cast(null as struct<after:string>)))"
+        ),
+    )
+    return contract.diff(contract.contract_from_rows(deals, "deals"), contract.contract_from_rows(later, "deals"))
+
+
 def _normalized(fixture: Fixture) -> DataFrame:
     """A property catalog with more properties and fields than the contract tracks."""
     catalog = _observed_after_change(fixture).select(
@@ -444,6 +480,8 @@ def _check_queries() -> dict[str, Query]:
         "dq_freshness": _fixture(
             lambda f: checks.freshness_tests(f.raw, F.lit(FRESH_AS_OF).cast("timestamp"))
         ),
+        "dq_on_write": _fixture(_tested_while_written),
+        "contract_schema": _fixture(_nested_changes),
         "contract_observed": _fixture(_observed),
         "contract_diff": _fixture(_changes),
         "contract_status": _fixture(lambda f: contract.status(_changes(f))),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CONTRACT_SCHEMA = "object_type string, name string, type string, field_type string"
 
@@ -34,15 +35,86 @@ def contract_from_catalog(catalog: DataFrame, tracked: DataFrame) -> DataFrame:
     return kept.select("object_type", "name", "type", F.col("fieldType").alias("field_type"))
 
 
+# Tells of a condition on the values at a path whether any value of a row meets it.
+_Any = Callable[[Callable[[Column], Column]], Column]
+
+
+def _paths(
+    data_type: T.DataType, path: str, nullable: bool, any_value: _Any
+) -> Iterator[tuple[str, str, bool, _Any]]:
+    """``(path, type, nullable, any_value)`` of a type and all it holds.
+
+    Fields follow a dot, array elements are ``[]``, keys and values of a map ``{key}`` and
+    ``{value}``.  A container is named by its kind alone, so a change inside it shows at
+    its own path and nowhere above.
+    """
+    kind = data_type.typeName() if isinstance(data_type, T.StructType | T.ArrayType | T.MapType) else None
+    yield path, kind or data_type.simpleString(), nullable, any_value
+    if isinstance(data_type, T.StructType):
+        for field in data_type.fields:
+            name = field.name if field.name.isidentifier() else f"`{field.name.replace('`', '``')}`"
+            yield from _paths(field.dataType, f"{path}.{name}", field.nullable, _in_field(any_value, field.name))
+    elif isinstance(data_type, T.ArrayType):
+        yield from _paths(data_type.elementType, f"{path}[]", data_type.containsNull, _in_items(any_value, lambda v: v))
+    elif isinstance(data_type, T.MapType):
+        yield from _paths(data_type.keyType, f"{path}{{key}}", False, _in_items(any_value, F.map_keys))
+        yield from _paths(
+            data_type.valueType, f"{path}{{value}}", data_type.valueContainsNull, _in_items(any_value, F.map_values)
+        )
+
+
+def _in_field(outer: _Any, name: str) -> _Any:
+    return lambda meets: outer(lambda value: value.isNotNull() & meets(value.getField(name)))
+
+
+def _in_items(outer: _Any, items: Callable[[Column], Column]) -> _Any:
+    return lambda meets: outer(lambda value: F.coalesce(F.exists(items(value), lambda item: meets(item)), F.lit(False)))
+
+
+def _columns(df: DataFrame) -> Iterator[tuple[str, str, bool, _Any]]:
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name.replace('`', '``')}`")
+        yield from _paths(field.dataType, field.name, field.nullable, lambda meets, c=column: meets(c))
+
+
 def contract_from_schema(df: DataFrame, object_type: str) -> DataFrame:
-    """One row per column of any DataFrame; nullability plays the part of the field type."""
+    """One row per column of any DataFrame and per path inside nested columns.
+
+    Nullability plays the part of the field type.
+    """
     rows = [
-        (object_type, f.name, f.dataType.simpleString(), "nullable" if f.nullable else "required")
-        for f in df.schema.fields
+        (object_type, path, kind, "nullable" if nullable else "required") for path, kind, nullable, _ in _columns(df)
     ]
     return df.sparkSession.createDataFrame(rows, CONTRACT_SCHEMA)
 
 
+def contract_from_rows(df: DataFrame, object_type: str) -> DataFrame:
+    """The paths of :func:`contract_from_schema` with what all rows show of them, in one aggregate.
+
+    The field type is ``required`` if every value a path could have is there, ``optional`` if some
+    are NULL, and ``unseen`` if there is none: a field of a struct that is always NULL, the
+    elements of arrays that are all empty, any path of an empty table.
+    """
+    paths = list(_columns(df))
+    aggregates = []
+    for i, (_, _, _, any_value) in enumerate(paths):
+        aggregates.append(F.bool_or(any_value(lambda value: value.isNotNull())).alias(f"seen{i}"))
+        aggregates.append(F.bool_or(any_value(lambda value: value.isNull())).alias(f"gaps{i}"))
+    rows = [
+        F.struct(
+            F.lit(object_type).alias("object_type"),
+            F.lit(path).alias("name"),
+            F.lit(kind).alias("type"),
+            F.when(~F.coalesce(f"seen{i}", F.lit(False)), "unseen")
+            .when(F.col(f"gaps{i}"), "optional")
+            .otherwise("required")
+            .alias("field_type"),
+        )
+        for i, (path, kind, _, _) in enumerate(paths)
+    ]
+    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+
+
 def _kind(value: Column) -> Column:
     """The kind of a JSON value: string, number, boolean, object, array; NULL for a JSON null."""
     # The bare type name: without the parameters of DECIMAL(..), ARRAY<..>, OBJECT<..>.

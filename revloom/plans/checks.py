@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -77,7 +77,7 @@ def unique_tests(tables: Tables) -> DataFrame:
 
 
 def key_tests(tables: Tables) -> DataFrame:
-    """Both of the above, with one aggregate per table in place of two."""
+    """Both of the above."""
     return quality.all_of([quality.keys(tables(name), name, columns, key) for name, columns, key in KEY_TESTS])
 
 
@@ -90,11 +90,13 @@ def relationship_tests(tables: Tables) -> DataFrame:
     )
 
 
-def health_out_of_range(health: DataFrame) -> DataFrame:
+def _score_out_of_range() -> Column:
     score = F.col("account_health_score")
-    return health.where(score.isNull() | (score < 0) | (score > 100)).select(
-        "company_id", "account_health_score"
-    )
+    return score.isNull() | (score < 0) | (score > 100)
+
+
+def health_out_of_range(health: DataFrame) -> DataFrame:
+    return health.where(_score_out_of_range()).select("company_id", "account_health_score")
 
 
 def revenue_of_unwon_deals(revenue: DataFrame, deals: DataFrame) -> DataFrame:
@@ -106,17 +108,47 @@ def revenue_of_unwon_deals(revenue: DataFrame, deals: DataFrame) -> DataFrame:
     )
 
 
+def _active_mrr() -> Column:
+    return F.when(F.col("is_churned"), F.lit(Decimal("0.00"))).otherwise(F.col("mrr_usd"))
+
+
+def _mrr_gap() -> Column:
+    return F.col("mrr_usd") - (_active_mrr() + F.col("churned_mrr_usd"))
+
+
+def _wide_gap(tolerance: str) -> Column:
+    return F.abs(_mrr_gap()) > F.lit(tolerance).cast("decimal(18,2)")
+
+
 def mrr_gaps(revenue: DataFrame, tolerance: str = "0.01") -> DataFrame:
     """Rows where active and churned MRR do not add up to MRR."""
-    active = F.when(F.col("is_churned"), F.lit(Decimal("0.00"))).otherwise(F.col("mrr_usd"))
     return (
-        revenue.withColumn("active_mrr", active)
-        .withColumn("gap", F.col("mrr_usd") - (F.col("active_mrr") + F.col("churned_mrr_usd")))
-        .where(F.abs("gap") > F.lit(tolerance).cast("decimal(18,2)"))
+        revenue.withColumn("active_mrr", _active_mrr())
+        .withColumn("gap", _mrr_gap())
+        .where(_wide_gap(tolerance))
         .select("subscription_id", "mrr_usd", "is_churned", "churned_mrr_usd", "active_mrr", "gap")
     )
 
 
+def watched(seen: quality.WriteChecks, mart: str, df: DataFrame) -> DataFrame:
+    """A mart about to be written, with its tests of single rows counted on the way."""
+    columns = next((columns for name, columns, _ in KEY_TESTS if name == mart), ())
+    rules = {
+        "fct_account_health": {"account_health_score_in_range": _score_out_of_range()},
+        "fct_revenue": {"mrr_reconciliation": _wide_gap("0.01")},
+    }
+    return seen.watch(df, mart, columns, rules.get(mart))
+
+
+def mart_tests(seen: quality.WriteChecks, stored: Mapping[str, DataFrame]) -> DataFrame:
+    """The tests of stored marts: those of single rows from their write, uniqueness from the key column."""
+    found = [
+        quality.unique(stored[name], name, column) for name, _, column in KEY_TESTS if column and name in stored
+    ]
+    spark = next(iter(stored.values())).sparkSession
+    return quality.all_of([seen.report(spark, stored.__getitem__), *found])
+
+
 def invariant_tests(tables: Tables) -> DataFrame:
     return quality.run_suite(
         {

@@ -11,7 +11,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.plans import clean, marts, staging
+from revloom.operators import quality
+from revloom.plans import checks, clean, marts, staging
 from revloom.sources.tables import publish, published, write_clustered
 
 
@@ -213,6 +214,7 @@ def build_marts(
     parallel: int = 4,
     hot_companies: Sequence[str] = (),
     database: str = "revloom",
+    seen: quality.WriteChecks | None = None,
 ) -> dict[str, DataFrame]:
     """Write every mart below ``path`` (full refresh) and return the stored tables.
 
@@ -224,6 +226,7 @@ def build_marts(
     marts come out of these.  RAW companies and deals are parsed once, RAW contacts once for
     their columns and once for their links, which accounts count whether or not cleaning
     keeps the contact.  Marts that do not depend on each other are written side by side.
+    ``seen`` counts the data tests of single rows on the way (:func:`checks.mart_tests`).
     """
     folder = f"{path.rstrip('/')}/builds/{uuid.uuid4().hex}"
     model = RevenueModel(staged, as_of, hot_companies)
@@ -231,6 +234,8 @@ def build_marts(
 
     def store(name: str, df: DataFrame) -> None:
         target = f"{folder}/{name}"
+        if seen is not None and name in MARTS:
+            df = checks.watched(seen, name, df)
         if name in CLUSTERING:
             # Range bounds come from a sample, which would compute the mart a second time.
             df.write.parquet(f"{folder}/unordered/{name}")

@@ -138,6 +138,24 @@ def write_clustered(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(
+    df: DataFrame, name: str, by: Sequence[str], buckets: int, partition_by: Sequence[str] = ()
+) -> None:
+    """A new catalog table with ``buckets`` hash buckets of ``by``, sorted, one file each per partition.
+
+    Tables with the same buckets are joined and grouped on ``by`` without an exchange.  A bucket is
+    read by one task, so ``by`` should be close to a key of ``df``.
+    """
+    writer = (
+        df.repartition(buckets, *by)
+        .sortWithinPartitions(*partition_by, *by)
+        .write.format("parquet")
+        .bucketBy(buckets, *by)
+        .sortBy(*by)
+    )
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+
+
 def ensure_table(spark: SparkSession, name: str, schema: str | T.StructType, path: str | None = None) -> None:
     """Create the catalog table if it is missing (at ``path``, if given), else add the columns it lacks."""
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

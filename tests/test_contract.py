@@ -107,6 +107,41 @@ def test_contract_of_any_schema(spark):
     assert found == {("t", "id", "string", "required"), ("t", "amount", "decimal(18,2)", "nullable")}
 
 
+NESTED = "id int, who struct<name:string, tags:array<string>>, `odd name` map<string,struct<n:int>>, calls array<struct<at:date, by:array<int>>>"
+
+
+def test_contract_walks_into_nested_columns(spark):
+    df = spark.createDataFrame([], NESTED)
+    found = [tuple(r)[1:3] for r in contract.contract_from_schema(df, "t").collect()]
+    assert found == [
+        ("id", "int"), ("who", "struct"), ("who.name", "string"), ("who.tags", "array"), ("who.tags[]", "string"),
+        ("odd name", "map"), ("odd name{key}", "string"), ("odd name{value}", "struct"), ("odd name{value}.n", "int"),
+        ("calls", "array"), ("calls[]", "struct"), ("calls[].at", "date"), ("calls[].by", "array"), ("calls[].by[]", "int"),
+    ]
+    assert {r.field_type for r in contract.contract_from_rows(df, "t").collect()} == {"unseen"}
+
+
+def test_contract_from_rows_tells_what_is_missing_inside(spark):
+    rows = [
+        (1, ("a", ["x", None]), {"k": (1,)}, [(None, [1]), (None, [])]),
+        (2, None, {}, []),
+        (3, ("b", []), None, [(None, [2, None])]),
+    ]
+    found = {r.name: r.field_type for r in contract.contract_from_rows(spark.createDataFrame(rows, NESTED), "t").collect()}
+    assert found == {
+        "id": "required", "who": "optional", "who.name": "required", "who.tags": "required", "who.tags[]": "optional",
+        "odd name": "optional", "odd name{key}": "required", "odd name{value}": "required", "odd name{value}.n": "required",
+        "calls": "required", "calls[]": "required", "calls[].at": "unseen", "calls[].by": "required", "calls[].by[]": "optional",
+    }
+
+
+def test_drift_inside_an_array_is_one_change(spark):
+    was = spark.createDataFrame([], "id int, calls array<struct<at:date, by:int>>")
+    now = spark.createDataFrame([], "id int, calls array<struct<at:date, by:string>>")
+    changes = contract.diff(contract.contract_from_schema(was, "t"), contract.contract_from_schema(now, "t")).collect()
+    assert [(r.name, r.change, r.was_type, r.now_type) for r in changes] == [("calls[].by", "changed", "int", "string")]
+
+
 def test_contract_observed_in_blobs(spark):
     texts = ['{"a":"x","b":1,"c":null}', '{"a":"y","b":"2"}', '{"a":"z","b":2.5,"d":{"e":[1]}}', None]
     raw = spark.createDataFrame([(t,) for t in texts], "properties string").select(
