@@ -33,13 +33,24 @@ def unique(df: DataFrame, table: str, column: str) -> DataFrame:
 
 
 def keys(df: DataFrame, table: str, columns: Sequence[str], key: str | None = None) -> DataFrame:
-    """:func:`not_null` of ``columns`` and :func:`unique` of ``key``.
+    """:func:`not_null` of ``columns`` and :func:`unique` of ``key`` from one pass.
 
-    NULLs are counted without the key, and the key is grouped alone: only its own column
-    is shuffled.
+    Rows are counted per key, NULLs with them; the totals follow from one row per key.
     """
-    nulls = not_null(df, table, columns)
-    return nulls if key is None else all_of([nulls, unique(df, table, key)])
+    if key is None:
+        return not_null(df, table, columns)
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in columns if c != key]
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+    # The key's own NULLs are the one group without a key: nothing has to be carried for them.
+    keyless = F.sum(F.when(F.col("_key").isNull(), F.col("_n")))
+    totals = per_key.agg(
+        *[
+            F.coalesce(keyless if c == key else F.sum(f"_{c}"), F.lit(0)).alias(f"not_null:{table}.{c}")
+            for c in columns
+        ],
+        F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias(f"unique:{table}.{key}"),
+    )
+    return _report(totals.unpivot([], [f"`{c}`" for c in totals.columns], "test", "failures"))
 
 
 class WriteChecks:
