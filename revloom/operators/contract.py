@@ -115,14 +115,57 @@ def contract_from_rows(df: DataFrame, object_type: str) -> DataFrame:
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
-def _kind(value: Column) -> Column:
-    """The kind of a JSON value: string, number, boolean, object, array; NULL for a JSON null."""
-    # The bare type name: without the parameters of DECIMAL(..), ARRAY<..>, OBJECT<..>.
-    bare = F.substring_index(F.substring_index(F.schema_of_variant(value), "(", 1), "<", 1)
+#: Of a schema text, its names (quoted where they are not plain), kinds, brackets and separators.
+_TOKENS = r"(?:`[^`]*`)+|[<>:,]|\([^)]*\)|[^`<>:,() ]+(?: [^`<>:,() ]+)*"
+
+
+def _shape(blob: str) -> Column:
+    """The schema of a blob as text, so that blobs of the same names and kinds have one text.
+
+    A decimal counts whatever its precision; with a quoted name the text is left as it is,
+    for the name might read like a type.
+    """
+    schema = F.schema_of_variant(blob)
+    plain = schema.contains("(") & ~schema.contains("`")
+    return F.when(plain, F.regexp_replace(schema, r"\([0-9]+,[0-9]+\)", "")).otherwise(schema)
+
+
+def _properties(shape: Column) -> Column:
+    """``array<struct<name, kind>>`` of the properties an object's shape holds at its top.
+
+    The kind is that of a JSON value: string, number, boolean, object, array; NULL for a JSON null.
+    """
+    start = F.expr(
+        "named_struct('depth', 0, 'name', cast(null as string), "
+        "'found', cast(array() as array<struct<name:string,type:string>>))"
+    )
+
+    def step(state: Column, token: Column) -> Column:
+        depth, name, found = state["depth"], state["name"], state["found"]
+        mark = token.isin("<", ">", ":", ",") | token.startswith("(")
+        word = (depth == 1) & ~mark
+        pair = F.array(F.struct(name.alias("name"), token.alias("type")))
+        return F.struct(
+            (depth + F.when(token == "<", 1).when(token == ">", -1).otherwise(0)).alias("depth"),
+            F.when(~word, name).when(name.isNull(), token).alias("name"),
+            F.when(word & name.isNotNull(), F.concat(found, pair)).otherwise(found).alias("found"),
+        )
+
+    def typed(found: Column) -> Column:
+        kind = (
+            F.when(found["type"] == "VOID", F.lit(None))
+            .when(found["type"].isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "number")
+            .otherwise(F.lower(found["type"]))
+        )
+        quoted = F.replace(F.substring(found["name"], F.lit(2), F.length(found["name"]) - 2), F.lit("``"), F.lit("`"))
+        name = F.when(found["name"].startswith("`"), quoted).otherwise(found["name"])
+        return F.struct(name.alias("name"), kind.alias("kind"))
+
+    found = F.aggregate(F.regexp_extract_all(shape, F.lit(_TOKENS), F.lit(0)), start, step, lambda state: state["found"])
     return (
-        F.when(bare == "VOID", F.lit(None))
-        .when(bare.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "number")
-        .otherwise(F.lower(bare))
+        F.when(shape.startswith("OBJECT<"), F.transform(found, typed))
+        .when(shape == "VOID", F.array().cast("array<struct<name:string,kind:string>>"))
+        .otherwise(F.raise_error(F.concat(F.lit("a blob is not an object: "), shape)))
     )
 
 
@@ -135,28 +178,19 @@ def contract_from_blobs(
     by '|', 'unknown' when only nulls were seen; the field type tells whether the property
     was present in every row.
 
-    ``tracked`` names are read off their own paths and counted in one aggregate, without a
-    row per property.  Whatever else a blob holds is taken apart row by row, which costs
-    nothing where there is nothing else.
+    Rows are counted by the shape of their blob, in one pass and without taking any apart;
+    properties are read off the few shapes.  ``tracked`` names need no path of their own, so
+    naming them changes nothing.
     """
-    rows = raw.select(blob).where(F.col(blob).isNotNull())
-    names = list(dict.fromkeys(tracked))
-    columns = [F.variant_get(blob, f"$['{name}']", "variant").alias(f"_{i}") for i, name in enumerate(names)]
-    aggregates = [F.count(F.lit(1)).alias("total")]
-    for i, _ in enumerate(names):
-        aggregates += [F.count(f"_{i}").alias(f"n{i}"), F.collect_set(_kind(F.col(f"_{i}"))).alias(f"k{i}")]
-    once = rows.select(F.col(blob), *columns).agg(*aggregates)
-    seen = [F.struct(F.lit(n).alias("name"), F.col(f"k{i}").alias("kinds"), F.col(f"n{i}").alias("n"), "total")
-            for i, n in enumerate(names)]
-    parts = []
-    if seen:
-        parts.append(once.select(F.inline(F.array(*seen))).where("n > 0"))
-    rest = F.map_filter(F.col(blob).cast("map<string,variant>"), lambda name, _: ~name.isin(names))
-    others = rows.select(F.explode(rest).alias("name", "value")).groupBy("name", _kind(F.col("value")).alias("kind"))
-    others = others.agg(F.count(F.lit(1)).alias("n")).groupBy("name")
-    others = others.agg(F.collect_set("kind").alias("kinds"), F.sum("n").alias("n"))
-    parts.append(others.withColumn("total", rows.agg(F.count(F.lit(1))).scalar()))
-    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    shapes = raw.where(F.col(blob).isNotNull()).select(_shape(blob).alias("shape"))
+    shapes = shapes.groupBy("shape").agg(F.count(F.lit(1)).alias("n"))
+    # A row without a name stands for the blobs themselves.
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("kind")))
+    parts = shapes.select("n", F.inline(F.concat(whole, _properties(F.col("shape")))))
+    found = parts.groupBy("name").agg(F.collect_set("kind").alias("kinds"), F.sum("n").alias("n"))
+    # One row per property: bounded by the width of the source.
+    total = F.max(F.when(F.col("name").isNull(), F.col("n"))).over(Window.partitionBy(F.lit(object_type)))
+    found = found.withColumn("total", total).where(F.col("name").isNotNull())
     kinds = F.concat_ws("|", F.array_sort("kinds"))
     return found.select(
         F.lit(object_type).alias("object_type"),
@@ -243,7 +277,9 @@ def report(baseline: DataFrame, changes: DataFrame) -> DataFrame:
         # Bounded by the number of properties an object has.
         F.concat_ws("; ", F.array_sort(F.collect_list(line))).alias("details"),
     )
-    tracked = baseline.groupBy("object_type").agg(F.count(F.lit(1)).cast("bigint").alias("tracked"))
+    # The whole rows, as the comparison takes them: their plan is then the same as there and runs once.
+    rows = F.collect_list(F.struct("name", "type", "field_type"))
+    tracked = baseline.groupBy("object_type").agg(F.size(rows).cast("bigint").alias("tracked"))
     label = (
         F.when(F.col("severity") == BREAKING, "FAIL")
         .when(F.col("severity") == INFORMATIONAL, "WARN")

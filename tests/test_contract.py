@@ -157,6 +157,40 @@ def test_contract_observed_in_blobs(spark):
         }
 
 
+def test_contract_observed_in_odd_blobs(spark):
+    texts = [
+        '{"a":{"x":[1,{"y, z":2}]},"odd name":1.25,"t`k: DECIMAL(1,2)":true,"n<m>":null,"":[null]}',
+        '{"a":[],"odd name":12.5,"":{}}',
+        "{}",
+        "null",
+        None,
+    ]
+    raw = spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("properties"))
+    found = {(r.name, r.type, r.field_type) for r in contract.contract_from_blobs(raw, "o", tracked=("a",)).collect()}
+    assert found == {
+        ("a", "array|object", "optional"),
+        ("odd name", "number", "optional"),
+        ("t`k: DECIMAL(1,2)", "boolean", "optional"),
+        ("n<m>", "unknown", "optional"),
+        ("", "array|object", "optional"),
+    }
+    assert contract.contract_from_blobs(raw.where("properties is null"), "o").collect() == []
+
+
+def test_a_contract_takes_one_scan_and_a_report_no_more(spark, tmp_path):
+    """Blobs used to be scanned for tracked names, again for the others, and a third time for their number."""
+    raw = spark.range(50).select(F.to_variant_object(F.struct("id", F.lit("x").alias("name"))).alias("properties"))
+    raw.write.parquet(str(tmp_path / "raw"))
+    stored = spark.read.parquet(str(tmp_path / "raw"))
+    observe = lambda: contract.contract_from_blobs(stored, "o", tracked=("id",))
+    for frame in (observe(), contract.report(observe(), contract.diff(observe(), observe()))):
+        assert frame.count() > 0
+        rows = frame.collect()
+        final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert final.count("FileScan") == 1, final
+    assert [tuple(r) for r in rows] == [("o", "OK", 2, "")]
+
+
 def test_snapshot_round_trip_and_missing_baseline(spark, table, tmp_path):
     path = str(tmp_path / "new" / "folder" / "baseline")
     contract.write_snapshot(table(NAME, AMOUNT, EMAIL), path)
