@@ -238,11 +238,12 @@ def build_marts(
             df = checks.watched(seen, name, df)
         if name in CLUSTERING:
             # Range bounds come from a sample, which would compute the mart a second time.
-            df.write.parquet(f"{folder}/unordered/{name}")
+            df.write.option("compression", "zstd").parquet(f"{folder}/unordered/{name}")
             unordered = spark.read.schema(df.schema).parquet(f"{folder}/unordered/{name}")
-            write_clustered(unordered, target, CLUSTERING[name])
+            # The count is read off the footers.
+            write_clustered(unordered, target, CLUSTERING[name], unordered.count())
         else:
-            df.write.parquet(target)
+            df.write.option("compression", "zstd").parquet(target)
         stored[name] = spark.read.schema(df.schema).parquet(target)
 
     def store_all(plans: dict[str, Callable[[], DataFrame]]) -> None:

@@ -129,13 +129,21 @@ class KeyedTable:
             raise ValueError(f"columns the table does not declare: {', '.join(unknown)}")
 
 
-def write_clustered(df: DataFrame, path: str, by: Sequence[str]) -> None:
+#: Rows of a clustered file: few enough that a task sorts them in memory, whatever they weigh compressed.
+ROWS_PER_FILE = 1 << 18
+
+
+def write_clustered(df: DataFrame, path: str, by: Sequence[str], rows: int | None = None) -> None:
     """Full refresh, rows sorted by ``by`` across and within files.
 
     Readers that filter on the leading column skip files and row groups by their min/max.
     End ``by`` with a key: range boundaries then fall inside a value that many rows share.
+    With their number given in ``rows``, a sort takes about :data:`ROWS_PER_FILE` of them.  Else the
+    engine cuts by compressed size, and well compressed rows are sorted on disk.
     """
-    df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+    files = [] if rows is None else [max(1, -(-rows // ROWS_PER_FILE))]
+    ranged = df.repartitionByRange(*files, *by).sortWithinPartitions(*by)
+    ranged.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def write_bucketed(

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revloom.plans import staging
-from revloom.sources import landing
+from revloom.sources import landing, tables
 from revloom.sources.tables import (
     RAW_ENTITY_SCHEMA,
     KeyedTable,
@@ -279,6 +279,21 @@ def test_merge_new_honours_the_high_water_mark(spark, tmp_path):
     assert sorted(tuple(r) for r in table.read().collect()) == [("a", 1, 5), ("b", 2, 6)]
 
 
+def test_clustered_files_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    """Cut by compressed size, well compressed rows made one large sort, which spilled."""
+    monkeypatch.setattr(tables, "ROWS_PER_FILE", 100)
+    df = spark.range(1000).selectExpr("id", "cast(id % 2 as int) as day", "repeat('x', 200) as pad")
+    write_clustered(df, str(tmp_path / "c"), ("day", "id"), 1000)
+    files = [spark.read.parquet(str(f)) for f in (tmp_path / "c").glob("*.parquet")]
+    assert sum(f.count() for f in files) == 1000 and max(f.count() for f in files) < 300
+    assert len(files) >= 8
+    for file in files:
+        rows = [(r.day, r.id) for r in file.collect()]
+        assert rows == sorted(rows)
+    write_clustered(df.limit(0), str(tmp_path / "none"), ("day", "id"), 0)
+    assert spark.read.schema(df.schema).parquet(str(tmp_path / "none")).count() == 0
+
+
 def test_clustered_files_can_be_skipped_by_date(spark, tmp_path):
     df = spark.range(4000).selectExpr("id", "date_add(date'2024-01-01', cast(id % 100 as int)) as day")
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
