@@ -80,13 +80,18 @@ def int_contacts(stg_contacts: DataFrame, contact_links: DataFrame | None = None
     )
 
 
+def priced_deals(deals: DataFrame) -> DataFrame:
+    """Deals with an amount of zero or more."""
+    return deals.where(F.col("amount_usd") >= 0)
+
+
 def int_deals(stg_deals: DataFrame, as_of: Column) -> DataFrame:
     """Deals with an amount of zero or more; open deals past their close date are flagged.
 
     A ``company_id`` column, when there is one, is carried along at the end.
     """
     stale = F.when(~is_closed_stage("stage_id") & (F.col("close_date") < as_of), True).otherwise(False)
-    return stg_deals.where(F.col("amount_usd") >= 0).select(
+    return priced_deals(stg_deals).select(
         "deal_id",
         "deal_name",
         "amount_usd",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,9 @@ _DEAL = (
 )
 _CONTACT = "contact_id string, name_key string, company_id string, created_at_hubspot timestamp"
 _SUBSCRIPTION = "subscription_id string, deal_id string, amount_usd decimal(18,2), is_churned boolean"
+_FACTS = ("deal_id", "company_id", "is_won", "is_lost", "is_open", "amount_usd", "created_date")
+_STAGED_COMPANY = ("company_id", "name", "industry", "employee_count", "annual_revenue_usd")
+_STAGED_CONTACT = ("contact_id", "first_name", "last_name", "email", "company_id", "created_at_hubspot")
 _REACH = "contact_id string, company_id string, max_stage_order int"
 _PAIR = "contact_id string, company_id string"
 _ACCOUNT = (
@@ -92,12 +96,19 @@ class AccountHealth:
         """Take in ``changed``: staged rows (keyed) that are new or replace rows with the same id."""
         if not changed.keyed:
             raise ValueError("changed rows have to be keyed: one per id")
-        touched = [
-            self._companies(changed.companies),
-            self._deals(changed.deals, changed.subscriptions),
-            self._links(changed.contacts, changed.contact_company_links),
-            self._funnel(changed.contacts, changed.lifecycle),
-        ]
+        # Every step reads its rows several times: what it needs of them is taken out of their blobs once.
+        companies = stored_copy(changed.companies.select(*_STAGED_COMPANY), "staged-companies")
+        deals = stored_copy(marts.deal_flags(changed.deals).select(*_FACTS), "staged-deals")
+        contacts = stored_copy(changed.contacts.select(*_STAGED_CONTACT), "staged-contacts")
+        steps = (
+            lambda: self._companies(companies),
+            lambda: self._deals(deals, changed.subscriptions),
+            lambda: self._links(contacts, changed.contact_company_links),
+            lambda: self._funnel(contacts, changed.lifecycle),
+        )
+        # No two steps share a table, and much of a step is small jobs that leave the cluster idle.
+        with ThreadPoolExecutor(len(steps)) as pool:
+            touched = list(pool.map(lambda step: step(), steps))
         companies = reduce(DataFrame.union, touched).where("company_id is not null").distinct()
         self._accounts(stored_copy(companies, "companies"))
 
@@ -109,7 +120,7 @@ class AccountHealth:
         self._swap("companies", ids, rows, ids)
         return ids
 
-    def _deals(self, staged: DataFrame, staged_subscriptions: DataFrame) -> DataFrame:
+    def _deals(self, flagged: DataFrame, staged_subscriptions: DataFrame) -> DataFrame:
         subscriptions = clean.int_subscriptions(staged_subscriptions).select(
             "subscription_id", "deal_id", "amount_usd", "is_churned"
         )
@@ -121,13 +132,10 @@ class AccountHealth:
         self._swap("subscriptions", subscription_ids, subscriptions, subscription_ids)
         self._swap("subscriptions_by_deal", subscription_ids, subscriptions.where("deal_id is not null"), sold)
 
-        delta_ids = staged.select("deal_id").distinct()
+        delta_ids = flagged.select("deal_id").distinct()
         ids = stored_copy(delta_ids.union(sold).distinct(), "deals")
         old = stored_copy(self._of("deals", ids), "old-deals")
-        facts = ("deal_id", "company_id", "is_won", "is_lost", "is_open", "amount_usd", "created_date")
-        never = F.lit(None).cast("timestamp")  # staleness plays no part
-        new = marts.deals_with_company(clean.int_deals(staged, never)).select(*facts)
-        new = new.unionByName(old.select(*facts).join(delta_ids, "deal_id", "left_anti"))
+        new = clean.priced_deals(flagged).unionByName(old.select(*_FACTS).join(delta_ids, "deal_id", "left_anti"))
         paid = self._of("subscriptions_by_deal", ids).withColumnRenamed("amount_usd", "arr_usd")
         won = new.where("is_won").select("deal_id")
         revenue = marts.revenue_rollup(paid.join(won, "deal_id", "left_semi"), "deal_id")

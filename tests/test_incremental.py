@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acceptance.fixtures import Fixture, raw_rows
 from acceptance.registry import earlier_rows, later_rows
+from revloom.plans import incremental
 from revloom.plans.incremental import AccountHealth
 from revloom.plans.model import RevenueModel, Staged
 
@@ -81,6 +82,30 @@ def test_untouched_buckets_are_not_read(loaded, spark, tmp_path):
     assert now["arr_usd"] <= was["arr_usd"]
 
 
+def test_a_load_is_read_once(spark, tmp_path):
+    """Blobs of a load used to be taken apart again for every use of its rows."""
+    fixture = Fixture(spark, SF)
+
+    def raw(entity):
+        raw_rows(entity, fixture.entity(entity)).write.parquet(str(tmp_path / "raw" / entity))
+        return spark.read.parquet(str(tmp_path / "raw" / entity))
+
+    changed, copies = Staged.from_raw(raw), []
+    copied = incremental.stored_copy
+
+    def copy(df, name):
+        copies.append((name, df))
+        return copied(df, name)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(incremental, "stored_copy", copy)
+        AccountHealth(spark, str(tmp_path / "h"), 4).refresh(changed)
+    for entity in ("companies", "deals", "contacts"):
+        uses = [name for name, df in copies if f"/raw/{entity}" in " ".join(df.inputFiles())]
+        links = ["new-links"] if entity == "contacts" else []
+        assert sorted(uses) == sorted([f"staged-{entity}", *links])
+
+
 def test_only_rows_past_the_mark_are_taken(spark, tmp_path):
     fixture = Fixture(spark, SF)
     state = AccountHealth(spark, str(tmp_path / "h"), 4)
