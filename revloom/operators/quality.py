@@ -25,9 +25,20 @@ def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     return _report(stacked.withColumn("test", F.concat(F.lit(f"not_null:{table}."), "column")))
 
 
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` by ``keys`` over the session's shuffle partitions, before anything is counted.
+
+    Nearly all values of a key differ, so counting them ahead of the shuffle would save no row and
+    hold them all in memory.  The partitions are named, not defaulted: merged into larger ones,
+    as defaulted ones are, their counts would outgrow a task's memory.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def unique(df: DataFrame, table: str, column: str) -> DataFrame:
     """Number of non-NULL values that occur more than once."""
-    repeated = df.where(F.col(column).isNotNull()).groupBy(column).count().where("count > 1")
+    present = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_key"))
+    repeated = _dealt(present, "_key").groupBy("_key").count().where("count > 1")
     counted = repeated.agg(F.count(F.lit(1)).alias("failures"))
     return _report(counted.withColumn("test", F.lit(f"unique:{table}.{column}")))
 
@@ -39,9 +50,13 @@ def keys(df: DataFrame, table: str, columns: Sequence[str], key: str | None = No
     """
     if key is None:
         return not_null(df, table, columns)
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in columns if c != key]
-    per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *nulls)
-    # The key's own NULLs are the one group without a key: nothing has to be carried for them.
+    others = [c for c in columns if c != key]
+    # Rows without a key stay apart by the task that read them, so that no task gets them all.
+    spread = F.when(F.col(key).isNull(), F.spark_partition_id()).alias("_spread")
+    rows = df.select(F.col(key).alias("_key"), spread, *[F.col(c).isNull().alias(f"_{c}") for c in others])
+    nulls = [F.count_if(f"_{c}").alias(f"_{c}") for c in others]
+    per_key = _dealt(rows, "_key", "_spread").groupBy("_key", "_spread").agg(F.count(F.lit(1)).alias("_n"), *nulls)
+    # The key's own NULLs are the groups without a key: nothing has to be carried for them.
     keyless = F.sum(F.when(F.col("_key").isNull(), F.col("_n")))
     totals = per_key.agg(
         *[

@@ -337,6 +337,19 @@ def test_checks_count_failures(spark):
     ]
 
 
+@pytest.mark.parametrize("test", ["unique", "keys"])
+def test_keys_are_dealt_before_they_are_counted(spark, test):
+    """Counting nearly distinct keys ahead of the shuffle, or in merged partitions, spilled them."""
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 2), (None, None), ("b", 3)], "k string, v int")
+    found = quality.unique(df, "t", "k") if test == "unique" else quality.keys(df, "t", ["k", "v"], "k")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    dealt = plan.index("Exchange hashpartitioning(_key")
+    assert "REPARTITION_BY_NUM" in plan[dealt:].splitlines()[0]
+    assert "HashAggregate" not in plan[dealt:] and plan.count("hashpartitioning") == 1
+    expected = {"unique:t.k": 1} | ({"not_null:t.k": 2, "not_null:t.v": 2} if test == "keys" else {})
+    assert dict(rows(found)) == expected
+
+
 @pytest.mark.parametrize(
     ("hours", "status"), [(1, "pass"), (25, "pass"), (26, "warn"), (48, "warn"), (49, "error"), (None, "error")]
 )
