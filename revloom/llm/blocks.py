@@ -26,13 +26,19 @@ def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < length:
         made = []
         for base in (_BASE, _INVERSE):
-            steps = np.full(1 << max(length, 2 * BLOCK_BYTES).bit_length(), base)
+            steps = np.full(-(-length // BLOCK_BYTES) * BLOCK_BYTES, base)
             steps[0] = 1
             made.append(np.multiply.accumulate(steps))
         _powers = (made[0], made[1])
     return _powers[0][:length], _powers[1][:length]
 
 
+def forget_powers() -> None:
+    """Free the stored powers; they are made again in a few milliseconds."""
+    global _powers
+    _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit numbers whose every output bit depends on every input bit."""
     values = values ^ (values >> np.uint64(30))

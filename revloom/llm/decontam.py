@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from revloom.llm.blocks import Block, blocks, mixed, powers, shingle_hashes
-from revloom.llm.shared import StoredBlocks, prepare
+from revloom.llm.shared import StoredBlocks, handing_back, prepare
 from revloom.session import scratch_path
 
 MIN_MATCH = 5
@@ -291,7 +291,7 @@ def contamination(
             yield pa.RecordBatch.from_arrays(columns, names=[*passed, "n items", "best item", "best coverage"])
 
     frame = docs.select(*passed, "text") if "text" not in passed else docs.select(*passed)
-    frame = frame.mapInArrow(compare, f"{schema}, {added}")
+    frame = frame.mapInArrow(handing_back(compare), f"{schema}, {added}")
     return frame.select(
         *passed,
         F.col("n items").alias("n_items"),

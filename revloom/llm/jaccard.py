@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from revloom.llm.blocks import Block, blocks, mixed, shingle_hashes
 from revloom.llm.components import components
-from revloom.llm.shared import SortedTable, join_rows, keep, prepare, sorted_table, texts
+from revloom.llm.shared import SortedTable, handing_back, join_rows, keep, prepare, sorted_table, texts
 
 WORDS = 5
 PERCENT = 80
@@ -159,7 +159,7 @@ def _set_table(docs: DataFrame, words: int, passed: tuple[str, ...]) -> DataFram
             )
 
     schema = "".join(f"`{name}` {kinds[name]}, " for name in passed)
-    return docs.select(*passed, "text").mapInArrow(measure, f"{schema}n bigint, number bigint")
+    return docs.select(*passed, "text").mapInArrow(handing_back(measure), f"{schema}n bigint, number bigint")
 
 
 def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -247,9 +247,9 @@ def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 names=["signature", "band", "hub", "member"],
             )
 
-    dealt = texts(docs).select("text").mapInArrow(index, "bucket bigint, rows binary")
+    dealt = texts(docs).select("text").mapInArrow(handing_back(index), "bucket bigint, rows binary")
     dealt = dealt.repartition(min(buckets, max(parts, 1)), "bucket").sortWithinPartitions("bucket")
-    return keep(dealt.mapInArrow(meet, "signature bigint, band int, hub bigint, member bigint"), "jaccard-groups")
+    return keep(dealt.mapInArrow(handing_back(meet), "signature bigint, band int, hub bigint, member bigint"), "jaccard-groups")
 
 
 def _shingles_of(docs: DataFrame, wanted: SortedTable, words: int) -> DataFrame:
@@ -274,7 +274,7 @@ def _shingles_of(docs: DataFrame, wanted: SortedTable, words: int) -> DataFrame:
                         out, schema=pa.schema([("number", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
                     )
 
-    found = texts(docs).select("text").mapInArrow(fetch, "number bigint, n bigint, shingles binary")
+    found = texts(docs).select("text").mapInArrow(handing_back(fetch), "number bigint, n bigint, shingles binary")
     return keep(found, "jaccard-sets")
 
 
@@ -301,7 +301,7 @@ def _sketches(sets: DataFrame, percent: int) -> DataFrame:
                 [pa.array(column, kind) for column, (_, kind) in zip(columns, schema, strict=True)], schema=pa.schema(schema)
             )
 
-    found = sets.mapInArrow(draw, "number bigint, band int, n bigint, bitmap binary")
+    found = sets.mapInArrow(handing_back(draw), "number bigint, band int, n bigint, bitmap binary")
     return keep(found.dropDuplicates(["number", "band"]), "jaccard-sketches")
 
 
@@ -336,7 +336,7 @@ def _sifted(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
                 good[at] = _possible(left, right, na[at], nb[at], percent)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    return both.select("a", "b", "band", "na", "nb", "ma", "mb").mapInArrow(sift, "a bigint, b bigint")
+    return both.select("a", "b", "band", "na", "nb", "ma", "mb").mapInArrow(handing_back(sift), "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -351,7 +351,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.filter(pa.array(wanted.find(distinct)[0][place] > 0))
 
     # Sets nobody asks for stay where they are; the others travel once per side.
-    few = sets.select("number", "shingles").mapInArrow(needed_sets, "number bigint, shingles binary")
+    few = sets.select("number", "shingles").mapInArrow(handing_back(needed_sets), "number bigint, shingles binary")
     few = keep(few.dropDuplicates(["number"]), "jaccard-asked")
     full = pairs.join(few.select(F.col("number").alias("b"), F.col("shingles").alias("right")), "b").join(
         few.select(F.col("number").alias("a"), F.col("shingles").alias("left")), "a"
@@ -366,7 +366,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return full.select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint")
+    return full.select("a", "b", "left", "right").mapInArrow(handing_back(verify), "a bigint, b bigint")
 
 
 def _bits(band: int, percent: int) -> int:
@@ -500,9 +500,9 @@ def _unsettled(
             for blob in batch.column(1):
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(blob.as_buffer(), np.int64))], names=["signature"])
 
-    blobs = keep(dealt.mapInArrow(compare, "bucket bigint, pairs binary"), "jaccard-unsettled")
-    pairs = blobs.where("bucket >= 0").repartition(parts, "bucket").mapInArrow(distinct, "a bigint, b bigint")
-    return pairs, blobs.where("bucket < 0").mapInArrow(signatures_of, "signature bigint").distinct()
+    blobs = keep(dealt.mapInArrow(handing_back(compare), "bucket bigint, pairs binary"), "jaccard-unsettled")
+    pairs = blobs.where("bucket >= 0").repartition(parts, "bucket").mapInArrow(handing_back(distinct), "a bigint, b bigint")
+    return pairs, blobs.where("bucket < 0").mapInArrow(handing_back(signatures_of), "signature bigint").distinct()
 
 
 def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, passed: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from revloom.llm.blocks import blocks
 from revloom.llm.ppm import Counter, Tree, counted, grams, per_text
-from revloom.llm.shared import prepare
+from revloom.llm.shared import handing_back, prepare
 
 ORDER = 4
 #: Bytes of text scored at once: the more, the fewer look-ups of a gram.
@@ -70,7 +70,7 @@ def train(labelled: DataFrame, order: int = ORDER, sample_bytes: int = SAMPLE_BY
             for sums in counter.rest():
                 yield out(name, sums)
 
-    sums = drawn.mapInArrow(count, "lang string, code bigint, n bigint")
+    sums = drawn.mapInArrow(handing_back(count), "lang string, code bigint, n bigint")
     table = sums.groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()  # bounded by the sample
     names = table.column("lang").to_numpy()
     codes, counts = table.column("code").to_numpy(), table.column("n").to_numpy()
@@ -120,7 +120,7 @@ def identify(
                 names=["row", "lang_pred", "score", "bits_per_byte"],
             )
 
-    found = rows.mapInArrow(predict, f"row {kind}, lang_pred string, score double, bits_per_byte double")
+    found = rows.mapInArrow(handing_back(predict), f"row {kind}, lang_pred string, score double, bits_per_byte double")
     return found.select("row.*", "lang_pred", "score", "bits_per_byte")
 
 

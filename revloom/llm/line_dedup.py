@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revloom.llm.shared import join_rows, keep, prepare
+from revloom.llm.shared import handing_back, join_rows, keep, prepare
 
 MIN_WORDS = 40
 #: Windows handed over at once.
@@ -106,7 +106,7 @@ def selected_places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     return rows.mapInArrow(
-        cut, f"doc_id {kind}, text_hash bigint, " + ", ".join(f"{name} bigint" for name in names)
+        handing_back(cut), f"doc_id {kind}, text_hash bigint, " + ", ".join(f"{name} bigint" for name in names)
     )
 
 
@@ -182,7 +182,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, passed: tuple[st
             )
 
     done = joined.mapInArrow(
-        remove, f"row {kinds['row']}, kept_text string, n_lines bigint, n_removed bigint, n_runs bigint"
+        handing_back(remove), f"row {kinds['row']}, kept_text string, n_lines bigint, n_removed bigint, n_runs bigint"
     )
     return done.select("row.*", "kept_text", "n_lines", "n_removed", "n_runs")
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from revloom.llm.blocks import blocks
-from revloom.llm.shared import join_rows, keep, prepare, texts
+from revloom.llm.shared import handing_back, join_rows, keep, prepare, texts
 from revloom.llm.tokens import TOKEN_BLOCK, TOKENIZER_FILE, tokenizer
 
 #: Tokens of all queues in a stretch of the order, about; and the least number of stretches, as a power of two.
@@ -50,7 +50,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, *columns: str) -> DataFrame
             yield pa.RecordBatch.from_arrays(out, names=[*columns, "ids", "n_ids"])
 
     kept = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*columns).dtypes)
-    return docs.select(*columns, "text").mapInArrow(encode, f"{kept}, ids binary, n_ids bigint")
+    return docs.select(*columns, "text").mapInArrow(handing_back(encode), f"{kept}, ids binary, n_ids bigint")
 
 
 class Mixture:
@@ -225,4 +225,4 @@ def pack(
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), all_tokens // (16 * STRETCH_TOKENS))
     every = rows.withColumn("begin", F.lit(None).cast("bigint")).unionByName(begins, allowMissingColumns=True)
     dealt = every.repartition(min(parts, 1 << bits), "stretch").sortWithinPartitions("queue", "stretch", F.col("begin").desc_nulls_last(), "order", "doc_id")
-    return dealt.select("doc_id", "source", "queue", "begin", "ids", "n_ids").mapInArrow(cut, schema)
+    return dealt.select("doc_id", "source", "queue", "begin", "ids", "n_ids").mapInArrow(handing_back(cut), schema)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revloom.llm.blocks import blocks
-from revloom.llm.shared import open_folder, prepare, texts
+from revloom.llm.shared import handing_back, open_folder, prepare, texts
 from revloom.llm.tokens import TOKEN_BLOCK, TOKENIZER_FILE, tokenizer
 from revloom.session import scratch_path
 
@@ -124,7 +124,7 @@ def write_files(
         )
 
     written = ordered.select("doc_id", "text").mapInArrow(
-        write, "path string, n_docs bigint, n_ids bigint, n_sequences bigint, first_doc bigint, last_doc bigint"
+        handing_back(write), "path string, n_docs bigint, n_ids bigint, n_sequences bigint, first_doc bigint, last_doc bigint"
     )
     # The number of a file is that of its task: ranges ascend with it.
     manifest = written.select(F.spark_partition_id().alias("number"), "*")
@@ -171,7 +171,7 @@ def read_documents(manifest: DataFrame, path: str = TOKENIZER_FILE) -> DataFrame
 
     dealt = based.repartition(tasks, "number")
     return dealt.select("path", "base").mapInArrow(
-        read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, file string"
+        handing_back(read), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, file string"
     )
 
 

@@ -11,7 +11,10 @@ from revloom.llm.blocks import Block
 TOKENIZER_FILE = public_tokenizers.path("word_bpe_49k.json")
 
 #: Bytes of text encoded at once: the more, the fewer look-ups of a piece.
-TOKEN_BLOCK = 1 << 21
+TOKEN_BLOCK = 1 << 19
+
+#: Pieces given to the tokenizer at once; what it returns takes hundreds of bytes a token.
+CALL_PIECES = 1 << 14
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("a"), ord("z") + 1), *range(ord("0"), ord("9") + 1)]] = True
@@ -31,7 +34,7 @@ class WordTokenizer:
 
     MARK = "\x01"
 
-    def __init__(self, path: str = TOKENIZER_FILE, remembered: int = 3_000_000):
+    def __init__(self, path: str = TOKENIZER_FILE, remembered: int = 1 << 20):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -42,7 +45,7 @@ class WordTokenizer:
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.starts, self.counts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
+        self.starts, self.counts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, self.dtype)
 
     def _call(self, pieces: list[str]) -> list[list[int]]:
         return [found.ids for found in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -53,7 +56,12 @@ class WordTokenizer:
         size = 100
         groups = [pieces[at : at + size] for at in range(0, len(pieces), size)]
         ids, counts = [], []
-        for group, found in zip(groups, self._call([b" \x01 ".join(g).decode() for g in groups]), strict=True):
+        joined = (
+            found
+            for at in range(0, len(groups), CALL_PIECES // size)
+            for found in self._call([b" \x01 ".join(g).decode() for g in groups[at : at + CALL_PIECES // size]])
+        )
+        for group, found in zip(groups, joined, strict=True):
             found = np.array(found, self.dtype)
             cuts = np.flatnonzero(found == self.mark_id)
             if len(cuts) != len(group) - 1:  # a piece holds the mark itself

@@ -12,11 +12,12 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from revloom.llm import blocks as texts_in_blocks
 from revloom.llm import packing, stream_files
-from revloom.llm.blocks import blocks
+from revloom.llm.blocks import BLOCK_BYTES, blocks
 from revloom.llm.queries import QUERIES
-from revloom.llm.shared import prepare
-from revloom.llm.tokens import TOKENIZER_FILE, WordTokenizer
+from revloom.llm.shared import handing_back, prepare
+from revloom.llm.tokens import CALL_PIECES, TOKEN_BLOCK, TOKENIZER_FILE, WordTokenizer
 from revloom.session import scratch_path
 
 from .samples import SF, awkward, collected, table
@@ -208,3 +209,25 @@ def test_stream_files_are_read_by_row_without_copying(spark):
 
 def test_stream_files_of_nothing(spark):
     assert stream_files.write_and_read(table(spark, [])).count() == 0
+
+
+def test_a_worker_bounds_calls_of_the_tokenizer_and_hands_memory_back():
+    """Workers of an executor held 250 to 310 MB each, so that packing took more than its memory."""
+    words = [f"{word:x}q" for word in range(3 * CALL_PIECES)]
+    text = " ".join(words)
+    batch = pa.RecordBatch.from_pydict({"text": [text, None, "a " + text]})
+    encoder = WordTokenizer()
+    made, called = encoder._call, []
+    encoder._call = lambda pieces: called.append(sum(map(len, pieces))) or made(pieces)
+
+    def encode(batches):
+        for found in batches:
+            for block in blocks(found, limit=TOKEN_BLOCK):
+                ids, bounds = encoder.encode(block, 2)
+                yield from (ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:]))
+            assert sum(map(len, texts_in_blocks._powers)) <= 2 * (batch.nbytes + BLOCK_BYTES)
+
+    found = list(handing_back(encode)(iter([batch])))
+    assert found == [plain(t, 2) for t in (text, None, "a " + text)]
+    assert len(called) >= 3 and max(called) <= CALL_PIECES * (len(words[-1]) + 3)
+    assert sum(map(len, texts_in_blocks._powers)) == 2
