@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from revloom.llm import jaccard, line_dedup, suffixes
+from revloom.llm import jaccard, line_dedup, shared, suffixes
 from revloom.llm.components import components
 from revloom.llm.queries import ORACLE_SQL, QUERIES
 from revloom.llm.shared import keep, prepare, sorted_table
@@ -92,6 +92,48 @@ def test_suffix_query(spark):
     assert sorted(map(tuple, found.collect())) == repeated_bytes(documents(spark))
 
 
+def test_a_task_reads_only_what_concerns_its_own_texts(spark, monkeypatch):
+    rnd = random.Random(5)
+    fresh = lambda n: "".join(rnd.choice("abcdefgh é") for _ in range(n))
+    rows = []
+    for group in range(20):  # both kinds of run, in each group their own
+        passage = fresh(500)
+        rows += [(len(rows) + k, fresh(50) + passage[k * 20 : 480] + fresh(50)) for k in range(4)]
+    frame = table(spark, [(*r, None, None, 0) for r in rows]).repartitionByRange(4, "doc_id")
+    steps, reads, kind, plain, read = [], [], type(frame), type(frame).mapInArrow, shared.pq.read_table
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **k: steps.append((self, a[0])) or plain(self, *a, **k))
+    assert removed_bytes(frame) == repeated_bytes(rows)
+    source, remove = steps[-1]
+
+    def counted(*args, **options):
+        found = read(*args, **options)
+        reads.append(len(found))
+        return found
+
+    monkeypatch.setattr(shared.pq, "read_table", counted)
+
+    def rows_read(texts):
+        reads.clear()
+        assert sum(len(b) for b in remove(iter(texts.toArrow().to_batches(max_chunksize=1)))) == texts.count()
+        return list(reads)
+
+    few, every = rows_read(source.where("doc_id < 8").orderBy("doc_id")), rows_read(source.orderBy("doc_id"))
+    assert len(few) == 1 and len(every) == 4  # once a chunk, not a text
+    assert 2 * sum(few) < sum(every)
+
+
+def test_texts_of_several_chunks_and_lots(spark, monkeypatch):
+    rnd = random.Random(6)
+    fresh = lambda n: "".join(rnd.choice("abcdefgh é") for _ in range(n))
+    pool = [fresh(n) for n in (210, 300, 700)]
+    rows = [(i, "".join(rnd.choice([fresh(90), rnd.choice(pool)[rnd.randrange(60) :]]) for _ in range(4))) for i in range(90)]
+    monkeypatch.setattr(suffixes, "CHUNK_BITS", 2)
+    monkeypatch.setattr(suffixes, "LOT_BYTES", 0)
+    frame = table(spark, [(*r, None, None, 0) for r in rows + rows[:9]])
+    assert removed_bytes(frame) == repeated_bytes(rows + rows[:9])
+    assert removed_bytes(frame, length=64) == repeated_bytes(rows + rows[:9], 64)
+
+
 def test_levels_merge_geometrically(spark):
     index = suffixes.SuffixIndex()
     for number in range(6):
